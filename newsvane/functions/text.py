@@ -77,7 +77,7 @@ def bigrams(tokens: Column) -> Column:
         F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))).alias("a"),
         F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))).alias("b"),
     )
-    return F.transform(pairs, lambda p: F.concat_ws(" ", p["0"], p["1"]))
+    return F.transform(pairs, lambda p: F.concat_ws(" ", p["a"], p["b"]))
 
 
 # What is dropped from or decoded in an HTML text.
@@ -106,7 +106,7 @@ def html_to_text(html: Column) -> Column:
 REPORT_REPAIRS = (
     (r"([a-zA-Z]+)-\s*\n\s*([a-zA-Z]+)", "$1$2"),  # word broken over two lines
     (r"\.{2,}", " "),  # dot leaders of a table of contents
-    (r"(?m)^[ \t]*[0-9]+[ \t]*$", ""),  # line holding only a page number
+    (r"(?md)^[ \t]*[0-9]+[ \t]*$", ""),  # line holding only a page number
     (r"[^\S\n]{2,}", " "),  # runs of blanks
 )
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsvane.functions.labels import opposite
-from newsvane.functions.numeric import round_to, safe_corr
+from newsvane.functions.numeric import from_micros, round_to, safe_corr, to_micros
 
 
 def pair_scorings(
@@ -48,6 +48,11 @@ def label_match_counts(compared: DataFrame) -> DataFrame:
     return compared.groupBy(match.alias("label_match")).agg(F.count("*").alias("articles"))
 
 
+def average_difference(compared: DataFrame) -> DataFrame:
+    mean = from_micros(F.sum(to_micros(F.col("score_diff"))) / F.count("*"))
+    return compared.agg(round_to(mean, 6).alias("average_score_diff"), F.count("*").alias("articles"))
+
+
 def agreement_report(compared: DataFrame, names: tuple[str, str]) -> DataFrame:
     """One row: mean absolute difference, agreement and opposition in percent, correlation."""
     a, b = (F.col(f"{n}_score") for n in names)
@@ -56,8 +61,9 @@ def agreement_report(compared: DataFrame, names: tuple[str, str]) -> DataFrame:
     def percent(condition):
         return round_to(F.avg(F.when(condition, 1.0).otherwise(0.0)) * 100.0, 2)
 
+    gap = F.sum(to_micros(F.abs(b - a))) / F.count("*")
     return compared.agg(
-        round_to(F.avg(F.abs(b - a)), 4).alias("mean_abs_diff"),
+        round_to(from_micros(gap), 4).alias("mean_abs_diff"),
         percent(~F.col("is_conflict")).alias("agreement_pct"),
         percent(opposite(la, lb)).alias("opposite_pct"),
         round_to(safe_corr(b, a), 4).alias("pearson"),

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsvane.functions.numeric import round_to
+from newsvane.functions.numeric import from_micros, round_to, to_micros
 from newsvane.operators.ranking import latest_per_key
 
 ARTICLE_SCHEMA = (
@@ -107,8 +107,9 @@ def market_mood(news: DataFrame, prices: DataFrame, score: str) -> DataFrame:
 
     News is reduced to one row per day before the join, so no article is paired with every ticker.
     """
+    mean = from_micros(F.sum(to_micros(F.col(score))) / F.count("*"))
     daily = news.groupBy("trade_date").agg(
-        F.avg(score).alias("market_score"), F.count("*").alias("market_news")
+        round_to(mean, 6).alias("market_score"), F.count("*").alias("market_news")
     )
     return prices.join(daily, "trade_date", "inner")
 
@@ -121,5 +122,16 @@ def up_to(df: DataFrame, run_date: dt.date) -> DataFrame:
     return df.where(F.to_date("trade_date") <= F.lit(run_date))
 
 
+def artifact_manifest(sizes: DataFrame, run_date: dt.date, root: str) -> DataFrame:
+    """Where the report artefacts of each ticker and day are kept."""
+    folder = F.concat(F.lit(f"{root}/daily_{run_date:%Y-%m-%d}/ticker="), F.col("ticker"))
+    return sizes.select(
+        "ticker",
+        F.lit(f"{run_date:%Y-%m-%d}").alias("report_date"),
+        F.concat(folder, F.lit("/wordcloud.png")).alias("wordcloud_url"),
+        F.concat(folder, F.lit("/ldavis.html")).alias("ldavis_url"),
+    )
+
+
 def below_price(df: DataFrame, limit: float = 1000.0) -> DataFrame:
     return df.where(F.col("close_price") < limit)

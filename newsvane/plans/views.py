@@ -23,11 +23,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Split a scan that arrives in fewer pieces than there are cores.
+
+    A small table in one file is one task. A large one has more splits than cores and stays as read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def raw_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ticker, id, headline, summary, datetime): flat news as the feed delivers it."""
-    day = F.floor(F.col("doc_id") / TICKERS) % DAYS
+    day = F.expr(f"doc_id div {TICKERS}") % DAYS
     seconds = F.lit(FIRST_DAY_SECONDS) + day * 86_400 + (F.col("doc_id") * 37) % 86_400
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("source").alias("ticker"),
         F.col("doc_id").alias("id"),
         F.substring_index("text", ".", 1).alias("headline"),
