@@ -9,10 +9,6 @@ run does not depend on how the blocks are distributed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +16,11 @@ from newsvane.config import TopicSettings
 from newsvane.functions.numeric import MICROS, round_to
 from newsvane.operators.ranking import top_n_per_group
 from newsvane.operators.terms import vocabulary_per_group
+from newsvane.operators.topic_inference import assign, statistics_of
 from newsvane.session import broadcast_if_small, cut_lineage
 
 BLOCK_DOCUMENTS = 512
-_INNER_STEPS, _INNER_TOLERANCE = 30, 1e-3
+BLOCKS_PER_TASK, MAX_TASKS = 64, 50_000
 
 
 def topic_count(documents: Column, settings: TopicSettings = TopicSettings()) -> Column:
@@ -44,84 +41,6 @@ def topic_counts(df: DataFrame, settings: TopicSettings = TopicSettings()) -> Da
     return large.withColumn("k", topic_count(F.col("documents"), settings))
 
 
-def _digamma(x: np.ndarray) -> np.ndarray:
-    """Shift the argument above 6, then the asymptotic series."""
-    shift = np.zeros_like(x)
-    x = x.copy()
-    for _ in range(6):
-        low = x < 6
-        shift[low] -= 1.0 / x[low]
-        x[low] += 1.0
-    inverse = 1.0 / (x * x)
-    series = inverse * (1 / 12 - inverse * (1 / 120 - inverse / 252))
-    return shift + np.log(x) - 0.5 / x - series
-
-
-def _expected(dirichlet: np.ndarray) -> np.ndarray:
-    return np.exp(_digamma(dirichlet) - _digamma(dirichlet.sum(axis=1, keepdims=True)))
-
-
-def _infer(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Mixtures of a block's documents: (document weights, terms, term statistics, beta)."""
-    k = int(row.k)
-    weights = np.asarray(row.weights, dtype=float).reshape(-1, int(row.max_k))
-    beta = _expected(weights[:, :k].T)
-    lengths = np.asarray(row.lengths, dtype=np.int64)
-    documents, terms = np.repeat(np.arange(len(lengths)), lengths), np.asarray(row.terms, dtype=np.int64)
-    width = beta.shape[1]
-    pairs, counts = np.unique(documents * width + terms, return_counts=True)
-    d, w = pairs // width, pairs % width
-    alpha = 1.0 / k
-    gamma = np.full((len(lengths), k), alpha)
-    if len(pairs) == 0:
-        return gamma, w, np.zeros((0, k)), beta
-    gamma += lengths[:, None] / k
-    used, starts = np.unique(d, return_index=True)
-    by_term = beta.T[w]
-    for _ in range(_INNER_STEPS):
-        theta = _expected(gamma)
-        ratio = counts / np.maximum((theta[d] * by_term).sum(axis=1), 1e-100)
-        updated = gamma.copy()
-        updated[used] = alpha + theta[used] * np.add.reduceat(by_term * ratio[:, None], starts)
-        change = np.abs(updated - gamma).mean()
-        gamma = updated
-        if change < _INNER_TOLERANCE:
-            break
-    theta = _expected(gamma)
-    ratio = counts / np.maximum((theta[d] * by_term).sum(axis=1), 1e-100)
-    return gamma, w, theta[d] * by_term * ratio[:, None], beta
-
-
-def _collect_statistics(max_topics: int):
-    names = [f"s{j}" for j in range(max_topics)]
-
-    def statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                _, w, parts, beta = _infer(row)
-                if len(w) == 0:
-                    continue
-                terms, place = np.unique(w, return_inverse=True)
-                out = {"ticker": row.ticker, "term_index": terms}
-                for j, name in enumerate(names):
-                    if j < parts.shape[1]:
-                        total = np.bincount(place, weights=parts[:, j], minlength=len(terms))
-                        out[name] = np.floor(total * MICROS + 0.5).astype(np.int64)
-                    else:
-                        out[name] = np.zeros(len(terms), dtype=np.int64)
-                yield pd.DataFrame(out)
-
-    return statistics
-
-
-def _assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            gamma, _, _, _ = _infer(row)
-            share = gamma / gamma.sum(axis=1, keepdims=True)
-            yield pd.DataFrame({"ticker": row.ticker, "id": row.ids, "distribution": list(share)})
-
-
 def _blocks(docs: DataFrame, vocabulary: DataFrame, sizes: DataFrame) -> DataFrame:
     """Documents as lists of vocabulary indices, grouped into blocks of bounded size.
 
@@ -131,11 +50,15 @@ def _blocks(docs: DataFrame, vocabulary: DataFrame, sizes: DataFrame) -> DataFra
     index = broadcast_if_small(vocabulary.select("ticker", "term", "term_index"), vocabulary.count(), 64)
     indexed = words.join(index, ["ticker", "term"], "left")
     per_doc = indexed.groupBy("ticker", "id").agg(F.collect_list("term_index").alias("terms"))
+    of_ticker = F.ceil(F.col("documents") / BLOCK_DOCUMENTS).cast("bigint")
     placed = per_doc.join(broadcast_if_small(sizes, sizes.count(), 64), "ticker").withColumn(
-        "block",
-        F.pmod(F.xxhash64("id"), F.ceil(F.col("documents") / BLOCK_DOCUMENTS).cast("bigint")),
+        "block", F.pmod(F.xxhash64("id"), of_ticker)
     )
-    grouped = placed.groupBy("ticker", "k", "block").agg(
+    # A block is cheap to move and dear to work on, so tasks are counted by blocks, not by bytes.
+    blocks = sizes.agg(F.sum(of_ticker)).first()[0] or 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    tasks = min(max(cores, blocks // BLOCKS_PER_TASK), MAX_TASKS)
+    grouped = placed.repartition(tasks, "ticker", "block").groupBy("ticker", "k", "block").agg(
         F.array_sort(F.collect_list(F.struct("id", "terms"))).alias("docs")
     )
     return grouped.select(
@@ -161,11 +84,16 @@ def _start_weights(vocabulary: DataFrame, settings: TopicSettings) -> DataFrame:
 
 
 def _per_ticker(weights: DataFrame) -> DataFrame:
-    """All weights of a ticker as one list, term by term: bounded by vocabulary and topics."""
-    lists = weights.groupBy("ticker").agg(
-        F.array_sort(F.collect_list(F.struct("term_index", "w"))).alias("rows")
+    """All weights of a ticker as one list, term by term: bounded by vocabulary and topics.
+
+    The terms stand in any order; ``places`` says which is which.
+    """
+    lists = weights.groupBy("ticker").agg(F.collect_list(F.struct("term_index", "w")).alias("rows"))
+    return lists.select(
+        "ticker",
+        F.transform("rows", lambda r: r["term_index"]).alias("places"),
+        F.flatten(F.transform("rows", lambda r: r["w"])).alias("weights"),
     )
-    return lists.select("ticker", F.flatten(F.transform("rows", lambda r: r["w"])).alias("weights"))
 
 
 class TickerTopics:
@@ -185,7 +113,7 @@ class TickerTopics:
         """One round: infer documents, add up statistics, write the new weights."""
         names = [f"s{j}" for j in range(self._settings.max_topics)]
         schema = "ticker string, term_index int, " + ", ".join(f"{n} bigint" for n in names)
-        parts = self._joined().mapInPandas(_collect_statistics(self._settings.max_topics), schema)
+        parts = self._joined().mapInPandas(statistics_of(self._settings.max_topics), schema)
         sums = parts.groupBy("ticker", "term_index").agg(*[F.sum(n).alias(n) for n in names])
         prior = self._sizes.select("ticker", (F.lit(1.0) / F.col("k")).alias("eta"))
         smoothed = sums.join(prior, "ticker").select(
@@ -200,10 +128,10 @@ class TickerTopics:
 
     def topic_terms(self) -> DataFrame:
         """(ticker, topic, term, n, probability) for every term of a ticker's vocabulary."""
-        rows = self._weights.select("ticker", F.posexplode("weights").alias("at", "weight"))
         topics = self._settings.max_topics
+        rows = self._weights.select("ticker", "places", F.posexplode("weights").alias("at", "weight"))
         cells = (
-            rows.withColumn("term_index", F.floor(F.col("at") / topics).cast("int"))
+            rows.withColumn("term_index", F.get("places", F.floor(F.col("at") / topics).cast("int")))
             .withColumn("topic", F.col("at") % topics)
             .join(self._sizes.select("ticker", "k"), "ticker")
             .where(F.col("topic") < F.col("k"))
@@ -230,7 +158,7 @@ class TickerTopics:
 
     def assignments(self) -> DataFrame:
         """(ticker, id, distribution, dominant_topic_id) for every document."""
-        out = self._joined().mapInPandas(_assign, "ticker string, id bigint, distribution array<double>")
+        out = self._joined().mapInPandas(assign, "ticker string, id bigint, distribution array<double>")
         best = F.array_position("distribution", F.array_max("distribution")) - 1
         return out.withColumn("dominant_topic_id", best)
 

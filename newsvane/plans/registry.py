@@ -553,12 +553,13 @@ def topic_k_choice(spark, sf):
 @query
 def count_vectors(spark, sf):
     docs = _doc_tokens(spark, sf)
-    fitted = models.count_vectorizer("tokens").fit(docs)
-    counts = vector_to_array(fitted.transform(docs)["features"])
-    return fitted.transform(docs).select(
+    counted = models.count_vectorizer("tokens").fit(docs).transform(docs)
+    # The stored form of a sparse vector: its entries without the zeros in between.
+    counts = counted.select("id", F.unwrap_udt("features")["values"].alias("counts"))
+    return counts.select(
         "id",
-        F.aggregate(counts, F.lit(0.0), lambda a, x: a + x).alias("known_tokens"),
-        F.size(F.filter(counts, lambda x: x > 0)).alias("known_terms"),
+        F.aggregate("counts", F.lit(0.0), lambda a, x: a + x).alias("known_tokens"),
+        F.size("counts").alias("known_terms"),
     )
 
 
@@ -600,20 +601,20 @@ def topic_distance(spark, sf):
     return topics.topic_distance(_display_model(spark, sf).topic_terms())
 
 
-WORD_VECTORS = {"size": 100, "min_count": 3, "window": 5}
+WORD_VECTORS = {"size": 100, "min_count": 3, "window": 5, "iterations": 20}
 
 
 @query
 def word2vec_docs(spark, sf):
     docs = _doc_tokens(spark, sf)
-    fitted = models.word_vectors(spark, "tokens", iterations=1, **WORD_VECTORS).fit(docs)
+    fitted = models.word_vectors(spark, "tokens", **WORD_VECTORS).fit(docs)
     return fitted.transform(docs).select("id", vector_to_array("features").alias("vector"))
 
 
 @query
 def word2vec_synonyms(spark, sf):
     docs = _doc_tokens(spark, sf)
-    fitted = models.word_vectors(spark, "tokens", iterations=1, **WORD_VECTORS).fit(docs)
+    fitted = models.word_vectors(spark, "tokens", **WORD_VECTORS).fit(docs)
     word = terms.top_terms(docs, F.col("tokens"), 1).first()["term"]
     near = fitted.findSynonyms(word, 15)
     return near.select(F.lit(word).alias("query"), "word", round_to(F.col("similarity"), 6).alias("similarity"))
@@ -634,7 +635,7 @@ SCORE_TARGETS = [
 
 def _predicted_labels(spark, sf):
     train, test = models.split(_labelled_tokens(spark, sf), "id")
-    fitted = models.sentiment_classifier(spark, "tokens", "label", iterations=1, **WORD_VECTORS).fit(train)
+    fitted = models.sentiment_classifier(spark, "tokens", "label", **WORD_VECTORS).fit(train)
     return fitted.transform(test)
 
 
@@ -653,6 +654,6 @@ def classifier_accuracy(spark, sf):
 @query
 def score_regression(spark, sf):
     docs = _labelled_tokens(spark, sf)
-    fitted = models.fit_score_heads(spark, docs, "tokens", SCORE_TARGETS, iterations=1, **WORD_VECTORS)
+    fitted = models.fit_score_heads(spark, docs, "tokens", SCORE_TARGETS, **WORD_VECTORS)
     predicted = fitted.transform(docs)
     return predicted.select("id", *SCORE_TARGETS, *[f"pred_{t}" for t in SCORE_TARGETS])
