@@ -63,7 +63,7 @@ def read_history(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """Files holding one JSON array of nested articles each, as rows (ticker, uuid, title, ...)."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     named = files.select(ticker_from_path(F.col("_metadata.file_path")).alias("ticker"), "value")
     return explode_articles(named, "value", "ticker")
 
