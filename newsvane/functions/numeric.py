@@ -23,6 +23,17 @@ def from_micros(value: Column) -> Column:
     return value / F.lit(float(MICROS))
 
 
+def round_sql(value: str, digits: int) -> str:
+    """`round_to` for an expression given as text."""
+    scale = f"1e{digits}D"
+    return f"(floor(({value}) * {scale} + 0.5D) / {scale})"
+
+
+def micros_sql(value: str) -> str:
+    """`to_micros` for an expression given as text."""
+    return f"floor(({value}) * 1e6D + 0.5D)"
+
+
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation; null instead of an error when either side is constant."""
     varies = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))

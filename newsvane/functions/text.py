@@ -21,16 +21,15 @@ def clean_text(text: Column) -> Column:
     return F.trim(letters)
 
 
-def tokenize(text: Column, stopwords: Iterable[str] = ()) -> Column:
-    """Words of at least two letters that are no stop words, in order, duplicates kept."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z]+")
-    stop = sorted(set(stopwords))
+def tokenize(text: str, stopwords: Iterable[str] = ()) -> Column:
+    """Words of at least two letters that are no stop words, in order, duplicates kept.
 
-    def keep(word: Column) -> Column:
-        long_enough = F.length(word) > 1
-        return long_enough & ~word.isin(stop) if stop else long_enough
-
-    return F.filter(words, keep)
+    ``text`` is a column name. The stop words become one hashed set inside the plan.
+    """
+    words = f"split(lower(coalesce({text}, '')), '[^a-z]+')"
+    stop = ", ".join(f"'{word}'" for word in sorted(set(stopwords)))
+    unwanted = f" AND w NOT IN ({stop})" if stop else ""
+    return F.expr(f"filter({words}, w -> length(w) > 1{unwanted})")
 
 
 def tokens_to_text(tokens: Column) -> Column:
@@ -121,12 +120,10 @@ def clean_report(text: Column) -> Column:
     return cleaned
 
 
-def report_tokens(text: Column, stopwords: Iterable[str], dictionary: Mapping[str, str]) -> Column:
-    """Lower-case alphabetic lemmas of a report text without stop words."""
-    words = F.split(text, r"[^\p{L}\p{N}]+")
-    stop = sorted(set(stopwords))
-    kept = F.filter(words, lambda word: (word != "") & ~F.lower(word).isin(stop))
-    lemmas = F.transform(
-        kept, lambda word: F.coalesce(lookup(F.lower(word), dictionary), F.lower(word))
+def report_tokens(text: str, stopwords: Iterable[str], dictionary: Mapping[str, str]) -> Column:
+    """Lower-case alphabetic lemmas of a report text without stop words. ``text`` is a column name."""
+    stop = ", ".join(f"'{word}'" for word in sorted(set(stopwords)))
+    words = F.expr(
+        f"filter(split(lower({text}), '[^\\\\p{{L}}\\\\p{{N}}]+'), w -> w <> '' AND w NOT IN ({stop}))"
     )
-    return F.filter(lemmas, lambda word: word.rlike("^[a-z]+$"))
+    return F.filter(lemmatize(words, dictionary), lambda word: word.rlike("^[a-z]+$"))

@@ -9,22 +9,27 @@ from newsvane.functions.labels import opposite
 from newsvane.functions.numeric import from_micros, round_to, safe_corr, to_micros
 
 
-def pair_scorings(
-    left: DataFrame, right: DataFrame, key: str, names: tuple[str, str]
-) -> DataFrame:
-    """Two scorings (key, score, label), each first reduced to one row per key, side by side.
+def pair_tagged(scorings: DataFrame, key: str, tag: str, names: tuple[str, str]) -> DataFrame:
+    """Rows (key, tag, score, label) of two scorings, one row per key that has both.
 
-    Duplicates are reduced by an aggregate, so copies of one hot article never meet in a join.
+    One aggregate instead of a join: duplicates of a hot article collapse before the shuffle.
     """
-    sides = []
-    for side, name in zip((left, right), names):
-        one = side.groupBy(key).agg(F.min(F.struct("score", "label")).alias("s"))
-        sides.append(
-            one.select(
-                key, F.col("s.score").alias(f"{name}_score"), F.col("s.label").alias(f"{name}_label")
-            )
-        )
-    return sides[0].join(sides[1], key, "inner")
+    sides = [
+        F.expr(f"min(CASE WHEN {tag} = '{name}' THEN struct(score, label) END) AS {name}") for name in names
+    ]
+    both = scorings.groupBy(key).agg(*sides).where(" AND ".join(f"{name} IS NOT NULL" for name in names))
+    return both.selectExpr(
+        key, *[f"{name}.{part} AS {name}_{part}" for name in names for part in ("score", "label")]
+    )
+
+
+def pair_scorings(left: DataFrame, right: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
+    """Two scorings (key, score, label) kept in different tables, side by side."""
+    tagged = [
+        side.select(key, F.lit(name).alias("tag"), "score", "label")
+        for side, name in zip((left, right), names)
+    ]
+    return pair_tagged(tagged[0].unionByName(tagged[1]), key, "tag", names)
 
 
 def compare_pair(paired: DataFrame, names: tuple[str, str]) -> DataFrame:

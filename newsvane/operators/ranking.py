@@ -23,19 +23,22 @@ def top_n_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of every group, ranked from 1. ``order`` must be a total order.
 
-    Each group is first cut into ``salts`` slices ranked separately; only the first ``n`` rows of a
-    slice can be among the first ``n`` of the group, so the final ranking sees at most
-    ``salts * n`` rows per group whatever the group's size.
+    For a small ``n`` Spark itself cuts every group to ``n`` rows in each task before it shuffles.
+    For a large one the group is first cut into ``salts`` slices ranked separately; only the first
+    ``n`` rows of a slice can be among the first ``n`` of the group, so the final ranking sees at
+    most ``salts * n`` rows per group whatever the group's size.
     """
-    slice_of = F.pmod(F.xxhash64(*[F.col(c) for c in salt_on]), F.lit(salts))
-    in_slice = Window.partitionBy(*group, "__slice").orderBy(*order)
     in_group = Window.partitionBy(*group).orderBy(*order)
-    kept = (
-        df.withColumn("__slice", slice_of)
-        .withColumn("__pre", F.row_number().over(in_slice))
-        .where(F.col("__pre") <= n)
-        .drop("__pre", "__slice")
-    )
+    kept = df
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        slice_of = F.pmod(F.xxhash64(*[F.col(c) for c in salt_on]), F.lit(salts))
+        in_slice = Window.partitionBy(*group, "__slice").orderBy(*order)
+        kept = (
+            df.withColumn("__slice", slice_of)
+            .withColumn("__pre", F.row_number().over(in_slice))
+            .where(F.col("__pre") <= n)
+            .drop("__pre", "__slice")
+        )
     return kept.withColumn(rank_name, F.row_number().over(in_group)).where(F.col(rank_name) <= n)
 
 

@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from newsvane.config import Thresholds
 from newsvane.dictionaries import CONTRAST_WORD
 from newsvane.functions.labels import compound_label, polarity_label, subjectivity_label
-from newsvane.functions.numeric import from_micros, round_to, to_micros
+from newsvane.functions.numeric import micros_sql, round_sql, round_to
 
 # Fixed values of the valence rules (Hutto & Gilbert 2014).
-BOOSTER_DAMPING = (1.0, 0.95, 0.9)  # by distance to the lexicon word
+DISTANCES = (1, 2, 3)  # words looked at before a lexicon word
+BOOSTER_DAMPING = (1.0, 0.95, 0.9)  # by distance
 NEGATION_FACTOR = -0.74
 CONTRAST_BEFORE, CONTRAST_AFTER = 0.5, 1.5
 NORMALIZATION = 15.0
@@ -40,88 +41,73 @@ def _lexicon_hits(
     lexicon: DataFrame, modifiers: DataFrame,
 ) -> DataFrame:
     """One row per lexicon word in any of the token-list columns, plus one start row per list."""
-    lists = F.array(
-        *[
-            F.struct(
-                F.lit(slot).alias("slot"),
-                F.concat(
-                    F.array(F.lit(_START)),
-                    F.coalesce(F.col(column), F.array().cast("array<string>")),
-                ).alias("words"),
-            )
-            for slot, column in slots.items()
-        ]
+    empty = "CAST(array() AS array<string>)"
+    lists = ", ".join(
+        f"struct('{slot}' AS slot, concat(array('{_START}'), coalesce({column}, {empty})) AS words)"
+        for slot, column in slots.items()
     )
-    texts = df.select(*keys, F.explode_outer(lists).alias("t")).select(
-        *keys, F.col("t.slot").alias("slot"), F.col("t.words").alias("words"),
-        F.array_position("t.words", CONTRAST_WORD).alias("contrast"),
+    texts = df.selectExpr(*keys, f"explode_outer(array({lists})) AS t").selectExpr(
+        *keys, "t.slot", "t.words", f"array_position(t.words, '{CONTRAST_WORD}') AS contrast"
     )
-    words = texts.select(
-        *keys, "slot", "words", "contrast", F.posexplode_outer("words").alias("at", "w")
+    words = texts.selectExpr(
+        *keys, "slot", "words", "contrast", "posexplode_outer(words) AS (at, w)"
     )
-    spark = df.sparkSession
-    start = spark.sql(
+    start = df.sparkSession.sql(
         f"SELECT '{_START}' AS w, 0 AS valence_tenths, 0 AS polarity_milli,"
         " 0 AS subjectivity_milli, 0 AS is_hit"
     )
     entries = lexicon.withColumn("is_hit", F.lit(1)).unionByName(start)
-    hits = words.join(entries, "w", "inner")
-    for distance in (1, 2, 3):
-        before = F.when(F.col("at") > distance, F.get("words", F.col("at") - distance))
-        hits = hits.withColumn(f"before{distance}", before)
-    hits = hits.drop("words")
+    measures = ("valence_tenths", "polarity_milli", "subjectivity_milli", "is_hit")
+    hits = words.join(entries, "w", "inner").selectExpr(
+        *keys, "slot", "contrast", "at", *measures,
+        *[f"CASE WHEN at > {d} THEN words[at - {d}] END AS before{d}" for d in DISTANCES],
+    )
     # A lexicon word in front modifies nothing.
     usable = modifiers.join(lexicon.select("w"), "w", "left_anti")
-    for distance in (1, 2, 3):
-        near = usable.select(
-            F.col("w").alias(f"before{distance}"),
-            (F.col("booster_milli") / 1000.0).alias(f"boost{distance}"),
-            F.col("is_negation").alias(f"negated{distance}"),
-            (F.col("intensity_milli") / 1000.0).alias(f"intensity{distance}"),
+    for d in DISTANCES:
+        near = usable.selectExpr(
+            f"w AS before{d}", f"booster_milli / 1000D AS boost{d}", f"is_negation AS negated{d}",
+            f"intensity_milli / 1000D AS intensity{d}",
         )
-        hits = hits.join(near, f"before{distance}", "left")
+        hits = hits.join(near, f"before{d}", "left")
     return hits
 
 
 def _valence(hits: DataFrame) -> DataFrame:
-    hits = hits.withColumn("valence", F.col("valence_tenths") / 10.0)
-    for distance, damping in zip((1, 2, 3), BOOSTER_DAMPING):
-        boost = F.coalesce(F.col(f"boost{distance}") * damping, F.lit(0.0))
-        boosted = F.when(F.col("valence") < 0, F.col("valence") - boost).otherwise(
-            F.col("valence") + boost
-        )
-        hits = hits.withColumn("valence", boosted).withColumn(
-            "valence",
-            F.when(F.col(f"negated{distance}"), F.col("valence") * NEGATION_FACTOR).otherwise(
-                F.col("valence")
-            ),
+    """Boosters and negations in front, from the nearest to the farthest, then the contrast weight."""
+    hits = hits.selectExpr("*", "valence_tenths / 10D AS valence0")
+    for d, damping in zip(DISTANCES, BOOSTER_DAMPING):
+        before, boost = f"valence{d - 1}", f"coalesce(boost{d} * {damping}D, 0D)"
+        boosted = f"CASE WHEN {before} < 0 THEN {before} - {boost} ELSE {before} + {boost} END"
+        hits = hits.selectExpr("*", f"{boosted} AS boosted{d}").selectExpr(
+            "*", f"CASE WHEN negated{d} THEN boosted{d} * {NEGATION_FACTOR}D ELSE boosted{d} END AS valence{d}"
         )
     # `contrast` counts from 1 over a list that starts with the start word, as `at + 1` does.
     weight = (
-        F.when((F.col("contrast") == 0) | (F.col("at") + 1 == F.col("contrast")), 1.0)
-        .when(F.col("at") + 1 < F.col("contrast"), CONTRAST_BEFORE)
-        .otherwise(CONTRAST_AFTER)
+        "CASE WHEN contrast = 0 OR at + 1 = contrast THEN 1D"
+        f" WHEN at + 1 < contrast THEN {CONTRAST_BEFORE}D ELSE {CONTRAST_AFTER}D END"
     )
-    counted = F.when(F.col("is_hit") == 1, F.col("valence") * weight).otherwise(0.0)
-    return hits.withColumn("valence_micros", to_micros(counted))
+    counted = f"CASE WHEN is_hit = 1 THEN valence{DISTANCES[-1]} * {weight} ELSE 0D END"
+    return hits.selectExpr("*", f"{micros_sql(counted)} AS valence_micros")
 
 
 def _polarity(hits: DataFrame) -> DataFrame:
-    intensified = F.col("intensity1").isNotNull()
-    negated = F.coalesce("negated1", F.lit(False)) | (
-        intensified & F.coalesce("negated2", F.lit(False))
-    )
-    intensity = F.coalesce("intensity1", F.lit(1.0))
-    # Negation turns the intensifier round too: "not very good" is weaker than "not good".
-    factor = F.when(negated, F.lit(1.0) / intensity).otherwise(intensity)
-    hits = hits.withColumn("negated", negated).withColumn("factor", factor)
-    polarity = F.least(
-        F.greatest(F.col("polarity_milli") / 1000.0 * F.col("factor"), F.lit(-1.0)), F.lit(1.0)
-    )
-    polarity = F.when(F.col("negated"), polarity * POLARITY_NEGATION).otherwise(polarity)
-    subjectivity = F.least(F.col("subjectivity_milli") / 1000.0 * F.col("factor"), F.lit(1.0))
-    return hits.withColumn("polarity_micros", to_micros(polarity)).withColumn(
-        "subjectivity_micros", to_micros(subjectivity)
+    """An intensifier in front multiplies, a negation reverses and halves.
+
+    Negation turns the intensifier round too: "not very good" is weaker than "not good".
+    """
+    negated = "(coalesce(negated1, false) OR (intensity1 IS NOT NULL AND coalesce(negated2, false)))"
+    factor = "CASE WHEN negated THEN 1D / coalesce(intensity1, 1D) ELSE coalesce(intensity1, 1D) END"
+    polarity = "least(greatest(polarity_milli / 1000D * factor, -1D), 1D)"
+    reversed_ = f"CASE WHEN negated THEN {polarity} * {POLARITY_NEGATION}D ELSE {polarity} END"
+    return (
+        hits.selectExpr("*", f"{negated} AS negated")
+        .selectExpr("*", f"{factor} AS factor")
+        .selectExpr(
+            "*",
+            f"{micros_sql(reversed_)} AS polarity_micros",
+            f"{micros_sql('least(subjectivity_milli / 1000D * factor, 1D)')} AS subjectivity_micros",
+        )
     )
 
 
@@ -134,32 +120,23 @@ def lexicon_sums(
     ``slots`` maps a slot name to a token-list column. All slots are scored in one pass.
     """
     hits = _polarity(_valence(_lexicon_hits(df, keys, slots, lexicon, modifiers)))
-    sums = []
-    for slot in slots:
-        for measure in ("valence_micros", "polarity_micros", "subjectivity_micros", "is_hit"):
-            mine = F.when(F.col("slot") == slot, F.col(measure)).otherwise(F.lit(0))
-            sums.append(F.sum(mine.cast("bigint")).alias(f"{slot}__{measure}"))
+    sums = [
+        F.expr(f"sum(CASE WHEN slot = '{slot}' THEN {measure} ELSE 0 END) AS {slot}__{measure}")
+        for slot in slots
+        for measure in ("valence_micros", "polarity_micros", "subjectivity_micros", "is_hit")
+    ]
     return hits.groupBy(*keys).agg(*sums)
 
 
-def compound_of(valence_micros: Column) -> Column:
-    total = from_micros(valence_micros)
-    squashed = total / F.sqrt(total * total + F.lit(NORMALIZATION))
-    return round_to(squashed, 4)
-
-
-def mean_of(micros: Column, hits: Column) -> Column:
-    return F.when(hits == 0, 0.0).otherwise(from_micros(micros / hits))
+def slot_scores(slot: str) -> dict[str, str]:
+    """The three scores of a slot, as expressions over its sums."""
+    total, hits = f"({slot}__valence_micros / 1e6D)", f"{slot}__is_hit"
+    squashed = f"{total} / sqrt({total} * {total} + {NORMALIZATION}D)"
 
+    def mean(measure: str) -> str:
+        return f"CASE WHEN {hits} = 0 THEN 0D ELSE {slot}__{measure}_micros / {hits} / 1e6D END"
 
-def slot_scores(slot: str) -> dict[str, Column]:
-    """The three scores of a slot from its sums."""
-    hits = F.col(f"{slot}__is_hit")
-    return {
-        "tb_pol": mean_of(F.col(f"{slot}__polarity_micros"), hits),
-        "tb_sub": mean_of(F.col(f"{slot}__subjectivity_micros"), hits),
-        "vd_comp": compound_of(F.col(f"{slot}__valence_micros")),
-    }
+    return {"tb_pol": mean("polarity"), "tb_sub": mean("subjectivity"), "vd_comp": round_sql(squashed, 4)}
 
 
 def slot_name(field: str, variant: str) -> str:
@@ -172,11 +149,11 @@ def score_texts(
     """Compound, polarity and subjectivity of one token-list column."""
     sums = lexicon_sums(df, keys, {"text": tokens}, lexicon, modifiers)
     scores = slot_scores("text")
-    return sums.select(
+    return sums.selectExpr(
         *keys,
-        scores["vd_comp"].alias("compound"),
-        scores["tb_pol"].alias("polarity"),
-        scores["tb_sub"].alias("subjectivity"),
+        f"{scores['vd_comp']} AS compound",
+        f"{scores['tb_pol']} AS polarity",
+        f"{scores['tb_sub']} AS subjectivity",
     )
 
 
@@ -195,10 +172,10 @@ def sentiment_matrix(
     """
     slots = {slot_name(f, v): f"{f}_{v}s" for f in FIELDS for v in VARIANTS}
     sums = lexicon_sums(nlp, keys, slots, lexicon, modifiers)
-    scored = sums.select(
+    scored = sums.selectExpr(
         *keys,
         *[
-            score.alias(f"{scorer}_{slot}")
+            f"{score} AS {scorer}_{slot}"
             for slot in slots
             for scorer, score in slot_scores(slot).items()
         ],
@@ -214,19 +191,14 @@ def sentiment_matrix(
 
 def scores_long(matrix: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The wide table as rows (key, field, variant, scorer, score, label)."""
-    rows = [
-        F.struct(
-            F.lit(field).alias("field"),
-            F.lit(variant).alias("variant"),
-            F.lit(scorer).alias("scorer"),
-            F.col(f"{scorer}_{slot_name(field, variant)}").alias("score"),
-            F.col(f"{label}_{slot_name(field, variant)}").alias("label"),
-        )
+    rows = ", ".join(
+        f"struct('{field}' AS field, '{variant}' AS variant, '{scorer}' AS scorer,"
+        f" {scorer}_{slot_name(field, variant)} AS score, {label}_{slot_name(field, variant)} AS label)"
         for field in FIELDS
         for variant in VARIANTS
         for scorer, label in SCORERS.items()
-    ]
-    return matrix.select(*keys, F.inline(F.array(*rows)))
+    )
+    return matrix.selectExpr(*keys, f"inline(array({rows}))")
 
 
 def induce_lexicon(

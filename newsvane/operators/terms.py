@@ -63,20 +63,11 @@ def document_frequencies(
 
 
 def _counts_with_df(df: DataFrame, tokens: str) -> DataFrame:
-    """Occurrences and documents per term, from one pass over the lists."""
-
-    def tagged(words: Column, n: int, docs: int) -> Column:
-        return F.transform(
-            words,
-            lambda w: F.struct(
-                w.alias("term"), F.lit(n).cast("bigint").alias("n"), F.lit(docs).cast("bigint").alias("df")
-            ),
-        )
-
-    both = F.concat(tagged(F.col(tokens), 1, 0), tagged(F.array_distinct(tokens), 0, 1))
-    words = df.select(F.explode_outer(both).alias("t")).where(F.col("t").isNotNull())
-    return words.groupBy(F.col("t.term").alias("term")).agg(
-        F.sum("t.n").alias("n"), F.sum("t.df").alias("df")
+    """Occurrences and documents per term, from one pass: each list is read whole and made distinct."""
+    lists = df.selectExpr(f"posexplode_outer(array({tokens}, array_distinct({tokens}))) AS (kind, words)")
+    words = lists.selectExpr("kind", "explode_outer(words) AS term").where("term IS NOT NULL")
+    return words.groupBy("term").agg(
+        F.expr("count_if(kind = 0)").alias("n"), F.expr("count_if(kind = 1)").alias("df")
     )
 
 

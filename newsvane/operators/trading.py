@@ -6,79 +6,76 @@ next bar's price, and an order on the last bar never fills. All money is counted
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from newsvane.config import SignalSettings
-from newsvane.functions.numeric import from_micros, round_to, to_micros
-from newsvane.operators.ranking import groups_of_at_least
+from newsvane.functions.numeric import micros_sql, round_sql
 
-
-def _by_date() -> WindowSpec:
-    return Window.partitionBy("ticker").orderBy("trade_date")
+_BY_DATE = "(PARTITION BY ticker ORDER BY trade_date)"
+_SO_FAR = "(PARTITION BY ticker ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
 
 def position_state(signals: DataFrame) -> DataFrame:
     """Position wanted after each bar: the last signal that was not 0 decides."""
-    so_far = _by_date().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.last(F.when(F.col("signal") != 0, F.col("signal")), ignorenulls=True).over(so_far)
-    return signals.withColumn("position", F.when(last == 1, 1).otherwise(0))
+    last = f"last(CASE WHEN signal <> 0 THEN signal END, true) OVER {_SO_FAR}"
+    return signals.selectExpr("*", f"CASE WHEN {last} = 1 THEN 1 ELSE 0 END AS position")
 
 
 def _orders(signals: DataFrame, settings: SignalSettings) -> DataFrame:
-    """Every bar with the order placed on it (+1 buy, -1 sell, 0 none) and that order's fill."""
-    traded = groups_of_at_least(signals, "ticker", settings.min_bars)
-    states = position_state(traded)
-    previous = F.coalesce(F.lag("position").over(_by_date()), F.lit(0))
-    return states.select(
+    """Every bar with the order placed on it (+1 buy, -1 sell, 0 none) and that order's fill.
+
+    All windows share one partitioning, so the bars are shuffled once. Tickers with too few bars
+    are left out.
+    """
+    counted = signals.selectExpr("*", "count(*) OVER (PARTITION BY ticker) AS bars")
+    traded = counted.where(f"bars >= {settings.min_bars}").drop("bars")
+    return position_state(traded).selectExpr(
         "*",
-        (F.col("position") - previous).alias("order"),
-        F.lead("trade_date").over(_by_date()).alias("fill_date"),
-        F.lead("close_price").over(_by_date()).alias("fill_price"),
+        f"position - coalesce(lag(position) OVER {_BY_DATE}, 0) AS placed",
+        f"lead(trade_date) OVER {_BY_DATE} AS fill_date",
+        f"lead(close_price) OVER {_BY_DATE} AS fill_price",
     )
 
 
-def _fee_micros(price: Column, settings: SignalSettings) -> Column:
-    return to_micros(price * float(settings.lot_size) * settings.fee_rate)
+def _fee_micros(price: str, settings: SignalSettings) -> str:
+    return micros_sql(f"{price} * {float(settings.lot_size)}D * {settings.fee_rate}D")
 
 
 def trades(signals: DataFrame, settings: SignalSettings = SignalSettings()) -> DataFrame:
     """Filled orders, numbered per ticker."""
-    filled = _orders(signals, settings).where(
-        (F.col("order") != 0) & F.col("fill_date").isNotNull()
-    )
-    return filled.select(
+    filled = _orders(signals, settings).where("placed <> 0 AND fill_date IS NOT NULL")
+    return filled.selectExpr(
         "ticker",
-        F.row_number().over(Window.partitionBy("ticker").orderBy("trade_date")).alias("trade_no"),
-        F.col("trade_date").alias("signal_date"),
-        F.when(F.col("order") == 1, "buy").otherwise("sell").alias("side"),
+        f"row_number() OVER {_BY_DATE} AS trade_no",
+        "trade_date AS signal_date",
+        "CASE WHEN placed = 1 THEN 'buy' ELSE 'sell' END AS side",
         "fill_date",
         "fill_price",
-        F.lit(settings.lot_size).alias("quantity"),
-        from_micros(_fee_micros(F.col("fill_price"), settings)).alias("fee"),
+        f"{settings.lot_size} AS quantity",
+        f"{_fee_micros('fill_price', settings)} / 1e6D AS fee",
     )
 
 
 def trade_pnl(filled: DataFrame) -> DataFrame:
     """Round trips: every buy with the sell that closes it, if any."""
-    nxt = Window.partitionBy("ticker").orderBy("trade_no")
-    paired = filled.select(
+    paired = filled.selectExpr(
         "*",
-        F.lead("fill_date").over(nxt).alias("exit_date"),
-        F.lead("fill_price").over(nxt).alias("exit_price"),
-        F.lead("fee").over(nxt).alias("exit_fee"),
-    ).where(F.col("side") == "buy")
-    gross = (F.col("exit_price") - F.col("fill_price")) * F.col("quantity")
-    return paired.select(
+        *[
+            f"lead({c}) OVER (PARTITION BY ticker ORDER BY trade_no) AS exit_{n}"
+            for c, n in (("fill_date", "date"), ("fill_price", "price"), ("fee", "fee"))
+        ],
+    ).where("side = 'buy'")
+    gross = "(exit_price - fill_price) * quantity"
+    return paired.selectExpr(
         "ticker",
-        F.col("fill_date").alias("entry_date"),
-        F.col("fill_price").alias("entry_price"),
+        "fill_date AS entry_date",
+        "fill_price AS entry_price",
         "exit_date",
         "exit_price",
         "quantity",
-        round_to(gross, 6).alias("gross_pnl"),
-        round_to(gross - F.col("fee") - F.col("exit_fee"), 6).alias("net_pnl"),
-        F.col("exit_date").isNull().alias("is_open"),
+        f"{round_sql(gross, 6)} AS gross_pnl",
+        f"{round_sql(f'{gross} - fee - exit_fee', 6)} AS net_pnl",
+        "exit_date IS NULL AS is_open",
     )
 
 
@@ -88,58 +85,51 @@ def equity_curve(signals: DataFrame, settings: SignalSettings = SignalSettings()
     Each ticker contributes the day-to-day change of its own cash and holdings; summing the changes
     up to a day gives the portfolio without pairing every ticker with every day.
     """
-    bars = _orders(signals, settings)
-    order_before = F.lag("order").over(_by_date())
-    price = to_micros(F.col("close_price"))
-    moved = bars.select(
+    lot = settings.lot_size
+    moved = _orders(signals, settings).selectExpr(
         "ticker",
         "trade_date",
-        price.alias("price"),
-        F.coalesce(order_before, F.lit(0)).alias("filled"),
-        _fee_micros(F.col("close_price"), settings).alias("fee"),
+        f"{micros_sql('close_price')} AS price",
+        f"coalesce(lag(placed) OVER {_BY_DATE}, 0) AS filled",
+        f"{_fee_micros('close_price', settings)} AS fee",
     )
-    so_far = _by_date().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lot = settings.lot_size
-    held = moved.select(
+    held = moved.selectExpr(
         "*",
-        (F.sum("filled").over(so_far) * lot).alias("shares"),
-        (-F.col("filled") * F.col("price") * lot - F.abs("filled") * F.col("fee")).alias("cash_move"),
-    )
-    worth = held.withColumn("worth", F.col("shares") * F.col("price"))
-    moves = worth.withColumn(
-        "worth_move", F.col("worth") - F.coalesce(F.lag("worth").over(_by_date()), F.lit(0))
+        f"sum(filled) OVER {_SO_FAR} * {lot} * price AS worth",
+        f"-filled * price * {lot} - abs(filled) * fee AS cash_move",
     )
-    daily = moves.groupBy("trade_date").agg(
-        F.sum("cash_move").alias("cash_move"),
-        F.sum("worth_move").alias("worth_move"),
-        F.sum("filled").alias("opened"),
+    daily = (
+        held.selectExpr("*", f"worth - coalesce(lag(worth) OVER {_BY_DATE}, 0) AS worth_move")
+        .groupBy("trade_date")
+        .agg({"cash_move": "sum", "worth_move": "sum", "filled": "sum"})
     )
     # One row per day: the whole table is as long as the calendar.
-    days = Window.orderBy("trade_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    start = F.lit(int(settings.initial_cash * 1_000_000))
-    return daily.select(
+    days = "(ORDER BY trade_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    start = int(settings.initial_cash * 1_000_000)
+    return daily.selectExpr(
         "trade_date",
-        F.sum("opened").over(days).alias("open_positions"),
-        (start + F.sum("cash_move").over(days)).alias("cash_micros"),
-        F.sum("worth_move").over(days).alias("worth_micros"),
-    ).select(
+        f"sum(`sum(filled)`) OVER {days} AS open_positions",
+        f"{start} + sum(`sum(cash_move)`) OVER {days} AS cash",
+        f"sum(`sum(worth_move)`) OVER {days} AS worth",
+    ).selectExpr(
         "trade_date",
         "open_positions",
-        from_micros(F.col("cash_micros")).alias("cash"),
-        from_micros(F.col("worth_micros")).alias("holdings"),
-        from_micros(F.col("cash_micros") + F.col("worth_micros")).alias("equity"),
+        "cash / 1e6D AS cash",
+        "worth / 1e6D AS holdings",
+        "(cash + worth) / 1e6D AS equity",
     )
 
 
 def backtest_summary(curve: DataFrame, settings: SignalSettings = SignalSettings()) -> DataFrame:
     """One row: final value, profit, profit in percent, and the least cash ever held."""
-    final = F.max_by("equity", "trade_date")
-    start = settings.initial_cash
-    return curve.agg(
-        F.lit(start).alias("initial_cash"),
-        final.alias("final_value"),
-        round_to(final - start, 6).alias("pnl"),
-        round_to((final - start) / start * 100.0, 4).alias("pnl_pct"),
-        F.min("cash").alias("min_cash"),
-        F.count("*").alias("days"),
+    start = f"{settings.initial_cash}D"
+    final = "max_by(equity, trade_date)"
+    totals = curve.selectExpr(f"{final} AS final_value", "min(cash) AS min_cash", "count(*) AS days")
+    return totals.selectExpr(
+        f"{start} AS initial_cash",
+        "final_value",
+        f"{round_sql(f'final_value - {start}', 6)} AS pnl",
+        f"{round_sql(f'(final_value - {start}) / {start} * 100D', 4)} AS pnl_pct",
+        "min_cash",
+        "days",
     )

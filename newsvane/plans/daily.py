@@ -32,8 +32,8 @@ def analyse_news(news: DataFrame, stopwords: Iterable[str], lemmas: Mapping[str,
     """Token and lemma lists of title and summary; both lists of a field are equally long."""
     tokenized = news.select(
         "*",
-        tokenize(F.col("title"), stopwords).alias("title_tokens"),
-        tokenize(F.col("summary"), stopwords).alias("summary_tokens"),
+        tokenize("title", stopwords).alias("title_tokens"),
+        tokenize("summary", stopwords).alias("summary_tokens"),
     )
     return tokenized.select(
         "ticker", "id", "published_at", "title", "summary",
@@ -127,7 +127,7 @@ def topic_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> DataFram
 def report_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> DataFrame:
     """What the word clouds show, per ticker, and where the day's artefacts are kept."""
     titled = spark.read.table(cfg.table(TOPICS_TABLE)).where(F.col("title").isNotNull())
-    words = titled.select("ticker", tokenize(F.col("title"), dic.STOPWORDS).alias("tokens"))
+    words = titled.select("ticker", tokenize("title", dic.STOPWORDS).alias("tokens"))
     top = terms.top_terms_per_group(words, F.col("tokens"), 100, "ticker")
     tables.write_day(top, cfg.table(TERMS_TABLE), run_date, cfg.table_format)
     manifest = news_ops.artifact_manifest(topics.topic_counts(titled, cfg.topics), run_date, cfg.report_root)

@@ -301,9 +301,9 @@ def report_line_clean(spark, sf):
 
 @query
 def report_tokens(spark, sf):
-    cleaned = text.clean_report(F.col("report"))
-    tokens = text.report_tokens(cleaned, dic.STOPWORDS, dic.LEMMAS)
-    return _report(spark, sf).select("doc_id", F.array_join(tokens, " ").alias("tokens"))
+    cleaned = _report(spark, sf).select("doc_id", text.clean_report(F.col("report")).alias("clean"))
+    tokens = text.report_tokens("clean", dic.STOPWORDS, dic.LEMMAS)
+    return cleaned.select("doc_id", F.array_join(tokens, " ").alias("tokens"))
 
 
 # --- sentiment -----------------------------------------------------------------------------------
@@ -350,11 +350,8 @@ VARIANT_NAMES, SCORER_NAMES = ("token", "lemma"), ("polarity", "compound")
 
 
 def _compared_variants(spark, sf):
-    long = sentiment.scores_long(_matrix(spark, sf), ["id"]).where(
-        (F.col("field") == "title") & (F.col("scorer") == "vd_comp")
-    )
-    sides = [long.where(F.col("variant") == v).select("id", "score", "label") for v in VARIANT_NAMES]
-    return compare.compare_pair(compare.pair_scorings(*sides, "id", VARIANT_NAMES), VARIANT_NAMES)
+    long = sentiment.scores_long(_matrix(spark, sf), ["id"]).where("field = 'title' AND scorer = 'vd_comp'")
+    return compare.compare_pair(compare.pair_tagged(long, "id", "variant", VARIANT_NAMES), VARIANT_NAMES)
 
 
 def _compared_scorers(spark, sf):

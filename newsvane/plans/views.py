@@ -58,8 +58,8 @@ def tokenized_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News with the token lists of both fields."""
     return news(spark, sf_dir).select(
         "*",
-        tokenize(F.col("title"), STOPWORDS).alias("title_tokens"),
-        tokenize(F.col("summary"), STOPWORDS).alias("summary_tokens"),
+        tokenize("title", STOPWORDS).alias("title_tokens"),
+        tokenize("summary", STOPWORDS).alias("summary_tokens"),
     )
 
 

@@ -16,13 +16,13 @@ def test_clean_text(rows):
 
 def test_tokenize_drops_short_and_stop_words_and_keeps_order(rows):
     df = rows([("Q3 EPS's UP 5%  now eps",), (None,), ("",), ("123 !!",), ("the of",)], "t string")
-    assert one(df, text.tokenize(F.col("t"), STOPWORDS)) == [["eps", "eps"], [], [], [], []]
-    assert one(df, text.tokenize(F.col("t"))) == [["eps", "up", "now", "eps"], [], [], [], ["the", "of"]]
+    assert one(df, text.tokenize("t", STOPWORDS)) == [["eps", "eps"], [], [], [], []]
+    assert one(df, text.tokenize("t")) == [["eps", "up", "now", "eps"], [], [], [], ["the", "of"]]
 
 
 def test_tokens_and_lemmas_pair_up(rows):
     df = rows([("shares were rising",)], "t string")
-    tokens = text.tokenize(F.col("t"), STOPWORDS)
+    tokens = text.tokenize("t", STOPWORDS)
     assert one(df, tokens) == [["shares", "rising"]]
     assert one(df, text.lemmatize(tokens, LEMMAS)) == [["share", "rise"]]
 
@@ -73,4 +73,4 @@ def test_clean_report(rows, raw, cleaned):
 
 def test_report_tokens(rows):
     df = rows([("The Shares rose 5% -- café q3",)], "t string")
-    assert one(df, text.report_tokens(F.col("t"), STOPWORDS, LEMMAS)) == [["share", "rise"]]
+    assert one(df, text.report_tokens("t", STOPWORDS, LEMMAS)) == [["share", "rise"]]
