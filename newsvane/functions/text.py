@@ -70,15 +70,6 @@ def lemmatize(tokens: Column, dictionary: Mapping[str, str]) -> Column:
     return F.transform(tokens, lambda word: F.coalesce(lookup(word, dictionary), word))
 
 
-def bigrams(tokens: Column) -> Column:
-    """Neighbouring word pairs of one list, blank-joined."""
-    pairs = F.arrays_zip(
-        F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))).alias("a"),
-        F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))).alias("b"),
-    )
-    return F.transform(pairs, lambda p: F.concat_ws(" ", p["a"], p["b"]))
-
-
 # What is dropped from or decoded in an HTML text.
 HTML_DROPPED = r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->"
 HTML_TAG = r"(?s)<[^>]+>"

@@ -84,17 +84,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def first_per_text(df: DataFrame, text: str, id_column: str) -> DataFrame:
-    """One row per distinct text: the one with the smallest id, and the number of its copies."""
+    """One row per distinct text: the one with the smallest id, and the number of its copies.
+
+    Texts are compared by a 256-bit digest, so neither sorting nor shuffling touches them; the
+    result carries every column but the text.
+    """
     rest = [c for c in df.columns if c not in (text, id_column)]
-    kept = df.groupBy(text).agg(
+    kept = df.groupBy(F.sha2(F.col(text), 256).alias("__digest")).agg(
         F.min(F.struct(id_column, *rest)).alias("__row"), F.count("*").alias("copies")
     )
-    return kept.select(
-        F.col("__row")[id_column].alias(id_column),
-        F.col(text),
-        *[F.col("__row")[c].alias(c) for c in rest],
-        "copies",
-    )
+    return kept.selectExpr(*[f"__row.{c} AS {c}" for c in (id_column, *rest)], "copies")
 
 
 def groups_of_at_least(df: DataFrame, group: str, minimum: int) -> DataFrame:

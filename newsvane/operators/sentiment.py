@@ -208,19 +208,15 @@ def induce_lexicon(
     labelled = docs.where(F.col(label).isNotNull())
     words = labelled.select(label, F.explode_outer(F.array_distinct(tokens)).alias("w"))
     is_one, is_zero = (F.col(label) == 1).cast("bigint"), (F.col(label) == 0).cast("bigint")
-    totals = labelled.agg(
-        F.sum(is_one).alias("docs_one"), F.sum(is_zero).alias("docs_zero")
-    )
+    totals = labelled.agg(F.struct(F.sum(is_one).alias("one"), F.sum(is_zero).alias("zero"))).scalar()
     counts = (
         words.where(F.col("w").isNotNull())
         .groupBy("w")
         .agg(F.sum(is_one).alias("in_one"), F.sum(is_zero).alias("in_zero"))
         .where(F.col("in_one") + F.col("in_zero") >= min_documents)
     )
-    # The totals are one row; joining on a constant key is an ordinary equi-join.
-    joined = counts.withColumn("__k", F.lit(1)).join(
-        F.broadcast(totals.withColumn("__k", F.lit(1))), "__k"
+    odds_one = (F.col("in_one") + smoothing) / (F.col("docs")["one"] + 2 * smoothing)
+    odds_zero = (F.col("in_zero") + smoothing) / (F.col("docs")["zero"] + 2 * smoothing)
+    return counts.withColumn("docs", totals).select(
+        "w", "in_one", "in_zero", round_to(F.ln(odds_one / odds_zero), 6).alias("log_odds")
     )
-    odds_one = (F.col("in_one") + smoothing) / (F.col("docs_one") + 2 * smoothing)
-    odds_zero = (F.col("in_zero") + smoothing) / (F.col("docs_zero") + 2 * smoothing)
-    return joined.select("w", "in_one", "in_zero", round_to(F.ln(odds_one / odds_zero), 6).alias("log_odds"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsvane.functions.numeric import round_to
@@ -41,10 +41,13 @@ def top_terms_per_group(df: DataFrame, terms: Column, n: int, group: str) -> Dat
     )
 
 
-def _with_total(df: DataFrame, totals: DataFrame) -> DataFrame:
-    """Attach a one-row table by an equi-join on a constant."""
-    one = F.lit(1).alias("__one")
-    return df.select("*", one).join(F.broadcast(totals.select("*", one)), "__one").drop("__one")
+def top_bigrams_per_group(df: DataFrame, tokens: str, n: int, group: str) -> DataFrame:
+    """The most frequent pairs of neighbouring words per group, blank-joined."""
+    words = df.selectExpr(group, tokens, f"posexplode_outer({tokens}) AS (at, first)")
+    pairs = words.selectExpr(group, "first", f"get({tokens}, at + 1) AS second").where("second IS NOT NULL")
+    counts = pairs.groupBy(group, "first", "second").agg(F.count("*").alias("n"))
+    named = counts.selectExpr(group, "concat(first, ' ', second) AS term", "n")
+    return top_n_per_group(named, [group], [F.desc("n"), F.asc("term")], n, salt_on=["term"], salts=32)
 
 
 def document_frequencies(
@@ -56,9 +59,8 @@ def document_frequencies(
     distinct count is shuffled.
     """
     per_term = term_counts(df, F.array_distinct(tokens)).withColumnRenamed("n", "df")
-    counted = _with_total(
-        per_term.where(F.col("df") >= min_docs), df.agg(F.count("*").alias("documents"))
-    )
+    documents = df.agg(F.count("*")).scalar()
+    counted = per_term.where(F.col("df") >= min_docs).withColumn("documents", documents)
     return counted.where(F.col("df") <= max_share * F.col("documents"))
 
 
@@ -116,13 +118,12 @@ def term_lift(df: DataFrame, tokens: str, label: str, min_count: int = 5) -> Dat
     """Share of a term among a label's words relative to its share among all words."""
     labelled = df.where(F.col(label).isNotNull())
     pairs = term_counts(labelled, F.col(tokens), label).withColumnRenamed("n", "n_label_term")
-    # From here on one row per (label, term); the corpus is not read again.
-    by_term = pairs.groupBy("term").agg(F.sum("n_label_term").alias("n_term"))
+    # From here on one row per (label, term): a term has as many rows as there are labels.
+    by_term = pairs.withColumn("n_term", F.sum("n_label_term").over(Window.partitionBy("term")))
+    # One row per label.
     by_label = pairs.groupBy(label).agg(F.sum("n_label_term").alias("n_label"))
-    total = pairs.agg(F.sum("n_label_term").alias("n_all"))
-    joined = _with_total(
-        pairs.join(by_term.where(F.col("n_term") >= min_count), "term").join(by_label, label), total
-    )
+    by_label = by_label.withColumn("n_all", F.sum("n_label").over(Window.partitionBy()))
+    joined = by_term.where(F.col("n_term") >= min_count).join(by_label, label)
     share = F.col("n_label_term") / F.col("n_label")
     base = F.col("n_term") / F.col("n_all")
     return joined.select(label, "term", "n_label_term", "n_term", round_to(share / base, 6).alias("lift"))

@@ -24,12 +24,10 @@ def nearest_vectors(df: DataFrame, key: str, vector: str, query_key: int, n: int
 
     Entries are taken as fixed-point integers, so the dot products are exact.
     """
-    fixed = df.select(
-        key, F.transform(F.col(vector).cast("array<double>"), to_micros).alias("v"), F.lit(1).alias("__one")
-    )
-    # One row, by the key: safe to broadcast.
-    query = fixed.where(F.col(key) == query_key).select(F.col("v").alias("q"), "__one").limit(1)
-    paired = fixed.where(F.col(key) != query_key).join(F.broadcast(query), "__one")
+    fixed = df.select(key, F.transform(F.col(vector).cast("array<double>"), to_micros).alias("v"))
+    # The query is one vector, looked up once by its key.
+    query = fixed.where(F.col(key) == query_key).select("v").limit(1).scalar()
+    paired = fixed.where(F.col(key) != query_key).withColumn("q", query)
     norms = _dot(F.col("v"), F.col("v")).cast("double") * _dot(F.col("q"), F.col("q")).cast("double")
     cosine = F.try_divide(_dot(F.col("v"), F.col("q")).cast("double"), F.sqrt(norms))
     scored = paired.select(key, round_to(cosine, 6).alias("cosine"))

@@ -211,7 +211,7 @@ def distinct_tickers(spark, sf):
 @query
 def dedup_text(spark, sf):
     docs = views.news(spark, sf).select("id", "ticker", "summary")
-    return ranking.first_per_text(docs, "summary", "id").select("id", "ticker", "copies")
+    return ranking.first_per_text(docs, "summary", "id")
 
 
 @query
@@ -355,15 +355,14 @@ def _compared_variants(spark, sf):
 
 
 def _compared_scorers(spark, sf):
-    scored = _scored(spark, sf)
-    by_polarity = scored.select(
-        "id", F.col("polarity").alias("score"), labels.polarity_label(F.col("polarity")).alias("label")
-    )
-    by_compound = scored.select(
-        "id", F.col("compound").alias("score"), labels.compound_label(F.col("compound")).alias("label")
+    scored = _scored(spark, sf).select(
+        "id", "polarity", "compound",
+        labels.polarity_label(F.col("polarity")).alias("polarity_label"),
+        labels.compound_label(F.col("compound")).alias("compound_label"),
     )
-    paired = compare.pair_scorings(by_polarity, by_compound, "id", SCORER_NAMES)
-    return compare.compare_pair(paired, SCORER_NAMES)
+    sides = ", ".join(f"struct('{n}' AS scorer, {n} AS score, {n}_label AS label)" for n in SCORER_NAMES)
+    tagged = scored.selectExpr("id", f"inline(array({sides}))")
+    return compare.compare_pair(compare.pair_tagged(tagged, "id", "scorer", SCORER_NAMES), SCORER_NAMES)
 
 
 @query
@@ -487,8 +486,7 @@ def term_topn_per_ticker(spark, sf):
 
 @query
 def bigram_topn(spark, sf):
-    pairs = text.bigrams(F.col("summary_tokens"))
-    return terms.top_terms_per_group(views.tokenized_news(spark, sf), pairs, 100, "ticker")
+    return terms.top_bigrams_per_group(views.tokenized_news(spark, sf), "summary_tokens", 100, "ticker")
 
 
 @query

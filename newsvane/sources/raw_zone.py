@@ -38,14 +38,14 @@ def _with_ticker(df: DataFrame, columns: list[str]) -> DataFrame:
 def read_daily(spark: SparkSession, zone: str, kind: str, run_date: dt.date) -> DataFrame:
     """All files of one kind and day, `<zone>/<kind>/YYYY/MM/DD/<TICKER>.json`, each an array of records.
 
-    Such a file cannot be split, so one large file is one scan task. The rows are rebalanced after
-    the scan: the text work behind it then no longer depends on how large a ticker's file is.
+    Such a file cannot be split, so one large file is one scan task. The jobs shuffle the rows by
+    ticker and id before any work on the text, which then no longer depends on a file's size.
     """
     schema = SCHEMAS[kind]
     files = spark.read.schema(schema).option("multiLine", True).json(
         f"{zone}/{kind}/{run_date:%Y/%m/%d}/*.json"
     )
-    return _with_ticker(files, schema.names).hint("rebalance")
+    return _with_ticker(files, schema.names)
 
 
 def read_history(spark: SparkSession, path: str, kind: str) -> DataFrame:

@@ -1,11 +1,15 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from newsvane.operators import ranking, terms
 
 
-def test_top_n_per_group_with_a_hot_group(rows):
+@pytest.mark.parametrize("threshold", ["1000", "10"])
+def test_top_n_per_group_with_a_hot_group(spark, rows, threshold):
+    """Both ways: Spark's own cut for a small n, slices for an n above its threshold."""
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
     draw = random.Random(3)
     data = [("hot" if i % 3 else f"g{i % 7}", i, draw.randint(0, 50)) for i in range(3000)]
     df = rows(data, "g string, id bigint, v bigint")
@@ -15,6 +19,7 @@ def test_top_n_per_group_with_a_hot_group(rows):
         best = sorted((d for d in data if d[0] == g), key=lambda d: (-d[2], d[1]))[:25]
         expected += [(*d, i + 1) for i, d in enumerate(best)]
     assert sorted(tuple(r) for r in got.select("g", "id", "v", "rank").collect()) == sorted(expected)
+    spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
 
 
 def test_global_rank_numbers_every_row_once(rows):
@@ -38,7 +43,13 @@ def test_latest_per_key_keeps_the_later_run(rows):
 def test_first_per_text(rows):
     df = rows([(3, "x", "s"), (1, "x", "t"), (2, "y", "s")], "id bigint, text string, source string")
     got = ranking.first_per_text(df, "text", "id").orderBy("id").collect()
-    assert [tuple(r) for r in got] == [(1, "x", "t", 2), (2, "y", "s", 1)]
+    assert [tuple(r) for r in got] == [(1, "t", 2), (2, "s", 1)]
+
+
+def test_bigrams_do_not_cross_documents(rows):
+    df = rows([("A", ["a", "b", "a", "b"]), ("A", ["b"]), ("A", []), ("B", ["c", "a"])], "ticker string, tokens array<string>")
+    got = terms.top_bigrams_per_group(df, "tokens", 2, "ticker").collect()
+    assert sorted(tuple(r) for r in got) == [("A", "a b", 2, 1), ("A", "b a", 1, 2), ("B", "c a", 1, 1)]
 
 
 def test_group_gate(rows):

@@ -46,11 +46,6 @@ def test_combining_treats_a_missing_list_as_empty(rows):
     assert one(df, text.split_words(text.tokens_to_text(F.col("x")))) == [["a"], [], []]
 
 
-def test_bigrams(rows):
-    df = rows([(["a", "b", "a"],), (["a"],), ([],)], "x array<string>")
-    assert one(df, text.bigrams(F.col("x"))) == [["a b", "b a"], [], []]
-
-
 def test_html_to_text(rows):
     df = rows([("<p>A &amp; B</p><script>x</script>",), (None,), ("<!-- <b> -->x<br/>&lt;y&gt;",)], "h string")
     assert one(df, text.html_to_text(F.col("h"))) == ["A & B", "", "x<y>"]
