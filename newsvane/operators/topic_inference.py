@@ -17,55 +17,69 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MICROS = 1_000_000
 _INNER_STEPS, _INNER_TOLERANCE = 30, 1e-3
+_DOCUMENTS_AT_ONCE = 32
 
 
 def _digamma(x: np.ndarray) -> np.ndarray:
-    """Shift the argument above 6, then the asymptotic series."""
-    shift = np.zeros_like(x)
-    x = x.copy()
-    for _ in range(6):
-        low = x < 6
-        shift[low] -= 1.0 / x[low]
-        x[low] += 1.0
+    """Move the argument up by six, where the asymptotic series is exact to double precision."""
+    below = sum(1.0 / (x + i) for i in range(6))
+    x = x + 6.0
     inverse = 1.0 / (x * x)
-    series = inverse * (1 / 12 - inverse * (1 / 120 - inverse / 252))
-    return shift + np.log(x) - 0.5 / x - series
+    series = inverse * (1 / 12 - inverse * (1 / 120 - inverse * (1 / 252 - inverse / 240)))
+    return np.log(x) - 0.5 / x - series - below
 
 
 def _expected(dirichlet: np.ndarray) -> np.ndarray:
     return np.exp(_digamma(dirichlet) - _digamma(dirichlet.sum(axis=1, keepdims=True)))
 
 
-def _infer(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Mixtures of a block's documents: (document weights, terms, term statistics, beta)."""
-    k = int(row.k)
-    weights = np.empty((len(row.places), int(row.max_k)))
-    weights[np.asarray(row.places)] = np.asarray(row.weights, dtype=float).reshape(weights.shape)
-    beta = _expected(weights[:, :k].T)
-    lengths = np.asarray(row.lengths, dtype=np.int64)
-    documents, terms = np.repeat(np.arange(len(lengths)), lengths), np.asarray(row.terms, dtype=np.int64)
-    width = beta.shape[1]
+def _mixtures(
+    lengths: np.ndarray, terms: np.ndarray, beta: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document weights of a few documents, and every (document, term) pair's share of topics."""
+    k, width = beta.shape[1], beta.shape[0]
+    documents = np.repeat(np.arange(len(lengths)), lengths)
     pairs, counts = np.unique(documents * width + terms, return_counts=True)
     d, w = pairs // width, pairs % width
     alpha = 1.0 / k
-    gamma = np.full((len(lengths), k), alpha)
+    gamma = np.full((len(lengths), k), alpha) + lengths[:, None] / k
     if len(pairs) == 0:
-        return gamma, w, np.zeros((0, k)), beta
-    gamma += lengths[:, None] / k
+        return gamma, w, np.zeros((0, k))
     used, starts = np.unique(d, return_index=True)
-    by_term = beta.T[w]
+    by_term = beta[w]
     for _ in range(_INNER_STEPS):
         theta = _expected(gamma)
-        ratio = counts / np.maximum((theta[d] * by_term).sum(axis=1), 1e-100)
+        ratio = counts / np.maximum(np.einsum("ek,ek->e", theta[d], by_term), 1e-100)
         updated = gamma.copy()
         updated[used] = alpha + theta[used] * np.add.reduceat(by_term * ratio[:, None], starts)
         change = np.abs(updated - gamma).mean()
         gamma = updated
         if change < _INNER_TOLERANCE:
             break
-    theta = _expected(gamma)
-    ratio = counts / np.maximum((theta[d] * by_term).sum(axis=1), 1e-100)
-    return gamma, w, theta[d] * by_term * ratio[:, None], beta
+    shares = _expected(gamma)[d] * by_term
+    return gamma, w, shares * (counts / np.maximum(shares.sum(axis=1), 1e-100))[:, None]
+
+
+def _infer(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document weights of a block and its term statistics (terms, sums per topic).
+
+    A few documents at a time, so that the arrays of a step stay in the processor's cache.
+    """
+    k = int(row.k)
+    weights = np.empty((len(row.places), int(row.max_k)))
+    weights[np.asarray(row.places)] = np.asarray(row.weights, dtype=float).reshape(weights.shape)
+    beta = np.ascontiguousarray(_expected(weights[:, :k].T).T)
+    lengths, terms = np.asarray(row.lengths, dtype=np.int64), np.asarray(row.terms, dtype=np.int64)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    gammas, statistics = [], np.zeros_like(beta)
+    for first in range(0, len(lengths), _DOCUMENTS_AT_ONCE):
+        last = min(first + _DOCUMENTS_AT_ONCE, len(lengths))
+        gamma, w, shares = _mixtures(lengths[first:last], terms[ends[first]:ends[last]], beta)
+        gammas.append(gamma)
+        for j in range(k):
+            statistics[:, j] += np.bincount(w, weights=shares[:, j], minlength=len(beta))
+    seen = np.unique(terms)
+    return np.concatenate(gammas), seen, statistics[seen]
 
 
 def statistics_of(max_topics: int):
@@ -74,17 +88,13 @@ def statistics_of(max_topics: int):
     def statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                _, w, parts, beta = _infer(row)
-                if len(w) == 0:
+                _, terms, sums = _infer(row)
+                if len(terms) == 0:
                     continue
-                terms, place = np.unique(w, return_inverse=True)
                 out = {"ticker": row.ticker, "term_index": terms}
                 for j, name in enumerate(names):
-                    if j < parts.shape[1]:
-                        total = np.bincount(place, weights=parts[:, j], minlength=len(terms))
-                        out[name] = np.floor(total * MICROS + 0.5).astype(np.int64)
-                    else:
-                        out[name] = np.zeros(len(terms), dtype=np.int64)
+                    total = sums[:, j] if j < sums.shape[1] else np.zeros(len(terms))
+                    out[name] = np.floor(total * MICROS + 0.5).astype(np.int64)
                 yield pd.DataFrame(out)
 
     return statistics
@@ -93,6 +103,6 @@ def statistics_of(max_topics: int):
 def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for row in batch.itertuples(index=False):
-            gamma, _, _, _ = _infer(row)
+            gamma, _, _ = _infer(row)
             share = gamma / gamma.sum(axis=1, keepdims=True)
             yield pd.DataFrame({"ticker": row.ticker, "id": row.ids, "distribution": list(share)})

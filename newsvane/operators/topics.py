@@ -19,8 +19,8 @@ from newsvane.operators.terms import vocabulary_per_group
 from newsvane.operators.topic_inference import assign, statistics_of
 from newsvane.session import broadcast_if_small, cut_lineage
 
-BLOCK_DOCUMENTS = 512
-BLOCKS_PER_TASK, MAX_TASKS = 64, 50_000
+BLOCK_DOCUMENTS = 256
+BLOCKS_PER_TASK, MAX_TASKS = 128, 50_000
 
 
 def topic_count(documents: Column, settings: TopicSettings = TopicSettings()) -> Column:
@@ -57,7 +57,7 @@ def _blocks(docs: DataFrame, vocabulary: DataFrame, sizes: DataFrame) -> DataFra
     # A block is cheap to move and dear to work on, so tasks are counted by blocks, not by bytes.
     blocks = sizes.agg(F.sum(of_ticker)).first()[0] or 0
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    tasks = min(max(cores, blocks // BLOCKS_PER_TASK), MAX_TASKS)
+    tasks = min(max(min(blocks, 4 * cores), blocks // BLOCKS_PER_TASK, 1), MAX_TASKS)
     grouped = placed.repartition(tasks, "ticker", "block").groupBy("ticker", "k", "block").agg(
         F.array_sort(F.collect_list(F.struct("id", "terms"))).alias("docs")
     )
