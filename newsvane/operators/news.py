@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsvane.functions.numeric import from_micros, round_to, to_micros
+from newsvane.functions.text import html_to_text
 from newsvane.operators.ranking import latest_per_key
 
 ARTICLE_SCHEMA = (
@@ -102,6 +103,18 @@ def join_prices(news: DataFrame, prices: DataFrame) -> DataFrame:
     return news.join(prices, ["ticker", "trade_date"], "inner")
 
 
+def merge_articles(articles: DataFrame, prices: DataFrame) -> DataFrame:
+    """Exploded articles with their text freed of HTML and the bar of their own ticker and day."""
+    dated = articles.select(
+        "ticker", F.expr("try_to_date(left(published, 10))").alias("trade_date"), "uuid", "title",
+        html_to_text(F.col("summary")).alias("cleaned_text"),
+    )
+    bars = intraday_return(prices).select(
+        "ticker", "trade_date", "open_price", "close_price", "intraday_return"
+    )
+    return join_prices(dated, bars)
+
+
 def market_mood(news: DataFrame, prices: DataFrame, score: str) -> DataFrame:
     """Every bar with the market-wide news score of its day.
 

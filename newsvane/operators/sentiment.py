@@ -201,6 +201,36 @@ def scores_long(matrix: DataFrame, keys: Sequence[str]) -> DataFrame:
     return matrix.selectExpr(*keys, f"inline(array({rows}))")
 
 
+# The narrow tables of one scorer: its measures and the names they go by there.
+NARROW = {
+    "compound": {"vd_comp": ("vader_score", "vader_sentiment")},
+    "polarity": {
+        "tb_pol": ("polarity", "polarity_sentiment"),
+        "tb_sub": ("subjectivity", "subjectivity_sentiment"),
+    },
+}
+
+
+def narrow_scores(
+    nlp: DataFrame, keys: Sequence[str], variant: str, scorer: str, lexicon: DataFrame,
+    modifiers: DataFrame, cuts: Thresholds = Thresholds(),
+) -> DataFrame:
+    """One scorer over one kind of list: the scored texts, their scores and labels, per field.
+
+    ``variant`` is "token" or "lemma", ``scorer`` is "compound" or "polarity".
+    """
+    slots = {field: f"{field}_{variant}s" for field in FIELDS}
+    sums = lexicon_sums(nlp, keys, slots, lexicon, modifiers)
+    columns = []
+    for field in FIELDS:
+        for measure, (score_name, label_name) in NARROW[scorer].items():
+            score = F.expr(slot_scores(field)[measure])
+            columns.append(score.alias(f"{field}_{score_name}"))
+            columns.append(label_for(measure, score, cuts).alias(f"{field}_{label_name}"))
+    texts = nlp.select(*keys, *[F.concat_ws(" ", slots[f]).alias(f"{f}_text") for f in FIELDS])
+    return texts.join(sums.select(*keys, *columns), list(keys))
+
+
 def induce_lexicon(
     docs: DataFrame, tokens: str, label: str, min_documents: int = 5, smoothing: float = 1.0
 ) -> DataFrame:

@@ -23,6 +23,22 @@ def tokens_long(df: DataFrame, tokens: str, *keep: str) -> DataFrame:
     return long.where(F.col("token").isNotNull())
 
 
+def lemmatize_by_join(
+    df: DataFrame, keys: Sequence[str], tokens: str, dictionary: DataFrame
+) -> DataFrame:
+    """Lemma lists from a dictionary table (token, lemma) of any size, one row per key.
+
+    For a dictionary that fits into a plan, `functions.text.lemmatize` gives the same lists without
+    shuffling the tokens. Here a list is gathered again per key, so it is bounded by one text.
+    """
+    words = df.selectExpr(*keys, f"posexplode_outer({tokens}) AS (pos, token)")
+    lemmas = words.join(dictionary, "token", "left").selectExpr(
+        *keys, "CASE WHEN pos IS NOT NULL THEN struct(pos, coalesce(lemma, token) AS lemma) END AS entry"
+    )
+    gathered = lemmas.groupBy(*keys).agg(F.array_sort(F.collect_list("entry")).alias("entries"))
+    return gathered.selectExpr(*keys, "transform(entries, e -> e.lemma) AS lemmas")
+
+
 def term_counts(df: DataFrame, terms: Column, *group: str) -> DataFrame:
     return explode_terms(df, terms, *group).groupBy(*group, "term").agg(F.count("*").alias("n"))
 

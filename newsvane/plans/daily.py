@@ -2,6 +2,7 @@
 
     news, market -> sentiment -> signals -> backtest
     news -> topics -> report
+    sentiment -> comparison, prediction (run by hand, not daily)
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from newsvane import dictionaries as dic
 from newsvane.config import Settings
 from newsvane.functions.text import combine_tokens, lemmatize, tokenize
+from newsvane.operators import compare, models
 from newsvane.operators import news as news_ops
 from newsvane.operators import sentiment, signals, terms, topics, trading
 from newsvane.operators.ranking import latest_per_key
@@ -23,6 +25,7 @@ from newsvane.sources import raw_zone, tables
 NEWS_TABLE, MARKET_TABLE, SCORES_TABLE = "daily_news_nlp", "daily_market_prices", "comprehensive_sentiment_scores"
 SIGNALS_TABLE, TOPICS_TABLE = "trading_signals", "daily_news_topics"
 TERMS_TABLE, MANIFEST_TABLE = "report_terms", "report_manifest"
+COMPARISON_TABLE, PREDICTIONS_TABLE = "sentiment_comparison", "news_score_predictions"
 TRADES_TABLE, EQUITY_TABLE = "backtest_trades", "backtest_equity"
 
 NLP_COLUMNS = ("title_tokens", "title_lemmas", "summary_tokens", "summary_lemmas")
@@ -135,6 +138,45 @@ def report_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> DataFra
     return tables.read_day(spark, cfg.table(MANIFEST_TABLE), run_date)
 
 
+def comparison_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> DataFrame:
+    """Both scorers on the summaries, article by article, and the one-row report of their agreement."""
+    names = ("polarity", "compound")
+    scores = spark.read.table(cfg.table(SCORES_TABLE))
+    sides = ", ".join(
+        f"struct('{name}' AS scorer, {score}_summary_token AS score, {label}_summary_token AS label)"
+        for name, score, label in (("polarity", "tb_pol", "tb_label"), ("compound", "vd_comp", "vd_label"))
+    )
+    # An article is one per ticker; the same number under two tickers is two articles.
+    tagged = scores.selectExpr("concat_ws('/', ticker, id) AS article", f"inline(array({sides}))")
+    compared = compare.compare_pair(compare.pair_tagged(tagged, "article", "scorer", names), names)
+    tables.replace_table(compared, cfg.table(COMPARISON_TABLE), cfg.table_format)
+    report = compare.agreement_report(spark.read.table(cfg.table(COMPARISON_TABLE)), names)
+    tables.export_csv(report, f"{cfg.report_root}/agreement_{run_date:%Y-%m-%d}", single_row=True)
+    return report
+
+
+def prediction_job(
+    spark: SparkSession, cfg: Settings, run_date: dt.date, model_path: str | None = None, **vector_options
+) -> DataFrame:
+    """Scores predicted from word vectors, next to the scores they were fitted on."""
+    targets = [f"{scorer}_{field}_token" for field in ("title", "summary") for scorer in ("tb_pol", "tb_sub")]
+    scores = news_ops.dedup_fetches(
+        spark.read.table(cfg.table(SCORES_TABLE)).select("ticker", "id", "run_date", *targets), "ticker", "id"
+    )
+    docs = _all_news(spark, cfg).select(
+        "ticker", "id", "published_at", "title",
+        combine_tokens(F.col("title_tokens"), F.col("summary_tokens")).alias("tokenized_text"),
+    )
+    rows = docs.join(scores.drop("run_date"), ["ticker", "id"])
+    fitted = models.fit_score_heads(spark, rows, "tokenized_text", targets, **vector_options)
+    if model_path:
+        fitted.write().overwrite().save(model_path)
+    tables.replace_table(
+        fitted.transform(rows).drop("features"), cfg.table(PREDICTIONS_TABLE), cfg.table_format
+    )
+    return spark.read.table(cfg.table(PREDICTIONS_TABLE))
+
+
 JOBS = (news_job, market_job, sentiment_job, signal_job, backtest_job, topic_job, report_job)
 
 

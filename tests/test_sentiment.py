@@ -127,6 +127,17 @@ def test_matrix_has_twelve_scores_and_labels_and_goes_long(rows, dictionaries):
     assert (picked["score"], picked["label"]) == (0.4404, "positive")
 
 
+def test_narrow_tables(rows, dictionaries):
+    nlp = rows([(1, ["good"], ["not", "bad"])], "id bigint, title_tokens array<string>, summary_tokens array<string>")
+    vader = sentiment.narrow_scores(nlp, ["id"], "token", "compound", *dictionaries).first()
+    assert (vader["title_text"], vader["title_vader_score"], vader["title_vader_sentiment"]) == ("good", 0.4404, "positive")
+    assert vader["summary_vader_sentiment"] == "positive"
+    blob = sentiment.narrow_scores(nlp, ["id"], "token", "polarity", *dictionaries).first()
+    assert (blob["summary_text"], blob["summary_polarity"], blob["title_subjectivity_sentiment"]) == (
+        "not bad", 0.35, "subjective",
+    )
+
+
 def test_induced_lexicon(rows):
     docs = rows(
         [(["a", "a", "b"], 1), (["a"], 1), (["b"], 0), (["c"], None)], "tokens array<string>, quality int"

@@ -74,6 +74,17 @@ def test_article_files(spark, tmp_path):
     assert [(r["ticker"], r["uuid"], r["title"]) for r in got] == [("AAPL", "u1", "T")]
 
 
+def test_articles_merge_with_prices(rows):
+    articles = rows(
+        [("A", "u1", "T", "<p>x &amp; y</p>", "2024-03-05T10:00:00Z"), ("A", "u2", "T", None, "2024-03-09T10:00:00Z")],
+        "ticker string, uuid string, title string, summary string, published string",
+    )
+    bars = rows([("A", DAY, 10.0, 11.0)], "ticker string, trade_date date, open_price double, close_price double")
+    assert [tuple(r) for r in news_ops.merge_articles(articles, bars).collect()] == [
+        ("A", DAY, "u1", "T", "x & y", 10.0, 11.0, 0.1)
+    ]
+
+
 def test_landing_round_trip_and_listing(spark, tmp_path, rows):
     zone = str(tmp_path / "zone")
     fetched = rows(
@@ -172,6 +183,16 @@ def test_all_jobs_of_two_days(spark, tmp_path, database):
     assert before["daily_news_topics"] == 16 and before["report_manifest"] == 2
     assert len(spark.read.table(f"{database}.comprehensive_sentiment_scores").columns) == 30
     assert results["backtest_job"].count() == 1
+    reports = str(tmp_path / "reports")
+    cfg = Settings(raw_zone=str(tmp_path), database=database, report_root=reports, topics=cfg.topics)
+    report = daily.comparison_job(spark, cfg, days[-1]).collect()
+    assert len(report) == 1 and 0 <= report[0]["agreement_pct"] <= 100
+    assert spark.read.option("header", True).csv(f"{reports}/agreement_*").count() == 1
+    predicted = daily.prediction_job(
+        spark, cfg, days[-1], model_path=str(tmp_path / "model"), size=4, min_count=1, iterations=1, partitions=1
+    )
+    assert predicted.count() == 16 and "pred_tb_pol_title_token" in predicted.columns
+    before = {t: spark.read.table(f"{database}.{t}").count() for t in tables.list_tables(spark, database)}
     daily.run_all(spark, cfg, days[-1])
     after = {t: spark.read.table(f"{database}.{t}").count() for t in tables.list_tables(spark, database)}
     assert after == before

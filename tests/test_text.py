@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from newsvane.dictionaries import LEMMAS, STOPWORDS
+from newsvane.dictionaries import LEMMAS, STOPWORDS, lemma_table
 from newsvane.functions import text
+from newsvane.operators import terms
 
 
 def one(df, column):
@@ -27,6 +28,14 @@ def test_tokens_and_lemmas_pair_up(rows):
     assert one(df, text.lemmatize(tokens, LEMMAS)) == [["share", "rise"]]
 
 
+def test_both_ways_to_lemmatize_agree(spark, rows):
+    texts = [(1, "shares were rising shares"), (2, ""), (3, "nothing known here"), (4, None)]
+    df = rows(texts, "id bigint, t string").select("id", text.tokenize("t", STOPWORDS).alias("tokens"))
+    joined = terms.lemmatize_by_join(df, ["id"], "tokens", lemma_table(spark))
+    inline = df.select("id", text.lemmatize(F.col("tokens"), LEMMAS).alias("lemmas"))
+    assert sorted(joined.collect()) == sorted(inline.collect())
+
+
 @pytest.mark.parametrize("size", [1, 2, 7, 5000])
 def test_lookup_finds_every_entry_of_any_dictionary(rows, size):
     dictionary = {f"w{i}": f"v{i}" for i in range(size)}
