@@ -73,42 +73,39 @@ def _lexicon_hits(
     return hits
 
 
-def _valence(hits: DataFrame) -> DataFrame:
-    """Boosters and negations in front, from the nearest to the farthest, then the contrast weight."""
-    hits = hits.selectExpr("*", "valence_tenths / 10D AS valence0")
+def _valence_steps() -> list[str]:
+    """Boosters and negations in front, from the nearest to the farthest, then the contrast weight.
+
+    Each step refers to the ones before it.
+    """
+    steps = ["valence_tenths / 10D AS valence0"]
     for d, damping in zip(DISTANCES, BOOSTER_DAMPING):
         before, boost = f"valence{d - 1}", f"coalesce(boost{d} * {damping}D, 0D)"
-        boosted = f"CASE WHEN {before} < 0 THEN {before} - {boost} ELSE {before} + {boost} END"
-        hits = hits.selectExpr("*", f"{boosted} AS boosted{d}").selectExpr(
-            "*", f"CASE WHEN negated{d} THEN boosted{d} * {NEGATION_FACTOR}D ELSE boosted{d} END AS valence{d}"
-        )
+        steps.append(f"CASE WHEN {before} < 0 THEN {before} - {boost} ELSE {before} + {boost} END AS boosted{d}")
+        steps.append(f"CASE WHEN negated{d} THEN boosted{d} * {NEGATION_FACTOR}D ELSE boosted{d} END AS valence{d}")
     # `contrast` counts from 1 over a list that starts with the start word, as `at + 1` does.
-    weight = (
+    steps.append(
         "CASE WHEN contrast = 0 OR at + 1 = contrast THEN 1D"
-        f" WHEN at + 1 < contrast THEN {CONTRAST_BEFORE}D ELSE {CONTRAST_AFTER}D END"
+        f" WHEN at + 1 < contrast THEN {CONTRAST_BEFORE}D ELSE {CONTRAST_AFTER}D END AS weight"
     )
-    counted = f"CASE WHEN is_hit = 1 THEN valence{DISTANCES[-1]} * {weight} ELSE 0D END"
-    return hits.selectExpr("*", f"{micros_sql(counted)} AS valence_micros")
+    counted = f"CASE WHEN is_hit = 1 THEN valence{DISTANCES[-1]} * weight ELSE 0D END"
+    return [*steps, f"{micros_sql(counted)} AS valence_micros"]
 
 
-def _polarity(hits: DataFrame) -> DataFrame:
+def _polarity_steps() -> list[str]:
     """An intensifier in front multiplies, a negation reverses and halves.
 
     Negation turns the intensifier round too: "not very good" is weaker than "not good".
     """
-    negated = "(coalesce(negated1, false) OR (intensity1 IS NOT NULL AND coalesce(negated2, false)))"
     factor = "CASE WHEN negated THEN 1D / coalesce(intensity1, 1D) ELSE coalesce(intensity1, 1D) END"
     polarity = "least(greatest(polarity_milli / 1000D * factor, -1D), 1D)"
     reversed_ = f"CASE WHEN negated THEN {polarity} * {POLARITY_NEGATION}D ELSE {polarity} END"
-    return (
-        hits.selectExpr("*", f"{negated} AS negated")
-        .selectExpr("*", f"{factor} AS factor")
-        .selectExpr(
-            "*",
-            f"{micros_sql(reversed_)} AS polarity_micros",
-            f"{micros_sql('least(subjectivity_milli / 1000D * factor, 1D)')} AS subjectivity_micros",
-        )
-    )
+    return [
+        "coalesce(negated1, false) OR (intensity1 IS NOT NULL AND coalesce(negated2, false)) AS negated",
+        f"{factor} AS factor",
+        f"{micros_sql(reversed_)} AS polarity_micros",
+        f"{micros_sql('least(subjectivity_milli / 1000D * factor, 1D)')} AS subjectivity_micros",
+    ]
 
 
 def lexicon_sums(
@@ -119,13 +116,14 @@ def lexicon_sums(
 
     ``slots`` maps a slot name to a token-list column. All slots are scored in one pass.
     """
-    hits = _polarity(_valence(_lexicon_hits(df, keys, slots, lexicon, modifiers)))
+    hits = _lexicon_hits(df, keys, slots, lexicon, modifiers)
+    valued = hits.selectExpr("*", *_valence_steps(), *_polarity_steps())
     sums = [
         F.expr(f"sum(CASE WHEN slot = '{slot}' THEN {measure} ELSE 0 END) AS {slot}__{measure}")
         for slot in slots
         for measure in ("valence_micros", "polarity_micros", "subjectivity_micros", "is_hit")
     ]
-    return hits.groupBy(*keys).agg(*sums)
+    return valued.groupBy(*keys).agg(*sums)
 
 
 def slot_scores(slot: str) -> dict[str, str]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsvane.config import SignalSettings
-from newsvane.functions.numeric import from_micros, round_to, to_micros
+from newsvane.functions.numeric import from_micros, micros_sql, round_sql, round_to, to_micros
 
 
 def daily_sentiment(scored: DataFrame, prices: DataFrame, score: str) -> DataFrame:
@@ -21,15 +21,12 @@ def daily_sentiment(scored: DataFrame, prices: DataFrame, score: str) -> DataFra
     The articles are summed before the join: the price table meets one row per ticker and day.
     """
     per_day = scored.groupBy("ticker", "trade_date").agg(
-        F.sum(to_micros(F.col(score))).alias("score_micros"), F.count("*").alias("news_count")
+        F.expr(f"sum({micros_sql(score)}) AS total"), F.count("*").alias("news_count")
     )
     bars = prices.select("ticker", "trade_date", "close_price")
-    return per_day.join(bars, ["ticker", "trade_date"], "inner").select(
-        "ticker",
-        "trade_date",
-        "close_price",
-        round_to(from_micros(F.col("score_micros") / F.col("news_count")), 6).alias("avg_score"),
-        "news_count",
+    return per_day.join(bars, ["ticker", "trade_date"], "inner").selectExpr(
+        "ticker", "trade_date", "close_price",
+        f"{round_sql('total / news_count / 1e6D', 6)} AS avg_score", "news_count",
     )
 
 
@@ -44,45 +41,34 @@ def market_daily_sentiment(daily: DataFrame) -> DataFrame:
     )
 
 
-def _sample_std_micros(n: Column, total: Column, squares: Column) -> Column:
-    """Sample deviation from integer sums; null for one row, exactly 0 for equal values."""
-    spread = n * squares - total * total
-    return F.when(n > 1, F.sqrt(spread / (n * (n - 1))))
-
-
 def rolling_statistics(
     daily: DataFrame, partition: Sequence[str] = ("ticker",), settings: SignalSettings = SignalSettings()
 ) -> DataFrame:
     """Moving average of the close and z-score of the sentiment over the last rows with news.
 
-    One window specification, so Spark sorts once and evaluates all sums in one pass.
+    One window specification, so Spark sorts once and evaluates all sums in one pass. The sample
+    deviation comes from integer sums: null for one row, exactly 0 for equal values.
     """
-    frame = (
-        Window.partitionBy(*partition)
-        .orderBy("trade_date")
-        .rowsBetween(-(settings.window_rows - 1), Window.currentRow)
-    )
-    score, close = to_micros(F.col("avg_score")), to_micros(F.col("close_price"))
-    sums = daily.select(
+    by = f"PARTITION BY {', '.join(partition)}" if partition else ""
+    last = settings.window_rows - 1
+    frame = f"({by} ORDER BY trade_date ROWS BETWEEN {last} PRECEDING AND CURRENT ROW)"
+    score, close = micros_sql("avg_score"), micros_sql("close_price")
+    sums = daily.selectExpr(
         "*",
-        F.count("*").over(frame).alias("__n"),
-        F.sum(close).over(frame).alias("__close"),
-        F.sum(score).over(frame).alias("__score"),
-        F.sum(score * score).over(frame).alias("__squares"),
-    )
-    n = F.col("__n")
-    deviation = _sample_std_micros(n, F.col("__score"), F.col("__squares"))
-    z = (to_micros(F.col("avg_score")) - F.col("__score") / n) / F.when(
-        F.col("__std") == 0, 1.0
-    ).otherwise(F.col("__std"))
-    return (
-        sums.withColumn("__std", deviation)
-        .withColumn("sma_20", round_to(from_micros(F.col("__close") / n), 6))
-        .withColumn("sentiment_mean_20", round_to(from_micros(F.col("__score") / n), 6))
-        .withColumn("sentiment_std_20", round_to(from_micros(F.col("__std")), 6))
-        .withColumn("sentiment_z_score", round_to(z, 6))
-        .drop("__n", "__close", "__score", "__squares", "__std")
+        f"count(*) OVER {frame} AS n_",
+        f"sum({close}) OVER {frame} AS close_",
+        f"sum({score}) OVER {frame} AS score_",
+        f"sum({score} * {score}) OVER {frame} AS squares_",
     )
+    z = f"({score} - score_ / n_) / CASE WHEN std_ = 0 THEN 1D ELSE std_ END"
+    return sums.selectExpr(
+        "*",
+        "CASE WHEN n_ > 1 THEN sqrt((n_ * squares_ - score_ * score_) / (n_ * (n_ - 1))) END AS std_",
+        f"{round_sql('close_ / n_ / 1e6D', 6)} AS sma_20",
+        f"{round_sql('score_ / n_ / 1e6D', 6)} AS sentiment_mean_20",
+        f"{round_sql('std_ / 1e6D', 6)} AS sentiment_std_20",
+        f"{round_sql(z, 6)} AS sentiment_z_score",
+    ).drop("n_", "close_", "score_", "squares_", "std_")
 
 
 def signal_column(settings: SignalSettings = SignalSettings()) -> Column:

@@ -40,12 +40,8 @@ def query(build: Query) -> Query:
     return build
 
 
-def _iso(column: str):
-    return F.date_format(column, "yyyy-MM-dd").alias(column)
-
-
 def _dates_as_text(df: DataFrame) -> DataFrame:
-    return df.select(*[_iso(c) if t == "date" else F.col(c) for c, t in df.dtypes])
+    return df.selectExpr(*[f"date_format({c}, 'yyyy-MM-dd') AS {c}" if t == "date" else c for c, t in df.dtypes])
 
 
 def _dictionaries(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
