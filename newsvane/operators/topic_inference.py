@@ -20,6 +20,21 @@ _INNER_STEPS, _INNER_TOLERANCE = 30, 1e-3
 _DOCUMENTS_AT_ONCE = 32
 
 
+def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Words of a block's documents as vocabulary indices; words outside the vocabulary are left out."""
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            known = [] if row.known is None else row.known
+            index = dict(zip(known, row.known_places)) if len(known) else {}
+            codes = np.array([index.get(word, -1) for word in row.words], dtype=np.int32)
+            documents = np.repeat(np.arange(len(row.lengths)), row.lengths)
+            kept = codes >= 0
+            lengths = np.bincount(documents[kept], minlength=len(row.lengths)).astype(np.int32)
+            yield pd.DataFrame(
+                {"ticker": [row.ticker], "k": [row.k], "ids": [row.ids], "lengths": [lengths], "terms": [codes[kept]]}
+            )
+
+
 def _digamma(x: np.ndarray) -> np.ndarray:
     """Move the argument up by six, where the asymptotic series is exact to double precision."""
     below = sum(1.0 / (x + i) for i in range(6))

@@ -16,7 +16,7 @@ from newsvane.config import TopicSettings
 from newsvane.functions.numeric import MICROS, round_to
 from newsvane.operators.ranking import top_n_per_group
 from newsvane.operators.terms import vocabulary_per_group
-from newsvane.operators.topic_inference import assign, statistics_of
+from newsvane.operators.topic_inference import assign, encode, statistics_of
 from newsvane.session import broadcast_if_small, cut_lineage
 
 BLOCK_DOCUMENTS = 256
@@ -41,17 +41,14 @@ def topic_counts(df: DataFrame, settings: TopicSettings = TopicSettings()) -> Da
     return large.withColumn("k", topic_count(F.col("documents"), settings))
 
 
-def _blocks(docs: DataFrame, vocabulary: DataFrame, sizes: DataFrame) -> DataFrame:
+def _blocks(docs: DataFrame, vocabulary: DataFrame, sizes: DataFrame, tickers: int) -> DataFrame:
     """Documents as lists of vocabulary indices, grouped into blocks of bounded size.
 
-    The document table is shuffled as integers, once per document and once per block; texts are not.
+    The token lists are shuffled once, whole; they are turned into indices inside the block, so no
+    row per token is ever sorted or moved.
     """
-    words = docs.select("ticker", "id", F.explode_outer("tokens").alias("term"))
-    index = broadcast_if_small(vocabulary.select("ticker", "term", "term_index"), vocabulary.count(), 64)
-    indexed = words.join(index, ["ticker", "term"], "left")
-    per_doc = indexed.groupBy("ticker", "id").agg(F.collect_list("term_index").alias("terms"))
     of_ticker = F.ceil(F.col("documents") / BLOCK_DOCUMENTS).cast("bigint")
-    placed = per_doc.join(broadcast_if_small(sizes, sizes.count(), 64), "ticker").withColumn(
+    placed = docs.join(broadcast_if_small(sizes, tickers, 64), "ticker").withColumn(
         "block", F.pmod(F.xxhash64("id"), of_ticker)
     )
     # A block is cheap to move and dear to work on, so tasks are counted by blocks, not by bytes.
@@ -59,14 +56,23 @@ def _blocks(docs: DataFrame, vocabulary: DataFrame, sizes: DataFrame) -> DataFra
     cores = docs.sparkSession.sparkContext.defaultParallelism
     tasks = min(max(min(blocks, 4 * cores), blocks // BLOCKS_PER_TASK, 1), MAX_TASKS)
     grouped = placed.repartition(tasks, "ticker", "block").groupBy("ticker", "k", "block").agg(
-        F.array_sort(F.collect_list(F.struct("id", "terms"))).alias("docs")
+        F.array_sort(F.collect_list(F.struct("id", "tokens"))).alias("docs")
     )
-    return grouped.select(
+    texts = grouped.selectExpr(
         "ticker",
         "k",
-        F.transform("docs", lambda d: d["id"]).alias("ids"),
-        F.transform("docs", lambda d: F.size(d["terms"])).alias("lengths"),
-        F.flatten(F.transform("docs", lambda d: d["terms"])).alias("terms"),
+        "transform(docs, d -> d.id) AS ids",
+        "transform(docs, d -> greatest(size(d.tokens), 0)) AS lengths",
+        "flatten(transform(docs, d -> coalesce(d.tokens, CAST(array() AS array<string>)))) AS words",
+    )
+    index = vocabulary.groupBy("ticker").agg(F.collect_list(F.struct("term_index", "term")).alias("entries"))
+    index = index.selectExpr(
+        "ticker", "transform(entries, e -> e.term_index) AS known_places", "transform(entries, e -> e.term) AS known"
+    )
+    row_bytes = 32 * max(1, vocabulary.count() // max(1, tickers))
+    joined = texts.join(broadcast_if_small(index, tickers, row_bytes), "ticker", "left")
+    return joined.mapInPandas(
+        encode, "ticker string, k int, ids array<bigint>, lengths array<int>, terms array<int>"
     )
 
 
@@ -174,9 +180,10 @@ def fit_topics(
     if words is None:
         words = vocabulary_per_group(kept, "tokens", "ticker", settings.vocabulary)
     words = cut_lineage(words)
-    blocks = cut_lineage(_blocks(kept, words, sizes))
+    tickers = sizes.count()
+    blocks = cut_lineage(_blocks(kept, words, sizes, tickers))
     weights = cut_lineage(_start_weights(words, settings))
-    model = TickerTopics(blocks, weights, words, sizes, sizes.count(), settings)
+    model = TickerTopics(blocks, weights, words, sizes, tickers, settings)
     for _ in range(settings.iterations):
         model = model.step()
     return model

@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from newsvane import session
 from newsvane.config import TopicSettings
-from newsvane.operators import models, topics, vectors
+from newsvane.operators import models, terms, topics, vectors
 
 
 def corpus(rows, hot=40):
@@ -56,6 +57,17 @@ def test_topics_separate_and_repeat(rows, monkeypatch):
     assert all(same[r["ticker"], r["id"]] == r["distribution"] for r in assigned)
 
 
+def test_results_do_not_depend_on_broadcasts(rows, monkeypatch):
+    """Above the size limit the joins are shuffled; nothing else changes."""
+    settings, docs = TopicSettings(max_topics=2, iterations=2), corpus(rows)
+    encoded = terms.encode_sequences(docs, "id", "tokens", 6).collect()
+    hinted = topics.fit_topics(docs, settings).assignments().collect()
+    monkeypatch.setattr(session, "BROADCAST_LIMIT_BYTES", 0)
+    assert sorted(terms.encode_sequences(docs, "id", "tokens", 6).collect()) == sorted(encoded)
+    shuffled = topics.fit_topics(docs, settings).assignments().collect()
+    assert sorted(shuffled, key=lambda r: r["id"]) == sorted(hinted, key=lambda r: r["id"])
+
+
 def test_argmax_takes_the_first_of_equals(rows):
     df = rows([([0.4, 0.4, 0.2],), ([0.1, 0.2, 0.7],)], "v array<double>")
     assert [r[0] for r in df.select(vectors.dominant_index(F.col("v"))).collect()] == [0, 2]
