@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsvane.llm import bpe, sharding, topk
-from newsvane.llm.common import table
+from newsvane.llm import bpe, language, sharding, topk, toxicity
+from newsvane.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -19,6 +19,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 4) != 2)
+    model = toxicity.train(docs, labels)
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -28,13 +36,22 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, "doc_id")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = language.train(docs.where(~held_out))
+    return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
     "op5_sharding": op5_sharding,
+    "op7_language": op7_language,
     "op10_topk": op10_topk,
 }
