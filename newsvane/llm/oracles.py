@@ -21,6 +21,35 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+DECONTAMINATE = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i : i + 12], ' ') AS win
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS i FROM b WHERE len(w) > 0)
+), lengths AS (SELECT DISTINCT n FROM windows
+), places AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, lengths WHERE len(w) >= n)
+), hits AS (SELECT DISTINCT doc_id, i, n, item_id FROM places JOIN windows USING (n, win)
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY 1
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY 1
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def _sharding() -> str:
     """Placement only: the table is filled turn by turn, which the tests repeat by brute force."""
     owners = ", ".join(map(str, sharding.fill_table(sharding.SHARDS)))
@@ -34,4 +63,4 @@ SELECT doc_id, slot, 'shard-' || lpad(CAST(owner[slot + 1] AS VARCHAR), 3, '0')
 
 
 def build() -> dict[str, str]:
-    return {"op5_sharding": _sharding(), "op10_topk": TOPK}
+    return {"op3_decontaminate": DECONTAMINATE, "op5_sharding": _sharding(), "op10_topk": TOPK}
