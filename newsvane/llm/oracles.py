@@ -50,6 +50,30 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+NEAR_DUP = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM d
+), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s
+), pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, a.n AS nu, b.n AS nv, count(*) AS n
+  FROM e a JOIN e b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (SELECT u, v FROM pairs WHERE 100 * n >= 85 * (nu + nv - n)
+), reach(doc_id, root) USING KEY (doc_id) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION
+  SELECT l.u, min(r.root) FROM reach r JOIN links l ON l.v = r.doc_id
+  JOIN recurring.reach AS now ON now.doc_id = l.u WHERE r.root < now.root GROUP BY l.u
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, root AS component_id, s.doc_id = root AS kept
+FROM s JOIN reach USING (doc_id)
+"""
+
+
 def _sharding() -> str:
     """Placement only: the table is filled turn by turn, which the tests repeat by brute force."""
     owners = ", ".join(map(str, sharding.fill_table(sharding.SHARDS)))
@@ -63,4 +87,4 @@ SELECT doc_id, slot, 'shard-' || lpad(CAST(owner[slot + 1] AS VARCHAR), 3, '0')
 
 
 def build() -> dict[str, str]:
-    return {"op3_decontaminate": DECONTAMINATE, "op5_sharding": _sharding(), "op10_topk": TOPK}
+    return {"op4_near_dup": NEAR_DUP, "op3_decontaminate": DECONTAMINATE, "op5_sharding": _sharding(), "op10_topk": TOPK}

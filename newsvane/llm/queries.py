@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsvane.llm import bpe, decontaminate, language, sharding, topk, toxicity
+from newsvane.llm import bpe, decontaminate, language, near_dup, sharding, topk, toxicity
 from newsvane.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -39,6 +39,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
     return sharding.place(docs, "doc_id")
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
     "op3_decontaminate": op3_decontaminate,
+    "op4_near_dup": op4_near_dup,
     "op5_sharding": op5_sharding,
     "op7_language": op7_language,
     "op10_topk": op10_topk,
