@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsvane.llm import bpe, decontaminate, language, near_dup, sharding, topk, toxicity
+from newsvane.llm import bpe, decontaminate, language, near_dup, repeats, sharding, topk, toxicity
 from newsvane.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -55,6 +55,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
@@ -67,5 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_dup": op4_near_dup,
     "op5_sharding": op5_sharding,
     "op7_language": op7_language,
+    "op8_repeats": op8_repeats,
     "op10_topk": op10_topk,
 }
