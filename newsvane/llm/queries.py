@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsvane.llm import bpe, decontaminate, language, near_dup, repeats, sharding, topk, toxicity
+from newsvane.llm import bpe, decontaminate, language, near_dup, private, repeats, sharding, topk, toxicity
 from newsvane.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -48,6 +48,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, "doc_id")
 
 
+def op6_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.find_private(table(spark, sf_dir, "documents"), private.train())
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 3) == 1
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_near_dup": op4_near_dup,
     "op5_sharding": op5_sharding,
+    "op6_private": op6_private,
     "op7_language": op7_language,
     "op8_repeats": op8_repeats,
     "op10_topk": op10_topk,
