@@ -1,11 +1,12 @@
 """Near-duplicate documents by HyperMinHash.
 
-1. A document's set of three-word shingles is hashed. A sketch has 256 buckets; a bucket keeps, for
+1. A document's set of word shingles is hashed. A sketch has 256 buckets; a bucket keeps, for
    the smallest hash that falls into it, the number of leading zeros and ten bits behind them.
    Sets of few shingles would leave buckets empty, so each shingle enters a sketch under as many
    salts as bring the entries to 2048 at least; that leaves the similarity of two sets unchanged.
 2. Documents with equal sets are one class, represented by the smallest id.
-3. The registers are cut into 36 bands of 7. Representatives that agree in a band share a bucket;
+3. The registers are cut into bands, of 7 for a similarity of 0.85 and of 6 for 0.8: as long as two
+   sets at the threshold miss each other in all bands less than once in 300 000 times. Representatives that agree in a band share a bucket;
    buckets with the same members are kept once.
 4. In a bucket, similarity is estimated from the share of equal registers, corrected for registers
    that agree by accident. Estimates far below the threshold are dropped; the rest connects
@@ -32,20 +33,14 @@ from newsvane.llm.common import map_texts, staged
 from newsvane.llm.components import components
 from newsvane.session import broadcast_if_small
 
-SHINGLE = 3
-# Linked if 100 * intersection >= 85 * union.
-PERCENT = 85
-BUCKETS, BAND = 256, 7
-BANDS = BUCKETS // BAND
+# Words of a shingle; linked if 100 * intersection >= percent * union.
+SHINGLE, PERCENT = 5, 80
+BUCKETS = 256
 MANTISSA = 10
 # Entries a sketch has at least; sets of at least so many shingles enter under one salt.
 ENTRIES_LOG2 = 11
-# Below this many shingles only equal sets reach the threshold.
-FEWEST = 6
 # Registers of different minima agree if zeros and mantissa do: the sum over z of 4**-z, times 2**-10.
 ACCIDENT = 2.0**-MANTISSA / 3
-# The threshold less five standard deviations of an estimate from 256 registers.
-ESTIMATE_LEAST = PERCENT / 100 - 5 * (0.85 * 0.15 / BUCKETS) ** 0.5
 BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 20
 # Cells of a matrix of sets by shingles at once.
 MATRIX_CELLS = 2_000_000
@@ -56,6 +51,23 @@ _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E377
 _BOUNDS = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(56)
 
 
+def fewest(percent: int) -> int:
+    """Below this many shingles only equal sets reach the threshold."""
+    return -(-percent // (100 - percent)) if percent < 100 else 1 << 30
+
+
+def band_length(percent: int) -> int:
+    """The longest band with which pairs at the threshold are hardly ever missed."""
+    alike = percent / 100
+    return max(r for r in range(1, 9) if r == 1 or (1 - alike**r) ** (BUCKETS // r) <= 3.3e-6)
+
+
+def least_estimate(percent: int) -> float:
+    """The threshold less five standard deviations of an estimate from all registers."""
+    alike = percent / 100
+    return alike - 5 * (alike * (1 - alike) / BUCKETS) ** 0.5
+
+
 def _mixed(z: np.ndarray) -> np.ndarray:
     """A well-mixed permutation of 64-bit numbers."""
     z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -66,7 +78,8 @@ def _mixed(z: np.ndarray) -> np.ndarray:
 class Shingler:
     """Texts to sorted distinct shingle hashes. Keeps the hashes of words it has seen."""
 
-    def __init__(self):
+    def __init__(self, size: int = SHINGLE):
+        self.size = size
         self.words: dict[bytes, int] = {}
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -81,10 +94,11 @@ class Shingler:
         hashes = np.array([known[w] for w in words], dtype=np.uint64)
         if not len(hashes):
             return hashes
-        size = min(SHINGLE, len(hashes))
+        size = min(self.size, len(hashes))
         total = np.full(len(hashes) - size + 1, size, dtype=np.uint64)
         for k in range(size):
-            total += hashes[k : len(hashes) - size + 1 + k] * _MULTIPLIERS[k]
+            # Odd multipliers, one per place, so that the order of the words counts.
+            total += hashes[k : len(hashes) - size + 1 + k] * (_MULTIPLIERS[k % 3] + np.uint64(2 * k))
         return np.unique(_mixed(total))
 
 
@@ -117,15 +131,16 @@ def estimate(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return (share - ACCIDENT) / (1 - ACCIDENT)
 
 
-def band_keys(registers: np.ndarray, level: int) -> np.ndarray:
-    padded = np.zeros((BANDS, 8), dtype=np.uint16)
-    padded[:, :BAND] = registers[: BANDS * BAND].reshape(BANDS, BAND)
+def band_keys(registers: np.ndarray, level: int, length: int) -> np.ndarray:
+    bands = BUCKETS // length
+    padded = np.zeros((bands, 8), dtype=np.uint16)
+    padded[:, :length] = registers[: bands * length].reshape(bands, length)
     parts = padded.view(np.uint64)
     number = np.arange(len(parts), dtype=np.uint64) + np.uint64(level << 16)
     return _mixed(_mixed(parts[:, 0] + number * _MULTIPLIERS[0]) + parts[:, 1] * _MULTIPLIERS[1]).view(np.int64)
 
 
-def _described(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _described(docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int) -> DataFrame:
     """(id, n, d1, d2, level, sketch): size, digest and sketches of every document's set.
 
     A set whose partners may enter under fewer salts has the sketch for those as well.
@@ -136,7 +151,8 @@ def _described(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     ]
 
     def factory():
-        shingler = Shingler()
+        shingler = Shingler(shingle)
+        least = fewest(percent)
 
         def work(texts):
             out = [[] for _ in fields]
@@ -146,8 +162,8 @@ def _described(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 digest = np.frombuffer(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), "<i8")
                 level = level_of(max(1, n))
                 sketches = b""
-                if n >= FEWEST:
-                    levels = {level, level_of(int(n * 100 / PERCENT))}
+                if n >= least:
+                    levels = {level, level_of(n * 100 // percent)}
                     sketches = b"".join(sketch(shingles, k).tobytes() for k in sorted(levels, reverse=True))
                 for column, value in zip(out, (n, int(digest[0]), int(digest[1]), level, sketches)):
                     column.append(value)
@@ -158,13 +174,13 @@ def _described(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return map_texts(docs, text, [doc_id], fields, factory).withColumnRenamed(doc_id, "id")
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bands(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     size = BUCKETS * 2
     for batch in batches:
         ids, keys, slots = [], [], []
         for i, level, data in zip(*(batch.column(c).to_pylist() for c in ("id", "level", "sketch"))):
             for k in range(len(data) // size):
-                made = band_keys(np.frombuffer(data, np.uint16, BUCKETS, k * size), level - k)
+                made = band_keys(np.frombuffer(data, np.uint16, BUCKETS, k * size), level - k, length)
                 keys.append(made)
                 ids.append(np.full(len(made), i))
                 slots.append(np.full(len(made), k, dtype=np.int32))
@@ -233,7 +249,7 @@ def _links(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _likely(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """Links of likely partners within each bucket, by the sketches of the bucket's level."""
     for group in _groups(batches, 2):
         ids = group.column("id").to_numpy()
@@ -246,13 +262,13 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rest = np.flatnonzero(~reached)
                 if not len(rest):
                     break
-                reached[rest] = estimate(registers[one], others[rest]) >= ESTIMATE_LEAST
+                reached[rest] = estimate(registers[one], others[rest]) >= least
             return reached
 
         yield _links(*_stars(ids, similar))
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Links within each candidate group, by full sets."""
     for group in _groups(batches, 2):
         ids = group.column("id").to_numpy()
@@ -287,34 +303,37 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         matrix[row, place[starts[one] : starts[one + 1]]] = 1
                     both = np.rint(flags @ matrix.T).astype(np.int64)
                     union = sizes[some][:, None] + sizes[rows][None, :] - both
-                    reached[part] = (100 * both >= PERCENT * union).any(0)
+                    reached[part] = (100 * both >= percent * union).any(0)
             return reached
 
         yield _links(*_stars(ids, similar))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
 
-    Words are what lies between ASCII blanks, A-Z in lower case; a document of fewer than three is
-    one shingle. Documents are linked if 100 * intersection >= 85 * union; ``component_id`` is the
+    Words are what lies between ASCII blanks, A-Z in lower case; a document of fewer than
+    ``shingle`` is one shingle. Documents are linked if 100 * intersection >= ``percent`` * union; ``component_id`` is the
     smallest id a document reaches over links, ``kept`` says that it is its own. Null, empty and
     blank texts have no shingles and are linked with nothing. Rows without an id are linked with
     nothing, have no component and are kept. Rows that share an id are one document to links: what
     is linked with one is linked with the other. Texts are read whole. Other columns are not read.
     """
-    described = staged(_described(docs, doc_id, text), "near-sketches")
+    length, least = band_length(percent), least_estimate(percent)
+    described = staged(_described(docs, doc_id, text, shingle, percent), "near-sketches")
     linkable = described.where((F.col("n") > 0) & F.col("id").isNotNull())
     classes = staged(linkable.groupBy("d1", "d2").agg(F.min("id").alias("class")), "near-classes")
     representatives = staged(
-        linkable.where(F.col("n") >= FEWEST)
+        linkable.where(F.col("n") >= fewest(percent))
         .join(classes.withColumnRenamed("class", "id"), ["d1", "d2", "id"])
         .dropDuplicates(["d1", "d2", "id"])
         .select("id", "n", "level", "sketch"),
         "near-representatives",
     )
     bands = staged(
-        representatives.select("id", "level", "sketch").mapInArrow(_bands, "key long, id long, slot int"), "near-bands"
+        representatives.select("id", "level", "sketch").mapInArrow(lambda b: _bands(b, length), "key long, id long, slot int"), "near-bands"
     )
     buckets = (
         bands.groupBy("key")
@@ -332,7 +351,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .select("key", "id", "blocks", own.alias("sketch"))
     )
     likely = staged(
-        _cut_into_blocks(in_buckets, "key", "blocks").select("key", "part", "id", "sketch").mapInArrow(_likely, "u long, v long"),
+        _cut_into_blocks(in_buckets, "key", "blocks").select("key", "part", "id", "sketch").mapInArrow(lambda b: _likely(b, least), "u long, v long"),
         "near-likely",
     )
     candidates = staged(components(likely), "near-candidates")
@@ -340,7 +359,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     ids = broadcast_if_small(candidates.select(F.col("id").alias(doc_id)), count, 16)
     sets = map_texts(
         docs.select(doc_id, text).join(ids, doc_id, "left_semi"), text, [doc_id],
-        [StructField("shingles", BinaryType())], _sets,
+        [StructField("shingles", BinaryType())], lambda: _sets(shingle),
     ).withColumnRenamed(doc_id, "id")
     sizes = (
         candidates.join(representatives.select("id", "n"), "id")
@@ -351,7 +370,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     confirmed = staged(
         _cut_into_blocks(grouped, "component", "blocks")
         .select("component", "part", "id", "shingles")
-        .mapInArrow(_confirmed, "u long, v long"),
+        .mapInArrow(lambda b: _confirmed(b, percent), "u long, v long"),
         "near-confirmed",
     )
     reached = components(confirmed).withColumnRenamed("id", "class")
@@ -367,6 +386,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
-def _sets():
-    shingler = Shingler()
+def _sets(shingle: int):
+    shingler = Shingler(shingle)
     return lambda texts: [[shingler(t).tobytes() for t in texts]]

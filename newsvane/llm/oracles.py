@@ -74,6 +74,33 @@ FROM s JOIN reach USING (doc_id)
 """
 
 
+FIXITY = """
+WITH one AS (
+  SELECT page_id, strlen('WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:' || page_id || '>\r\nWARC-Target-URI: '
+    || coalesce(url, '') || '\r\nContent-Length: ' || strlen(coalesce(html, '')) || '\r\n\r\n' || coalesce(html, '') || '\r\n\r\n') AS bytes,
+    coalesce(url, '') AS url, coalesce(html, '') AS html
+  FROM pages
+), changed AS (
+  SELECT page_id, url, CASE WHEN page_id % 97 = 13 THEN html || '~' ELSE html END AS html FROM one WHERE page_id % 101 <> 7
+  UNION ALL
+  SELECT page_id + 10000000, url, html FROM one WHERE page_id % 103 = 5
+), other AS (
+  SELECT page_id, url, html, strlen('WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:' || page_id || '>\r\nWARC-Target-URI: '
+    || url || '\r\nContent-Length: ' || strlen(html) || '\r\n\r\n' || html || '\r\n\r\n') AS bytes
+  FROM changed
+), every AS (
+  SELECT coalesce(a.page_id, b.page_id) AS page_id, a.page_id IS NULL AS extra, b.page_id IS NULL AS missing,
+    a.url = b.url AND a.html = b.html AS same, coalesce(a.bytes, 0) AS bytes, b.bytes AS other_bytes
+  FROM one a FULL JOIN other b ON a.page_id = b.page_id
+), placed AS (
+  SELECT *, coalesce(sum(bytes) OVER (ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM every
+)
+SELECT page_id, CASE WHEN extra THEN 'extra' WHEN missing THEN 'missing' ELSE 'changed' END AS status,
+  CAST(start AS BIGINT) AS start, CAST(start + bytes AS BIGINT) AS stop, other_bytes
+FROM placed WHERE extra OR missing OR NOT same
+"""
+
+
 def _sharding() -> str:
     """Placement only: the table is filled turn by turn, which the tests repeat by brute force."""
     owners = ", ".join(map(str, sharding.fill_table(sharding.SHARDS)))
@@ -87,4 +114,4 @@ SELECT doc_id, slot, 'shard-' || lpad(CAST(owner[slot + 1] AS VARCHAR), 3, '0')
 
 
 def build() -> dict[str, str]:
-    return {"op4_near_dup": NEAR_DUP, "op3_decontaminate": DECONTAMINATE, "op5_sharding": _sharding(), "op10_topk": TOPK}
+    return {"op9_fixity": FIXITY, "op4_near_dup": NEAR_DUP, "op3_decontaminate": DECONTAMINATE, "op5_sharding": _sharding(), "op10_topk": TOPK}

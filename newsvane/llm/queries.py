@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsvane.llm import bpe, decontaminate, language, near_dup, private, repeats, sharding, topk, toxicity
+from newsvane.llm import bpe, decontaminate, fixity, language, near_dup, private, repeats, sharding, topk, toxicity
 from newsvane.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -40,7 +40,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,19 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def damaged_replica(pages: DataFrame) -> DataFrame:
+    """A second replica of the pages with some records changed, some lost and some added."""
+    body = F.when(F.col("page_id") % 97 == 13, F.concat("html", F.lit("~"))).otherwise(F.col("html"))
+    kept = pages.where(F.col("page_id") % 101 != 7).select("page_id", "url", body.alias("html"))
+    added = pages.where(F.col("page_id") % 103 == 5).select((F.col("page_id") + 10_000_000).alias("page_id"), "url", "html")
+    return kept.unionByName(added)
+
+
+def op9_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return fixity.audit(pages, damaged_replica(pages))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
@@ -77,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_private": op6_private,
     "op7_language": op7_language,
     "op8_repeats": op8_repeats,
+    "op9_fixity": op9_fixity,
     "op10_topk": op10_topk,
 }
