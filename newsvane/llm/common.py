@@ -83,3 +83,9 @@ def map_texts(
 
     columns = [F.col(f"`{c}`") for c in keep] + [F.col(text).alias("__text")]
     return df.select(*columns).mapInArrow(run, schema)
+
+
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The same columns under names that clash with nothing, and the new name of each."""
+    names = {c: f"__kept_{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names

@@ -16,6 +16,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsvane.llm.common import staged
 from newsvane.session import broadcast_if_small
 
 WINDOW = 13
@@ -139,10 +140,14 @@ def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, all columns, that are not contaminated; a null id never matches and stays."""
-    bad = report(docs, benchmark, doc_id, text).where("contaminated").select(
-        F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")
+    """The documents, all columns, that are not contaminated, told apart by id and text; null ids are equal."""
+    bad = staged(
+        report(docs, benchmark, doc_id, text).where("contaminated").select(
+            F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")
+        ),
+        "contaminated",
     )
+    bad = broadcast_if_small(bad, bad.count(), 32)
     same = (F.col(f"`{doc_id}`").eqNullSafe(F.col("__id"))) & (
         F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))) == F.col("__digest")
     )

@@ -389,3 +389,12 @@ def near_duplicates(
 def _sets(shingle: int):
     shingler = Shingler(shingle)
     return lambda texts: [[shingler(t).tobytes() for t in texts]]
+
+
+def keep_ids(docs: DataFrame, ids: DataFrame, doc_id: str) -> DataFrame:
+    """The documents, all columns, with one of the distinct ids; rows without an id stay."""
+    kept = staged(ids.select(F.col(doc_id).alias("__kept")), "near-kept")
+    known = broadcast_if_small(kept, kept.count(), 16)
+    same = F.col(f"`{doc_id}`") == F.col("__kept")
+    unknown = docs.where(F.col(f"`{doc_id}`").isNull())
+    return docs.join(known, same, "left_semi").unionByName(unknown)
