@@ -45,6 +45,9 @@ Her name is [name|Julia Stone] as far as we know.
 Signed by [name|Robert King] in person.
 Mr. [name|Lee] and Mrs. [name|Lee] came along.
 Prof. [name|Alan Moore] wrote the report.
+Last year I met Mr. [name|Thomas Hardy].
+It was written by Mrs. [name|Eva Hall].
+We thanked Dr. [name|Noah Berg] and Ms. [name|Ida Holm].
 Contact [name|Sara Lind] or Mr. [name|Fox] today.
 Call me at [phone|(212) 555-0147] after six.
 Phone: [phone|555-0199]
