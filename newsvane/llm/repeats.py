@@ -253,28 +253,25 @@ def matched_windows(docs: DataFrame, text: str = "text", hot: int = HOT_STRETCHE
     """(d1, d2, first, last): runs of window starts that are matched, per text digest."""
     texts = docs.where(F.octet_length(text) >= LENGTH).select(*_digests(text), F.col(text).alias("text"))
     stretches = staged(texts.mapInArrow(_find_stretches, STRETCHES), "repeat-stretches")
-    # Equal stretches under a key. A text that occurs twice brings each of its stretches twice.
-    classes = stretches.groupBy("key", "stretch").agg(
-        F.count("*").alias("size"),
-        *[F.min(c).alias(c) for c in ("d1", "d2", "anchor", "first", "last")],
+    # Most keys occur once; their rows go no further.
+    keys = stretches.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    live = staged(stretches.join(keys, "key", "left_semi"), "repeat-live")
+    # Equal stretches under a key; one of them, by a hash of its place, stands for the class. A text
+    # that occurs twice brings each of its stretches twice.
+    place = F.xxhash64("d1", "d2", "anchor")
+    classes = staged(
+        live.groupBy("key", "stretch").agg(F.count("*").alias("size"), F.min(place).alias("place")), "repeat-classes"
     )
-    classes = staged(classes, "repeat-classes")
     repeated = classes.where("size > 1").select("key", "stretch")
-    equal = stretches.join(repeated, ["key", "stretch"], "left_semi").select("d1", "d2", "first", "last")
-    # A stretch alone in its class is its own row's; of a class of several any will do as a partner,
-    # so its place is looked up again among the stretches.
-    open_keys = staged(
-        classes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeat-open"
-    )
-    singles = classes.where("size = 1").join(open_keys, "key").drop("size")
-    partners = (
-        stretches.join(classes.where("size > 1").join(open_keys, "key").select("key", "stretch", "n"), ["key", "stretch"])
-        .groupBy("key", "stretch", "n")
-        .agg(F.min(F.struct("d1", "d2", "anchor", "first", "last")).alias("row"))
-        .select("key", "stretch", "n", "row.*")
-    )
+    equal = live.join(repeated, ["key", "stretch"], "left_semi").select("d1", "d2", "first", "last")
+    # Keys with several classes go on, with one stretch of each class. Copies of a text are one row
+    # here: distinct by columns that the join was not dealt by, so they are combined before a shuffle.
+    several = classes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     columns = ["key", "n", "d1", "d2", "anchor", "first", "last"]
-    wanted = staged(singles.select(columns).unionByName(partners.select(columns)), "repeat-wanted")
+    wanted = staged(
+        live.join(classes.join(several, "key"), ["key", "stretch"]).where(F.col("place") == place).select(columns).distinct(),
+        "repeat-wanted",
+    )
     count = wanted.count()
     cut = F.expr(f"substring(CAST(text AS BINARY), first + 1, last - first + {LENGTH})").alias("bytes")
     parts = staged(
