@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterable, Mapping
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -70,34 +71,52 @@ def lemmatize(tokens: Column, dictionary: Mapping[str, str]) -> Column:
     return F.transform(tokens, lambda word: F.coalesce(lookup(word, dictionary), word))
 
 
-# What is dropped from or decoded in an HTML text.
+# What is dropped from an HTML text.
 HTML_DROPPED = r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->"
 HTML_TAG = r"(?s)<[^>]+>"
-HTML_ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&amp;", "&"),
-)
+# The standard's named characters that end in a semicolon; a hard blank is a blank here.
+HTML_NAMES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")} | {"nbsp": " "}
+LARGEST_CODE_POINT = 0x10FFFF
+
+
+def decode_entities(text: Column) -> Column:
+    """Named, decimal and hexadecimal character references as the characters they stand for.
+
+    A reference ends in a semicolon; what is none, or names no character, stays as it is. The text
+    is read once, so `&amp;lt;` becomes `&lt;`.
+    """
+
+    def decoded(piece: Column) -> Column:
+        """A piece of text that followed an ampersand."""
+        name = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        hexadecimal = F.regexp_extract(name, "^#[xX]([0-9a-fA-F]+)$", 1)
+        decimal = F.regexp_extract(name, "^#([0-9]+)$", 1)
+        code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).when(decimal != "", decimal).cast("bigint")
+        known = (code > 0) & (code <= LARGEST_CODE_POINT) & ~code.between(0xD800, 0xDFFF)
+        # Four bytes, the highest first.
+        character = F.decode(F.unhex(F.lpad(F.hex(F.when(known, code).otherwise(F.lit(32))), 8, "0")), "UTF-32")
+        character = F.when(code == 160, F.lit(" ")).otherwise(character)
+        found = F.when(known, character).otherwise(lookup(name, HTML_NAMES))
+        rest = F.substr(piece, F.length(name) + 2)
+        return F.when(found.isNotNull(), F.concat(found, rest)).otherwise(F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&")
+    tail = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), decoded)
+    return F.when(F.contains(text, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))).otherwise(text)
 
 
 def html_to_text(html: Column) -> Column:
     """Visible text of an HTML string; null becomes the empty string."""
     text = F.regexp_replace(F.coalesce(html, F.lit("")), HTML_DROPPED, "")
-    text = F.regexp_replace(text, HTML_TAG, "")
-    for entity, character in HTML_ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return F.trim(text)
+    return F.trim(decode_entities(F.regexp_replace(text, HTML_TAG, "")))
 
 
 # Repairs made to lines extracted from a paged report, in this order.
 REPORT_REPAIRS = (
-    (r"([a-zA-Z]+)-\s*\n\s*([a-zA-Z]+)", "$1$2"),  # word broken over two lines
-    (r"\.{2,}", " "),  # dot leaders of a table of contents
-    (r"(?md)^[ \t]*[0-9]+[ \t]*$", ""),  # line holding only a page number
-    (r"[^\S\n]{2,}", " "),  # runs of blanks
+    (r"([a-zA-Z]+)-\s*\n\s*([a-zA-Z]+)", "$1$2"),  # hyphenation
+    (r"\.{2,}", " "),  # leaders
+    (r"(?md)^[ \t]*[0-9]+[ \t]*$", ""),  # page numbers
+    (r"[^\S\n]{2,}", " "),  # gaps
 )
 
 

@@ -60,6 +60,23 @@ def test_html_to_text(rows):
     assert one(df, text.html_to_text(F.col("h"))) == ["A & B", "", "x<y>"]
 
 
+@pytest.mark.parametrize(
+    "raw, decoded",
+    [
+        ("&rsquo;&mdash;&euro;&eacute;", "\u2019\u2014\u20ac\xe9"),
+        ("a&#8217;b&#x20AC;c&#X1F600;", "a\u2019b\u20acc\U0001F600"),
+        ("x&nbsp;y&#160;z&#xA0;!", "x y z !"),
+        ("&amp;lt; &amp;amp;", "&lt; &amp;"),
+        ("AT&T & co; &; &nosuch; &#; &#x; &#0; &#xD800; &#1114112; &amp", "AT&T & co; &; &nosuch; &#; &#x; &#0; &#xD800; &#1114112; &amp"),
+        ("&&lt;&", "&<&"),
+        ("no reference", "no reference"),
+        ("&NotEqualTilde;", "\u2242\u0338"),
+    ],
+)
+def test_entities(rows, raw, decoded):
+    assert one(rows([(raw,)], "h string"), text.decode_entities(F.col("h"))) == [decoded]
+
+
 @pytest.mark.parametrize(
     "raw, cleaned",
     [
