@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,23 +31,37 @@ def build_session(app: str = "newsvane", master: str | None = None, **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder the cluster names; fall back to scratch only on a local master."""
+    """The shared folder for intermediates: `spark.checkpoint.dir`, else one beside the warehouse.
+
+    The same on every master. A cluster names a folder that all executors reach; where none is
+    named, the warehouse is shared all the same.
+    """
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir")
+    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if named:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(named)
         return named
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="newsvane-checkpoint-")
+    path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
     sc.setCheckpointDir(path)
     return path
 
 
+def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write an intermediate table to the shared folder; the table read back, and where it lies."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write an intermediate to the shared checkpoint folder, so losing an executor loses no work."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -1,8 +1,14 @@
-"""Catalog tables: daily idempotent writes, atomic rebuilds, exports."""
+"""Catalog tables: daily idempotent writes, atomic rebuilds, exports.
+
+A table that is rebuilt as a whole is a view over its newest version. A rebuild writes a version of
+its own and then points the view at it, in one catalog operation, so a reader finds the old version
+or the new one and never none.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,8 +21,12 @@ def create_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
+VERSION = "__version_"
+
+
 def list_tables(spark: SparkSession, database: str) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(database))
+    """Names that readers use; versions behind views are left out."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if VERSION not in t.name and not t.isTemporary)
 
 
 def preview(spark: SparkSession, table: str, rows: int = 5) -> DataFrame:
@@ -41,9 +51,13 @@ def write_partitions(
     by = [*partition, *(["ticker"] if "ticker" in df.columns else [])]
     watched, watch = observed(df.hint("rebalance", *by), f"write {table}")
     if spark.catalog.tableExists(table):
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         columns = spark.read.table(table).columns
-        watched.select(*columns).write.mode("overwrite").insertInto(table)
+        # A write into the table's folder takes the option of its own, so the session is left as it is.
+        watched.select(*columns).write.format(table_format).mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(*partition).save(_described(spark, table)["Location"])
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(table)
     else:
         watched.write.format(table_format).partitionBy(*partition).saveAsTable(table)
     return watch.get[ROWS]
@@ -58,19 +72,40 @@ def read_day(spark: SparkSession, table: str, run_date: dt.date) -> DataFrame:
 
 
 def replace_table(df: DataFrame, table: str, table_format: str = "parquet") -> int:
-    """Rebuild a whole table; the old one stays until the new one has been computed."""
+    """Rebuild a whole table; whatever fails, the old one stays readable.
+
+    The version before the new one is kept, for readers that have begun with it; older ones go. A
+    plain table of that name becomes a version itself, which is the one time that it has no name for
+    a moment.
+    """
     spark = df.sparkSession
     watched, watch = observed(df, f"replace {table}")
+    version = f"{table}{VERSION}{uuid.uuid4().hex}"
+    watched.write.format(table_format).saveAsTable(version)
+    old = None
     if spark.catalog.tableExists(table):
-        fresh = f"{table}__new"
-        watched.write.format(table_format).mode("overwrite").saveAsTable(fresh)
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    else:
-        watched.write.format(table_format).saveAsTable(table)
+        if spark.catalog.getTable(table).tableType == "VIEW":
+            old = _version_behind(spark, table)
+        else:
+            old = f"{table}{VERSION}first"
+            spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
+    database, _, name = table.rpartition(".")
+    for found in spark.catalog.listTables(database or None):
+        full = f"{database}.{found.name}" if database else found.name
+        if found.name.startswith(name + VERSION) and full not in (version, old):
+            spark.sql(f"DROP TABLE {full}")
     return watch.get[ROWS]
 
 
+def _version_behind(spark: SparkSession, view: str) -> str:
+    return _described(spark, view)["View Text"].rpartition(" ")[2]
+
+
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
