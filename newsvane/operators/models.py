@@ -1,73 +1,98 @@
-"""Spark ML pipelines: count vectors, corpus topics, word vectors, classifier, regression heads."""
+"""Corpus topics, word vectors, classifier, regression heads."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import LDA
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import CountVectorizer, StringIndexer, Word2Vec
+from pyspark.ml.feature import StringIndexer, Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsvane.operators.vectors import dominant_index, is_train
+from newsvane.config import TopicSettings
+from newsvane.functions.numeric import round_to
+from newsvane.operators.ranking import top_n
+from newsvane.operators.terms import term_counts, vocabulary
+from newsvane.operators.topics import TickerTopics, fit_topics
+from newsvane.operators.vectors import is_train
+from newsvane.session import discard, stage
 
 SEED = 42
 
 
-def count_vectorizer(tokens: str, size: int = 10_000, min_docs: float = 5.0) -> CountVectorizer:
-    return CountVectorizer(
-        inputCol=tokens, outputCol="features", vocabSize=size, minDF=min_docs
-    )
+CORPUS = "*"
+# Word vectors are trained in this many tasks and know at most this many words. Both shape the model,
+# so they are parameters and never follow the machine.
+VECTOR_TASKS, VECTOR_WORDS = 8, 50_000
 
 
 def corpus_topics(
-    docs: DataFrame, tokens: str, k: int = 10, iterations: int = 20, size: int = 10_000, min_docs: float = 5.0
-) -> PipelineModel:
-    """Count vectors and one topic model over the whole corpus."""
-    lda = LDA(k=k, maxIter=iterations, featuresCol="features", seed=SEED)
-    return Pipeline(stages=[count_vectorizer(tokens, size, min_docs), lda]).fit(docs)
+    docs: DataFrame, tokens: str, k: int = 10, iterations: int = 20, size: int = 10_000, min_docs: int = 5
+) -> TickerTopics:
+    """One topic model over the whole corpus (ticker, id, tokens): the per-ticker model with all
+    articles under one heading.
+
+    Every round reads every document, and sums are whole numbers, so the model is the same on any
+    number of cores. The vocabulary, ``size`` terms at most, is the operator's feature.
+    """
+    whole = docs.select(F.lit(CORPUS).alias("ticker"), F.to_json(F.struct("ticker", "id")).alias("id"), F.col(tokens).alias("tokens"))
+    settings = TopicSettings(max_topics=k, iterations=iterations, vocabulary=size)
+    sizes = whole.groupBy("ticker").agg(F.count("*").alias("documents")).withColumn("k", F.lit(k))
+    words = vocabulary(docs, tokens, size, min_docs).select(F.lit(CORPUS).alias("ticker"), "term_index", "term", "n")
+    return fit_topics(whole, settings, sizes, words)
+
+
+def corpus_assignments(model: TickerTopics, id_type: str = "bigint") -> DataFrame:
+    """(ticker, id, distribution, dominant_topic_id) of a corpus model."""
+    article = F.from_json("id", f"ticker string, id {id_type}")
+    return model.assignments().select(
+        article["ticker"].alias("ticker"), article["id"].alias("id"), "distribution", "dominant_topic_id"
+    )
 
 
-def with_dominant_topic(model: PipelineModel, docs: DataFrame) -> DataFrame:
-    mixed = model.transform(docs).withColumn("distribution", vector_to_array("topicDistribution"))
-    return mixed.withColumn("dominant_topic_id", dominant_index(F.col("distribution"))).drop(
-        "features", "topicDistribution"
-    )
+def corpus_topic_keywords(model: TickerTopics) -> DataFrame:
+    """(topic, keywords): the likeliest terms of every topic."""
+    return model.keywords().select("topic", "keywords")
 
 
-def corpus_topic_keywords(model: PipelineModel, spark: SparkSession, n: int = 5) -> DataFrame:
-    """(topic, keywords). Vocabulary and topics are bounded by the vocabulary size."""
-    vectorizer, lda = model.stages
-    words = spark.createDataFrame(list(enumerate(vectorizer.vocabulary)), "term_index int, term string")
-    described = lda.describeTopics(n).select("topic", F.posexplode("termIndices").alias("rank", "term_index"))
-    listed = described.join(words, "term_index").groupBy("topic").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("r")
-    )
-    return listed.select("topic", F.array_join(F.transform("r", lambda r: r["term"]), ", ").alias("keywords"))
+def least_count(docs: DataFrame, tokens: str, words: int, min_count: int) -> int:
+    """The smallest count with which at most ``words`` words are as frequent, at least ``min_count``."""
+    counts = term_counts(docs, F.col(tokens)).where(F.col("n") >= min_count)
+    beyond = top_n(counts, [F.desc("n"), F.asc("term")], words + 1).where(F.col("rank") == words + 1).first()
+    return min_count if beyond is None else beyond["n"] + 1
 
 
 def word_vectors(
-    spark: SparkSession, tokens: str, size: int = 100, min_count: int = 3, window: int = 5,
-    iterations: int = 20, partitions: int | None = None,
+    tokens: str, size: int = 100, min_count: int = 3, window: int = 5, iterations: int = 20,
+    partitions: int = VECTOR_TASKS,
 ) -> Word2Vec:
-    """Spark trains word vectors in one task unless told otherwise; here in as many as there are cores."""
+    """Spark's word vectors. A fit in more than one task is not repeatable: tasks train on their own
+    copies, whose order of merging is not fixed. Fit once, store the vectors (`vector_table`), and
+    compute from the stored table, which is repeatable (`vectors.document_vectors`).
+
+    The model, words x size numbers, passes through the driver and goes to every task; bound its
+    words with ``min_count`` = `least_count` of `VECTOR_WORDS`.
+    """
     return Word2Vec(
         vectorSize=size, minCount=min_count, windowSize=window, maxIter=iterations, seed=SEED,
-        numPartitions=partitions or spark.sparkContext.defaultParallelism,
-        inputCol=tokens, outputCol="features",
+        numPartitions=partitions, inputCol=tokens, outputCol="features",
     )
 
 
+def vector_table(fitted: Word2VecModel) -> DataFrame:
+    """(term, vector) of a fitted model, to be stored."""
+    return fitted.getVectors().select(F.col("word").alias("term"), vector_to_array("vector").alias("vector"))
+
+
 def sentiment_classifier(
-    spark: SparkSession, tokens: str, label: str, trees: int = 50, depth: int = 10, **vector_options
+    tokens: str, label: str, trees: int = 50, depth: int = 10, **vector_options
 ) -> Pipeline:
     """Word vectors, label index, random forest."""
     return Pipeline(
         stages=[
-            word_vectors(spark, tokens, **vector_options),
+            word_vectors(tokens, **vector_options),
             StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="keep"),
             RandomForestClassifier(
                 featuresCol="features", labelCol="label_index", numTrees=trees, maxDepth=depth, seed=SEED
@@ -92,17 +117,27 @@ def confusion(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("label_index", "prediction").agg(F.count("*").alias("articles"))
 
 
-def fit_score_heads(
-    spark: SparkSession, df: DataFrame, tokens: str, targets: list[str], **vector_options
-) -> PipelineModel:
-    """One regression per score on shared word-vector features; predictions are `pred_<score>`."""
+def accuracy_report(predictions: DataFrame) -> DataFrame:
+    """One row: the share of articles whose prediction is their label, and how many there are."""
+    right = F.avg(F.when(F.col("label_index") == F.col("prediction"), 1.0).otherwise(0.0))
+    return predictions.agg(round_to(right, 6).alias("accuracy"), F.count("*").alias("articles"))
+
+
+def fit_score_heads(df: DataFrame, tokens: str, targets: list[str], **vector_options) -> PipelineModel:
+    """One regression per score on shared word-vector features; predictions are `pred_<score>`.
+
+    Word vectors are fitted and features computed once, written out, and all heads fitted on them.
+    """
+    embedding = word_vectors(tokens, **vector_options).fit(df)
+    features, path = stage(embedding.transform(df).select("features", *targets), "score-features")
     heads = [
         LinearRegression(
             featuresCol="features", labelCol=target, predictionCol=f"pred_{target}", regParam=0.01
-        )
+        ).fit(features)
         for target in targets
     ]
-    return Pipeline(stages=[word_vectors(spark, tokens, **vector_options), *heads]).fit(df)
+    discard(df.sparkSession, [path])
+    return PipelineModel([embedding, *heads])
 
 
 def mean_squared_errors(predictions: DataFrame, targets: list[str]) -> dict[str, float]:
@@ -115,6 +150,6 @@ def mean_squared_errors(predictions: DataFrame, targets: list[str]) -> dict[str,
 def label_index(df: DataFrame, label: str) -> DataFrame:
     """Labels by frequency, index 0 the most frequent, ties by label: the order of a label indexer."""
     counts = df.groupBy(label).agg(F.count("*").alias("articles"))
-    # One row per distinct label.
+    # One row per distinct label; a label column with very many values is no label column.
     order = Window.orderBy(F.desc("articles"), F.asc(label))
     return counts.withColumn("label_index", (F.row_number().over(order) - 1).cast("bigint"))

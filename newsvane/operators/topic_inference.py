@@ -20,18 +20,31 @@ _INNER_STEPS, _INNER_TOLERANCE = 30, 1e-3
 _DOCUMENTS_AT_ONCE = 32
 
 
+def _same(lead, row) -> bool:
+    return lead is not None and lead.ticker == row.ticker and lead.slice == row.slice
+
+
 def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Words of a block's documents as vocabulary indices; words outside the vocabulary are left out."""
+    """Words of a block's documents as vocabulary indices; words outside the vocabulary are left out.
+
+    A row that leads its ticker's blocks brings the vocabulary.
+    """
+    lead, index = None, {}
     for batch in batches:
         for row in batch.itertuples(index=False):
-            known = [] if row.known is None else row.known
-            index = dict(zip(known, row.known_places)) if len(known) else {}
-            codes = np.array([index.get(word, -1) for word in row.words], dtype=np.int32)
-            documents = np.repeat(np.arange(len(row.lengths)), row.lengths)
+            if row.lead:
+                lead, index = row, dict(zip(row.known, row.known_places))
+                continue
+            known = index if _same(lead, row) else {}
+            codes = np.array([known.get(word, -1) for word in row.words], dtype=np.int32)
+            documents = np.repeat(np.arange(len(row.lengths)), np.asarray(row.lengths, dtype=np.int64))
             kept = codes >= 0
             lengths = np.bincount(documents[kept], minlength=len(row.lengths)).astype(np.int32)
             yield pd.DataFrame(
-                {"ticker": [row.ticker], "k": [row.k], "ids": [row.ids], "lengths": [lengths], "terms": [codes[kept]]}
+                {
+                    "ticker": [row.ticker], "slice": [row.slice], "k": [row.k], "ids": [row.ids],
+                    "lengths": [lengths], "terms": [codes[kept]],
+                }
             )
 
 
@@ -75,15 +88,18 @@ def _mixtures(
     return gamma, w, shares * (counts / np.maximum(shares.sum(axis=1), 1e-100))[:, None]
 
 
-def _infer(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _topics(lead, k: int, max_topics: int) -> np.ndarray:
+    """Expected term weights of a ticker's topics, from the row that leads its blocks."""
+    weights = np.empty((len(lead.places), max_topics))
+    weights[np.asarray(lead.places)] = np.asarray(lead.weights, dtype=float).reshape(weights.shape)
+    return np.ascontiguousarray(_expected(weights[:, :k].T).T)
+
+
+def _infer(row, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document weights of a block and its term statistics (terms, sums per topic).
 
     A few documents at a time, so that the arrays of a step stay in the processor's cache.
     """
-    k = int(row.k)
-    weights = np.empty((len(row.places), int(row.max_k)))
-    weights[np.asarray(row.places)] = np.asarray(row.weights, dtype=float).reshape(weights.shape)
-    beta = np.ascontiguousarray(_expected(weights[:, :k].T).T)
     lengths, terms = np.asarray(row.lengths, dtype=np.int64), np.asarray(row.terms, dtype=np.int64)
     ends = np.concatenate([[0], np.cumsum(lengths)])
     gammas, statistics = [], np.zeros_like(beta)
@@ -91,33 +107,57 @@ def _infer(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         last = min(first + _DOCUMENTS_AT_ONCE, len(lengths))
         gamma, w, shares = _mixtures(lengths[first:last], terms[ends[first]:ends[last]], beta)
         gammas.append(gamma)
-        for j in range(k):
+        for j in range(beta.shape[1]):
             statistics[:, j] += np.bincount(w, weights=shares[:, j], minlength=len(beta))
     seen = np.unique(terms)
     return np.concatenate(gammas), seen, statistics[seen]
 
 
+def _led_blocks(batches: Iterator[pd.DataFrame], max_topics: int):
+    """Blocks with their ticker's topics, which are unpacked once per ticker and slice."""
+    lead, beta = None, None
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            if row.lead:
+                lead, beta = row, None
+            elif _same(lead, row):
+                if beta is None:
+                    beta = _topics(lead, int(row.k), max_topics)
+                yield row, beta
+
+
 def statistics_of(max_topics: int):
+    """Term statistics, added up over the blocks of a slice. Blocks are rounded to whole numbers
+    first, so the sum is the same in every order."""
     names = [f"s{j}" for j in range(max_topics)]
 
+    def table(ticker: str, sums: np.ndarray) -> pd.DataFrame:
+        terms = np.flatnonzero(sums.any(axis=1)).astype(np.int32)
+        out = {"ticker": ticker, "term_index": terms}
+        for j, name in enumerate(names):
+            out[name] = sums[terms, j] if j < sums.shape[1] else np.zeros(len(terms), dtype=np.int64)
+        return pd.DataFrame(out)
+
     def statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                _, terms, sums = _infer(row)
-                if len(terms) == 0:
-                    continue
-                out = {"ticker": row.ticker, "term_index": terms}
-                for j, name in enumerate(names):
-                    total = sums[:, j] if j < sums.shape[1] else np.zeros(len(terms))
-                    out[name] = np.floor(total * MICROS + 0.5).astype(np.int64)
-                yield pd.DataFrame(out)
+        at, sums = None, None
+        for row, beta in _led_blocks(batches, max_topics):
+            if at != (row.ticker, row.slice):
+                if sums is not None and sums.any():
+                    yield table(at[0], sums)
+                at, sums = (row.ticker, row.slice), np.zeros(beta.shape, dtype=np.int64)
+            _, terms, found = _infer(row, beta)
+            sums[terms] += np.floor(found * MICROS + 0.5).astype(np.int64)
+        if sums is not None and sums.any():
+            yield table(at[0], sums)
 
     return statistics
 
 
-def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            gamma, _, _ = _infer(row)
+def assign_with(max_topics: int):
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for row, beta in _led_blocks(batches, max_topics):
+            gamma, _, _ = _infer(row, beta)
             share = gamma / gamma.sum(axis=1, keepdims=True)
             yield pd.DataFrame({"ticker": row.ticker, "id": row.ids, "distribution": list(share)})
+
+    return assign

@@ -1,26 +1,31 @@
 """One topic model per ticker, all tickers trained together.
 
-Variational LDA. The documents of a ticker are cut into blocks of bounded size, so a ticker with a
-third of all news is spread over as many tasks as its blocks. An iteration joins every block with
-its ticker's current topics, infers the block's document mixtures inside the task, and adds up
-term statistics per (ticker, term) with a map-side combine. Statistics are summed as integers, so a
-run does not depend on how the blocks are distributed.
+Variational LDA. The documents of a ticker are cut into blocks of bounded size, and its blocks into
+slices of a bounded number of blocks; a slice is the work of one task, so a ticker with a third of
+all news is spread over as many tasks as it has slices. In a round the ticker's current topics go
+to each of its slices once, as the row that leads the slice's blocks. Tasks infer the document
+mixtures and add up term statistics, and Spark sums those per (ticker, term). Statistics are summed
+as integers, so a run does not depend on how many cores there are or how rows are distributed.
+
+Intermediates are tables in the shared folder; those of a round are deleted when the next is done.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsvane.config import TopicSettings
 from newsvane.functions.numeric import MICROS, round_to
 from newsvane.operators.ranking import top_n_per_group
-from newsvane.operators.terms import vocabulary_per_group
-from newsvane.operators.topic_inference import assign, encode, statistics_of
-from newsvane.session import broadcast_if_small, cut_lineage
+from newsvane.operators.terms import pruned_vocabulary_per_group, vocabulary_per_group
+from newsvane.operators.topic_inference import assign_with, encode, statistics_of
+from newsvane.session import discard, stage
 
-BLOCK_DOCUMENTS = 256
-BLOCKS_PER_TASK, MAX_TASKS = 128, 50_000
+# A block holds about so many documents and words at most, a slice so many blocks.
+BLOCK_DOCUMENTS, BLOCK_TOKENS, SLICE_BLOCKS = 256, 100_000, 64
 
 
 def topic_count(documents: Column, settings: TopicSettings = TopicSettings()) -> Column:
@@ -41,27 +46,42 @@ def topic_counts(df: DataFrame, settings: TopicSettings = TopicSettings()) -> Da
     return large.withColumn("k", topic_count(F.col("documents"), settings))
 
 
-def _blocks(docs: DataFrame, vocabulary: DataFrame, sizes: DataFrame, tickers: int) -> DataFrame:
-    """Documents as lists of vocabulary indices, grouped into blocks of bounded size.
+def _led(rows: DataFrame, leads: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
+    """The rows of every (ticker, slice) behind one row of ``leads``, in one task, in that order."""
+    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice")
+    every = leads.join(slices.select("ticker", numbers), "ticker").withColumn("lead", F.lit(True))
+    both = every.unionByName(rows.withColumn("lead", F.lit(False)), allowMissingColumns=True)
+    return both.repartition(tasks, "ticker", "slice").sortWithinPartitions("ticker", "slice", F.desc("lead"))
+
+
+def _cut(docs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Tickers with their number of blocks and slices: by documents or by words, whichever is more."""
+    words = docs.groupBy("ticker").agg(F.sum(F.greatest(F.size("tokens"), F.lit(0))).alias("words"))
+    blocks = F.greatest(
+        F.ceil(F.col("documents") / BLOCK_DOCUMENTS), F.ceil(F.col("words") / BLOCK_TOKENS), F.lit(1)
+    ).cast("bigint")
+    cut = sizes.join(words, "ticker").withColumn("blocks", blocks)
+    return cut.withColumn("slices", F.ceil(F.col("blocks") / SLICE_BLOCKS).cast("bigint"))
 
-    The token lists are shuffled once, whole; they are turned into indices inside the block, so no
-    row per token is ever sorted or moved.
+
+def _blocks(docs: DataFrame, vocabulary: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
+    """Documents as lists of vocabulary indices, in blocks.
+
+    The token lists are shuffled as they are and turned into indices inside the task, so no row per
+    token is ever sorted or moved; the vocabulary goes to each slice once.
     """
-    of_ticker = F.ceil(F.col("documents") / BLOCK_DOCUMENTS).cast("bigint")
-    placed = docs.join(broadcast_if_small(sizes, tickers, 64), "ticker").withColumn(
-        "block", F.pmod(F.xxhash64("id"), of_ticker)
+    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    placed = docs.join(slices, "ticker").select(
+        "ticker", "k", block.alias("block"), F.pmod(block, F.col("slices")).alias("slice"), "id", "tokens"
     )
-    # A block is cheap to move and dear to work on, so tasks are counted by blocks, not by bytes.
-    blocks = sizes.agg(F.sum(of_ticker)).first()[0] or 0
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    tasks = min(max(min(blocks, 4 * cores), blocks // BLOCKS_PER_TASK, 1), MAX_TASKS)
-    grouped = placed.repartition(tasks, "ticker", "block").groupBy("ticker", "k", "block").agg(
+    grouped = placed.groupBy("ticker", "k", "slice", "block").agg(
         F.array_sort(F.collect_list(F.struct("id", "tokens"))).alias("docs")
     )
     texts = grouped.selectExpr(
         "ticker",
         "k",
-        "transform(docs, d -> d.id) AS ids",
+        "slice",
+        "transform(docs, d -> CAST(d.id AS STRING)) AS ids",
         "transform(docs, d -> greatest(size(d.tokens), 0)) AS lengths",
         "flatten(transform(docs, d -> coalesce(d.tokens, CAST(array() AS array<string>)))) AS words",
     )
@@ -69,10 +89,8 @@ def _blocks(docs: DataFrame, vocabulary: DataFrame, sizes: DataFrame, tickers: i
     index = index.selectExpr(
         "ticker", "transform(entries, e -> e.term_index) AS known_places", "transform(entries, e -> e.term) AS known"
     )
-    row_bytes = 32 * max(1, vocabulary.count() // max(1, tickers))
-    joined = texts.join(broadcast_if_small(index, tickers, row_bytes), "ticker", "left")
-    return joined.mapInPandas(
-        encode, "ticker string, k int, ids array<bigint>, lengths array<int>, terms array<int>"
+    return _led(texts, index, slices, tasks).mapInPandas(
+        encode, "ticker string, slice bigint, k int, ids array<string>, lengths array<int>, terms array<int>"
     )
 
 
@@ -105,32 +123,47 @@ def _per_ticker(weights: DataFrame) -> DataFrame:
 class TickerTopics:
     """Fitted models: topic-term weights per ticker and the documents they were fitted on."""
 
-    def __init__(self, blocks: DataFrame, weights: DataFrame, vocabulary: DataFrame,
-                 sizes: DataFrame, tickers: int, settings: TopicSettings):
-        self._blocks, self._weights, self._vocabulary = blocks, weights, vocabulary
-        self._sizes, self._tickers, self._settings = sizes, tickers, settings
-
-    def _joined(self) -> DataFrame:
-        row_bytes = self._settings.vocabulary * self._settings.max_topics * 8
-        weights = broadcast_if_small(self._weights, self._tickers, row_bytes)
-        return self._blocks.join(weights, "ticker").withColumn("max_k", F.lit(self._settings.max_topics))
-
-    def step(self) -> "TickerTopics":
-        """One round: infer documents, add up statistics, write the new weights."""
+    def __init__(self, docs: DataFrame, settings: TopicSettings, sizes: DataFrame, vocabulary: DataFrame):
+        self._settings, self._id_type = settings, docs.schema["id"].dataType
+        self._paths: list[str] = []
+        self._sizes = self._stage(sizes, "sizes")
+        kept = docs.join(self._sizes.select("ticker"), "ticker", "left_semi")
+        self._slices = self._stage(_cut(kept, self._sizes), "slices")
+        # As many tasks as there are slices.
+        self._tasks = max(1, int(self._slices.agg(F.sum("slices")).first()[0] or 0))
+        self._vocabulary = self._stage(vocabulary, "vocabulary")
+        self._blocks = self._stage(_blocks(kept, self._vocabulary, self._slices, self._tasks), "blocks")
+        self._weights, self._weights_path = stage(_start_weights(self._vocabulary, settings), "topic-weights")
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        made, path = stage(df, f"topic-{name}")
+        self._paths.append(path)
+        return made
+
+    def discard(self) -> None:
+        """Delete the intermediates. Results that were not written by now can no longer be read."""
+        discard(self._blocks.sparkSession, [*self._paths, self._weights_path])
+
+    def _led_blocks(self) -> DataFrame:
+        return _led(self._blocks, self._weights, self._slices, self._tasks)
+
+    def step(self) -> None:
+        """One round: infer documents, add up statistics, write the new weights over the old."""
         names = [f"s{j}" for j in range(self._settings.max_topics)]
         schema = "ticker string, term_index int, " + ", ".join(f"{n} bigint" for n in names)
-        parts = self._joined().mapInPandas(statistics_of(self._settings.max_topics), schema)
+        parts = self._led_blocks().mapInPandas(statistics_of(self._settings.max_topics), schema)
         sums = parts.groupBy("ticker", "term_index").agg(*[F.sum(n).alias(n) for n in names])
         prior = self._sizes.select("ticker", (F.lit(1.0) / F.col("k")).alias("eta"))
-        smoothed = sums.join(prior, "ticker").select(
+        # A term that no topic claims keeps the prior, so that every term has a weight.
+        every = self._vocabulary.select("ticker", "term_index").join(sums, ["ticker", "term_index"], "left")
+        smoothed = every.join(prior, "ticker").select(
             "ticker",
             "term_index",
-            F.array(*[F.col(n) / float(MICROS) + F.col("eta") for n in names]).alias("w"),
-        )
-        weights = cut_lineage(_per_ticker(smoothed))
-        return TickerTopics(
-            self._blocks, weights, self._vocabulary, self._sizes, self._tickers, self._settings
+            F.array(*[F.coalesce(n, F.lit(0)) / float(MICROS) + F.col("eta") for n in names]).alias("w"),
         )
+        old = self._weights_path
+        self._weights, self._weights_path = stage(_per_ticker(smoothed), "topic-weights")
+        discard(self._blocks.sparkSession, [old])
 
     def topic_terms(self) -> DataFrame:
         """(ticker, topic, term, n, probability) for every term of a ticker's vocabulary."""
@@ -164,31 +197,63 @@ class TickerTopics:
 
     def assignments(self) -> DataFrame:
         """(ticker, id, distribution, dominant_topic_id) for every document."""
-        out = self._joined().mapInPandas(assign, "ticker string, id bigint, distribution array<double>")
+        out = self._led_blocks().mapInPandas(
+            assign_with(self._settings.max_topics), "ticker string, id string, distribution array<double>"
+        )
         best = F.array_position("distribution", F.array_max("distribution")) - 1
-        return out.withColumn("dominant_topic_id", best)
+        return out.withColumn("id", F.col("id").cast(self._id_type)).withColumn("dominant_topic_id", best)
 
 
 def fit_topics(
     docs: DataFrame, settings: TopicSettings = TopicSettings(), sizes: DataFrame | None = None,
     vocabulary: DataFrame | None = None,
 ) -> TickerTopics:
-    """Fit one model per ticker on (ticker, id, tokens); tickers with too few documents are skipped."""
-    sizes = cut_lineage(sizes if sizes is not None else topic_counts(docs, settings))
-    kept = docs.join(sizes.select("ticker"), "ticker", "left_semi")
-    words = vocabulary
-    if words is None:
-        words = vocabulary_per_group(kept, "tokens", "ticker", settings.vocabulary)
-    words = cut_lineage(words)
-    tickers = sizes.count()
-    blocks = cut_lineage(_blocks(kept, words, sizes, tickers))
-    weights = cut_lineage(_start_weights(words, settings))
-    model = TickerTopics(blocks, weights, words, sizes, tickers, settings)
+    """Fit one model per ticker on (ticker, id, tokens); tickers with too few documents are skipped.
+
+    ``id`` tells the documents of a ticker apart. Every round reads all documents.
+    """
+    sizes = topic_counts(docs, settings) if sizes is None else sizes
+    if vocabulary is None:
+        kept = docs.join(sizes.select("ticker"), "ticker", "left_semi")
+        vocabulary = vocabulary_per_group(kept, "tokens", "ticker", settings.vocabulary)
+    model = TickerTopics(docs, settings, sizes, vocabulary)
     for _ in range(settings.iterations):
-        model = model.step()
+        model.step()
     return model
 
 
+def display_model(docs: DataFrame, settings: TopicSettings = TopicSettings()) -> TickerTopics:
+    """The smaller per-ticker model behind a topic map: fewer topics, five rounds, and a vocabulary
+    without terms of one document or of more than nine tenths of a ticker's."""
+    settings = replace(settings, max_topics=min(5, settings.max_topics), iterations=min(5, settings.iterations))
+    sizes = topic_counts(docs, settings).withColumn("k", F.least(display_topic_count(F.col("documents")), F.lit(settings.max_topics)))
+    kept = docs.join(sizes.select("ticker"), "ticker", "left_semi")
+    vocabulary = pruned_vocabulary_per_group(kept, "tokens", "ticker", settings.vocabulary)
+    return fit_topics(docs, settings, sizes, vocabulary)
+
+
+def counted_topic_terms(df: DataFrame, tokens: str, topic: str, topics: int) -> DataFrame:
+    """(ticker, topic, term, n, probability) with a known topic number per article, 0 to ``topics`` - 1.
+
+    A term's probability in a topic is its smoothed share of the topic's words; ``n`` counts it in
+    all topics of the ticker. The same table as a fitted model gives, from counts alone.
+    """
+    words = df.select("ticker", F.col(topic).alias("topic"), F.explode_outer(tokens).alias("term")).where("term IS NOT NULL")
+    counts = [F.count_if(F.col("topic") == t).alias(f"c{t}") for t in range(topics)]
+    per_term = words.groupBy("ticker", "term").agg(F.count("*").alias("n"), *counts)
+    sums = [F.sum(f"c{t}").alias(f"t{t}") for t in range(topics)]
+    totals = per_term.groupBy("ticker").agg(F.count("*").alias("terms"), *sums)
+    cells = F.array(
+        *[
+            F.struct(F.lit(t).alias("topic"), ((F.col(f"c{t}") + 1) / (F.col(f"t{t}") + F.col("terms"))).alias("probability"))
+            for t in range(topics)
+        ]
+    )
+    return per_term.join(totals, "ticker").select("ticker", "term", "n", F.inline(cells)).select(
+        "ticker", "topic", "term", "n", "probability"
+    )
+
+
 def describe_assignments(model: TickerTopics, news: DataFrame) -> DataFrame:
     """The topics table: news with its dominant topic, that topic's keywords and a readable name."""
     labelled = model.assignments().join(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsvane.functions.numeric import round_to, to_micros
+from newsvane.functions.numeric import MICROS, round_to, to_micros
 from newsvane.operators.ranking import top_n
+from newsvane.operators.terms import explode_terms
 
 
 def dominant_index(vector: Column) -> Column:
@@ -19,10 +22,12 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(products, F.lit(0).cast("bigint"), lambda total, x: total + x)
 
 
-def nearest_vectors(df: DataFrame, key: str, vector: str, query_key: int, n: int) -> DataFrame:
+def nearest_vectors(df: DataFrame, key: str, vector: str, query_key: int | str, n: int) -> DataFrame:
     """The ``n`` vectors most similar to one of them by cosine, itself left out.
 
-    Entries are taken as fixed-point integers, so the dot products are exact.
+    Entries are taken as fixed-point integers, so the dot products are exact. With six decimals and
+    a thousand entries, entries up to 90 fit into 64 bits; larger vectors are to be scaled first,
+    which no cosine notices. A larger sum fails, it does not wrap.
     """
     fixed = df.select(key, F.transform(F.col(vector).cast("array<double>"), to_micros).alias("v"))
     # The query is one vector, looked up once by its key.
@@ -34,6 +39,29 @@ def nearest_vectors(df: DataFrame, key: str, vector: str, query_key: int, n: int
     return top_n(scored, [F.desc("cosine"), F.asc(key)], n)
 
 
+def document_vectors(df: DataFrame, keys: Sequence[str], tokens: str, words: DataFrame, size: int) -> DataFrame:
+    """(keys, known_words, vector): the mean vector of an article's known words, from a stored table
+    (term, vector of ``size`` entries).
+
+    Entries are summed as fixed-point integers, in any order the same. Words are counted per article
+    before they meet their vectors. Articles without a known word have no vector.
+    """
+    counts = explode_terms(df, F.col(tokens), *keys).groupBy(*keys, "term").agg(F.count("*").alias("n"))
+    entries = [to_micros(F.get("vector", F.lit(i)).cast("double")).alias(f"v{i}") for i in range(size)]
+    joined = counts.join(words.select("term", *entries), "term")
+    sums = joined.groupBy(*keys).agg(
+        F.sum("n").alias("known_words"), *[F.sum(F.col("n") * F.col(f"v{i}")).alias(f"v{i}") for i in range(size)]
+    )
+    mean = F.array(*[F.col(f"v{i}") / F.col("known_words") / float(MICROS) for i in range(size)])
+    found = sums.select(*keys, "known_words", mean.alias("vector"))
+    return df.select(*keys).join(found, list(keys), "left").withColumn("known_words", F.coalesce("known_words", F.lit(0)))
+
+
+def nearest_terms(words: DataFrame, term: str, n: int) -> DataFrame:
+    """The ``n`` terms of a stored table (term, vector) whose vectors are nearest to one term's."""
+    return nearest_vectors(words, "term", "vector", term, n)
+
+
 # Fixed values of the split: a multiplicative hash over 32 bits, safe from overflow.
 SPLIT_PRIME, SPLIT_MULTIPLIER, SPLIT_RANGE = 1_000_000_007, 2_654_435_761, 4_294_967_296
 

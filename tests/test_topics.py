@@ -1,9 +1,14 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from newsvane import session
 from newsvane.config import TopicSettings
-from newsvane.operators import models, terms, topics, vectors
+from newsvane.operators import models, topics, vectors
 
 
 def corpus(rows, hot=40):
@@ -29,6 +34,7 @@ def test_small_tickers_are_skipped(rows):
 def test_topics_separate_and_repeat(rows, monkeypatch):
     # Small blocks, so the hot ticker really is cut into several.
     monkeypatch.setattr(topics, "BLOCK_DOCUMENTS", 4)
+    monkeypatch.setattr(topics, "SLICE_BLOCKS", 3)
     settings = TopicSettings(max_topics=2, iterations=15)
     docs = corpus(rows)
     model = topics.fit_topics(docs, settings)
@@ -57,15 +63,82 @@ def test_topics_separate_and_repeat(rows, monkeypatch):
     assert all(same[r["ticker"], r["id"]] == r["distribution"] for r in assigned)
 
 
-def test_results_do_not_depend_on_broadcasts(rows, monkeypatch):
-    """Above the size limit the joins are shuffled; nothing else changes."""
-    settings, docs = TopicSettings(max_topics=2, iterations=2), corpus(rows)
-    encoded = terms.encode_sequences(docs, "id", "tokens", 6).collect()
-    hinted = topics.fit_topics(docs, settings).assignments().collect()
-    monkeypatch.setattr(session, "BROADCAST_LIMIT_BYTES", 0)
-    assert sorted(terms.encode_sequences(docs, "id", "tokens", 6).collect()) == sorted(encoded)
-    shuffled = topics.fit_topics(docs, settings).assignments().collect()
-    assert sorted(shuffled, key=lambda r: r["id"]) == sorted(hinted, key=lambda r: r["id"])
+def test_blocks_are_bounded_by_words(rows, monkeypatch):
+    monkeypatch.setattr(topics, "BLOCK_TOKENS", 20)
+    model = topics.fit_topics(corpus(rows), TopicSettings(max_topics=2, iterations=1))
+    assert model._blocks.where("ticker = 'hot'").count() > 10
+    assert model.assignments().count() == 50
+
+
+def test_rounds_leave_nothing_behind(spark, rows):
+    folder = f"{session.ensure_checkpoint_dir(spark)}/staged".removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    model = topics.fit_topics(corpus(rows), TopicSettings(max_topics=2, iterations=3))
+    assert len([f for f in set(os.listdir(folder)) - before if "weights" in f]) == 1
+    model.discard()
+    assert set(os.listdir(folder)) - before == set()
+
+
+CORES = """
+import sys
+sys.path.insert(0, {root!r})
+from newsvane.plans.registry import QUERIES
+from newsvane.session import build_session
+spark = build_session("cores", "local[{cores}]", **{{"spark.sql.shuffle.partitions": "{partitions}", "spark.sql.warehouse.dir": {folder!r}}})
+spark.sparkContext.setLogLevel("OFF")
+from newsvane.config import TopicSettings
+from newsvane.operators import models, topics
+from newsvane.plans import registry
+docs = registry._doc_tokens(spark, "/root/testdata/sf0.001")
+one = models.corpus_assignments(models.corpus_topics(docs, "tokens", iterations=3)).orderBy("ticker", "id").collect()
+two = topics.fit_topics(docs, TopicSettings(iterations=2)).assignments().orderBy("ticker", "id").collect()
+print("RESULT", hash(tuple(str(r) for r in one + two)))
+"""
+
+
+def test_topics_are_the_same_on_two_and_four_cores(tmp_path):
+    root = str(Path(__file__).resolve().parent.parent)
+    found = set()
+    for cores, partitions in ((2, 3), (4, 8)):
+        code = CORES.format(root=root, cores=cores, partitions=partitions, folder=str(tmp_path / f"w{cores}"))
+        done = subprocess.run(
+            [sys.executable, "-c", code], capture_output=True, text=True, cwd=root, timeout=600,
+            env={**os.environ, "PYTHONHASHSEED": "0"},
+        )
+        found.add(next(line for line in done.stdout.splitlines() if line.startswith("RESULT")))
+    assert len(found) == 1
+
+
+def test_articles_that_share_an_id_are_two_in_the_corpus_model(rows):
+    words = (["oil", "gas", "rig"] * 3, ["chip", "code", "cloud"] * 3)
+    df = rows([(t, i, words[t == "B"]) for t in "AB" for i in range(12)], "ticker string, id bigint, tokens array<string>")
+    got = models.corpus_assignments(models.corpus_topics(df, "tokens", k=2, min_docs=1, iterations=10)).collect()
+    assert len(got) == 24
+    assert len({r["dominant_topic_id"] for r in got if r["ticker"] == "A"}) == 1
+    assert {r["dominant_topic_id"] for r in got if r["ticker"] == "A"} != {r["dominant_topic_id"] for r in got if r["ticker"] == "B"}
+
+
+def test_document_vectors(rows):
+    words = rows([("a", [1.0, 0.0]), ("b", [0.0, 0.5])], "term string, vector array<double>")
+    df = rows([("A", 1, ["a", "a", "b", "x"]), ("B", 1, ["b"]), ("A", 2, ["x"])], "ticker string, id bigint, tokens array<string>")
+    got = {(r["ticker"], r["id"]): (r["known_words"], r["vector"]) for r in vectors.document_vectors(df, ["ticker", "id"], "tokens", words, 2).collect()}
+    assert got["A", 1][0] == 3 and got["A", 1][1] == pytest.approx([2 / 3, 1 / 6], abs=1e-6)
+    assert got["B", 1] == (1, [0.0, 0.5]) and got["A", 2] == (0, None)
+    assert [r["term"] for r in vectors.nearest_terms(words, "a", 5).collect()] == ["b"]
+
+
+def test_vectors_from_a_fit_are_those_of_its_table(rows):
+    df = rows([("A", i, ["up", "down", "up"][: 1 + i % 3]) for i in range(30)], "ticker string, id bigint, tokens array<string>")
+    fitted = models.word_vectors("tokens", size=4, min_count=1, iterations=2, partitions=1).fit(df)
+    table = models.vector_table(fitted)
+    ours = {r["id"]: r["vector"] for r in vectors.document_vectors(df, ["ticker", "id"], "tokens", table, 4).collect()}
+    theirs = {r["id"]: r["features"] for r in fitted.transform(df).collect()}
+    assert all(list(theirs[i]) == pytest.approx(ours[i], abs=2e-6) for i in ours)
+
+
+def test_vector_words_are_bounded(rows):
+    df = rows([(["a"] * 5 + ["b"] * 3 + ["c"] * 3 + ["d"],)], "tokens array<string>")
+    assert [models.least_count(df, "tokens", n, 1) for n in (1, 2, 3, 4, 9)] == [4, 4, 2, 1, 1]
 
 
 def test_argmax_takes_the_first_of_equals(rows):
@@ -87,7 +160,7 @@ def test_classifier_learns_saves_and_loads(spark, rows, tmp_path):
     df = rows(data, "id bigint, tokens array<string>, label string")
     train, test = models.split(df, "id")
     fitted = models.sentiment_classifier(
-        spark, "tokens", "label", trees=5, depth=3, size=8, min_count=1, iterations=3, partitions=1
+        "tokens", "label", trees=5, depth=3, size=8, min_count=1, iterations=3, partitions=1
     ).fit(train)
     assert models.accuracy(fitted.transform(test)) > 0.9
     fitted.write().overwrite().save(str(tmp_path / "model"))
@@ -100,7 +173,7 @@ def test_score_heads(spark, rows):
     data = [(i, ["good"] * 4 if i % 2 else ["bad"] * 4, 0.8 if i % 2 else -0.8) for i in range(60)]
     df = rows(data, "id bigint, tokens array<string>, polarity double")
     fitted = models.fit_score_heads(
-        spark, df, "tokens", ["polarity"], size=4, min_count=1, iterations=2, partitions=1
+        df, "tokens", ["polarity"], size=4, min_count=1, iterations=2, partitions=1
     )
     assert models.mean_squared_errors(fitted.transform(df), ["polarity"])["polarity"] < 0.2
 
