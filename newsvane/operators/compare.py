@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,27 +11,17 @@ from newsvane.functions.labels import opposite
 from newsvane.functions.numeric import from_micros, round_to, safe_corr, to_micros
 
 
-def pair_tagged(scorings: DataFrame, key: str, tag: str, names: tuple[str, str]) -> DataFrame:
-    """Rows (key, tag, score, label) of two scorings, one row per key that has both.
+def pair_scorings(left: DataFrame, right: DataFrame, keys: Sequence[str], names: tuple[str, str]) -> DataFrame:
+    """Two scorings (keys, score, label) kept in different tables, side by side; keys in both stay.
 
-    One aggregate instead of a join: duplicates of a hot article collapse before the shuffle.
+    ``keys`` identify an article. Two scores of one row need no pairing: name them
+    `<name>_score` and `<name>_label` and go on with `compare_pair`.
     """
     sides = [
-        F.expr(f"min(CASE WHEN {tag} = '{name}' THEN struct(score, label) END) AS {name}") for name in names
-    ]
-    both = scorings.groupBy(key).agg(*sides).where(" AND ".join(f"{name} IS NOT NULL" for name in names))
-    return both.selectExpr(
-        key, *[f"{name}.{part} AS {name}_{part}" for name in names for part in ("score", "label")]
-    )
-
-
-def pair_scorings(left: DataFrame, right: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
-    """Two scorings (key, score, label) kept in different tables, side by side."""
-    tagged = [
-        side.select(key, F.lit(name).alias("tag"), "score", "label")
+        side.select(*keys, F.col("score").alias(f"{name}_score"), F.col("label").alias(f"{name}_label"))
         for side, name in zip((left, right), names)
     ]
-    return pair_tagged(tagged[0].unionByName(tagged[1]), key, "tag", names)
+    return sides[0].join(sides[1], list(keys))
 
 
 def compare_pair(paired: DataFrame, names: tuple[str, str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ ARTICLE_SCHEMA = (
 )
 
 
-def normalize_news(raw: DataFrame) -> DataFrame:
+def normalize_news(raw: DataFrame, *keep: str) -> DataFrame:
     """Raw flat news (ticker, id, headline, summary, datetime in epoch seconds)."""
     return raw.select(
         "ticker",
@@ -24,6 +25,7 @@ def normalize_news(raw: DataFrame) -> DataFrame:
         F.col("headline").alias("title"),
         "summary",
         F.timestamp_seconds("datetime").alias("published_at"),
+        *keep,
     )
 
 
@@ -87,10 +89,9 @@ def fetch_plan(symbols: DataFrame, run_date: dt.date, days: int = 365, step: int
     )
 
 
-def dedup_fetches(df: DataFrame, *keys: str) -> DataFrame:
-    """Overlapping fetches repeat records; the one of the latest run date stays."""
-    rest = [F.col(c) for c in df.columns if c not in keys and c != "run_date"]
-    return latest_per_key(df, keys, [F.col("run_date"), *rest])
+def dedup_fetches(df: DataFrame, *keys: str, ties: Sequence[Column] | None = None) -> DataFrame:
+    """Overlapping fetches repeat records; the one of the latest run date stays. Records without a whole key stay."""
+    return latest_per_key(df, keys, F.col("run_date"), ties)
 
 
 def intraday_return(prices: DataFrame) -> DataFrame:
@@ -128,21 +129,26 @@ def market_mood(news: DataFrame, prices: DataFrame, score: str) -> DataFrame:
 
 
 def news_on_date(news: DataFrame, day: dt.date) -> DataFrame:
-    return news.where(F.col("trade_date") == F.lit(day))
+    """The articles of one day, each with the number of articles of that day.
+
+    The count is one number, summed over all tasks and looked up, so the articles are not gathered.
+    """
+    found = news.where(F.col("trade_date") == F.lit(day))
+    return found.withColumn("articles", found.agg(F.count("*")).scalar())
 
 
 def up_to(df: DataFrame, run_date: dt.date) -> DataFrame:
     return df.where(F.to_date("trade_date") <= F.lit(run_date))
 
 
-def artifact_manifest(sizes: DataFrame, run_date: dt.date, root: str) -> DataFrame:
-    """Where the report artefacts of each ticker and day are kept."""
-    folder = F.concat(F.lit(f"{root}/daily_{run_date:%Y-%m-%d}/ticker="), F.col("ticker"))
-    return sizes.select(
+def artifact_manifest(written: DataFrame, run_date: dt.date, terms_table: str, topics_table: str) -> DataFrame:
+    """Which tables hold the day's artefacts of each ticker in ``written``: its terms and its topic map."""
+    where = F.concat(F.lit(f"?run_date={run_date:%Y-%m-%d}&ticker="), F.col("ticker"))
+    return written.select("ticker").distinct().select(
         "ticker",
         F.lit(f"{run_date:%Y-%m-%d}").alias("report_date"),
-        F.concat(folder, F.lit("/wordcloud.png")).alias("wordcloud_url"),
-        F.concat(folder, F.lit("/ldavis.html")).alias("ldavis_url"),
+        F.concat(F.lit(terms_table), where).alias("wordcloud_url"),
+        F.concat(F.lit(topics_table), where).alias("ldavis_url"),
     )
 
 

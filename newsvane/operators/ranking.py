@@ -71,29 +71,76 @@ def global_rank(df: DataFrame, order: Sequence[Column], rank_name: str = "rank")
     )
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key, the last by ``order`` (a total order within the key).
+def _moment(first: Column, rest: Sequence[Column]) -> Column:
+    """One sortable number: ``first`` (a 64-bit integer), then a hash of ``rest``."""
+    wide = F.lit("10000000000000000000").cast("decimal(38,0)")
+    digest = F.pmod(F.xxhash64(*rest), F.lit((1 << 63) - 1)) if rest else F.lit(0)
+    return first.cast("decimal(38,0)") * wide + digest.cast("decimal(38,0)")
 
-    An aggregate, not a window: copies of a hot key collapse on the map side before the shuffle.
+
+def _rows_at(df: DataFrame, keys: Sequence[str], moment: Column, best: DataFrame) -> DataFrame:
+    """The rows that stand at their key's best moment, as they are; equal rows are one.
+
+    ``best`` holds one narrow row per key and is the side that is hashed, so the wide rows are
+    moved once and never sorted.
     """
-    rest = [c for c in df.columns if c not in keys]
-    kept = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
+    found = df.withColumn("__moment", moment).join(
+        best.hint("shuffle_hash"), [*keys, "__moment"], "left_semi"
     )
-    return kept.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns)
+    return found.distinct().drop("__moment")
+
+
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], order: Column, ties: Sequence[Column] | None = None
+) -> DataFrame:
+    """One row per key, the last by ``order``, a number or date; rows without a whole key stay.
+
+    Rows of a key that share the last ``order`` are told apart by ``ties``, at most two numbers with
+    up to six decimals, or else by a hash of the row, which is the same in every run. The keys'
+    latest moments are a hash aggregate over narrow rows with a map-side combine, so copies of a
+    hot key collapse before the shuffle.
+    """
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    kind = df.select(order.alias("o")).schema["o"].dataType.simpleString()
+    number = F.unix_date(order) if kind == "date" else F.unix_micros(order) if kind.startswith("timestamp") else order
+    number = F.coalesce(number.cast("bigint"), F.lit(-(1 << 62)))
+    rest = [F.col(c) for c in df.columns if c not in keys]
+    if ties is None:
+        moment = _moment(number, rest)
+    else:
+        # Days have six digits, a first tie fifteen with its decimals, a second sixteen.
+        parts = [F.floor(t.cast("decimal(30,6)") * 1_000_000).cast("decimal(38,0)") for t in ties[:1]]
+        parts += [t.cast("decimal(38,0)") for t in ties[1:]]
+        parts = [F.coalesce(part, F.lit(-(10**15)).cast("decimal(38,0)")) for part in parts]
+        moment = number.cast("decimal(38,0)")
+        for part in parts:
+            moment = moment * F.lit(10**16).cast("decimal(17,0)").cast("decimal(38,0)") + part
+    keyed = df.where(whole)
+    best = keyed.select(*keys, moment.alias("__moment")).groupBy(*keys).agg(F.max("__moment").alias("__moment"))
+    return _rows_at(keyed, keys, moment, best).unionByName(df.where(~whole))
 
 
 def first_per_text(df: DataFrame, text: str, id_column: str) -> DataFrame:
-    """One row per distinct text: the one with the smallest id, and the number of its copies.
+    """One row per distinct text, the one with the smallest id, and the number of its copies.
 
-    Texts are compared by a 256-bit digest, so neither sorting nor shuffling touches them; the
-    result carries every column but the text.
+    Rows without a text are no copies of each other and stay, with one copy each. Texts are compared
+    by a 256-bit digest; the text itself is moved once, with the row that stays. Rows that share
+    text and id are told apart by a hash of the row.
     """
-    rest = [c for c in df.columns if c not in (text, id_column)]
-    kept = df.groupBy(F.sha2(F.col(text), 256).alias("__digest")).agg(
-        F.min(F.struct(id_column, *rest)).alias("__row"), F.count("*").alias("copies")
+    rest = [F.col(c) for c in df.columns if c not in (text, id_column)]
+    known = df.where(F.col(text).isNotNull()).withColumn("__digest", F.sha2(F.col(text), 256))
+    moment = _moment(F.coalesce(F.col(id_column).cast("bigint"), F.lit((1 << 62))), rest)
+    best = (
+        known.select("__digest", moment.alias("__moment"))
+        .groupBy("__digest")
+        .agg(F.min("__moment").alias("__moment"), F.count("*").alias("copies"))
     )
-    return kept.selectExpr(*[f"__row.{c} AS {c}" for c in (id_column, *rest)], "copies")
+    kept = known.withColumn("__moment", moment).join(best.hint("shuffle_hash"), ["__digest", "__moment"])
+    missing = df.where(F.col(text).isNull()).withColumn("copies", F.lit(1).cast("bigint"))
+    columns = [*df.columns, "copies"]
+    return kept.distinct().select(*columns).unionByName(missing.select(*columns))
 
 
 def groups_of_at_least(df: DataFrame, group: str, minimum: int) -> DataFrame:

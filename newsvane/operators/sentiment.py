@@ -155,6 +155,17 @@ def score_texts(
     )
 
 
+def score_variants(
+    df: DataFrame, keys: Sequence[str], slots: Mapping[str, str], lexicon: DataFrame, modifiers: DataFrame,
+    cuts: Thresholds = Thresholds(),
+) -> DataFrame:
+    """`<slot>_score` and `<slot>_label` by the compound score, for several token lists of a row in one pass."""
+    sums = lexicon_sums(df, keys, slots, lexicon, modifiers)
+    scored = sums.selectExpr(*keys, *[f"{slot_scores(slot)['vd_comp']} AS {slot}_score" for slot in slots])
+    labels = [compound_label(F.col(f"{slot}_score"), cuts).alias(f"{slot}_label") for slot in slots]
+    return scored.select("*", *labels)
+
+
 def label_for(scorer: str, score: Column, cuts: Thresholds) -> Column:
     rules = {"tb_pol": polarity_label, "tb_sub": subjectivity_label, "vd_comp": compound_label}
     return rules[scorer](score, cuts)

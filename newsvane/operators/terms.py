@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from newsvane.functions.numeric import round_to
 from newsvane.operators.ranking import global_rank, top_n, top_n_per_group
-from newsvane.session import broadcast_if_small
 
 
 def explode_terms(df: DataFrame, terms: Column, *keep: str) -> DataFrame:
@@ -39,6 +38,27 @@ def lemmatize_by_join(
     return gathered.selectExpr(*keys, "transform(entries, e -> e.lemma) AS lemmas")
 
 
+def with_lemmas(df: DataFrame, tokens: str, lemmas: str, dictionary: DataFrame) -> DataFrame:
+    """All columns and a lemma list from a dictionary table (token, lemma) of any size.
+
+    Words are looked up once per distinct token list, known by two hashes of its content, so rows
+    need no key of their own: rows without one, or with a shared one, get their own lists. What comes
+    back per list are the lemmas that differ from their tokens, bounded by the list.
+    """
+    lists = df.select(F.xxhash64(tokens).alias("__d1"), F.xxhash64(F.col(tokens), F.lit(1)).alias("__d2"), tokens)
+    words = lists.select("__d1", "__d2", F.explode(F.array_distinct(tokens)).alias("token")).distinct()
+    changed = (
+        words.join(dictionary.dropDuplicates(["token"]), "token")
+        .where("lemma IS NOT NULL AND lemma <> token")
+        .groupBy("__d1", "__d2")
+        .agg(F.map_from_entries(F.collect_list(F.struct("token", "lemma"))).alias("__changed"))
+    )
+    digested = df.withColumn("__d1", F.xxhash64(tokens)).withColumn("__d2", F.xxhash64(F.col(tokens), F.lit(1)))
+    joined = digested.join(changed, ["__d1", "__d2"], "left")
+    found = F.transform(tokens, lambda t: F.coalesce(F.try_element_at(F.col("__changed"), t), t))
+    return joined.withColumn(lemmas, found).drop("__d1", "__d2", "__changed")
+
+
 def term_counts(df: DataFrame, terms: Column, *group: str) -> DataFrame:
     return explode_terms(df, terms, *group).groupBy(*group, "term").agg(F.count("*").alias("n"))
 
@@ -101,21 +121,59 @@ def vocabulary_per_group(df: DataFrame, tokens: str, group: str, size: int = 5_0
     return ranked.select(group, (F.col("rank") - 1).alias("term_index"), "term", "n")
 
 
+def pruned_vocabulary_per_group(
+    df: DataFrame, tokens: str, group: str, size: int = 5_000, min_docs: int = 2, max_share: float = 0.9
+) -> DataFrame:
+    """The most frequent terms of every group among those in enough of its documents and not in nearly all.
+
+    ``size`` is the operator's feature: how many terms a topic map knows.
+    """
+    lists = df.selectExpr(group, f"posexplode_outer(array({tokens}, array_distinct({tokens}))) AS (kind, words)")
+    words = lists.selectExpr(group, "kind", "explode_outer(words) AS term").where("term IS NOT NULL")
+    counts = words.groupBy(group, "term").agg(
+        F.expr("count_if(kind = 0)").alias("n"), F.expr("count_if(kind = 1)").alias("df")
+    )
+    documents = df.groupBy(group).agg(F.count("*").alias("documents"))
+    kept = counts.where(F.col("df") >= min_docs).join(documents, group).where(F.col("df") <= max_share * F.col("documents"))
+    ranked = top_n_per_group(
+        kept.select(group, "term", "n"), [group], [F.desc("n"), F.asc("term")], size, salt_on=["term"], salts=32
+    )
+    return ranked.select(group, (F.col("rank") - 1).alias("term_index"), "term", "n")
+
+
+def count_vectors(df: DataFrame, keys: Sequence[str], tokens: str, size: int = 10_000, min_docs: int = 5) -> DataFrame:
+    """Sparse count vectors: per article the vocabulary's terms that occur in it, and how often.
+
+    The vocabulary is a table of ``size`` rows at most, the operator's feature; ties at its end go
+    by term. Documents without a known term have empty lists.
+    """
+    words = vocabulary(df, tokens, size, min_docs).select("term", "term_index")
+    counts = explode_terms(df, F.col(tokens), *keys).groupBy(*keys, "term").agg(F.count("*").alias("n"))
+    entry = F.struct(F.col("term_index").alias("i"), "n")
+    lists = counts.join(words, "term").groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    empty = F.array().cast("array<struct<i:int,n:bigint>>")
+    every = df.select(*keys).join(lists, list(keys), "left").withColumn("e", F.coalesce("e", empty))
+    return every.select(
+        *keys, F.transform("e", lambda e: e["i"]).alias("indices"), F.transform("e", lambda e: e["n"]).alias("counts")
+    )
+
+
 def encode_sequences(
-    df: DataFrame, key: str, tokens: str, length: int = 50, min_count: int = 2
+    df: DataFrame, keys: Sequence[str], tokens: str, length: int = 50, min_count: int = 2
 ) -> DataFrame:
     """Token lists as index lists of a fixed length: unknown words and padding are both 0.
 
-    Only the first ``length`` tokens of a list can appear in the result, so only they are joined
+    ``keys`` identify an article: its ticker and id, since tickers share ids. The length is the
+    operator's feature. Only the first ``length`` tokens of a list can appear in the result, so only they are joined
     with the vocabulary; the vocabulary itself counts all tokens.
     """
     counts = term_counts(df, F.col(tokens)).where(F.col("n") >= min_count)
     ranked = global_rank(counts, [F.desc("n"), F.asc("term")], "term_index")
     index = ranked.select("term", "term_index")
-    rows = index.count()
-    head = df.select(key, F.posexplode_outer(F.slice(tokens, 1, length)).alias("pos", "term"))
-    coded = head.join(broadcast_if_small(index, rows, 64), "term", "left")
-    lists = coded.groupBy(key).agg(
+    head = df.select(*keys, F.posexplode_outer(F.slice(tokens, 1, length)).alias("pos", "term"))
+    # Whether the vocabulary is broadcast is left to its measured size at run time.
+    coded = head.join(index, "term", "left")
+    lists = coded.groupBy(*keys).agg(
         F.array_sort(
             F.collect_list(
                 F.when(
@@ -127,7 +185,7 @@ def encode_sequences(
     )
     found = F.transform("coded", lambda c: c["i"])
     padding = F.array_repeat(F.lit(0).cast("bigint"), length)
-    return lists.select(key, F.slice(F.concat(found, padding), 1, length).alias("sequence"))
+    return lists.select(*keys, F.slice(F.concat(found, padding), 1, length).alias("sequence"))
 
 
 def term_lift(df: DataFrame, tokens: str, label: str, min_count: int = 5) -> DataFrame:

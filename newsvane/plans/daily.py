@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from newsvane import dictionaries as dic
 from newsvane.config import Settings
-from newsvane.functions.text import combine_tokens, lemmatize, tokenize
+from newsvane.functions.text import INLINE_DICTIONARY_LIMIT, combine_tokens, lemmatize, tokenize
 from newsvane.operators import compare, models
 from newsvane.operators import news as news_ops
 from newsvane.operators import sentiment, signals, terms, topics, trading
@@ -24,37 +24,45 @@ from newsvane.sources import raw_zone, tables
 
 NEWS_TABLE, MARKET_TABLE, SCORES_TABLE = "daily_news_nlp", "daily_market_prices", "comprehensive_sentiment_scores"
 SIGNALS_TABLE, TOPICS_TABLE = "trading_signals", "daily_news_topics"
-TERMS_TABLE, MANIFEST_TABLE = "report_terms", "report_manifest"
+TERMS_TABLE, BIGRAMS_TABLE, MANIFEST_TABLE = "report_terms", "report_bigrams", "report_manifest"
+TOPIC_TERMS_TABLE, TOPIC_DISTANCE_TABLE, TOPIC_SIZES_TABLE = "report_topic_terms", "report_topic_distance", "report_topic_sizes"
 COMPARISON_TABLE, PREDICTIONS_TABLE = "sentiment_comparison", "news_score_predictions"
 TRADES_TABLE, EQUITY_TABLE = "backtest_trades", "backtest_equity"
 
 NLP_COLUMNS = ("title_tokens", "title_lemmas", "summary_tokens", "summary_lemmas")
 
 
-def analyse_news(news: DataFrame, stopwords: Iterable[str], lemmas: Mapping[str, str]) -> DataFrame:
-    """Token and lemma lists of title and summary; both lists of a field are equally long."""
-    tokenized = news.select(
-        "*",
-        tokenize("title", stopwords).alias("title_tokens"),
-        tokenize("summary", stopwords).alias("summary_tokens"),
-    )
-    return tokenized.select(
-        "ticker", "id", "published_at", "title", "summary",
-        "title_tokens", lemmatize(F.col("title_tokens"), lemmas).alias("title_lemmas"),
-        "summary_tokens", lemmatize(F.col("summary_tokens"), lemmas).alias("summary_lemmas"),
+Lemmas = Mapping[str, str] | DataFrame
+
+
+def analyse_news(news: DataFrame, stopwords: Iterable[str], lemmas: Lemmas, *keep: str) -> DataFrame:
+    """Token and lemma lists of title and summary; both lists of a field are equally long.
+
+    ``lemmas`` is a mapping or, for a full dictionary, a table (token, lemma). A mapping that is too
+    large to travel inside the plan is joined as a table; the lists are the same either way.
+    """
+    fields = ("title", "summary")
+    lists = news.select(
+        "ticker", "id", "published_at", *fields, *keep, *[tokenize(f, stopwords).alias(f"{f}_tokens") for f in fields]
     )
+    if not isinstance(lemmas, DataFrame) and len(lemmas) > INLINE_DICTIONARY_LIMIT:
+        lemmas = news.sparkSession.createDataFrame(list(lemmas.items()), "token string, lemma string")
+    for field in fields:
+        if isinstance(lemmas, DataFrame):
+            lists = terms.with_lemmas(lists, f"{field}_tokens", f"{field}_lemmas", lemmas)
+        else:
+            lists = lists.withColumn(f"{field}_lemmas", lemmatize(F.col(f"{field}_tokens"), lemmas))
+    return lists.select("ticker", "id", "published_at", *fields, *NLP_COLUMNS, *keep)
 
 
 def news_job(
     spark: SparkSession, cfg: Settings, run_date: dt.date,
-    stopwords: Iterable[str] = dic.STOPWORDS, lemmas: Mapping[str, str] | None = None,
+    stopwords: Iterable[str] = dic.STOPWORDS, lemmas: Lemmas | None = None,
 ) -> DataFrame:
     raw = raw_zone.read_daily(spark, cfg.raw_zone, raw_zone.NEWS, run_date)
     # An article repeated within the day's files counts once.
-    articles = latest_per_key(
-        news_ops.normalize_news(raw), ["ticker", "id"], [F.col(c) for c in ("published_at", "title", "summary")]
-    )
-    analysed = analyse_news(articles, stopwords, lemmas or dic.LEMMAS)
+    articles = latest_per_key(news_ops.normalize_news(raw), ["ticker", "id"], F.col("published_at"))
+    analysed = analyse_news(articles, stopwords, dic.LEMMAS if lemmas is None else lemmas)
     tables.write_day(analysed, cfg.table(NEWS_TABLE), run_date, cfg.table_format)
     return tables.read_day(spark, cfg.table(NEWS_TABLE), run_date)
 
@@ -124,16 +132,33 @@ def topic_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> DataFram
         model, news.select("ticker", "id", "published_at", "title", "summary")
     )
     tables.replace_table(described, cfg.table(TOPICS_TABLE), cfg.table_format)
+    model.discard()
     return spark.read.table(cfg.table(TOPICS_TABLE))
 
 
 def report_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> DataFrame:
-    """What the word clouds show, per ticker, and where the day's artefacts are kept."""
+    """What word clouds and topic maps show, per ticker, and where the day's artefacts are kept.
+
+    Words and neighbouring words of the titles, and the small topic model behind a map with its
+    terms, distances and sizes. The manifest lists the tickers whose rows were written.
+    """
     titled = spark.read.table(cfg.table(TOPICS_TABLE)).where(F.col("title").isNotNull())
-    words = titled.select("ticker", tokenize("title", dic.STOPWORDS).alias("tokens"))
-    top = terms.top_terms_per_group(words, F.col("tokens"), 100, "ticker")
-    tables.write_day(top, cfg.table(TERMS_TABLE), run_date, cfg.table_format)
-    manifest = news_ops.artifact_manifest(topics.topic_counts(titled, cfg.topics), run_date, cfg.report_root)
+    words = titled.select("ticker", "id", tokenize("title", dic.STOPWORDS).alias("tokens"))
+    parts = {
+        TERMS_TABLE: terms.top_terms_per_group(words, F.col("tokens"), 100, "ticker"),
+        BIGRAMS_TABLE: terms.top_bigrams_per_group(words, "tokens", 100, "ticker"),
+    }
+    model = topics.display_model(words, cfg.topics)
+    parts[TOPIC_TERMS_TABLE] = topics.topic_relevance(model.topic_terms())
+    parts[TOPIC_DISTANCE_TABLE] = topics.topic_distance(model.topic_terms())
+    parts[TOPIC_SIZES_TABLE] = topics.topic_sizes(model.assignments())
+    for name, part in parts.items():
+        tables.write_day(part, cfg.table(name), run_date, cfg.table_format)
+    model.discard()
+    written = tables.read_day(spark, cfg.table(TERMS_TABLE), run_date).join(
+        tables.read_day(spark, cfg.table(TOPIC_TERMS_TABLE), run_date).select("ticker"), "ticker", "left_semi"
+    )
+    manifest = news_ops.artifact_manifest(written, run_date, cfg.table(TERMS_TABLE), cfg.table(TOPIC_TERMS_TABLE))
     tables.write_day(manifest, cfg.table(MANIFEST_TABLE), run_date, cfg.table_format)
     return tables.read_day(spark, cfg.table(MANIFEST_TABLE), run_date)
 
@@ -142,14 +167,14 @@ def comparison_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> Dat
     """Both scorers on the summaries, article by article, and the one-row report of their agreement."""
     names = ("polarity", "compound")
     scores = spark.read.table(cfg.table(SCORES_TABLE))
-    sides = ", ".join(
-        f"struct('{name}' AS scorer, {score}_summary_token AS score, {label}_summary_token AS label)"
-        for name, score, label in (("polarity", "tb_pol", "tb_label"), ("compound", "vd_comp", "vd_label"))
+    # Both scores stand on one row; an article is one per ticker.
+    sides = [("polarity", "tb_pol", "tb_label"), ("compound", "vd_comp", "vd_label")]
+    paired = scores.select(
+        "ticker", "id",
+        *[F.col(f"{score}_summary_token").alias(f"{name}_score") for name, score, _ in sides],
+        *[F.col(f"{label}_summary_token").alias(f"{name}_label") for name, _, label in sides],
     )
-    # An article is one per ticker; the same number under two tickers is two articles.
-    tagged = scores.selectExpr("concat_ws('/', ticker, id) AS article", f"inline(array({sides}))")
-    compared = compare.compare_pair(compare.pair_tagged(tagged, "article", "scorer", names), names)
-    tables.replace_table(compared, cfg.table(COMPARISON_TABLE), cfg.table_format)
+    tables.replace_table(compare.compare_pair(paired, names), cfg.table(COMPARISON_TABLE), cfg.table_format)
     report = compare.agreement_report(spark.read.table(cfg.table(COMPARISON_TABLE)), names)
     tables.export_csv(report, f"{cfg.report_root}/agreement_{run_date:%Y-%m-%d}", single_row=True)
     return report
@@ -168,7 +193,7 @@ def prediction_job(
         combine_tokens(F.col("title_tokens"), F.col("summary_tokens")).alias("tokenized_text"),
     )
     rows = docs.join(scores.drop("run_date"), ["ticker", "id"])
-    fitted = models.fit_score_heads(spark, rows, "tokenized_text", targets, **vector_options)
+    fitted = models.fit_score_heads(rows, "tokenized_text", targets, **vector_options)
     if model_path:
         fitted.write().overwrite().save(model_path)
     tables.replace_table(

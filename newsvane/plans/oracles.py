@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from newsvane import dictionaries as dic
-from newsvane.functions.text import HTML_ENTITIES
+from newsvane.functions.text import HTML_NAMES
 from newsvane.plans import views
 
 STOP_LIST = ", ".join(f"'{w}'" for w in dic.STOPWORDS)
@@ -228,7 +228,8 @@ def _paired(names: tuple[str, str], left: str, right: str) -> tuple[str, str]:
         f"""SELECT *, {_round(f'abs({b}_score - {a}_score)', 4)} AS score_diff, {a}_label <> {b}_label AS is_conflict,
         CASE WHEN {a}_label <> {b}_label THEN {b}_label ELSE {a}_label END AS final_label
         FROM (SELECT id, score AS {a}_score, label AS {a}_label FROM ({left}))
-        JOIN (SELECT id, score AS {b}_score, label AS {b}_label FROM ({right})) USING (id)""",
+        JOIN (SELECT id, score AS {b}_score, label AS {b}_label FROM ({right})) USING (id)
+        JOIN (SELECT source AS ticker, doc_id AS id FROM documents) USING (id)""",
     )
 
 
@@ -270,12 +271,28 @@ def _clean_report() -> str:
     return text
 
 
-def _html() -> str:
-    text = r"regexp_replace(coalesce(html, ''), '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', '', 'g')"
-    text = f"regexp_replace({text}, '(?s)<[^>]+>', '', 'g')"
-    for entity, character in HTML_ENTITIES:
-        text = f"replace({text}, '{entity}', '{character.replace(chr(39), chr(39) * 2)}')"
-    return f"trim({text})"
+def _names() -> str:
+    """The named characters as rows."""
+    rows = ", ".join(f"('{name}', '{text.replace(chr(39), chr(39) * 2)}')" for name, text in HTML_NAMES.items())
+    return f"SELECT map_from_entries(list((name, text))) AS names FROM (VALUES {rows}) AS t(name, text)"
+
+
+def _html(source: str, key: str, html: str) -> str:
+    """Text of an HTML column: split at ampersands, references decoded piece by piece, joined again."""
+    bare = rf"regexp_replace(coalesce({html}, ''), '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', '', 'g')"
+    bare = f"regexp_replace({bare}, '(?s)<[^>]+>', '', 'g')"
+    return _ctes(
+        ("entities", _names()),
+        ("pieces", f"SELECT {key}, unnest(string_split({bare}, '&')) AS piece, generate_subscripts(string_split({bare}, '&'), 1) AS spot FROM {source}"),
+        ("named", r"""SELECT *, regexp_extract(piece, '^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);', 1) AS name FROM pieces"""),
+        ("coded", """SELECT *, CASE WHEN lower(left(name, 2)) = '#x' THEN CAST('0x' || substr(name, 3) AS BIGINT)
+            WHEN left(name, 1) = '#' THEN CAST(substr(name, 2) AS BIGINT) END AS code FROM named"""),
+        ("decoded", """SELECT *, CASE WHEN code = 160 THEN ' '
+            WHEN code > 0 AND code <= 1114111 AND code NOT BETWEEN 55296 AND 57343 THEN chr(CAST(code AS INTEGER))
+            WHEN code IS NULL AND name <> '' THEN names[name] END AS found FROM coded, entities"""),
+    ) + f"""SELECT {key}, trim(string_agg(CASE WHEN spot = 1 THEN piece WHEN found IS NOT NULL
+        THEN found || substr(piece, length(name) + 2) ELSE '&' || piece END, '' ORDER BY spot)) AS text
+        FROM decoded GROUP BY {key}"""
 
 
 _RANK_TERMS = "CAST(row_number() OVER ({p} ORDER BY n DESC, term) AS INTEGER)"
@@ -311,6 +328,8 @@ def _long_rows() -> str:
 
 
 def build() -> dict[str, str]:
+    from newsvane.plans.registry import ENTITY_FORMS, VECTOR_SIZE, unfiltered_words
+
     sql: dict[str, str] = {}
 
     # --- sources and fetches
@@ -339,7 +358,8 @@ def build() -> dict[str, str]:
     sql["price_sanity_filter"] = _ctes(PRICES) + f"SELECT ticker, {_day()}, close_price FROM prices WHERE close_price < 100"
     sql["drop_incomplete"] = _ctes(NEWS) + """SELECT ticker, id, title, quality FROM news
         JOIN labels ON doc_id = id WHERE title IS NOT NULL AND quality IS NOT NULL"""
-    sql["news_on_date"] = _ctes(NEWS) + "SELECT ticker, id, title FROM news WHERE trade_date = DATE '2024-01-05'"
+    sql["news_on_date"] = _ctes(NEWS) + """SELECT ticker, id, title,
+        count(*) OVER () AS articles FROM news WHERE trade_date = DATE '2024-01-05'"""
     sql["min_group_gate"] = """SELECT event_id, user_id FROM events
         QUALIFY count(*) OVER (PARTITION BY user_id) >= 68"""
     sql["cap_per_ticker"] = _ctes(NEWS) + """SELECT ticker, id, title,
@@ -347,6 +367,8 @@ def build() -> dict[str, str]:
     returns = _round("(close_price - open_price) / open_price", 4) + " AS intraday_return"
     sql["news_price_join"] = _ctes(NEWS, PRICES) + f"""SELECT ticker, id, {_day()}, title, open_price, close_price, {returns}
         FROM news JOIN prices USING (ticker, trade_date)"""
+    sql["merge_articles"] = _ctes(NEWS, PRICES) + f"""SELECT ticker, {_day()}, 'a' || id AS uuid, title,
+        trim(summary) AS cleaned_text, open_price, close_price, {returns} FROM news JOIN prices USING (ticker, trade_date)"""
     sql["market_mood_join"] = _ctes(*SCORED, PRICES) + f"""SELECT {_day()}, ticker, close_price,
         {_round('(s / n) / 1e6', 6)} AS market_score, n AS market_news FROM prices JOIN
         (SELECT trade_date, CAST(sum({_micros('compound')}) AS BIGINT) AS s, count(*) AS n FROM scored GROUP BY 1)
@@ -356,12 +378,12 @@ def build() -> dict[str, str]:
         'topic - ' || label || ' - ' || coalesce(name, '{dic.DEFAULT_TOPIC_NAME}') AS display_name
         FROM embeddings LEFT JOIN ({dic.values_clause(dic.TOPIC_NAMES)}) AS t(topic, name) ON topic = label"""
     sql["distinct_tickers"] = "SELECT DISTINCT source AS ticker FROM documents"
-    sql["dedup_text"] = """SELECT min(doc_id) AS id, arg_min(source, doc_id) AS ticker, count(*) AS copies
-        FROM documents GROUP BY text"""
+    sql["dedup_text"] = """SELECT min(doc_id) AS id, arg_min(source, doc_id) AS ticker, text AS summary, count(*) AS copies
+        FROM documents GROUP BY text, CASE WHEN text IS NULL THEN doc_id END"""
     sql["daily_return"] = _ctes(PRICES) + f"SELECT ticker, {_day()}, open_price, close_price, {returns} FROM prices"
-    folder = "'reports/daily_2024-01-30/ticker=' || source"
+    where = "'?run_date=2024-01-30&ticker=' || source"
     sql["artifact_manifest"] = f"""SELECT source AS ticker, '2024-01-30' AS report_date,
-        {folder} || '/wordcloud.png' AS wordcloud_url, {folder} || '/ldavis.html' AS ldavis_url
+        'report_terms' || {where} AS wordcloud_url, 'report_topic_terms' || {where} AS ldavis_url
         FROM documents GROUP BY source HAVING count(*) >= 5"""
 
     # --- text
@@ -380,7 +402,11 @@ def build() -> dict[str, str]:
         CAST(len(summary_lemmas) AS INTEGER) AS n_lemmas FROM nlp"""
     lists = ", ".join(_text(c) for c in ("title_tokens", "title_lemmas", "summary_tokens", "summary_lemmas"))
     sql["news_nlp"] = _ctes(NEWS, TOKENIZED, NLP) + f"SELECT ticker, id, {lists} FROM nlp"
-    sql["html_to_text"] = f"SELECT page_id, {_html()} AS text FROM pages"
+    sql["html_to_text"] = _html("pages", "page_id", "html")
+    written = "text"
+    for letter, reference in ENTITY_FORMS:
+        written = f"replace({written}, '{letter}', '{reference}')"
+    sql["html_entities"] = _html("documents", "doc_id", written)
     sql["report_line_clean"] = f"SELECT doc_id, {_clean_report()} AS clean FROM documents"
     words = rf"string_split_regex({_clean_report()}, '[^\p{{L}}\p{{N}}]+')"
     kept = f"list_filter(list_transform({words}, lambda w: lower(w)), lambda w: w <> '' AND w NOT IN ({STOP_LIST}))"
@@ -389,6 +415,18 @@ def build() -> dict[str, str]:
 
     # --- sentiment
     sql["vader_score"] = _ctes(*SCORED) + "SELECT ticker, id, compound FROM scored"
+    words = f"string_split_regex(lower({unfiltered_words('summary')}), '[^a-z]+')"
+    every_word = ("every_word", f"SELECT id, list_filter({words}, lambda w: length(w) > 1) AS tokens FROM news")
+    sql["vader_score_unfiltered"] = _ctes(
+        NEWS, every_word, LEXICON, MODIFIERS, *_scoring("every_word", [("text", "tokens")])
+    ) + f"SELECT ticker, id, {_SCORES} FROM sums JOIN news USING (id)"
+    narrow = ", ".join(
+        f"max(CASE WHEN slot = '{f}_lemma' THEN {m} END) AS {f}_{m}, max(CASE WHEN slot = '{f}_lemma' THEN {rule(m)} END) AS {f}_{m}_sentiment"
+        for f in ("title", "summary") for m, rule in (("polarity", _polarity_label), ("subjectivity", _subjectivity_label))
+    )
+    sql["narrow_scores"] = _ctes(*LONG) + f"""SELECT ticker, id, {_text('title_lemmas', 'title_text')},
+        {_text('summary_lemmas', 'summary_text')}, s.* EXCLUDE (id)
+        FROM nlp JOIN (SELECT id, {narrow} FROM slot_scores GROUP BY id) s USING (id)"""
     sql["polarity_subjectivity"] = _ctes(*SCORED) + "SELECT ticker, id, polarity, subjectivity FROM scored"
     sql["sentiment_labels"] = _ctes(*SCORED) + f"""SELECT id, {_compound_label('compound')} AS compound_label,
         {_polarity_label('polarity')} AS polarity_label, {_subjectivity_label('subjectivity')} AS subjectivity_label
@@ -411,8 +449,8 @@ def build() -> dict[str, str]:
     mean = f"CAST(sum({_micros('score_diff')}) AS BIGINT) / count(*) / 1e6"
     sql["avg_score_diff"] = _ctes(*VARIANTS) + f"""SELECT {_round(mean, 6)} AS average_score_diff,
         count(*) AS articles FROM compared"""
-    sql["top_score_diffs"] = _ctes(*VARIANTS) + """SELECT id, token_score, lemma_score, score_diff,
-        CAST(row_number() OVER (ORDER BY score_diff DESC, id) AS INTEGER) AS rank FROM compared QUALIFY rank <= 200"""
+    sql["top_score_diffs"] = _ctes(*VARIANTS) + """SELECT ticker, id, token_score, lemma_score, score_diff,
+        CAST(row_number() OVER (ORDER BY score_diff DESC, ticker, id) AS INTEGER) AS rank FROM compared QUALIFY rank <= 200"""
     gap = f"CAST(sum({_micros('abs(compound_score - polarity_score)')}) AS BIGINT) / count(*) / 1e6"
     opposed = """(polarity_label = 'positive' AND compound_label = 'negative')
         OR (polarity_label = 'negative' AND compound_label = 'positive')"""
@@ -482,13 +520,21 @@ def build() -> dict[str, str]:
     sql["vocabulary_per_ticker"] = _ctes(NEWS, TOKENIZED, DOC_TOKENS) + f"""SELECT ticker,
         CAST({ranked} - 1 AS INTEGER) AS term_index, term, n
         FROM ({per_ticker.format(e=_exploded('docs', 'tokens', 'ticker'))}) QUALIFY term_index < 5000"""
-    sql["sequence_encode"] = _ctes(
-        NEWS, TOKENIZED, DOC_TOKENS,
-        ("ranked", f"""SELECT term, row_number() OVER (ORDER BY n DESC, term) AS i
-            FROM (SELECT term, count(*) AS n FROM ({_exploded('docs', 'tokens')}) GROUP BY 1) WHERE n >= 2"""),
-        ("places", "SELECT id, p, tokens[p] AS term FROM docs, range(1, 51) AS r(p)"),
-    ) + """SELECT id, string_agg(CAST(coalesce(i, 0) AS VARCHAR), ',' ORDER BY p) AS sequence
-        FROM places LEFT JOIN ranked USING (term) GROUP BY id"""
+    def sequences(docs: str) -> str:
+        return _ctes(
+            NEWS, TOKENIZED, ("docs", docs),
+            ("ranked", f"""SELECT term, row_number() OVER (ORDER BY n DESC, term) AS i
+                FROM (SELECT term, count(*) AS n FROM ({_exploded('docs', 'tokens')}) GROUP BY 1) WHERE n >= 2"""),
+            ("places", "SELECT ticker, id, p, tokens[p] AS term FROM docs, range(1, 51) AS r(p)"),
+        ) + """SELECT ticker, id, string_agg(CAST(coalesce(i, 0) AS VARCHAR), ',' ORDER BY p) AS sequence
+            FROM places LEFT JOIN ranked USING (term) GROUP BY ticker, id"""
+
+    sql["sequence_encode"] = sequences(DOC_TOKENS[1])
+    sql["sequence_encode_shared_ids"] = sequences(
+        f"{DOC_TOKENS[1]} UNION ALL SELECT ticker || '-B', id, title_tokens FROM tokenized"
+    )
+    sql["lemmatize_by_join"] = _ctes(NEWS, TOKENIZED, NLP) + f"""SELECT ticker, id, {_text('summary_lemmas', 'lemmas')},
+        CAST(len(summary_lemmas) AS INTEGER) AS n_lemmas FROM nlp"""
     sql["term_lift"] = _ctes(
         NEWS, TOKENIZED, QUALITY,
         ("words", "SELECT quality, unnest(summary_tokens) AS term FROM quality_docs WHERE quality IS NOT NULL"),
@@ -499,6 +545,43 @@ def build() -> dict[str, str]:
         JOIN (SELECT quality, count(*) AS n_label FROM words GROUP BY 1) USING (quality),
         (SELECT count(*) AS n_all FROM words)"""
 
+    vocabulary = f"""SELECT {_RANK_TERMS.format(p='')} - 1 AS term_index, term
+        FROM (SELECT term, count(*) AS n, count(DISTINCT id) AS df FROM ({_exploded('docs', 'tokens', 'id')}) GROUP BY 1)
+        WHERE df >= 5 QUALIFY term_index < 10000"""
+    sql["count_vectors"] = _ctes(
+        NEWS, TOKENIZED, DOC_TOKENS, ("words", vocabulary),
+        ("counted", f"SELECT id, term, count(*) AS n FROM ({_exploded('docs', 'tokens', 'id')}) GROUP BY 1, 2"),
+        ("lists", """SELECT id, string_agg(CAST(term_index AS VARCHAR), ',' ORDER BY term_index) AS indices,
+            string_agg(CAST(n AS VARCHAR), ',' ORDER BY term_index) AS counts FROM counted JOIN words USING (term) GROUP BY 1"""),
+    ) + "SELECT ticker, id, coalesce(indices, '') AS indices, coalesce(counts, '') AS counts FROM docs LEFT JOIN lists USING (id)"
+    sql["vocabulary_pruned_per_ticker"] = _ctes(NEWS, TOKENIZED) + f"""SELECT ticker,
+        CAST({ranked} - 1 AS INTEGER) AS term_index, term, n
+        FROM (SELECT ticker, term, count(*) AS n, count(DISTINCT id) AS df
+              FROM ({_exploded('tokenized', 'title_tokens', 'ticker', 'id')}) GROUP BY 1, 2)
+        JOIN (SELECT ticker, count(*) AS documents FROM tokenized GROUP BY 1) USING (ticker)
+        WHERE df >= 2 AND df <= 0.9e0 * documents QUALIFY term_index < 500"""
+
+    # --- topics
+    counted = (
+        NEWS, TOKENIZED, QUALITY,
+        ("words", "SELECT ticker, quality, unnest(summary_tokens) AS term FROM quality_docs WHERE quality IS NOT NULL"),
+        ("per_term", """SELECT ticker, term, count(*) AS n, count(*) FILTER (quality = 0) AS c0,
+            count(*) FILTER (quality = 1) AS c1 FROM words GROUP BY 1, 2"""),
+        ("per_ticker", "SELECT ticker, count(*) AS terms, sum(c0) AS t0, sum(c1) AS t1, sum(n) AS corpus FROM per_term GROUP BY 1"),
+        ("topic_terms", """SELECT ticker, 0 AS topic, term, n, corpus, (c0 + 1) / (t0 + terms) AS p FROM per_term JOIN per_ticker USING (ticker)
+            UNION ALL SELECT ticker, 1, term, n, corpus, (c1 + 1) / (t1 + terms) FROM per_term JOIN per_ticker USING (ticker)"""),
+    )
+    sql["topic_relevance"] = _ctes(*counted) + f"""SELECT ticker, CAST(topic AS INTEGER) AS topic, term,
+        {_round('p', 9)} AS probability, {_round('0.6e0 * ln(p) + 0.4e0 * ln(p / (n / corpus))', 6)} AS relevance FROM topic_terms"""
+    sql["topic_distance"] = _ctes(*counted) + f"""SELECT ticker, CAST(0 AS INTEGER) AS topic_a, CAST(1 AS INTEGER) AS topic_b,
+        {_round('sum(0.5e0 * (a.p * ln(a.p / ((a.p + b.p) / 2)) + b.p * ln(b.p / ((a.p + b.p) / 2))))', 6)} AS js_divergence
+        FROM topic_terms a JOIN topic_terms b USING (ticker, term) WHERE a.topic = 0 AND b.topic = 1 GROUP BY ticker"""
+    sql["topic_sizes"] = f"""SELECT 'L' || label AS ticker, CAST(spot - 1 AS INTEGER) AS topic,
+        {_round('avg(size / total)', 9)} AS prevalence, count(*) AS documents
+        FROM (SELECT label, unnest(sizes) AS size, generate_subscripts(sizes, 1) AS spot, list_sum(sizes) AS total
+              FROM (SELECT label, list_transform(embedding, lambda x: abs(CAST(x AS DOUBLE))) AS sizes FROM embeddings))
+        GROUP BY 1, 2"""
+
     # --- vectors
     sql["dominant_topic"] = """SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT)
         AS dominant_topic_id FROM embeddings"""
@@ -510,6 +593,34 @@ def build() -> dict[str, str]:
             AS cosine FROM fixed f JOIN fixed q ON q.vec_id = 0 AND f.vec_id <> 0"""),
     ) + """SELECT vec_id, cosine, CAST(row_number() OVER (ORDER BY cosine DESC, vec_id) AS INTEGER) AS rank
         FROM cosines QUALIFY rank <= 15"""
+    word_table = (
+        NEWS, TOKENIZED, DOC_TOKENS, ("words", vocabulary),
+        ("stored", f"SELECT term, {fixed} AS v FROM words JOIN embeddings ON vec_id = term_index"),
+    )
+    known = "SELECT id, term, count(*) AS n FROM (SELECT id, unnest(tokens) AS term FROM docs) GROUP BY 1, 2"
+    sql["word2vec_docs"] = _ctes(
+        *word_table,
+        ("sums", f"""SELECT id, p, sum(n) AS known_words, sum(n * v[p]) AS s
+            FROM ({known}) JOIN stored USING (term), range(1, {VECTOR_SIZE + 1}) AS r(p) GROUP BY 1, 2"""),
+        ("means", f"""SELECT id, CAST(max(known_words) AS BIGINT) AS known_words,
+            string_agg(CAST(CAST(floor((s / known_words / 1e6) * 1e6 + 0.5e0) AS BIGINT) AS VARCHAR), ',' ORDER BY p) AS vector
+            FROM sums GROUP BY 1"""),
+    ) + "SELECT ticker, id, coalesce(known_words, 0) AS known_words, vector FROM docs LEFT JOIN means USING (id)"
+    sql["word2vec_synonyms"] = _ctes(
+        *word_table,
+        ("query", "SELECT term, v FROM stored JOIN words USING (term) WHERE term_index = 0"),
+        ("near", f"""SELECT q.term AS query, f.term AS word, {_round(dot.format(a='f.v', b='q.v') + f" / sqrt({dot.format(a='f.v', b='f.v')} * {dot.format(a='q.v', b='q.v')})", 6)} AS similarity
+            FROM stored f, query q WHERE f.term <> q.term"""),
+    ) + "SELECT query, word, similarity FROM near QUALIFY row_number() OVER (ORDER BY similarity DESC, word) <= 15"
+    train = "((id % 1000000007) * 2654435761) % 4294967296 < 3435973836"
+    sql["held_out_labels"] = _ctes(*SCORED) + f"""SELECT {_polarity_label('polarity')} AS label,
+        count(*) FILTER ({train}) AS train_articles, count(*) FILTER (NOT {train}) AS test_articles FROM scored GROUP BY 1"""
+    number = "CASE {l} WHEN 'positive' THEN 0e0 WHEN 'neutral' THEN 1e0 ELSE 2e0 END"
+    numbered = ("numbered", f"""SELECT {number.format(l=_polarity_label('polarity'))} AS label_index,
+        {number.format(l=_compound_label('compound'))} AS prediction FROM scored""")
+    sql["label_confusion"] = _ctes(*SCORED, numbered) + "SELECT label_index, prediction, count(*) AS articles FROM numbered GROUP BY 1, 2"
+    sql["label_accuracy"] = _ctes(*SCORED, numbered) + f"""SELECT
+        {_round('avg(CASE WHEN label_index = prediction THEN 1e0 ELSE 0e0 END)', 6)} AS accuracy, count(*) AS articles FROM numbered"""
     sql["train_test_split"] = """SELECT doc_id,
         CASE WHEN ((doc_id % 1000000007) * 2654435761) % 4294967296 < 3435973836 THEN 1 ELSE 0 END AS is_train
         FROM documents"""

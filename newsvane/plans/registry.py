@@ -5,14 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsvane import dictionaries as dic
-from newsvane.config import TopicSettings
 from newsvane.functions import labels, text
-from newsvane.functions.numeric import round_to
 from newsvane.operators import (
     compare, models, news as news_ops, ranking, sentiment, signals as signal_ops, terms, topics,
     trading, vectors,
@@ -116,7 +113,8 @@ def dedup_latest(spark, sf):
     fetched = views.table(spark, sf, "events").select(
         "user_id", "event_type", F.to_date("ts").alias("run_date"), "value", "event_id"
     )
-    return _dates_as_text(news_ops.dedup_fetches(fetched, "user_id", "event_type"))
+    ties = [F.col("value"), F.col("event_id")]
+    return _dates_as_text(news_ops.dedup_fetches(fetched, "user_id", "event_type", ties=ties))
 
 
 @query
@@ -143,7 +141,11 @@ def market_normalize(spark, sf):
 
 @query
 def signals_asof(spark, sf):
-    return _dates_as_text(news_ops.up_to(_signals(spark, sf), AS_OF))
+    # Signals look back only, so days after the date need not be read, scored or joined.
+    news = news_ops.up_to(views.tokenized_news(spark, sf), AS_OF)
+    scored = sentiment.score_texts(news, KEYS, "summary_tokens", *_dictionaries(spark))
+    bars = news_ops.up_to(views.prices(spark, sf), AS_OF)
+    return _dates_as_text(signal_ops.trading_signals(scored, bars, "compound"))
 
 
 @query
@@ -162,7 +164,7 @@ def drop_incomplete(spark, sf):
 @query
 def news_on_date(spark, sf):
     found = news_ops.news_on_date(views.news(spark, sf), DRILL_DATE)
-    return found.select("ticker", "id", "title")
+    return found.select("ticker", "id", "title", "articles")
 
 
 @query
@@ -184,6 +186,15 @@ def news_price_join(spark, sf):
     return _dates_as_text(joined.select(*KEYS, "title", "open_price", "close_price", "intraday_return"))
 
 
+@query
+def merge_articles(spark, sf):
+    articles = views.news(spark, sf).select(
+        "ticker", F.concat(F.lit("a"), F.col("id")).alias("uuid"), "title", F.concat(F.lit("<p>"), "summary", F.lit("</p>")).alias("summary"),
+        F.concat(F.date_format("trade_date", "yyyy-MM-dd"), F.lit("T10:00:00Z")).alias("published"),
+    )
+    return _dates_as_text(news_ops.merge_articles(articles, views.prices(spark, sf)))
+
+
 @query
 def market_mood_join(spark, sf):
     bars = views.prices(spark, sf).select("ticker", "trade_date", "close_price")
@@ -219,7 +230,7 @@ def daily_return(spark, sf):
 @query
 def artifact_manifest(spark, sf):
     sizes = topics.topic_counts(views.news(spark, sf))
-    return news_ops.artifact_manifest(sizes, RUN_DATE, "reports")
+    return news_ops.artifact_manifest(sizes, RUN_DATE, "report_terms", "report_topic_terms")
 
 
 # --- text ----------------------------------------------------------------------------------------
@@ -279,6 +290,18 @@ def html_to_text(spark, sf):
     return pages.select("page_id", text.html_to_text(F.col("html")).alias("text"))
 
 
+ENTITY_FORMS = (("a", "&agrave;"), ("e", "&#8217;"), ("i", "&#x20AC;"), ("o", "&mdash;"), ("u", "&amp;lt;"), ("n", "&nosuch;"), ("r", "&#0;"))
+
+
+@query
+def html_entities(spark, sf):
+    """Documents with some letters written as character references of every kind."""
+    written = F.col("text")
+    for letter, reference in ENTITY_FORMS:
+        written = F.replace(written, F.lit(letter), F.lit(reference))
+    return views.documents(spark, sf).select("doc_id", text.html_to_text(written).alias("text"))
+
+
 def _report(spark, sf):
     """Documents laid out like an extracted report: broken words, dot leaders, page numbers, wide gaps."""
     laid_out = F.col("text")
@@ -310,6 +333,32 @@ def vader_score(spark, sf):
     return _scored(spark, sf).select("ticker", "id", "compound")
 
 
+# Sentences with every modifying rule, put before the prose in turn.
+PROSE = (
+    "not very good but extremely bad ", "the best growth but a weak profit ", "never a great gain ",
+    "a slightly bad loss and no risk ", "cannot really be good ", "",
+)
+
+
+def unfiltered_words(summary: str) -> str:
+    """SQL, in either engine, of a summary with one of the sentences in front."""
+    cases = " ".join(f"WHEN id % {len(PROSE)} = {i} THEN '{s}'" for i, s in enumerate(PROSE))
+    return f"concat(CASE {cases} END, coalesce({summary}, ''))"
+
+
+@query
+def vader_score_unfiltered(spark, sf):
+    """All words are scored, stop words too, so that negations, boosters and the contrast word act."""
+    news = views.news(spark, sf).withColumn("prose", F.expr(unfiltered_words("summary")))
+    tokens = news.select("ticker", "id", text.tokenize("prose").alias("tokens"))
+    return sentiment.score_texts(tokens, ["ticker", "id"], "tokens", *_dictionaries(spark))
+
+
+@query
+def narrow_scores(spark, sf):
+    return sentiment.narrow_scores(views.nlp_news(spark, sf), ["ticker", "id"], "lemma", "polarity", *_dictionaries(spark))
+
+
 @query
 def polarity_subjectivity(spark, sf):
     return _scored(spark, sf).select("ticker", "id", "polarity", "subjectivity")
@@ -346,19 +395,18 @@ VARIANT_NAMES, SCORER_NAMES = ("token", "lemma"), ("polarity", "compound")
 
 
 def _compared_variants(spark, sf):
-    long = sentiment.scores_long(_matrix(spark, sf), ["id"]).where("field = 'title' AND scorer = 'vd_comp'")
-    return compare.compare_pair(compare.pair_tagged(long, "id", "variant", VARIANT_NAMES), VARIANT_NAMES)
+    slots = {name: f"title_{name}s" for name in VARIANT_NAMES}
+    scored = sentiment.score_variants(views.nlp_news(spark, sf), ["ticker", "id"], slots, *_dictionaries(spark))
+    return compare.compare_pair(scored, VARIANT_NAMES)
 
 
 def _compared_scorers(spark, sf):
     scored = _scored(spark, sf).select(
-        "id", "polarity", "compound",
+        "ticker", "id", F.col("polarity").alias("polarity_score"), F.col("compound").alias("compound_score"),
         labels.polarity_label(F.col("polarity")).alias("polarity_label"),
         labels.compound_label(F.col("compound")).alias("compound_label"),
     )
-    sides = ", ".join(f"struct('{n}' AS scorer, {n} AS score, {n}_label AS label)" for n in SCORER_NAMES)
-    tagged = scored.selectExpr("id", f"inline(array({sides}))")
-    return compare.compare_pair(compare.pair_tagged(tagged, "id", "scorer", SCORER_NAMES), SCORER_NAMES)
+    return compare.compare_pair(scored, SCORER_NAMES)
 
 
 @query
@@ -384,8 +432,8 @@ def avg_score_diff(spark, sf):
 @query
 def top_score_diffs(spark, sf):
     return ranking.top_n(
-        _compared_variants(spark, sf).select("id", "token_score", "lemma_score", "score_diff"),
-        [F.desc("score_diff"), F.asc("id")], 200,
+        _compared_variants(spark, sf).select("ticker", "id", "token_score", "lemma_score", "score_diff"),
+        [F.desc("score_diff"), F.asc("ticker"), F.asc("id")], 200,
     )
 
 
@@ -500,10 +548,32 @@ def vocabulary_per_ticker(spark, sf):
     return terms.vocabulary_per_group(_doc_tokens(spark, sf), "tokens", "ticker")
 
 
+def _encoded(docs: DataFrame) -> DataFrame:
+    encoded = terms.encode_sequences(docs, ["ticker", "id"], "tokens")
+    return encoded.select("ticker", "id", F.array_join(F.col("sequence").cast("array<string>"), ",").alias("sequence"))
+
+
 @query
 def sequence_encode(spark, sf):
-    encoded = terms.encode_sequences(_doc_tokens(spark, sf), "id", "tokens")
-    return encoded.select("id", F.array_join(F.col("sequence").cast("array<string>"), ",").alias("sequence"))
+    return _encoded(_doc_tokens(spark, sf))
+
+
+@query
+def sequence_encode_shared_ids(spark, sf):
+    """Every id under two tickers: the article's own, with all its words, and a second one with its title's."""
+    news = views.tokenized_news(spark, sf)
+    second = news.select(F.concat("ticker", F.lit("-B")).alias("ticker"), "id", F.col("title_tokens").alias("tokens"))
+    return _encoded(_doc_tokens(spark, sf).unionByName(second))
+
+
+@query
+def lemmatize_by_join(spark, sf):
+    dictionary = dic.lemma_table(spark)
+    news = views.tokenized_news(spark, sf)
+    joined = terms.lemmatize_by_join(news, ["ticker", "id"], "summary_tokens", dictionary)
+    return joined.select(
+        "ticker", "id", F.array_join("lemmas", " ").alias("lemmas"), F.size("lemmas").alias("n_lemmas")
+    )
 
 
 @query
@@ -543,35 +613,20 @@ def topic_k_choice(spark, sf):
 
 @query
 def count_vectors(spark, sf):
-    docs = _doc_tokens(spark, sf)
-    counted = models.count_vectorizer("tokens").fit(docs).transform(docs)
-    # The stored form of a sparse vector: its entries without the zeros in between.
-    counts = counted.select("id", F.unwrap_udt("features")["values"].alias("counts"))
-    return counts.select(
-        "id",
-        F.aggregate("counts", F.lit(0.0), lambda a, x: a + x).alias("known_tokens"),
-        F.size("counts").alias("known_terms"),
-    )
+    counted = terms.count_vectors(_doc_tokens(spark, sf), ["ticker", "id"], "tokens")
+    written = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("indices", "counts")]
+    return counted.select("ticker", "id", *written)
 
 
 @query
 def topics_corpus(spark, sf):
-    docs = _doc_tokens(spark, sf)
-    model = models.corpus_topics(docs, "tokens")
-    return models.with_dominant_topic(model, docs).select("ticker", "id", "dominant_topic_id")
+    model = models.corpus_topics(_doc_tokens(spark, sf), "tokens")
+    return models.corpus_assignments(model).select("ticker", "id", "dominant_topic_id")
 
 
 @query
 def topic_keywords(spark, sf):
-    return models.corpus_topic_keywords(models.corpus_topics(_doc_tokens(spark, sf), "tokens"), spark)
-
-
-def _display_model(spark, sf):
-    """The smaller per-ticker model behind a topic map: titles, pruned vocabulary, five rounds."""
-    docs = views.tokenized_news(spark, sf).select("ticker", "id", F.col("title_tokens").alias("tokens"))
-    settings = TopicSettings(max_topics=5, iterations=5)
-    sizes = topics.topic_counts(docs, settings).withColumn("k", topics.display_topic_count(F.col("documents")))
-    return topics.fit_topics(docs, settings, sizes=sizes)
+    return models.corpus_topic_keywords(models.corpus_topics(_doc_tokens(spark, sf), "tokens"))
 
 
 @query
@@ -582,41 +637,74 @@ def topics_per_ticker(spark, sf):
     return topics.describe_assignments(model, news.select("ticker", "id", "published_at", "title"))
 
 
+def _counted_topics(spark, sf):
+    """Topic-term table with the quality labels as topics: no model, so SQL can repeat it."""
+    labelled = _labelled_docs(spark, sf).where("quality IS NOT NULL")
+    return topics.counted_topic_terms(labelled, "summary_tokens", "quality", 2)
+
+
 @query
 def topic_relevance(spark, sf):
-    return topics.topic_relevance(_display_model(spark, sf).topic_terms())
+    return topics.topic_relevance(_counted_topics(spark, sf))
 
 
 @query
 def topic_distance(spark, sf):
-    return topics.topic_distance(_display_model(spark, sf).topic_terms())
+    return topics.topic_distance(_counted_topics(spark, sf))
 
 
-WORD_VECTORS = {"size": 100, "min_count": 3, "window": 5, "iterations": 20}
+@query
+def topic_sizes(spark, sf):
+    """The entries of a vector, made positive and scaled to one, stand for a document's topic shares."""
+    size = F.transform("embedding", lambda x: F.abs(x.cast("double")))
+    total = F.aggregate(size, F.lit(0.0), lambda a, x: a + x)
+    shares = views.table(spark, sf, "embeddings").select(
+        F.concat(F.lit("L"), F.col("label")).alias("ticker"), F.transform(size, lambda x: x / total).alias("distribution")
+    )
+    return topics.topic_sizes(shares)
+
+
+@query
+def vocabulary_pruned_per_ticker(spark, sf):
+    """The vocabulary of the display model."""
+    return terms.pruned_vocabulary_per_group(views.tokenized_news(spark, sf), "title_tokens", "ticker", 500)
+
+
+VECTOR_SIZE = 64
+
+
+def _word_table(spark, sf):
+    """The given vectors as a stored word-vector table: the vector of a term's place in the vocabulary."""
+    words = terms.vocabulary(_doc_tokens(spark, sf), "tokens")
+    stored = views.table(spark, sf, "embeddings").select(F.col("vec_id").alias("term_index"), F.col("embedding").alias("vector"))
+    return words.withColumn("term_index", F.col("term_index").cast("bigint")).join(stored, "term_index").select("term", "vector")
 
 
 @query
 def word2vec_docs(spark, sf):
-    docs = _doc_tokens(spark, sf)
-    fitted = models.word_vectors(spark, "tokens", **WORD_VECTORS).fit(docs)
-    return fitted.transform(docs).select("id", vector_to_array("features").alias("vector"))
+    docs = vectors.document_vectors(_doc_tokens(spark, sf), ["ticker", "id"], "tokens", _word_table(spark, sf), VECTOR_SIZE)
+    micros = F.transform("vector", lambda x: F.floor(x * 1e6 + 0.5).cast("string"))
+    return docs.select("ticker", "id", "known_words", F.array_join(micros, ",").alias("vector"))
 
 
 @query
 def word2vec_synonyms(spark, sf):
-    docs = _doc_tokens(spark, sf)
-    fitted = models.word_vectors(spark, "tokens", **WORD_VECTORS).fit(docs)
-    word = terms.top_terms(docs, F.col("tokens"), 1).first()["term"]
-    near = fitted.findSynonyms(word, 15)
-    return near.select(F.lit(word).alias("query"), "word", round_to(F.col("similarity"), 6).alias("similarity"))
+    """The words nearest to the most frequent one, by stored vectors."""
+    words = _word_table(spark, sf)
+    term = terms.vocabulary(_doc_tokens(spark, sf), "tokens", size=1).first()["term"]
+    near = vectors.nearest_terms(words, term, 15)
+    return near.select(F.lit(term).alias("query"), F.col("term").alias("word"), F.col("cosine").alias("similarity"))
+
+
+WORD_VECTORS = {"size": 100, "min_count": 3, "window": 5, "iterations": 20}
 
 
 def _labelled_tokens(spark, sf):
-    scored = sentiment.sentiment_matrix(views.nlp_news(spark, sf), ["id"], *_dictionaries(spark))
+    scored = sentiment.sentiment_matrix(views.nlp_news(spark, sf), ["ticker", "id"], *_dictionaries(spark))
     targets = scored.select(
-        "id", F.col("tb_label_summary_token").alias("label"), *SCORE_TARGETS
+        "ticker", "id", F.col("tb_label_summary_token").alias("label"), *SCORE_TARGETS
     )
-    return _doc_tokens(spark, sf).join(targets, "id")
+    return _doc_tokens(spark, sf).join(targets, ["ticker", "id"])
 
 
 SCORE_TARGETS = [
@@ -624,27 +712,62 @@ SCORE_TARGETS = [
 ]
 
 
+def _vector_options(docs: DataFrame) -> dict:
+    least = models.least_count(docs, "tokens", models.VECTOR_WORDS, WORD_VECTORS["min_count"])
+    return {**WORD_VECTORS, "min_count": least}
+
+
 def _predicted_labels(spark, sf):
     train, test = models.split(_labelled_tokens(spark, sf), "id")
-    fitted = models.sentiment_classifier(spark, "tokens", "label", **WORD_VECTORS).fit(train)
+    fitted = models.sentiment_classifier("tokens", "label", **_vector_options(train)).fit(train)
     return fitted.transform(test)
 
 
 @query
 def sentiment_classifier(spark, sf):
-    return _predicted_labels(spark, sf).select("id", "label", "label_index", "prediction")
+    return _predicted_labels(spark, sf).select("ticker", "id", "label", "label_index", "prediction")
 
 
 @query
 def classifier_accuracy(spark, sf):
-    predicted = _predicted_labels(spark, sf)
-    right = F.avg((F.col("label_index") == F.col("prediction")).cast("double"))
-    return predicted.agg(round_to(right, 6).alias("accuracy"), F.count("*").alias("articles"))
+    return models.accuracy_report(_predicted_labels(spark, sf))
+
+
+@query
+def held_out_labels(spark, sf):
+    """What a classifier is judged on: articles per label on both sides of the split."""
+    scored = _scored(spark, sf).withColumn("label", labels.polarity_label(F.col("polarity")))
+    train = vectors.is_train(F.col("id"))
+    return scored.groupBy("label").agg(
+        F.count_if(train).alias("train_articles"), F.count_if(~train).alias("test_articles")
+    )
+
+
+def _label_numbers(spark, sf):
+    """One scorer's label as the truth, the other's as a prediction of it."""
+    scored = _scored(spark, sf)
+    number = {"positive": 0.0, "neutral": 1.0, "negative": 2.0}
+    truth, guess = labels.polarity_label(F.col("polarity")), labels.compound_label(F.col("compound"))
+
+    def numbered(label):
+        return F.coalesce(*[F.when(label == name, F.lit(n)) for name, n in number.items()])
+
+    return scored.select(numbered(truth).alias("label_index"), numbered(guess).alias("prediction"))
+
+
+@query
+def label_confusion(spark, sf):
+    return models.confusion(_label_numbers(spark, sf))
+
+
+@query
+def label_accuracy(spark, sf):
+    return models.accuracy_report(_label_numbers(spark, sf))
 
 
 @query
 def score_regression(spark, sf):
     docs = _labelled_tokens(spark, sf)
-    fitted = models.fit_score_heads(spark, docs, "tokens", SCORE_TARGETS, **WORD_VECTORS)
+    fitted = models.fit_score_heads(docs, "tokens", SCORE_TARGETS, **_vector_options(docs))
     predicted = fitted.transform(docs)
-    return predicted.select("id", *SCORE_TARGETS, *[f"pred_{t}" for t in SCORE_TARGETS])
+    return predicted.select("ticker", "id", *SCORE_TARGETS, *[f"pred_{t}" for t in SCORE_TARGETS])

@@ -23,13 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# How many pieces the test tables are cut into as they are read; unset, they stay as they lie.
+PIECES = "spark.newsvane.inputPieces"
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Split a scan that arrives in fewer pieces than there are cores.
+    """Cut a test table that is one file of one row group, if the session asks for it.
 
-    A small table in one file is one task. A large one has more splits than cores and stays as read.
+    A table of many files needs no cutting and no shuffle before its first stage, so the setting is
+    left alone but on one machine with many cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    pieces = df.sparkSession.conf.get(PIECES, None)
+    return df.repartition(int(pieces), key) if pieces else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

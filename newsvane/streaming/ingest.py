@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsvane.operators.news import dedup_fetches, normalize_news, ticker_from_path
-from newsvane.plans.daily import analyse_news
+from newsvane.plans.daily import Lemmas, analyse_news
 from newsvane.sources.raw_zone import NEWS_SCHEMA
 from newsvane.sources.tables import write_partitions
 
@@ -32,28 +33,43 @@ def news_stream(spark: SparkSession, path: str, files_per_batch: int = 10_000) -
     )
 
 
+# An article comes again within this many days or counts as new: how far back known ones are looked up.
+REFETCH_DAYS = 45
+
+
 def store_batch(
-    batch: DataFrame, batch_id: int, table: str, stopwords: Iterable[str], lemmas: Mapping[str, str]
+    batch: DataFrame, batch_id: int, table: str, stopwords: Iterable[str], lemmas: Lemmas,
+    refetch_days: int = REFETCH_DAYS,
 ) -> int:
     """Store the articles of a batch that the table does not have yet.
 
     The batch writes only partitions that carry its own number, so running it again after a failure
-    replaces its first attempt and leaves all other batches alone.
+    replaces its first attempt and leaves all other batches alone. Known articles are read from the
+    partitions of the batch's days and of ``refetch_days`` before and after them, not from the whole
+    table. The batch is read once; its rows are held while its days are looked up and it is written.
     """
     spark = batch.sparkSession
-    latest = dedup_fetches(batch, "ticker", "id")
-    if spark.catalog.tableExists(table):
-        known = spark.read.table(table).where(F.col("batch_id") != batch_id).select("ticker", "id")
-        latest = latest.join(known, ["ticker", "id"], "left_anti")
-    analysed = analyse_news(normalize_news(latest), stopwords, lemmas)
-    dated = analysed.join(latest.select("ticker", "id", "run_date"), ["ticker", "id"])
-    numbered = dated.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    return write_partitions(numbered, table, ["run_date", "batch_id"])
+    held = batch.persist()
+    try:
+        latest = dedup_fetches(held, "ticker", "id")
+        if spark.catalog.tableExists(table):
+            first, last = held.agg(F.min("run_date"), F.max("run_date")).first()
+            window = dt.timedelta(days=refetch_days)
+            stored = spark.read.table(table).where(F.col("batch_id") != batch_id)
+            if first is not None:
+                stored = stored.where(F.col("run_date").between(F.lit(first - window), F.lit(last + window)))
+            latest = latest.join(stored.select("ticker", "id"), ["ticker", "id"], "left_anti")
+        normalized = normalize_news(latest, "run_date")
+        analysed = analyse_news(normalized, stopwords, lemmas, "run_date")
+        numbered = analysed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        return write_partitions(numbered, table, ["run_date", "batch_id"])
+    finally:
+        held.unpersist()
 
 
 def ingest_available(
     spark: SparkSession, path: str, table: str, checkpoint: str,
-    stopwords: Iterable[str], lemmas: Mapping[str, str],
+    stopwords: Iterable[str], lemmas: Lemmas,
 ) -> StreamingQuery:
     """Process everything that has arrived since the last run, then stop."""
     return (

@@ -36,14 +36,41 @@ def test_latest_per_key_keeps_the_later_run(rows):
         [("a", "2024-01-01", 1.0, 1), ("a", "2024-01-01", 2.0, 3), ("a", "2024-01-01", None, 2)],
         "ticker string, trade_date string, close double, run int",
     )
-    kept = ranking.latest_per_key(df, ["ticker", "trade_date"], [F.col("run")])
+    kept = ranking.latest_per_key(df, ["ticker", "trade_date"], F.col("run"))
     assert [tuple(r) for r in kept.collect()] == [("a", "2024-01-01", 2.0, 3)]
 
 
 def test_first_per_text(rows):
     df = rows([(3, "x", "s"), (1, "x", "t"), (2, "y", "s")], "id bigint, text string, source string")
     got = ranking.first_per_text(df, "text", "id").orderBy("id").collect()
-    assert [tuple(r) for r in got] == [(1, "t", 2), (2, "s", 1)]
+    assert [tuple(r) for r in got] == [(1, "x", "t", 2), (2, "y", "s", 1)]
+
+
+def test_rows_without_a_text_are_no_copies(rows):
+    df = rows([(1, None, "s"), (2, None, "t"), (4, "x", "t"), (3, "x", "s"), (None, "x", "u"), (None, "z", None)],
+              "id bigint, text string, source string")
+    got = {(r["id"], r["text"], r["copies"]) for r in ranking.first_per_text(df, "text", "id").collect()}
+    assert got == {(1, None, 1), (2, None, 1), (3, "x", 3), (None, "z", 1)}
+
+
+def test_rows_without_a_whole_key_all_stay(rows):
+    data = [("A", None, "h1", 1), ("A", None, "h2", 1), (None, 1, "h3", 1), ("A", 1, "old", 1), ("A", 1, "new", 2), ("B", 1, "other", 1)]
+    df = rows(data, "ticker string, id bigint, title string, run int")
+    got = sorted(r["title"] for r in ranking.latest_per_key(df, ["ticker", "id"], F.col("run")).collect())
+    assert got == ["h1", "h2", "h3", "new", "other"]
+
+
+def test_latest_of_equals_is_the_same_in_any_layout(rows):
+    df = rows([("A", 1, f"t{i}", 5) for i in range(30)] + [("A", 1, "t3", 5)], "ticker string, id bigint, title string, run int")
+    first = ranking.latest_per_key(df, ["ticker", "id"], F.col("run")).collect()
+    again = ranking.latest_per_key(df.repartition(7), ["ticker", "id"], F.col("run")).collect()
+    assert len(first) == 1 and first == again
+
+
+def test_dedup_never_sorts_wide_rows(rows):
+    df = rows([(1, "x", "s", 1)], "id bigint, text string, source string, run int")
+    for made in (ranking.first_per_text(df, "text", "id"), ranking.latest_per_key(df, ["id"], F.col("run"))):
+        assert "SortAggregate" not in made._jdf.queryExecution().executedPlan().toString()
 
 
 def test_bigrams_do_not_cross_documents(rows):
@@ -59,13 +86,39 @@ def test_group_gate(rows):
 
 def test_sequences(rows):
     df = rows(
-        [(1, ["a", "u", "b"]), (2, ["a", "b", "b", "b", "a", "a", "a"]), (3, []), (4, None)],
-        "id bigint, tokens array<string>",
+        [("A", 1, ["a", "u", "b"]), ("A", 2, ["a", "b", "b", "b", "a", "a", "a"]), ("A", 3, []), ("A", 4, None)],
+        "ticker string, id bigint, tokens array<string>",
     )
-    got = {r["id"]: r["sequence"] for r in terms.encode_sequences(df, "id", "tokens", 5).collect()}
+    got = {r["id"]: r["sequence"] for r in terms.encode_sequences(df, ["ticker", "id"], "tokens", 5).collect()}
     assert got == {1: [1, 0, 2, 0, 0], 2: [1, 2, 2, 2, 1], 3: [0] * 5, 4: [0] * 5}
 
 
+def test_sequences_of_two_tickers_with_one_id(rows):
+    df = rows([("A", 1, ["aa", "bb"]), ("B", 1, ["cc", "dd"])], "ticker string, id bigint, tokens array<string>")
+    got = {r["ticker"]: r["sequence"] for r in terms.encode_sequences(df, ["ticker", "id"], "tokens", 6, 1).collect()}
+    assert got == {"A": [1, 2, 0, 0, 0, 0], "B": [3, 4, 0, 0, 0, 0]}
+
+
+def test_lemma_lists_by_join_need_no_key(rows):
+    df = rows([(None, ["rising", "x"]), (None, ["x", "rising", "rising"]), (1, []), (1, None)], "id bigint, tokens array<string>")
+    dictionary = rows([("rising", "rise"), ("rising", "rise"), ("unused", "u")], "token string, lemma string")
+    got = [(r["id"], r["lemmas"]) for r in terms.with_lemmas(df, "tokens", "lemmas", dictionary).collect()]
+    expected = [(None, ["rise", "x"]), (None, ["x", "rise", "rise"]), (1, []), (1, None)]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_count_vectors(rows):
+    df = rows([("A", 1, ["a", "b", "a"]), ("B", 1, ["b"]), ("A", 2, ["c"]), ("A", 3, None)], "ticker string, id bigint, tokens array<string>")
+    got = {(r["ticker"], r["id"]): (r["indices"], r["counts"]) for r in terms.count_vectors(df, ["ticker", "id"], "tokens", 2, 1).collect()}
+    assert got == {("A", 1): ([0, 1], [2, 1]), ("B", 1): ([1], [1]), ("A", 2): ([], []), ("A", 3): ([], [])}
+
+
+def test_pruned_vocabulary(rows):
+    df = rows([("A", ["x", "all"]), ("A", ["x", "all", "x"]), ("A", ["one", "all"]), ("B", ["x"])], "ticker string, tokens array<string>")
+    got = [tuple(r) for r in terms.pruned_vocabulary_per_group(df, "tokens", "ticker").collect()]
+    assert got == [("A", 0, "x", 3)]
+
+
 def test_document_frequencies_prune_both_ends(rows):
     df = rows([(["a", "a", "b"],), (["a", "b"],), (["a", "c"],), ([],)], "tokens array<string>")
     got = terms.document_frequencies(df, "tokens", 2, 0.6).collect()

@@ -146,9 +146,41 @@ def test_constant_scores_have_no_correlation_and_raise_no_error(rows):
     assert (report["agreement_pct"], report["opposite_pct"], report["mean_abs_diff"]) == (50.0, 50.0, 0.35)
 
 
-def test_pairing_reduces_duplicates_first(rows):
-    left = rows([(1, 0.5, "x"), (1, 0.5, "x"), (2, 0.1, "y")], "id bigint, score double, label string")
-    assert compare.pair_scorings(left, left, "id", ("a", "b")).count() == 2
+def test_pairing_goes_by_the_whole_key(rows):
+    schema = "ticker string, id bigint, score double, label string"
+    left = rows([("A", 1, 0.5, "x"), ("B", 1, 0.2, "x"), ("A", 2, 0.1, "y")], schema)
+    right = rows([("A", 1, 0.4, "x"), ("B", 1, 0.9, "z")], schema)
+    got = {tuple(r) for r in compare.pair_scorings(left, right, ["ticker", "id"], ("a", "b")).collect()}
+    assert got == {("A", 1, 0.5, "x", 0.4, "x"), ("B", 1, 0.2, "x", 0.9, "z")}
+
+
+def test_comparisons_aggregate_once_per_article(spark):
+    """The two scores of an article stand on one row: one aggregate, and only titles are scored."""
+    from newsvane.plans.registry import QUERIES
+
+    for name in ("compare_token_lemma", "compare_scorers"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+        executed = plan.executedPlan().toString()
+        assert "SortAggregate" not in executed
+        assert plan.optimizedPlan().toString().count("Aggregate [") == 1
+    assert "substring_index(text" in QUERIES["compare_token_lemma"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_document_plans_begin_with_the_scan(spark):
+    from newsvane.plans.registry import QUERIES
+
+    for name in ("clean_text", "tokenize", "lemmatize", "html_to_text", "report_line_clean"):
+        assert "Exchange" not in QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_as_of_signals_filter_below_the_windows(spark):
+    from newsvane.plans.registry import QUERIES
+
+    plan = QUERIES["signals_asof"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    # Spark turns the filter on a day into one on the moment the next day begins, at both scans.
+    limit = "2024-01-21 00:00:00"
+    assert plan.count(limit) == 2
+    assert plan.index("Window") < plan.index(limit)
 
 
 def test_chart_data(rows):

@@ -127,6 +127,64 @@ def test_a_failing_rebuild_keeps_the_old_table(spark, rows, database):
     assert spark.read.table(table).count() == 1
 
 
+def test_readers_find_the_old_table_until_the_view_moves(spark, rows, database, monkeypatch):
+    """A failure after the new version is written and before readers are pointed at it."""
+    table = f"{database}.v"
+    tables.replace_table(rows([(1,)], "id bigint"), table)
+    sql = spark.sql
+    asked = []
+
+    def failing(text, *args, **kwargs):
+        asked.append(text)
+        if text.startswith("CREATE OR REPLACE VIEW"):
+            assert spark.read.table(table).count() == 1
+            raise RuntimeError("stopped here")
+        return sql(text, *args, **kwargs)
+
+    monkeypatch.setattr(spark, "sql", failing)
+    with pytest.raises(RuntimeError):
+        tables.replace_table(rows([(1,), (2,)], "id bigint"), table)
+    monkeypatch.setattr(spark, "sql", sql)
+    assert spark.read.table(table).count() == 1 and not any("DROP" in text for text in asked)
+    tables.replace_table(rows([(1,), (2,), (3,)], "id bigint"), table)
+    assert spark.read.table(table).count() == 3 and tables.list_tables(spark, database) == ["v"]
+    versions = [t.name for t in spark.catalog.listTables(database) if tables.VERSION in t.name]
+    assert len(versions) == 2
+
+
+def test_a_plain_table_becomes_a_version(spark, rows, database):
+    table = f"{database}.p"
+    rows([(1,)], "id bigint").write.saveAsTable(table)
+    tables.replace_table(rows([(2,)], "id bigint"), table)
+    assert [r["id"] for r in spark.read.table(table).collect()] == [2]
+
+
+def test_writes_leave_the_session_alone(spark, rows, database):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        df = rows([("A", 1)], "ticker string, id bigint")
+        for day in (DAY, DAY + dt.timedelta(days=1), DAY):
+            tables.write_day(df, f"{database}.s", day)
+        assert spark.read.table(f"{database}.s").count() == 2
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_large_dictionaries_are_joined(spark, rows, monkeypatch):
+    news = rows([("A", 1, None, "rising prices", "gains rose"), (None, None, None, "x rising", None)],
+                "ticker string, id bigint, published_at timestamp, title string, summary string")
+    inline = daily.analyse_news(news, STOPWORDS, LEMMAS).collect()
+    from newsvane.dictionaries import lemma_table
+
+    by_table = daily.analyse_news(news, STOPWORDS, lemma_table(spark)).collect()
+    monkeypatch.setattr(daily, "INLINE_DICTIONARY_LIMIT", 3)
+    by_size = daily.analyse_news(news, STOPWORDS, LEMMAS).collect()
+    assert sorted(inline, key=str) == sorted(by_table, key=str) == sorted(by_size, key=str)
+    assert {tuple(r["title_lemmas"]) for r in inline} == {("rise", "price"), ("rise",)}
+
+
 def test_exports(spark, rows, tmp_path):
     df = rows([(1, "a"), (2, "b")], "id bigint, t string")
     tables.write_parquet(df, str(tmp_path / "p"))
@@ -183,6 +241,14 @@ def test_all_jobs_of_two_days(spark, tmp_path, database):
     assert before["daily_news_topics"] == 16 and before["report_manifest"] == 2
     assert len(spark.read.table(f"{database}.comprehensive_sentiment_scores").columns) == 30
     assert results["backtest_job"].count() == 1
+    # The manifest names the tables that hold what it lists.
+    for r in results["report_job"].collect():
+        for url in (r["wordcloud_url"], r["ldavis_url"]):
+            name, _, where = url.partition("?")
+            day, ticker = (part.split("=")[1] for part in where.split("&"))
+            assert spark.read.table(name).where((F.col("run_date") == day) & (F.col("ticker") == ticker)).count() > 0
+    for name in ("report_bigrams", "report_topic_distance", "report_topic_sizes"):
+        assert before[name] > 0
     reports = str(tmp_path / "reports")
     cfg = Settings(raw_zone=str(tmp_path), database=database, report_root=reports, topics=cfg.topics)
     report = daily.comparison_job(spark, cfg, days[-1]).collect()
