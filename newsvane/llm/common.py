@@ -14,7 +14,7 @@ from pyspark.sql.types import StructField, StructType
 from newsvane.session import ensure_checkpoint_dir
 
 # A step inside a task works on at most this many texts, and stops adding texts at this many characters.
-SLICE_ROWS, SLICE_CHARS = 1024, 4 << 20
+SLICE_ROWS, SLICE_CHARS = 512, 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,10 +65,13 @@ def map_texts(
     arrow = to_arrow_schema(schema)
     added = [arrow.field(len(keep) + i).type for i in range(len(fields))]
 
+    # A text that is kept travels once.
+    place = list(keep).index(text) if text in keep else len(keep)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = factory()
         for batch in batches:
-            texts = batch.column(len(keep))
+            texts = batch.column(place)
             for begin in range(0, batch.num_rows, SLICE_ROWS):
                 part = texts.slice(begin, SLICE_ROWS).to_pylist()
                 for start, stop in _slices(part):
@@ -81,7 +84,9 @@ def map_texts(
                         kept + [pa.array(v, type=t) for v, t in zip(made, added)], schema=arrow
                     )
 
-    columns = [F.col(f"`{c}`") for c in keep] + [F.col(text).alias("__text")]
+    columns = [F.col(f"`{c}`") for c in keep]
+    if text not in keep:
+        columns.append(F.col(f"`{text}`").alias("__text"))
     return df.select(*columns).mapInArrow(run, schema)
 
 

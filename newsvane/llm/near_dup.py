@@ -44,7 +44,7 @@ ACCIDENT = 2.0**-MANTISSA / 3
 BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 20
 # Cells of a matrix of sets by shingles at once.
 MATRIX_CELLS = 2_000_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 EMPTY = 0xFFFF
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)

@@ -22,7 +22,7 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", "name", "phone", "email")
 # A chain is a sentence; a longer one is decoded in pieces of this many words.
 LONGEST_CHAIN = 128
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 
 # The forms that the base kinds have. A number that is not the start of its run of
 # digits cannot begin an address, so such places are not tried.
