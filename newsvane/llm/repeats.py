@@ -253,8 +253,9 @@ def matched_windows(docs: DataFrame, text: str = "text", hot: int = HOT_STRETCHE
     """(d1, d2, first, last): runs of window starts that are matched, per text digest."""
     texts = docs.where(F.octet_length(text) >= LENGTH).select(*_digests(text), F.col(text).alias("text"))
     stretches = staged(texts.mapInArrow(_find_stretches, STRETCHES), "repeat-stretches")
-    # Most keys occur once; their rows go no further.
-    keys = stretches.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    # Most keys occur once; their rows go no further. Written out, the keys are a side of their own,
+    # and Spark can split the rows of a hot one.
+    keys = staged(stretches.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "repeat-keys")
     live = staged(stretches.join(keys, "key", "left_semi"), "repeat-live")
     # Equal stretches under a key; one of them, by a hash of its place, stands for the class. A text
     # that occurs twice brings each of its stretches twice.
