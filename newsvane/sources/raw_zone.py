@@ -62,10 +62,15 @@ def read_history(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """Files holding one JSON array of nested articles each, as rows (ticker, uuid, title, ...)."""
+    """Files holding one JSON array of nested articles each, as rows (ticker, uuid, title, ...).
+
+    A whole file is one value, as the feed delivers it, so a file must stay well below 2 GB; the feed
+    splits by ticker and day. The articles are dealt out anew as soon as they are rows, so work on
+    them does not depend on a file's size.
+    """
     files = spark.read.text(path, wholetext=True)
     named = files.select(ticker_from_path(F.col("_metadata.file_path")).alias("ticker"), "value")
-    return explode_articles(named, "value", "ticker")
+    return explode_articles(named, "value", "ticker").hint("rebalance")
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
