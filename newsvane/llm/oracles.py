@@ -101,6 +101,28 @@ FROM placed WHERE extra OR missing OR NOT same
 """
 
 
+REPEATS = """
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), sized AS (SELECT *, octet_length(b) AS n FROM docs
+), starts AS (SELECT row, b, unnest(generate_series(1, n - 399)) AS p FROM sized WHERE n >= 400
+), hashed AS (SELECT row, p, md5_number(array_slice(b, p, p + 399)) AS h FROM starts
+), twice AS (SELECT h FROM hashed GROUP BY h HAVING count(*) > 1
+), hits AS (SELECT row, p, p - lag(p) OVER (PARTITION BY row ORDER BY p) AS gap FROM hashed SEMI JOIN twice USING (h)
+), numbered AS (SELECT row, p, count(*) FILTER (gap IS NULL OR gap > 400) OVER (PARTITION BY row ORDER BY p) AS run FROM hits
+), runs AS (SELECT row, run, min(p) AS first, max(p) + 399 AS last FROM numbered GROUP BY 1, 2
+), gaps AS (
+  SELECT row, coalesce(lag(last) OVER (PARTITION BY row ORDER BY first), 0) + 1 AS a, first - 1 AS z FROM runs
+  UNION ALL SELECT row, max(last) + 1, max(n) FROM runs JOIN sized USING (row) GROUP BY row
+), kept AS (
+  SELECT row, coalesce(string_agg(hex(array_slice(b, a, z)), '' ORDER BY a) FILTER (z >= a), '') AS x
+  FROM gaps JOIN docs USING (row) GROUP BY row
+), removed AS (SELECT row, sum(last - first + 1) AS n_removed, count(*) AS n_spans FROM runs GROUP BY row)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN x IS NULL THEN b ELSE unhex(x) END) AS kept_sha256
+FROM sized LEFT JOIN removed USING (row) LEFT JOIN kept USING (row)
+"""
+
+
 def _sharding() -> str:
     """Placement only: the table is filled turn by turn, which the tests repeat by brute force."""
     owners = ", ".join(map(str, sharding.fill_table(sharding.SHARDS)))
@@ -114,4 +136,4 @@ SELECT doc_id, slot, 'shard-' || lpad(CAST(owner[slot + 1] AS VARCHAR), 3, '0')
 
 
 def build() -> dict[str, str]:
-    return {"op9_fixity": FIXITY, "op4_near_dup": NEAR_DUP, "op3_decontaminate": DECONTAMINATE, "op5_sharding": _sharding(), "op10_topk": TOPK}
+    return {"op8_repeats": REPEATS, "op9_fixity": FIXITY, "op4_near_dup": NEAR_DUP, "op3_decontaminate": DECONTAMINATE, "op5_sharding": _sharding(), "op10_topk": TOPK}
