@@ -48,6 +48,19 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, rank_name: str = "rank
     return first.withColumn(rank_name, F.row_number().over(Window.orderBy(*order)))
 
 
+def at_least_nth(counts: DataFrame, count: str, n: int) -> DataFrame:
+    """The rows whose count is no smaller than the ``n``-th largest: at least ``n`` of them, and its ties.
+
+    Found from how many rows have each count, of which there are few, so that a large top-n merges
+    about n rows and not n rows of every task.
+    """
+    sizes = counts.groupBy(F.col(count).alias("__n")).agg(F.count("*").alias("__rows"))
+    # One row per distinct count.
+    upto = F.sum("__rows").over(Window.orderBy(F.desc("__n")))
+    cut = sizes.withColumn("__upto", upto).agg(F.max(F.when(F.col("__upto") >= n, F.col("__n")))).scalar()
+    return counts.withColumn("__cut", cut).where(F.col("__cut").isNull() | (F.col(count) >= F.col("__cut"))).drop("__cut")
+
+
 def global_rank(df: DataFrame, order: Sequence[Column], rank_name: str = "rank") -> DataFrame:
     """Rank all rows from 1 without passing them through one task.
 

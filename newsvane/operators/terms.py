@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsvane.functions.numeric import round_to
-from newsvane.operators.ranking import global_rank, top_n, top_n_per_group
+from newsvane.operators.ranking import at_least_nth, global_rank, top_n, top_n_per_group
 
 
 def explode_terms(df: DataFrame, terms: Column, *keep: str) -> DataFrame:
@@ -112,7 +112,7 @@ def _counts_with_df(df: DataFrame, tokens: str) -> DataFrame:
 def vocabulary(df: DataFrame, tokens: str, size: int = 10_000, min_docs: int = 5) -> DataFrame:
     """The most frequent terms, index 0 the most frequent; ties by term."""
     counts = _counts_with_df(df, tokens).where(F.col("df") >= min_docs)
-    ranked = top_n(counts, [F.desc("n"), F.asc("term")], size)
+    ranked = top_n(at_least_nth(counts, "n", size), [F.desc("n"), F.asc("term")], size)
     return ranked.select((F.col("rank") - 1).alias("term_index"), "term", "n", "df")
 
 

@@ -129,3 +129,10 @@ def test_vocabulary_counts_words_and_documents(rows):
     df = rows([(["a", "a", "b"],), (["b"],), (["c", "c", "c"],)], "tokens array<string>")
     got = terms.vocabulary(df, "tokens", size=2, min_docs=1).orderBy("term_index").collect()
     assert [tuple(r) for r in got] == [(0, "c", 3, 1), (1, "a", 2, 1)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 6, 99])
+def test_rows_at_least_as_large_as_the_nth(rows, n):
+    counts = [9, 7, 7, 5, 5, 1]
+    got = sorted((r["n"] for r in ranking.at_least_nth(rows([(c,) for c in counts], "n bigint"), "n", n).collect()), reverse=True)
+    assert got == [c for c in counts if n > len(counts) or c >= counts[n - 1]]
