@@ -22,10 +22,15 @@ def components(links: DataFrame) -> DataFrame:
     before = _mark(state)
     while before[0]:
         both = state.union(state.select("v", "u")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("least"))
+        # Written out, the minima are a side of their own in the join, and Spark can split the rows
+        # of an id with very many neighbours.
+        least = staged(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("least")), "least")
         # Larger neighbours move to the smallest neighbour, or to the id itself.
-        large = _downwards(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")))
-        least = large.groupBy("u").agg(F.min("v").alias("least"))
+        large = staged(
+            _downwards(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))),
+            "links",
+        )
+        least = staged(large.groupBy("u").agg(F.min("v").alias("least")), "least")
         joined = large.join(least, "u")
         state = staged(
             _downwards(joined.select(F.col("v").alias("u"), F.col("least").alias("v")).union(least.select("u", "least"))),
