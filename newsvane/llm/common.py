@@ -38,6 +38,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# What goes to a Python worker at once, in bytes. Rows hold whole texts, and Spark's own bound would
+# take tens of megabytes, several times over, on both sides of every task.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """The frame itself, in a session whose Arrow batches are small. Spark has no setting of this kind
+    for one query; it changes no result."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def _slices(texts: list) -> Iterator[tuple[int, int]]:
     start = size = 0
     for at, text in enumerate(texts):
@@ -59,7 +71,9 @@ def map_texts(
     """Add ``fields`` computed from whole texts, in Arrow batches, without a shuffle.
 
     ``factory`` runs once per task and returns a function from a list of texts (null: None) to one
-    list or array per field. ``keep`` columns pass through as they are.
+    list or array per field. If the function has a ``finish``, that is called at the task's end: a
+    worker process goes on to other tasks, which need the memory. ``keep`` columns pass through as
+    they are.
     """
     schema = StructType([df.schema[c] for c in keep] + list(fields))
     arrow = to_arrow_schema(schema)
@@ -83,11 +97,12 @@ def map_texts(
                     yield pa.RecordBatch.from_arrays(
                         kept + [pa.array(v, type=t) for v, t in zip(made, added)], schema=arrow
                     )
+        getattr(work, "finish", lambda: None)()
 
     columns = [F.col(f"`{c}`") for c in keep]
     if text not in keep:
         columns.append(F.col(f"`{text}`").alias("__text"))
-    return df.select(*columns).mapInArrow(run, schema)
+    return bounded_batches(df.select(*columns)).mapInArrow(run, schema)
 
 
 def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:

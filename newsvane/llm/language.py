@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField
 
-from newsvane.llm.common import map_texts
+from newsvane.llm.common import bounded_batches, map_texts
 
 BUCKETS = 1 << 16
 SEGMENT = 16
@@ -114,7 +114,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             )
 
     rows = (
-        docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
+        bounded_batches(docs)
+        .where(F.col(text).isNotNull() & F.col(lang).isNotNull())
         .select(F.col(text).alias("__text"), F.col(lang).alias("__lang"))
         .mapInArrow(run, "lang string, bucket int, n long")
         .groupBy("lang", "bucket")

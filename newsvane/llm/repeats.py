@@ -38,7 +38,7 @@ from pyspark.sql.types import (
 )
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from newsvane.llm.common import staged
+from newsvane.llm.common import bounded_batches, staged
 from newsvane.session import broadcast_if_small
 
 LENGTH, GRAM = 400, 32
@@ -252,7 +252,7 @@ def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def matched_windows(docs: DataFrame, text: str = "text", hot: int = HOT_STRETCHES) -> DataFrame:
     """(d1, d2, first, last): runs of window starts that are matched, per text digest."""
     texts = docs.where(F.octet_length(text) >= LENGTH).select(*_digests(text), F.col(text).alias("text"))
-    stretches = staged(texts.mapInArrow(_find_stretches, STRETCHES), "repeat-stretches")
+    stretches = staged(bounded_batches(texts).mapInArrow(_find_stretches, STRETCHES), "repeat-stretches")
     # Most keys occur once; their rows go no further. Written out, the keys are a side of their own,
     # and Spark can split the rows of a hot one.
     keys = staged(stretches.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "repeat-keys")
@@ -355,4 +355,4 @@ def remove_repeats(
                 schema=arrow,
             )
 
-    return joined.mapInArrow(run, schema)
+    return bounded_batches(joined).mapInArrow(run, schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsvane.llm.common import staged
+from newsvane.llm.common import bounded_batches, staged
 from newsvane.session import broadcast_if_small
 
 SCALE = 256
@@ -182,7 +182,7 @@ def top_k(
     """
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector).alias("v"))
     asked = queries.groupBy(F.col(id_column).cast("long").alias("id")).agg(F.min(vector).alias("v"))
-    blocks = staged(rows.mapInArrow(_pack, BLOCKS), "topk-rows")
+    blocks = staged(bounded_batches(rows).mapInArrow(_pack, BLOCKS), "topk-rows")
     asked = staged(asked.mapInArrow(_pack, BLOCKS), "topk-queries")
 
     most = blocks.agg(F.max("top"), F.max("dim")).first()
