@@ -55,14 +55,20 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
 def find_hits(
     docs: DataFrame, windows: DataFrame, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, digest, n_words, at, length, items): the verified hits, and per document one row at 0.
+    """(doc_id, digest, n_words, at, length, items): the verified hits, and per document a row at 0.
 
-    ``digest`` tells documents apart that share an id; rows that repeat with their text are one.
+    ``digest`` tells documents apart that share an id; rows that repeat with their text are one. The
+    row at 0 is the hit of an empty window, which stands before the first word of every text, so
+    that documents without a hit come out of the same scan.
     """
     about = windows.agg(F.sort_array(F.collect_set("length")), F.count("*"), F.sum(F.size("items"))).first()
     # At most as many lengths as a window has words.
     lengths = about[0] or [WINDOW]
-    set_of_hashes = broadcast_if_small(windows, about[1] + (about[2] or 0), 16 * WINDOW)
+    nothing = F.array().cast("array<string>")
+    empty = docs.sparkSession.range(1).select(
+        F.xxhash64(nothing).alias("key"), F.lit(0).alias("length"), nothing.alias("window"), nothing.alias("items")
+    )
+    set_of_hashes = broadcast_if_small(windows.unionByName(empty), about[1] + (about[2] or 0), 16 * WINDOW)
     words = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest"),
@@ -72,22 +78,18 @@ def find_hits(
         "doc_id", "digest", F.size("words").cast("long").alias("n_words"), "words",
         F.explode(F.sequence(F.lit(0), F.size("words"))).alias("at"),
     )
-    window = [F.slice("words", F.greatest("at", F.lit(1)), F.lit(n)) for n in lengths]
+    # The window at 0 has no words, those near the end have what is left.
+    window = [F.slice("words", F.greatest("at", F.lit(1)), F.when(F.col("at") > 0, n).otherwise(0)) for n in lengths]
     if len(lengths) == 1:
         looked_up = places.withColumn("found", window[0])
     else:
         looked_up = places.withColumn("found", F.explode(F.array(*window)))
-    hit = (
+    return (
         looked_up.withColumn("key", F.xxhash64("found"))
         .join(set_of_hashes, "key")
-        .where((F.col("at") > 0) & (F.col("found") == F.col("window")))
-        .select("doc_id", "digest", "n_words", F.col("at"), "length", "items")
-    )
-    every = words.select(
-        "doc_id", "digest", F.size("words").cast("long").alias("n_words"), F.lit(0).alias("at"),
-        F.lit(0).alias("length"), F.array().cast("array<string>").alias("items"),
+        .where(F.col("found") == F.col("window"))
+        .select("doc_id", "digest", "n_words", "at", "length", "items")
     )
-    return hit.unionByName(every)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
