@@ -16,19 +16,20 @@ from __future__ import annotations
 import hashlib
 import json
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import LongType, StringType, StructField
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
 from newsvane.llm.common import map_texts
 
 # How the public byte-level tokenizers cut a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# Words kept with their tokens, and arcs kept with their answers, by a task; then they are forgotten.
-CACHED_WORDS, CACHED_ARCS = 500_000, 500_000
+# Words kept with their tokens and arcs kept with their answers while a task runs, and words kept after it.
+CACHED_WORDS, CACHED_ARCS, KEPT_WORDS = 500_000, 300_000, 150_000
 CACHED_WORD_BYTES = 64
 
 
@@ -120,14 +121,12 @@ class Tokenizer:
         self.usable = {
             label: token for label, token in vocabulary.items() if self.automaton.enters[token] >= 0
         }
-        self.starts: dict[int, list[int]] = {}
+        self.starts: dict[bytes, set | tuple] = {}
+        # Lengths that tokens can have, longest first, by the three bytes they start with.
         for label in self.usable:
-            if len(label) > 1:
-                lengths = self.starts.setdefault(label[:2], [1])
-                if len(label) not in lengths:
-                    lengths.append(len(label))
-        for lengths in self.starts.values():
-            lengths.sort(reverse=True)
+            if len(label) > 2:
+                self.starts.setdefault(label[:3], {2, 1}).add(len(label))
+        self.starts = {start: tuple(sorted(lengths, reverse=True)) for start, lengths in self.starts.items()}
         self.labels = list(self.automaton.labels)
         for content, token in self.special.items():
             self.labels += [b""] * (token + 1 - len(self.labels))
@@ -140,6 +139,11 @@ class Tokenizer:
         )
         self.cache: dict[str, bytes] = {}
 
+    def trim(self) -> None:
+        """Drop what was kept for one task only. The words met first, most of them common, stay for
+        the worker's next task, and so do arcs, of which far fewer are ever met."""
+        self.cache = dict(islice(self.cache.items(), KEPT_WORDS))
+
     def word_tokens(self, word: bytes) -> list[int]:
         """The labels of the word's only path.
 
@@ -149,32 +153,40 @@ class Tokenizer:
         whole = self.usable.get(word)
         if whole is not None:
             return [whole]
-        size, usable = len(word), self.usable
-        enters, may_follow = self.automaton.enters, self.automaton.may_follow
+        size, usable, starts = len(word), self.usable.get, self.starts.get
+        enters, may_follow, known = self.automaton.enters, self.automaton.may_follow, self.automaton.arcs.get
         tokens: list[int] = []
-        untried = [self._lengths(word, 0)]
-        at, seen = 0, {0}
+        # Where the tokens begin, and which lengths are left to try there.
+        places, untried = [0], [iter(starts(word[:3], (2, 1)))]
+        seen = {0}
+        state = at = 0
         while at < size:
-            state = enters[tokens[-1]] if tokens else 0
             for length in untried[-1]:
                 stop = at + length
-                if stop <= size and stop not in seen:
-                    token = usable.get(word[at:stop])
-                    if token is not None and may_follow(state, token):
-                        tokens.append(token)
-                        untried.append(self._lengths(word, stop))
-                        seen.add(stop)
-                        at = stop
-                        break
+                if stop > size or stop in seen:
+                    continue
+                token = usable(word[at:stop])
+                if token is None:
+                    continue
+                follows = known((state, token))
+                if follows is None:
+                    follows = may_follow(state, token)
+                if follows:
+                    tokens.append(token)
+                    at = stop
+                    places.append(at)
+                    untried.append(iter(starts(word[at : at + 3], (2, 1))))
+                    seen.add(at)
+                    state = enters[token]
+                    break
             else:
                 untried.pop()
-                at -= len(self.labels[tokens.pop()])
+                places.pop()
+                tokens.pop()
+                at = places[-1]
+                state = enters[tokens[-1]] if tokens else 0
         return tokens
 
-    def _lengths(self, word: bytes, at: int):
-        """Lengths that tokens starting with these two bytes can have, longest first."""
-        return iter(self.starts.get(word[at : at + 2], (1,)))
-
     def _packed(self, word: str) -> bytes:
         packed = np.array(self.word_tokens(word.encode()), dtype="<u4").tobytes()
         if self.automaton.known > CACHED_ARCS:
@@ -230,8 +242,6 @@ def encode_decode(
     whole; their words are found by the tokenizer's pattern, so only the longest word is ever
     walked at once. Repeated rows and ties stay as they are, other columns are not read.
     """
-    from pyspark.sql.types import ArrayType, IntegerType
-
     fields = [
         StructField("n_tokens", LongType()),
         StructField("ids_sha256", StringType()),
@@ -256,6 +266,7 @@ def encode_decode(
                     out[4].append(decoded)
             return out
 
+        work.finish = tokenizer.trim
         return work
 
     return map_texts(docs, text, list(keep), fields, factory)
