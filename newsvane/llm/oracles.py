@@ -136,4 +136,11 @@ SELECT doc_id, slot, 'shard-' || lpad(CAST(owner[slot + 1] AS VARCHAR), 3, '0')
 
 
 def build() -> dict[str, str]:
-    return {"op8_repeats": REPEATS, "op9_fixity": FIXITY, "op4_near_dup": NEAR_DUP, "op3_decontaminate": DECONTAMINATE, "op5_sharding": _sharding(), "op10_topk": TOPK}
+    return {
+        "op3_decontaminate": DECONTAMINATE,
+        "op4_near_dup": NEAR_DUP,
+        "op5_sharding": _sharding(),
+        "op8_repeats": REPEATS,
+        "op9_fixity": FIXITY,
+        "op10_topk": TOPK,
+    }
