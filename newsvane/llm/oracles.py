@@ -123,6 +123,80 @@ FROM sized LEFT JOIN removed USING (row) LEFT JOIN kept USING (row)
 """
 
 
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), pieces AS (
+  SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS learned,
+    length(regexp_replace(text, '(\\|\[INST\]|\[/INST\]|<<SYS>>|</s>|<<ROLE>>)', '\\\1', 'g'))
+      + CASE role WHEN 'user' THEN 13 WHEN 'system' THEN 14 WHEN 'assistant' THEN 4
+        ELSE 20 + length(regexp_replace(role, '(\\|\[INST\]|\[/INST\]|<<SYS>>|</s>|<<ROLE>>)', '\\\1', 'g')) END AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(sum(length(learned)) AS BIGINT) AS loss_chars,
+  sha256(string_agg(learned, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM pieces GROUP BY conv_id
+"""
+
+
+# crc32 bit by bit; words of three that stand twice in a text, q words apart, for consecutive places make a
+# stretch of period q; a stretch inside one of a smaller period has that period.
+RUNS = """
+WITH ids AS (
+  SELECT doc_id, text, 4294967295 - list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS h
+  FROM documents
+), split AS (
+  SELECT doc_id, h, h // 10 AS g, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM ids
+), placed AS (
+  SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN g % len(w) END AS a FROM split
+), planted AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(generate_series(0, n - 1),
+    lambda i: CASE WHEN i >= a THEN w[1 + a + (i - a) % (1 + (n - a) // (3 + g % 8))] ELSE w[i + 1] END) END AS w
+  FROM placed
+), threes AS (
+  SELECT doc_id, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS three
+  FROM (SELECT doc_id, w, unnest(generate_series(0, n - 3)) AS i FROM planted WHERE n >= 6)
+), often AS (
+  SELECT * FROM threes SEMI JOIN (SELECT doc_id, three FROM threes GROUP BY ALL HAVING count(*) > 2) USING (doc_id, three)
+), apart AS (
+  SELECT doc_id, a.i, b.i - a.i AS q FROM often a JOIN often b USING (doc_id, three) WHERE b.i > a.i
+), islands AS (
+  SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM apart
+), stretches AS (
+  SELECT doc_id, min(i) AS start, count(*) + 2 + q AS length, q AS period FROM islands GROUP BY doc_id, q, island
+  HAVING count(*) + 2 + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT * FROM stretches s ANTI JOIN stretches t ON s.doc_id = t.doc_id AND t.period < s.period
+    AND t.start <= s.start AND t.start + t.length >= s.start + s.length
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listing
+  FROM runs GROUP BY doc_id
+), best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) AS r
+    FROM runs) WHERE r = 1
+), dropped AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(start + period, start + length - 1)) AS i FROM runs
+), left_over AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS x
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(generate_series(0, n - 1)) AS i FROM planted SEMI JOIN listed USING (doc_id))
+  ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+)
+SELECT p.doc_id, coalesce(n_runs, 0) AS n_runs, best.start, best.length, best.period,
+  1000 * best.length // best.period AS exponent_milli, sha256(coalesce(listing, '')) AS runs_sha256,
+  sha256(coalesce(x, array_to_string(w, ' '))) AS collapsed_sha256
+FROM planted p LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN left_over USING (doc_id)
+"""
+
+
 def _sharding() -> str:
     """Placement only: the table is filled turn by turn, which the tests repeat by brute force."""
     owners = ", ".join(map(str, sharding.fill_table(sharding.SHARDS)))
@@ -143,4 +217,6 @@ def build() -> dict[str, str]:
         "op8_repeats": REPEATS,
         "op9_fixity": FIXITY,
         "op10_topk": TOPK,
+        "op12_chat": CHAT,
+        "op13_runs": RUNS,
     }

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsvane.llm import bpe, decontaminate, fixity, language, near_dup, private, repeats, sharding, topk, toxicity
+from newsvane.llm import (
+    bpe, chat, decontaminate, fixity, language, near_dup, private, repeats, runs, sharding, topk, toxicity, whitening,
+)
 from newsvane.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -81,6 +84,41 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    row = F.to_json(F.struct("conv_id", "turn", "role", "text"), {"ignoreNullFields": "false"})
+    marks = "</s>[INST] ok [/INST]"
+    added = {"conv_id": -7, "messages": [{"role": r, "content": marks} for r in ("user", "assistant")]}
+    more = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.lit(json.dumps(added)).alias("record"))
+    records = turns.select(F.col("conv_id").cast("long").alias("conv_id"), row.alias("record")).unionByName(more)
+    return chat.read_back(chat.format_turns(chat.canonical_turns(records)))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document, by the crc32 of its id, repeats some of its words to its end."""
+    id_hash = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = docs.select(
+        "doc_id", "text", id_hash.alias("h"), F.floor(id_hash / 10).alias("g"),
+        F.when(id_hash % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("w"),
+    ).withColumn("n", F.size("w"))
+    planted = (
+        words.withColumn("a", F.expr("CASE WHEN n > 0 THEN CAST(g % n AS INT) END"))
+        .withColumn("p", F.expr("CAST(1 + floor((n - a) / (3 + g % 8)) AS INT)"))
+        # The first p words from a on, as often as they fit, and the rest of them.
+        .withColumn("tail", F.expr("flatten(array_repeat(slice(w, a + 1, p), CAST(ceil((n - a) / p) AS INT)))"))
+        .withColumn("changed", F.expr("array_join(concat(slice(w, 1, a), slice(tail, 1, n - a)), ' ')"))
+    )
+    return planted.select("doc_id", F.expr("CASE WHEN n > 0 THEN changed ELSE text END").alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.find_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
@@ -92,4 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": op8_repeats,
     "op9_fixity": op9_fixity,
     "op10_topk": op10_topk,
+    "op11_whitening": op11_whitening,
+    "op12_chat": op12_chat,
+    "op13_runs": op13_runs,
 }

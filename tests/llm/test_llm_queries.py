@@ -14,6 +14,9 @@ COLUMNS = {
     "op8_repeats": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op9_fixity": ["page_id", "status", "start", "stop", "other_bytes"],
     "op10_topk": ["query_id", "rank", "vec_id", "score"],
+    "op11_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op12_chat": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
+    "op13_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 
 
