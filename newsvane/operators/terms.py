@@ -86,6 +86,69 @@ def top_bigrams_per_group(df: DataFrame, tokens: str, n: int, group: str) -> Dat
     return top_n_per_group(named, [group], [F.desc("n"), F.asc("term")], n, salt_on=["term"], salts=32)
 
 
+def _x_ln_x(x: str) -> str:
+    return f"CASE WHEN ({x}) > 0 THEN ({x}) * ln(CAST({x} AS DOUBLE)) ELSE 0D END"
+
+
+def association(pair: str, first: str, second: str, words: str) -> Column:
+    """Likelihood ratio (G squared) of two words in a row against independence, from the 2x2 table of
+    how often both, one or none of them occur: 2 x the sum of observed x ln(observed / expected).
+
+    Counts are names of columns. 0 where one of the words is all there is.
+    """
+    one, other, none = f"{first} - {pair}", f"{second} - {pair}", f"{words} - {first} - {second} + {pair}"
+    cells = " + ".join(_x_ln_x(c) for c in (pair, one, other, none, words))
+    margins = " + ".join(_x_ln_x(c) for c in (first, second, f"{words} - {first}", f"{words} - {second}"))
+    ratio = f"2D * (({cells}) - ({margins}))"
+    return F.expr(f"CASE WHEN {words} > {first} AND {words} > {second} THEN {ratio} ELSE 0D END")
+
+
+# Pairs of words that score above this are shown as one.
+COLLOCATION_THRESHOLD = 30.0
+
+
+def collocations_per_group(
+    df: DataFrame, tokens: str, n: int, group: str, stopwords: Sequence[str] = (),
+    threshold: float = COLLOCATION_THRESHOLD,
+) -> DataFrame:
+    """(group, term, words, n, score, rank): the most frequent words and collocations of a group.
+
+    A collocation is a pair of neighbouring words whose association scores above ``threshold``; what
+    it takes is no longer counted for its two words, and words that have nothing left are left out.
+    ``score`` is null for single words. Rows without a group are left out. Stop words are neither words nor part of a pair.
+
+    Tokens are counted once, by the word and the one behind it; the counts of single words are sums
+    of those. Everything after works on distinct pairs.
+    """
+    listed = df.selectExpr(group, tokens, f"posexplode_outer({tokens}) AS (at, first)")
+    listed = listed.where(f"first <> '' AND {group} IS NOT NULL")
+    # A word with nothing behind it has an empty second one. Joins must find no filter on the pairs
+    # that could sink below their count, or tokens would be counted anew for every use.
+    next_to = listed.selectExpr(group, "first", f"coalesce(get({tokens}, at + 1), '') AS second")
+    if stopwords:
+        known = list(stopwords)
+        next_to = next_to.where(~F.col("first").isin(known))
+        next_to = next_to.withColumn("second", F.when(F.col("second").isin(known), "").otherwise(F.col("second")))
+    pairs = next_to.groupBy(group, "first", "second").agg(F.count("*").alias("n"))
+    singles = pairs.groupBy(group, F.col("first").alias("term")).agg(F.sum("n").alias("n"))
+    totals = singles.groupBy(group).agg(F.sum("n").alias("words"))
+    first = singles.select(group, F.col("term").alias("first"), F.col("n").alias("n_first"))
+    second = singles.select(group, F.col("term").alias("second"), F.col("n").alias("n_second"))
+    scored = (
+        pairs.join(first, [group, "first"]).join(second, [group, "second"])
+        .join(totals, group)
+        .withColumn("score", round_to(association("n", "n_first", "n_second", "words"), 6))
+        .where(F.col("score") > threshold)
+    )
+    both = scored.select(group, F.explode(F.array("first", "second")).alias("term"), "n")
+    taken = both.groupBy(group, "term").agg(F.sum("n").alias("taken"))
+    left = singles.join(taken, [group, "term"], "left").withColumn("n", F.col("n") - F.coalesce("taken", F.lit(0)))
+    words = left.where("n > 0").select(group, "term", F.lit(1).alias("words"), "n", F.lit(None).cast("double").alias("score"))
+    named = F.concat("first", F.lit(" "), "second").alias("term")
+    every = words.unionByName(scored.select(group, named, F.lit(2).alias("words"), "n", "score"))
+    return top_n_per_group(every, [group], [F.desc("n"), F.asc("term")], n, salt_on=["term"], salts=32)
+
+
 def document_frequencies(
     df: DataFrame, tokens: str, min_docs: int = 2, max_share: float = 0.9
 ) -> DataFrame:

@@ -161,3 +161,21 @@ def assign_with(max_topics: int):
             yield pd.DataFrame({"ticker": row.ticker, "id": row.ids, "distribution": list(share)})
 
     return assign
+
+
+def lay_out(distances: pd.DataFrame) -> pd.DataFrame:
+    """Classical scaling of one ticker's topics: a square as wide as it has topics."""
+    topics = sorted({*distances["topic_a"], *distances["topic_b"]})
+    place = {t: i for i, t in enumerate(topics)}
+    squares = np.zeros((len(topics), len(topics)))
+    for a, b, d in zip(distances["topic_a"], distances["topic_b"], distances["js_divergence"]):
+        squares[place[a], place[b]] = squares[place[b], place[a]] = d * d
+    centred = -0.5 * (squares - squares.mean(axis=0) - squares.mean(axis=1)[:, None] + squares.mean())
+    values, directions = np.linalg.eigh(centred)
+    out = pd.DataFrame({"ticker": distances["ticker"].iloc[0], "topic": topics, "x": 0.0, "y": 0.0})
+    for axis, j in zip("xy", range(len(topics) - 1, -1, -1)):
+        at = directions[:, j] * np.sqrt(max(values[j], 0.0))
+        far = np.flatnonzero(np.abs(at) >= 5e-7)
+        # A direction has no sign of its own: the first topic off the middle lies on the positive side.
+        out[axis] = at if len(far) and at[far[0]] > 0 else -at
+    return out

@@ -21,7 +21,7 @@ from newsvane.config import TopicSettings
 from newsvane.functions.numeric import MICROS, round_to
 from newsvane.operators.ranking import top_n_per_group
 from newsvane.operators.terms import pruned_vocabulary_per_group, vocabulary_per_group
-from newsvane.operators.topic_inference import assign_with, encode, statistics_of
+from newsvane.operators.topic_inference import assign_with, encode, lay_out, statistics_of
 from newsvane.session import discard, stage
 
 # A block holds about so many documents and words at most, a slice so many blocks.
@@ -305,3 +305,52 @@ def topic_distance(topic_terms: DataFrame) -> DataFrame:
     part = 0.5 * (F.col("p") * F.ln(F.col("p") / middle) + F.col("q") * F.ln(F.col("q") / middle))
     pairs = left.join(right, ["ticker", "term"]).where(F.col("topic_a") < F.col("topic_b"))
     return pairs.groupBy("ticker", "topic_a", "topic_b").agg(round_to(F.sum(part), 6).alias("js_divergence"))
+
+
+LAYOUT_SCHEMA = "ticker string, topic int, x double, y double"
+
+
+def topic_layout(distances: DataFrame) -> DataFrame:
+    """(ticker, topic, x, y): where a map shows the topics, from their distances (`topic_distance`).
+
+    Classical scaling: squared distances centred by row and column, and the two leading eigenvectors,
+    each as long as the root of its eigenvalue; an axis whose eigenvalue is not positive is all zero. A ticker's
+    topics, ten at most by the settings, are one small matrix; tickers are spread over the tasks. A
+    ticker with a single topic has no distances and no place.
+    """
+    laid_out = distances.groupBy("ticker").applyInPandas(lay_out, LAYOUT_SCHEMA)
+    # Adding zero turns a negative zero into zero.
+    return laid_out.select("ticker", "topic", *[(round_to(F.col(c), 6) + F.lit(0.0)).alias(c) for c in ("x", "y")])
+
+
+def topic_shares(topic_terms: DataFrame, assignments: DataFrame) -> DataFrame:
+    """(ticker, topic, share): the part of a ticker's documents that a fitted model gives to a topic."""
+    known = topic_terms.select("ticker", "topic").distinct()
+    return topic_sizes(assignments).join(known, ["ticker", "topic"], "left_semi").select(
+        "ticker", "topic", F.col("prevalence").alias("share")
+    )
+
+
+def term_saliency(topic_terms: DataFrame, shares: DataFrame, n: int = 30) -> DataFrame:
+    """(ticker, term, distinctiveness, saliency, rank): the terms a map shows before a topic is chosen.
+
+    Distinctiveness is how far the topics of a term, p(topic | term), are from the shares the topics
+    have anyway (ticker, topic, share); saliency weighs it by the term's part of the ticker's words.
+    Topics without a share are left out. ``n`` is the operator's feature: terms per ticker.
+    """
+    given = topic_terms.join(shares.where("share > 0"), ["ticker", "topic"])
+    # As many rows as a ticker has topics, ten at most, meet per term.
+    parts = given.groupBy("ticker", "term").agg(
+        F.max("n").alias("n"), F.sum("probability").alias("total"),
+        F.array_sort(F.collect_list(F.struct("topic", "probability", "share"))).alias("topics"),
+    )
+    kernel = F.aggregate(
+        "topics", F.lit(0.0),
+        lambda s, t: s + t["probability"] / F.col("total") * F.ln(t["probability"] / F.col("total") / t["share"]),
+    )
+    corpus = topic_terms.select("ticker", "term", "n").distinct().groupBy("ticker").agg(F.sum("n").alias("corpus"))
+    scored = parts.withColumn("d", kernel).join(corpus, "ticker").select(
+        "ticker", "term", round_to(F.col("d"), 6).alias("distinctiveness"),
+        round_to(F.col("n") / F.col("corpus") * F.col("d"), 9).alias("saliency"),
+    )
+    return top_n_per_group(scored, ["ticker"], [F.desc("saliency"), F.asc("term")], n, salt_on=["term"], salts=32)

@@ -25,6 +25,7 @@ from newsvane.sources import raw_zone, tables
 NEWS_TABLE, MARKET_TABLE, SCORES_TABLE = "daily_news_nlp", "daily_market_prices", "comprehensive_sentiment_scores"
 SIGNALS_TABLE, TOPICS_TABLE = "trading_signals", "daily_news_topics"
 TERMS_TABLE, BIGRAMS_TABLE, MANIFEST_TABLE = "report_terms", "report_bigrams", "report_manifest"
+COLLOCATIONS_TABLE, LAYOUT_TABLE, SALIENCY_TABLE = "report_collocations", "report_topic_layout", "report_term_saliency"
 TOPIC_TERMS_TABLE, TOPIC_DISTANCE_TABLE, TOPIC_SIZES_TABLE = "report_topic_terms", "report_topic_distance", "report_topic_sizes"
 COMPARISON_TABLE, PREDICTIONS_TABLE = "sentiment_comparison", "news_score_predictions"
 TRADES_TABLE, EQUITY_TABLE = "backtest_trades", "backtest_equity"
@@ -139,19 +140,23 @@ def topic_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> DataFram
 def report_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> DataFrame:
     """What word clouds and topic maps show, per ticker, and where the day's artefacts are kept.
 
-    Words and neighbouring words of the titles, and the small topic model behind a map with its
-    terms, distances and sizes. The manifest lists the tickers whose rows were written.
+    Words, neighbouring words and collocations of the titles, and the small topic model behind a map
+    with its terms, their saliency, and the topics' distances, places and sizes. The manifest lists the tickers whose rows were written.
     """
     titled = spark.read.table(cfg.table(TOPICS_TABLE)).where(F.col("title").isNotNull())
     words = titled.select("ticker", "id", tokenize("title", dic.STOPWORDS).alias("tokens"))
     parts = {
         TERMS_TABLE: terms.top_terms_per_group(words, F.col("tokens"), 100, "ticker"),
         BIGRAMS_TABLE: terms.top_bigrams_per_group(words, "tokens", 100, "ticker"),
+        COLLOCATIONS_TABLE: terms.collocations_per_group(words, "tokens", 100, "ticker"),
     }
     model = topics.display_model(words, cfg.topics)
     parts[TOPIC_TERMS_TABLE] = topics.topic_relevance(model.topic_terms())
     parts[TOPIC_DISTANCE_TABLE] = topics.topic_distance(model.topic_terms())
     parts[TOPIC_SIZES_TABLE] = topics.topic_sizes(model.assignments())
+    parts[LAYOUT_TABLE] = topics.topic_layout(topics.topic_distance(model.topic_terms()))
+    shares = topics.topic_shares(model.topic_terms(), model.assignments())
+    parts[SALIENCY_TABLE] = topics.term_saliency(model.topic_terms(), shares)
     for name, part in parts.items():
         tables.write_day(part, cfg.table(name), run_date, cfg.table_format)
     model.discard()

@@ -510,6 +510,28 @@ def build() -> dict[str, str]:
         ("long", """SELECT ticker, id, unnest(summary_tokens) AS a, generate_subscripts(summary_tokens, 1) AS i FROM tokenized"""),
         ("pairs", "SELECT ticker, a, lead(a) OVER (PARTITION BY id ORDER BY i) AS b FROM long"),
     ) + f"SELECT ticker, term, n, {ranked} AS rank FROM ({per_ticker.format(e=pairs)}) QUALIFY rank <= 100"
+    def x_ln_x(x: str) -> str:
+        return f"CASE WHEN ({x}) > 0 THEN ({x}) * ln(CAST(({x}) AS DOUBLE)) ELSE 0e0 END"
+
+    cells = " + ".join(map(x_ln_x, ("n", "na - n", "nb - n", "c - na - nb + n", "c")))
+    margins = " + ".join(map(x_ln_x, ("na", "nb", "c - na", "c - nb")))
+    sql["collocations_per_ticker"] = _ctes(
+        NEWS, TOKENIZED,
+        ("long", """SELECT ticker, id, unnest(summary_tokens) AS a, generate_subscripts(summary_tokens, 1) AS i FROM tokenized"""),
+        ("behind", "SELECT ticker, a, lead(a) OVER (PARTITION BY id ORDER BY i) AS b FROM long"),
+        ("singles", "SELECT ticker, a, count(*) AS n FROM long GROUP BY 1, 2"),
+        ("totals", "SELECT ticker, count(*) AS c FROM long GROUP BY 1"),
+        ("pairs", "SELECT ticker, a, b, count(*) AS n FROM behind WHERE b IS NOT NULL GROUP BY ALL"),
+        ("margins", """SELECT p.ticker, p.a, p.b, p.n, x.n AS na, y.n AS nb, c FROM pairs p JOIN totals t ON t.ticker = p.ticker
+            JOIN singles x ON x.ticker = p.ticker AND x.a = p.a JOIN singles y ON y.ticker = p.ticker AND y.a = p.b"""),
+        ("found", f"""SELECT ticker, a, b, n, {_round(f'2e0 * (({cells}) - ({margins}))', 6)} AS score
+            FROM margins WHERE c > na AND c > nb AND {_round(f'2e0 * (({cells}) - ({margins}))', 6)} > 30"""),
+        ("taken", """SELECT ticker, a, sum(n) AS n FROM
+            (SELECT ticker, a, n FROM found UNION ALL SELECT ticker, b, n FROM found) GROUP BY 1, 2"""),
+        ("every", """SELECT s.ticker, s.a AS term, 1 AS words, CAST(s.n - coalesce(t.n, 0) AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS score
+            FROM singles s LEFT JOIN taken t ON t.ticker = s.ticker AND t.a = s.a WHERE s.n > coalesce(t.n, 0)
+            UNION ALL SELECT ticker, a || ' ' || b, 2, n, score FROM found"""),
+    ) + f"SELECT ticker, term, words, n, score, {ranked} AS rank FROM every QUALIFY rank <= 100"
     sql["doc_frequency_pruned"] = _ctes(NEWS, TOKENIZED) + f"""SELECT term, count(DISTINCT id) AS df,
         (SELECT count(*) FROM documents) AS documents FROM ({_exploded('tokenized', 'summary_tokens', 'id')}) GROUP BY term
         HAVING count(DISTINCT id) >= 2 AND count(DISTINCT id) <= 0.4e0 * (SELECT count(*) FROM documents)"""
@@ -576,6 +598,58 @@ def build() -> dict[str, str]:
     sql["topic_distance"] = _ctes(*counted) + f"""SELECT ticker, CAST(0 AS INTEGER) AS topic_a, CAST(1 AS INTEGER) AS topic_b,
         {_round('sum(0.5e0 * (a.p * ln(a.p / ((a.p + b.p) / 2)) + b.p * ln(b.p / ((a.p + b.p) / 2))))', 6)} AS js_divergence
         FROM topic_terms a JOIN topic_terms b USING (ticker, term) WHERE a.topic = 0 AND b.topic = 1 GROUP BY ticker"""
+    languages = ("de", "en", "es", "fr")
+    spoken = (
+        NEWS, TOKENIZED,
+        ("said", f"""SELECT ticker, list_position({list(languages)}, lang) - 1 AS topic, unnest(summary_tokens) AS term
+            FROM tokenized JOIN documents ON doc_id = id WHERE list_contains({list(languages)}, lang)"""),
+        ("per_term", "SELECT ticker, term, count(*) AS n FROM said GROUP BY 1, 2"),
+        ("per_topic", "SELECT ticker, topic, count(*) AS t FROM said GROUP BY 1, 2"),
+        ("per_ticker", "SELECT ticker, count(*) AS terms, sum(n) AS corpus FROM per_term GROUP BY 1"),
+        ("cells", "SELECT ticker, topic, term, count(*) AS c FROM said GROUP BY 1, 2, 3"),
+        ("topic_terms", """SELECT ticker, k.topic, term, n, corpus, coalesce(t, 0) AS t, (coalesce(c, 0) + 1) / (coalesce(t, 0) + terms) AS p
+            FROM per_term JOIN per_ticker USING (ticker) CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS topic) k
+            LEFT JOIN per_topic USING (ticker, topic) LEFT JOIN cells USING (ticker, topic, term)"""),
+    )
+    # Eigenvectors by squaring: the power of a matrix, made positive by a shift, has the leading one in
+    # all its columns; its own part is then taken out for the next.
+    power = [("m0_0", """SELECT ticker, i, j, -0.5e0 * (s - avg(s) OVER (PARTITION BY ticker, i) - avg(s) OVER (PARTITION BY ticker, j)
+        + avg(s) OVER (PARTITION BY ticker)) AS x FROM squares""")]
+    for axis in (0, 1):
+        power.append((f"p{axis}_0", f"""SELECT ticker, i, j, x + CASE WHEN i = j THEN shift ELSE 0 END AS x FROM m{axis}_0
+            JOIN (SELECT ticker, max(s) AS shift FROM (SELECT ticker, i, sum(abs(x)) AS s FROM m{axis}_0 GROUP BY 1, 2) GROUP BY 1) USING (ticker)"""))
+        for r in range(14):
+            power.append((f"p{axis}_{r + 1}", f"""SELECT ticker, i, j, x / greatest(max(abs(x)) OVER (PARTITION BY ticker), 1e-300) AS x
+                FROM (SELECT a.ticker, a.i, b.j, sum(a.x * b.x) AS x FROM p{axis}_{r} a JOIN p{axis}_{r} b ON a.ticker = b.ticker AND a.j = b.i GROUP BY 1, 2, 3)"""))
+        power += [
+            (f"c{axis}", f"""SELECT ticker, arg_max(i, row(x, -i)) AS j FROM p{axis}_14 WHERE i = j GROUP BY 1"""),
+            (f"v{axis}", f"""SELECT ticker, i, x / sqrt(sum(x * x) OVER (PARTITION BY ticker)) AS v FROM p{axis}_14 JOIN c{axis} USING (ticker, j)"""),
+            (f"e{axis}", f"""SELECT ticker, sum(a.v * m.x * b.v) AS e FROM m{axis}_0 m JOIN v{axis} a USING (ticker, i)
+                JOIN v{axis} b ON b.ticker = m.ticker AND b.i = m.j GROUP BY 1"""),
+            (f"at{axis}", f"""SELECT ticker, i, v * sqrt(greatest(e, 0)) AS spot FROM v{axis} JOIN e{axis} USING (ticker)"""),
+            (f"axis{axis}", f"""SELECT ticker, i, CASE WHEN side >= 0 THEN spot ELSE -spot END AS spot FROM at{axis}
+                LEFT JOIN (SELECT ticker, arg_min(spot, i) AS side FROM at{axis} WHERE abs(spot) >= 5e-7 GROUP BY 1) USING (ticker)"""),
+            (f"m{axis + 1}_0", f"""SELECT m.ticker, m.i, m.j, x - e * a.v * b.v AS x FROM m{axis}_0 m JOIN e{axis} USING (ticker)
+                JOIN v{axis} a ON a.ticker = m.ticker AND a.i = m.i JOIN v{axis} b ON b.ticker = m.ticker AND b.i = m.j"""),
+        ]
+    sql["topic_layout"] = _ctes(
+        *spoken,
+        ("distances", f"""SELECT ticker, a.topic AS a, b.topic AS b,
+            {_round('sum(0.5e0 * (a.p * ln(a.p / ((a.p + b.p) / 2)) + b.p * ln(b.p / ((a.p + b.p) / 2))))', 6)} AS d
+            FROM topic_terms a JOIN topic_terms b USING (ticker, term) WHERE a.topic < b.topic GROUP BY 1, 2, 3"""),
+        ("squares", """SELECT ticker, a AS i, b AS j, d * d AS s FROM distances UNION ALL SELECT ticker, b, a, d * d FROM distances
+            UNION ALL SELECT ticker, k, k, 0 FROM (SELECT DISTINCT ticker FROM distances), (SELECT unnest([0, 1, 2, 3]) AS k)"""),
+        *power,
+    ) + f"""SELECT ticker, CAST(i AS INTEGER) AS topic, {_round('x.spot', 6)} + 0e0 AS x, {_round('y.spot', 6)} + 0e0 AS y
+        FROM axis0 x JOIN axis1 y USING (ticker, i)"""
+    sql["term_saliency"] = _ctes(
+        *spoken,
+        ("given", """SELECT ticker, term, n, corpus, t / corpus AS share, p / sum(p) OVER (PARTITION BY ticker, term) AS q
+            FROM topic_terms WHERE t > 0"""),
+        ("distinct_terms", "SELECT ticker, term, max(n) AS n, max(corpus) AS corpus, sum(q * ln(q / share)) AS d FROM given GROUP BY 1, 2"),
+    ) + f"""SELECT ticker, term, {_round('d', 6)} AS distinctiveness, {_round('n / corpus * d', 9)} AS saliency,
+        CAST(row_number() OVER (PARTITION BY ticker ORDER BY saliency DESC, term) AS INTEGER) AS rank
+        FROM distinct_terms QUALIFY rank <= 30"""
     sql["topic_sizes"] = f"""SELECT 'L' || label AS ticker, CAST(spot - 1 AS INTEGER) AS topic,
         {_round('avg(size / total)', 9)} AS prevalence, count(*) AS documents
         FROM (SELECT label, unnest(sizes) AS size, generate_subscripts(sizes, 1) AS spot, list_sum(sizes) AS total

@@ -533,6 +533,11 @@ def bigram_topn(spark, sf):
     return terms.top_bigrams_per_group(views.tokenized_news(spark, sf), "summary_tokens", 100, "ticker")
 
 
+@query
+def collocations_per_ticker(spark, sf):
+    return terms.collocations_per_group(views.tokenized_news(spark, sf), "summary_tokens", 100, "ticker")
+
+
 @query
 def doc_frequency_pruned(spark, sf):
     return terms.document_frequencies(views.tokenized_news(spark, sf), "summary_tokens", 2, 0.4)
@@ -653,6 +658,32 @@ def topic_distance(spark, sf):
     return topics.topic_distance(_counted_topics(spark, sf))
 
 
+# The languages of the documents, which stand for four topics of a ticker.
+LANGUAGES = ("de", "en", "es", "fr")
+
+
+def _language_news(spark, sf):
+    lang = views.documents(spark, sf).select(F.col("doc_id").alias("id"), F.array_position(F.array(*map(F.lit, LANGUAGES)), F.col("lang")).alias("at"))
+    known = lang.where("at > 0").select("id", (F.col("at") - 1).cast("int").alias("topic"))
+    return views.tokenized_news(spark, sf).join(known, "id")
+
+
+@query
+def topic_layout(spark, sf):
+    spoken = topics.counted_topic_terms(_language_news(spark, sf), "summary_tokens", "topic", len(LANGUAGES))
+    return topics.topic_layout(topics.topic_distance(spoken))
+
+
+@query
+def term_saliency(spark, sf):
+    news = _language_news(spark, sf)
+    spoken = topics.counted_topic_terms(news, "summary_tokens", "topic", len(LANGUAGES))
+    words = news.groupBy("ticker", "topic").agg(F.sum(F.size("summary_tokens")).alias("words"))
+    every = words.groupBy("ticker").agg(F.sum("words").alias("every"))
+    shares = words.join(every, "ticker").select("ticker", "topic", F.try_divide("words", "every").alias("share"))
+    return topics.term_saliency(spoken, shares)
+
+
 @query
 def topic_sizes(spark, sf):
     """The entries of a vector, made positive and scaled to one, stand for a document's topic shares."""

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -136,3 +137,38 @@ def test_rows_at_least_as_large_as_the_nth(rows, n):
     counts = [9, 7, 7, 5, 5, 1]
     got = sorted((r["n"] for r in ranking.at_least_nth(rows([(c,) for c in counts], "n bigint"), "n", n).collect()), reverse=True)
     assert got == [c for c in counts if n > len(counts) or c >= counts[n - 1]]
+
+
+def g_squared(n, first, second, words):
+    cells = [(n, first * second), (first - n, first * (words - second)), (second - n, (words - first) * second),
+             (words - first - second + n, (words - first) * (words - second))]
+    return 2 * sum(o * math.log(o * words / e) for o, e in cells if o > 0)
+
+
+def test_association_is_a_likelihood_ratio(rows):
+    cases = [(5, 7, 6, 100), (1, 50, 40, 100), (3, 3, 3, 1000), (0, 4, 5, 60), (2, 2, 2, 2), (19, 30, 20, 31)]
+    df = rows(cases, "n bigint, a bigint, b bigint, c bigint").select("*", terms.association("n", "a", "b", "c").alias("g"))
+    for n, a, b, c, g in df.collect():
+        assert g == pytest.approx(0 if c in (a, b) else g_squared(n, a, b, c), abs=1e-9)
+
+
+def test_collocations_take_from_their_words(rows):
+    fixed = ["new", "york"] * 20
+    filler = [f"w{i}" for i in range(120)]
+    text = [w for i in range(20) for w in ("new", "york", *filler[6 * i : 6 * i + 6])] + ["new", "old"]
+    df = rows([("A", text), ("B", fixed[:1]), ("B", []), ("B", None), ("C", fixed + ["of"])], "ticker string, tokens array<string>")
+    got = {(r.ticker, r.term): r for r in terms.collocations_per_group(df, "tokens", 5, "ticker", ["of"]).collect()}
+    pair = got["A", "new york"]
+    assert (pair.n, pair.words, pair["rank"]) == (20, 2, 1) and pair.score == pytest.approx(g_squared(20, 21, 20, 162), abs=1e-5)
+    # "york" has nothing left; "new" has the one time it stood before "old".
+    assert ("A", "york") not in got and max(r.n for k, r in got.items() if k[0] == "A" and r.words == 1) == 1
+    assert got["B", "new"].n == 1
+    assert not any("of" in k[1] for k in got)
+
+
+def test_a_hot_group_of_pairs_is_the_same_in_any_layout(rows):
+    data = [("A" if i % 3 else "B", [f"w{(i * k) % 7}" for k in range(9)]) for i in range(200)]
+    df = rows(data, "ticker string, tokens array<string>")
+    first = terms.collocations_per_group(df, "tokens", 50, "ticker").collect()
+    again = terms.collocations_per_group(df.repartition(5), "tokens", 50, "ticker").collect()
+    assert sorted(map(tuple, first), key=str) == sorted(map(tuple, again), key=str) and first

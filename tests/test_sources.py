@@ -247,7 +247,10 @@ def test_all_jobs_of_two_days(spark, tmp_path, database):
             name, _, where = url.partition("?")
             day, ticker = (part.split("=")[1] for part in where.split("&"))
             assert spark.read.table(name).where((F.col("run_date") == day) & (F.col("ticker") == ticker)).count() > 0
-    for name in ("report_bigrams", "report_topic_distance", "report_topic_sizes"):
+    for name in (
+        "report_bigrams", "report_collocations", "report_topic_distance", "report_topic_sizes", "report_topic_layout",
+        "report_term_saliency",
+    ):
         assert before[name] > 0
     reports = str(tmp_path / "reports")
     cfg = Settings(raw_zone=str(tmp_path), database=database, report_root=reports, topics=cfg.topics)

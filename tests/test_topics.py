@@ -1,3 +1,4 @@
+import numpy as np
 import os
 import subprocess
 import sys
@@ -182,3 +183,38 @@ def test_label_index(rows):
     df = rows([("b",), ("a",), ("c",), ("c",)], "label string")
     got = models.label_index(df, "label").orderBy("label_index").collect()
     assert [tuple(r) for r in got] == [("c", 2, 0), ("a", 1, 1), ("b", 1, 2)]
+
+
+def test_layout_keeps_distances_of_points_in_a_plane(rows):
+    points = {0: (0.0, 0.0), 1: (3.0, 0.0), 2: (0.5, 1.0), 3: (-1.0, -0.25), 4: (2.0, 2.0)}
+    pairs = [
+        ("A", a, b, float(np.hypot(points[a][0] - points[b][0], points[a][1] - points[b][1])))
+        for a in points for b in points if a < b
+    ] + [("B", 0, 1, 0.5)]
+    df = rows(pairs, "ticker string, topic_a int, topic_b int, js_divergence double")
+    got = {(r.ticker, r.topic): (r.x, r.y) for r in topics.topic_layout(df).collect()}
+    for ticker, a, b, d in pairs:
+        assert np.hypot(*np.subtract(got[ticker, a], got[ticker, b])) == pytest.approx(d, abs=1e-5)
+    # The first axis is the wider one, centred, and its first topic off the middle is on the positive side.
+    places = np.array([got["A", t] for t in points])
+    assert np.allclose(places.sum(axis=0), 0, atol=1e-5) and (places**2).sum(axis=0)[0] >= (places**2).sum(axis=0)[1]
+    assert places[0][0] > 0 and got["B", 0] == (0.25, 0.0) and got["B", 1] == (-0.25, 0.0)
+
+
+def test_layout_of_equal_topics_and_none(rows):
+    schema = "ticker string, topic_a int, topic_b int, js_divergence double"
+    same = rows([("A", 0, 1, 0.0), ("A", 0, 2, 0.0), ("A", 1, 2, 0.0)], schema)
+    assert {(r.x, r.y) for r in topics.topic_layout(same).collect()} == {(0.0, 0.0)}
+    assert topics.topic_layout(same.where("false")).collect() == []
+
+
+def test_saliency_prefers_frequent_terms_of_one_topic(rows):
+    cells = [("A", t, w, n, p) for w, n, ps in [("only", 50, (0.5, 0.001)), ("both", 50, (0.2, 0.2)), ("rare", 2, (0.001, 0.3))]
+             for t, p in enumerate(ps)]
+    df = rows(cells, "ticker string, topic int, term string, n bigint, probability double")
+    shares = rows([("A", 0, 0.5), ("A", 1, 0.5)], "ticker string, topic int, share double")
+    got = topics.term_saliency(df, shares, 2).collect()
+    assert [(r.term, r["rank"]) for r in sorted(got, key=lambda r: r["rank"])] == [("only", 1), ("rare", 2)]
+    q = np.array([0.5, 0.001]) / 0.501
+    d = float((q * np.log(q / 0.5)).sum())
+    assert got[0].distinctiveness == pytest.approx(d, abs=1e-6) and got[0].saliency == pytest.approx(50 / 102 * d, abs=1e-8)
