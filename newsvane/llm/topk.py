@@ -8,10 +8,15 @@ as are wanted, smallest ids first.
 
 A task leaves out bins below those of its own best ``k`` scores: at least k scores lie at or above
 them, so the k-th score of all rows cannot lie lower. Counts in the bins it sends are complete.
+
+Scores are exact at every size. A vector is plain if its squares sum up to less than 2**62: the score
+of two plain vectors fits 64 bits, whatever their length. Any other vector is scored in whole numbers
+without a bound, beside the histograms; the best of both are put in one order.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,29 +30,43 @@ from newsvane.session import broadcast_if_small
 SCALE = 256
 BINS = 4096
 ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 2048, 512
-# Scaled components at or beyond this cannot be multiplied and summed in 64 bits.
-LARGEST = 1 << 28
+# A plain vector's components are less than this, and their squares sum up to less than the other.
+LARGEST, LARGEST_SQUARES = 1 << 31, float((1 << 62) - (1 << 40))
+# Digits of a score as text: more than the product of two of the largest numbers has.
+DIGITS = 640
 
+# A block's parts are scaled components; those of a block of vectors that are not plain, marked by a
+# negative ``top``, are the components as they came.
 BLOCKS = "ids binary, parts binary, n int, dim int, top long"
 
 
-def _whole_numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scaled components in a row, the offsets of the vectors, and which vectors take part."""
+def _vectors_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Components in a row, the offsets of the vectors, which vectors take part, and which are plain."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     offsets = np.asarray(column.offsets, dtype=np.int64)
     values = column.values.to_numpy(zero_copy_only=False).astype(np.float64)
     bad = ~np.isfinite(values)
-    scaled = np.floor(np.where(bad, 0, values) * SCALE)
-    bad |= np.abs(scaled) >= LARGEST
+    values = np.where(bad, 0, values)
     wrong = np.concatenate([[0], np.cumsum(bad)])
     takes_part = (wrong[offsets[1:]] == wrong[offsets[:-1]]) & ~np.asarray(column.is_null())
-    return np.where(bad, 0, scaled).astype(np.int32), offsets, takes_part
+    with np.errstate(over="ignore"):
+        scaled = np.abs(np.floor(values * SCALE))
+        squares = np.minimum(scaled, 1e30) ** 2
+    # Summed vector by vector: a vector's kind must not depend on its neighbours.
+    sums = np.array([squares[a:b].sum() for a, b in zip(offsets[:-1], offsets[1:])])
+    tops = np.array([scaled[a:b].max(initial=0) for a, b in zip(offsets[:-1], offsets[1:])])
+    return values, offsets, takes_part, (sums < LARGEST_SQUARES) & (tops < LARGEST)
+
+
+def _whole(component: float) -> int:
+    """floor(256 x), exact; large numbers have no fraction that scaling could bring up."""
+    return math.floor(component * SCALE) if abs(component) < 1 << 60 else int(component) * SCALE
 
 
 def _matrix(parts: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The given vectors as rows, shorter ones filled with zeros."""
     sizes = offsets[rows + 1] - offsets[rows]
-    out = np.zeros((len(rows), int(sizes.max(initial=0))), dtype=np.int32)
+    out = np.zeros((len(rows), int(sizes.max(initial=0))), dtype=parts.dtype)
     for size in np.unique(sizes):
         of_size = np.flatnonzero(sizes == size)
         out[of_size, :size] = parts[offsets[rows[of_size]][:, None] + np.arange(size)]
@@ -55,27 +74,24 @@ def _matrix(parts: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> np.ndar
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema(
+        [("ids", pa.binary()), ("parts", pa.binary()), ("n", pa.int32()), ("dim", pa.int32()), ("top", pa.int64())]
+    )
     for batch in batches:
-        for begin in range(0, batch.num_rows, ROWS_PER_BLOCK):
-            part = batch.slice(begin, ROWS_PER_BLOCK)
-            parts, offsets, takes_part = _whole_numbers(part.column(1))
-            takes_part &= ~np.asarray(part.column(0).is_null())
-            rows = np.flatnonzero(takes_part)
-            if not len(rows):
-                continue
-            ids = part.column(0).take(pa.array(rows)).to_numpy().astype("<i8")
-            matrix = _matrix(parts, offsets, rows)
-            yield pa.RecordBatch.from_pylist(
-                [
-                    {
-                        "ids": ids.tobytes(), "parts": matrix.astype("<i4").tobytes(), "n": len(ids),
-                        "dim": matrix.shape[1], "top": int(np.abs(matrix).max(initial=0)),
-                    }
-                ],
-                schema=pa.schema(
-                    [("ids", pa.binary()), ("parts", pa.binary()), ("n", pa.int32()), ("dim", pa.int32()), ("top", pa.int64())]
-                ),
-            )
+        values, offsets, takes_part, plain = _vectors_of(batch.column(1))
+        takes_part &= ~np.asarray(batch.column(0).is_null())
+        for kind in (plain, ~plain):
+            every = np.flatnonzero(takes_part & kind)
+            for begin in range(0, len(every), ROWS_PER_BLOCK):
+                rows = every[begin : begin + ROWS_PER_BLOCK]
+                ids = batch.column(0).take(pa.array(rows)).to_numpy().astype("<i8")
+                matrix = _matrix(values, offsets, rows)
+                top = -1
+                if kind is plain:
+                    matrix = np.floor(matrix * SCALE).astype("<i4")
+                    top = max(int(matrix.max(initial=0)), -int(matrix.min(initial=0)))
+                block = {"ids": ids.tobytes(), "parts": matrix.tobytes(), "n": len(ids), "dim": matrix.shape[1], "top": top}
+                yield pa.RecordBatch.from_pylist([block], schema=schema)
 
 
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -83,6 +99,53 @@ def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.frombuffer(row["parts"], "<i4").reshape(row["n"], row["dim"])
 
 
+def _unbounded(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """A block of either kind as whole numbers without a bound."""
+    ids = np.frombuffer(row["ids"], "<i8")
+    if row["top"] >= 0:
+        return ids, _unpack(row)[1].astype(object)
+    parts = [_whole(x) for x in np.frombuffer(row["parts"], "<f8").tolist()]
+    matrix = np.empty(len(parts), dtype=object)
+    matrix[:] = parts
+    return ids, matrix.reshape(row["n"], row["dim"])
+
+
+def _as_text(score: int) -> str:
+    """Text in the order of the scores."""
+    return f"1{score:0{DIGITS}d}" if score >= 0 else f"0{10**DIGITS + score:0{DIGITS}d}"
+
+
+def _best_unbounded(k: int):
+    """(query_id, vec_id, ordered, score): the best of one block of rows for one block of queries, exactly."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, rows = _unbounded(row)
+                query_ids, queries = _unbounded({c: row[f"q_{c}"] for c in ("ids", "parts", "n", "dim", "top")})
+                dim = min(rows.shape[1], queries.shape[1])
+                out = []
+                for q, query in zip(query_ids.tolist(), queries[:, :dim]):
+                    scores = (rows[:, :dim] * query).sum(axis=1).tolist() if dim else [0] * len(ids)
+                    found = sorted((-s, i) for s, i in zip(scores, ids.tolist()) if i != q)[:k]
+                    out += [(q, i, _as_text(-s), min(max(-s, -(1 << 63)), (1 << 63) - 1)) for s, i in found]
+                if out:
+                    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["query_id", "vec_id", "ordered", "score"]
+                    )
+
+    return run
+
+
+def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        text = pa.array([_as_text(s) for s in batch.column(2).to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), text, batch.column(2)], names=["query_id", "vec_id", "ordered", "score"]
+        )
+
+
 def _scores(queries: np.ndarray, rows: np.ndarray, query_ids, ids) -> tuple[np.ndarray, np.ndarray]:
     """Inner products, and which of them count (not a query with itself)."""
     dim = min(queries.shape[1], rows.shape[1])
@@ -174,22 +237,26 @@ def top_k(
 
     The score is the inner product of floor(256 x) of the components; equal scores go by smaller
     id. A query is not compared with rows that carry its own id. Vectors that are null or hold
-    null, NaN, infinite or, scaled, components of 2**28 and more take no part, nor do null ids. Of
-    vectors of unequal length the missing components count as zero, so an empty vector scores 0.
-    A query id that repeats is answered once, for its smallest vector; repeated rows among
-    ``vectors`` are candidates each. Without rows or queries the result is empty. Other columns are
-    not read.
+    null, NaN or infinite components take no part, nor do null ids. Of vectors of unequal length the
+    missing components count as zero, so an empty vector scores 0. Scores are put in order exactly; one
+    beyond a long is given as the long next to it. A query id that repeats is answered once, for the
+    smallest of its vectors that take part; repeated rows among ``vectors`` are candidates each.
+    Without rows or queries the result is empty. Other columns are not read.
     """
-    rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector).alias("v"))
-    asked = queries.groupBy(F.col(id_column).cast("long").alias("id")).agg(F.min(vector).alias("v"))
-    blocks = staged(bounded_batches(rows).mapInArrow(_pack, BLOCKS), "topk-rows")
-    asked = staged(asked.mapInArrow(_pack, BLOCKS), "topk-queries")
-
-    most = blocks.agg(F.max("top"), F.max("dim")).first()
-    also = asked.agg(F.max("top"), F.max("dim"), F.sum("n")).first()
+    rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    numbers = F.forall(F.col("v"), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    asked = queries.select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    asked = asked.where(numbers).groupBy("id").agg(F.min("v").alias("v"))
+    every_block = staged(bounded_batches(rows).mapInArrow(_pack, BLOCKS), "topk-rows")
+    every_asked = staged(asked.mapInArrow(_pack, BLOCKS), "topk-queries")
+    blocks, asked = every_block.where("top >= 0"), every_asked.where("top >= 0")
+
+    most = every_block.agg(F.max("top"), F.max("dim"), F.min("top")).first()
+    also = every_asked.agg(F.max("top"), F.max("dim"), F.sum(F.when(F.col("top") >= 0, F.col("n"))), F.min("top")).first()
     dim, count = also[1] or 0, also[2] or 0
-    # Any score lies within this of zero.
-    reach = (most[0] or 0) * (also[0] or 0) * min(most[1] or 0, dim)
+    some_unbounded = min(most[2] or 0, also[3] or 0) < 0
+    # Any score of plain vectors lies within this of zero.
+    reach = min(max(most[0] or 0, 0) * max(also[0] or 0, 0) * min(most[1] or 0, dim), (1 << 62) - 1)
     vectors_asked = staged(
         asked.withColumn("most", F.lit(dim)).mapInArrow(_one_per_query, "query_id long, parts binary"), "topk-asked"
     )
@@ -240,6 +307,17 @@ def top_k(
         span = width
     best = pairs(state, 1).mapInArrow(_best(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    if some_unbounded:
+        against_all = every_asked.select(*[F.col(c).alias(f"q_{c}") for c in every_asked.columns])
+        # A row or query that is not plain makes a pair of blocks one for whole numbers. Every block of
+        # queries meets every block of rows once, as in the histograms.
+        paired = every_block.join(
+            broadcast_if_small(against_all, (also[2] or 0) + 1, 8 * dim + 64), (F.col("top") < 0) | (F.col("q_top") < 0)
+        )
+        exact = paired.mapInArrow(_best_unbounded(k), "query_id long, vec_id long, ordered string, score long")
+        plain = best.mapInArrow(_ordered, exact.schema)
+        best = exact.unionByName(plain)
+        order = Window.partitionBy("query_id").orderBy(F.desc("ordered"), "vec_id")
     return (
         best.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
