@@ -259,3 +259,17 @@ def induce_lexicon(
     return counts.withColumn("docs", totals).select(
         "w", "in_one", "in_zero", round_to(F.ln(odds_one / odds_zero), 6).alias("log_odds")
     )
+
+
+# Fixed value: log-odds of this much and more count as the strongest feeling.
+STRONGEST = 4.0
+
+
+def lexicon_of(induced: DataFrame) -> DataFrame:
+    """An induced table (w, log_odds) as a lexicon to score with: valence up to 4, polarity up to 1, and as
+    subjective as it is polar, by how far the log-odds are on the way to the strongest."""
+    part = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("log_odds") / STRONGEST))
+    return induced.where(F.col("log_odds") != 0).select(
+        "w", F.round(part * 40).cast("int").alias("valence_tenths"), F.round(part * 1000).cast("int").alias("polarity_milli"),
+        F.round(F.abs(part) * 1000).cast("int").alias("subjectivity_milli"),
+    )

@@ -13,8 +13,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsvane import dictionaries as dic
-from newsvane.config import Settings
+from newsvane.config import Settings, Thresholds
 from newsvane.functions.text import INLINE_DICTIONARY_LIMIT, combine_tokens, lemmatize, tokenize
 from newsvane.operators import compare, models
 from newsvane.operators import news as news_ops
@@ -30,6 +29,12 @@ TOPIC_TERMS_TABLE, TOPIC_DISTANCE_TABLE, TOPIC_SIZES_TABLE = "report_topic_terms
 COMPARISON_TABLE, PREDICTIONS_TABLE = "sentiment_comparison", "news_score_predictions"
 TRADES_TABLE, EQUITY_TABLE = "backtest_trades", "backtest_equity"
 
+# Dictionaries are tables that the user stores: (w), (token, lemma), and what `operators.sentiment` scores with.
+STOPWORDS_TABLE, LEMMAS_TABLE = "dictionary_stopwords", "dictionary_lemmas"
+LEXICON_TABLE, MODIFIERS_TABLE = "dictionary_lexicon", "dictionary_modifiers"
+# A stop-word list of more words is refused: it travels inside the plan.
+MOST_STOPWORDS = 20_000
+
 NLP_COLUMNS = ("title_tokens", "title_lemmas", "summary_tokens", "summary_lemmas")
 
 
@@ -56,14 +61,32 @@ def analyse_news(news: DataFrame, stopwords: Iterable[str], lemmas: Lemmas, *kee
     return lists.select("ticker", "id", "published_at", *fields, *NLP_COLUMNS, *keep)
 
 
+def dictionary(spark: SparkSession, cfg: Settings, name: str) -> DataFrame:
+    """A stored dictionary. There is no default: scores from a made-up one would look like any other."""
+    if not spark.catalog.tableExists(cfg.table(name)):
+        raise LookupError(f"no dictionary {cfg.table(name)}: store one before the jobs run, or pass one")
+    return spark.read.table(cfg.table(name))
+
+
+def stored_stopwords(spark: SparkSession, cfg: Settings) -> list[str]:
+    words = dictionary(spark, cfg, STOPWORDS_TABLE).select("w").where("w IS NOT NULL").distinct()
+    known = [r["w"] for r in words.limit(MOST_STOPWORDS + 1).collect()]
+    if len(known) > MOST_STOPWORDS:
+        raise ValueError(f"{cfg.table(STOPWORDS_TABLE)} holds more than {MOST_STOPWORDS} words")
+    return sorted(known)
+
+
 def news_job(
     spark: SparkSession, cfg: Settings, run_date: dt.date,
-    stopwords: Iterable[str] = dic.STOPWORDS, lemmas: Lemmas | None = None,
+    stopwords: Iterable[str] | None = None, lemmas: Lemmas | None = None,
 ) -> DataFrame:
+    """Token and lemma lists of the day's articles, with the stored dictionaries unless others are passed."""
+    stopwords = stored_stopwords(spark, cfg) if stopwords is None else stopwords
+    lemmas = dictionary(spark, cfg, LEMMAS_TABLE) if lemmas is None else lemmas
     raw = raw_zone.read_daily(spark, cfg.raw_zone, raw_zone.NEWS, run_date)
     # An article repeated within the day's files counts once.
     articles = latest_per_key(news_ops.normalize_news(raw), ["ticker", "id"], F.col("published_at"))
-    analysed = analyse_news(articles, stopwords, dic.LEMMAS if lemmas is None else lemmas)
+    analysed = analyse_news(articles, stopwords, lemmas)
     tables.write_day(analysed, cfg.table(NEWS_TABLE), run_date, cfg.table_format)
     return tables.read_day(spark, cfg.table(NEWS_TABLE), run_date)
 
@@ -75,21 +98,25 @@ def market_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> DataFra
     return tables.read_day(spark, cfg.table(MARKET_TABLE), run_date)
 
 
+def score_articles(
+    articles: DataFrame, lexicon: DataFrame, modifiers: DataFrame, cuts: Thresholds, *keep: str
+) -> DataFrame:
+    """Articles with token and lemma lists to their texts, twelve scores and twelve labels."""
+    # Texts are not grouping keys: only the identifying columns travel with the sums.
+    scores = sentiment.sentiment_matrix(articles, ["ticker", "id"], lexicon, modifiers, cuts)
+    texts = articles.select("ticker", "id", "published_at", "title", "summary", *keep)
+    return texts.join(scores, ["ticker", "id"])
+
+
 def sentiment_job(
     spark: SparkSession, cfg: Settings, run_date: dt.date,
     lexicon: DataFrame | None = None, modifiers: DataFrame | None = None,
 ) -> DataFrame:
-    """Scores of the day's articles only; earlier days keep theirs."""
-    keys = ["ticker", "id", "published_at", "title", "summary"]
+    """Scores of the day's articles only; earlier days keep theirs. Stored dictionaries unless others are passed."""
+    lexicon = dictionary(spark, cfg, LEXICON_TABLE) if lexicon is None else lexicon
+    modifiers = dictionary(spark, cfg, MODIFIERS_TABLE) if modifiers is None else modifiers
     articles = tables.read_day(spark, cfg.table(NEWS_TABLE), run_date)
-    # Texts are not grouping keys: only the identifying columns travel with the sums.
-    scores = sentiment.sentiment_matrix(
-        articles, ["ticker", "id"],
-        lexicon if lexicon is not None else dic.lexicon_table(spark),
-        modifiers if modifiers is not None else dic.modifier_table(spark),
-        cfg.thresholds,
-    )
-    matrix = articles.select(*keys).join(scores, ["ticker", "id"])
+    matrix = score_articles(articles, lexicon, modifiers, cfg.thresholds)
     tables.write_day(matrix, cfg.table(SCORES_TABLE), run_date, cfg.table_format)
     return tables.read_day(spark, cfg.table(SCORES_TABLE), run_date)
 
@@ -144,7 +171,7 @@ def report_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> DataFra
     with its terms, their saliency, and the topics' distances, places and sizes. The manifest lists the tickers whose rows were written.
     """
     titled = spark.read.table(cfg.table(TOPICS_TABLE)).where(F.col("title").isNotNull())
-    words = titled.select("ticker", "id", tokenize("title", dic.STOPWORDS).alias("tokens"))
+    words = titled.select("ticker", "id", tokenize("title", stored_stopwords(spark, cfg)).alias("tokens"))
     parts = {
         TERMS_TABLE: terms.top_terms_per_group(words, F.col("tokens"), 100, "ticker"),
         BIGRAMS_TABLE: terms.top_bigrams_per_group(words, "tokens", 100, "ticker"),

@@ -24,6 +24,9 @@ def build_session(app: str = "newsvane", master: str | None = None, **conf: str)
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # Keyed state of streams lies on disk, not on the heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -1,20 +1,32 @@
-"""Incremental ingest: every new raw file is normalised, tokenised and stored once."""
+"""Incremental ingest: every new raw file is normalised, tokenised, scored and stored once.
+
+Which articles are known is keyed state of the stream, in Spark's state store: no batch reads the
+tables it writes. An article that comes again, in the same batch, the next day or months later, is
+dropped by the state of its (ticker, id); the state is forgotten when the article has not come for
+a horizon longer than any fetch window.
+"""
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from newsvane.operators.news import dedup_fetches, normalize_news, ticker_from_path
-from newsvane.plans.daily import Lemmas, analyse_news
+from newsvane.config import Thresholds
+from newsvane.operators.news import normalize_news, ticker_from_path
+from newsvane.plans.daily import Lemmas, analyse_news, score_articles
 from newsvane.sources.raw_zone import NEWS_SCHEMA
 from newsvane.sources.tables import write_partitions
 
 RUN_DATE_IN_PATH = r"/(\d{4})/(\d{2})/(\d{2})/[^/]+\.json$"
+# The longest fetch window is 365 days; state lives longer than that after an article was last met.
+HORIZON_MS = 400 * 86_400_000
+ARRIVED = "__arrived"
 
 
 def news_stream(spark: SparkSession, path: str, files_per_batch: int = 10_000) -> DataFrame:
@@ -33,49 +45,97 @@ def news_stream(spark: SparkSession, path: str, files_per_batch: int = 10_000) -
     )
 
 
-# An article comes again within this many days or counts as new: how far back known ones are looked up.
-REFETCH_DAYS = 45
+def _latest(rows: pd.DataFrame) -> pd.DataFrame:
+    """The row of the last run, then of the last publication; equals by their texts."""
+    def place(i: int) -> tuple:
+        row = rows.iloc[i]
+        run, published = row["run_date"], row["datetime"]
+        return (str(run), -1 if pd.isna(published) else int(published), str(row["headline"]), str(row["summary"]))
+
+    return rows.iloc[[max(range(len(rows)), key=place)]]
+
+
+def _first_seen(horizon_ms: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        if any(pd.isna(part) for part in key):
+            # Without a whole key rows are no copies of each other.
+            for rows in batches:
+                yield rows.drop(columns=ARRIVED)
+            return
+        best = None
+        for rows in batches:
+            best = _latest(rows if best is None else pd.concat([best, rows]))
+        known = state.exists
+        now = int(state.getCurrentProcessingTimeMs())
+        state.update((now,))
+        state.setTimeoutTimestamp(now + horizon_ms)
+        if best is not None and not known:
+            yield best.drop(columns=ARRIVED)
+
+    return run
+
+
+def unseen_articles(news: DataFrame, horizon_ms: int = HORIZON_MS) -> DataFrame:
+    """A stream's articles (ticker, id, ...) that it has not met before, once each.
+
+    Of several rows of an article in one batch the latest goes on, whatever order they come in. Rows
+    without a ticker or id all go on. State is one number per article; it is refreshed whenever the
+    article comes and expires ``horizon_ms`` later. The stream's time is when rows arrive, not a date
+    they carry, so no row is ever late and dropped for that.
+    """
+    # Timeouts by the clock alone would let a run over all available files go on for ever.
+    arriving = news.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, "0 seconds")
+    return arriving.groupBy("ticker", "id").applyInPandasWithState(
+        _first_seen(horizon_ms), news.schema, "met long", "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+@dataclass(frozen=True)
+class Scoring:
+    """Where scores go and what they are made with."""
+
+    table: str
+    lexicon: DataFrame
+    modifiers: DataFrame
+    cuts: Thresholds = Thresholds()
 
 
 def store_batch(
-    batch: DataFrame, batch_id: int, table: str, stopwords: Iterable[str], lemmas: Lemmas,
-    refetch_days: int = REFETCH_DAYS,
+    batch: DataFrame, batch_id: int, table: str, stopwords: Iterable[str], lemmas: Lemmas, scoring: Scoring | None = None,
 ) -> int:
-    """Store the articles of a batch that the table does not have yet.
+    """Store the new articles of a batch and, if asked for, their scores; returns the articles.
 
     The batch writes only partitions that carry its own number, so running it again after a failure
-    replaces its first attempt and leaves all other batches alone. Known articles are read from the
-    partitions of the batch's days and of ``refetch_days`` before and after them, not from the whole
-    table. The batch is read once; its rows are held while its days are looked up and it is written.
+    replaces its first attempt and leaves all other batches alone. Neither table is read.
     """
-    spark = batch.sparkSession
-    held = batch.persist()
+    number = F.lit(batch_id).cast("bigint").alias("batch_id")
+    analysed = analyse_news(normalize_news(batch, "run_date"), stopwords, lemmas, "run_date").select("*", number)
+    if scoring is None:
+        return write_partitions(analysed, table, ["run_date", "batch_id"])
+    # Read twice: for the articles and for their scores.
+    held = analysed.persist()
     try:
-        latest = dedup_fetches(held, "ticker", "id")
-        if spark.catalog.tableExists(table):
-            first, last = held.agg(F.min("run_date"), F.max("run_date")).first()
-            window = dt.timedelta(days=refetch_days)
-            stored = spark.read.table(table).where(F.col("batch_id") != batch_id)
-            if first is not None:
-                stored = stored.where(F.col("run_date").between(F.lit(first - window), F.lit(last + window)))
-            latest = latest.join(stored.select("ticker", "id"), ["ticker", "id"], "left_anti")
-        normalized = normalize_news(latest, "run_date")
-        analysed = analyse_news(normalized, stopwords, lemmas, "run_date")
-        numbered = analysed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        return write_partitions(numbered, table, ["run_date", "batch_id"])
+        stored = write_partitions(held, table, ["run_date", "batch_id"])
+        scores = score_articles(held, scoring.lexicon, scoring.modifiers, scoring.cuts, "run_date", "batch_id")
+        write_partitions(scores, scoring.table, ["run_date", "batch_id"])
+        return stored
     finally:
         held.unpersist()
 
 
 def ingest_available(
     spark: SparkSession, path: str, table: str, checkpoint: str,
-    stopwords: Iterable[str], lemmas: Lemmas,
+    stopwords: Iterable[str], lemmas: Lemmas, scoring: Scoring | None = None, horizon_ms: int = HORIZON_MS,
 ) -> StreamingQuery:
     """Process everything that has arrived since the last run, then stop."""
     return (
-        news_stream(spark, path)
-        .writeStream.foreachBatch(lambda df, n: store_batch(df, n, table, stopwords, lemmas) and None)
+        unseen_articles(news_stream(spark, path), horizon_ms)
+        .writeStream.foreachBatch(lambda df, n: store_batch(df, n, table, stopwords, lemmas, scoring) and None)
         .option("checkpointLocation", checkpoint)
+        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

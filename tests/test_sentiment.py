@@ -150,3 +150,13 @@ def test_induced_lexicon(rows):
 
 def test_inline_table_quotes_text(spark):
     assert inline_table(spark, [("it's", None, True)], ("a", "b", "c")).first() == ("it's", None, True)
+
+
+def test_an_induced_table_scores(rows):
+    induced = rows([("gain", 3, 0, 2.0), ("loss", 0, 9, -9.0), ("none", 1, 1, 0.0)], "w string, in_one bigint, in_zero bigint, log_odds double")
+    lexicon = sentiment.lexicon_of(induced)
+    assert sorted(map(tuple, lexicon.collect())) == [("gain", 20, 500, 500), ("loss", -40, -1000, 1000)]
+    docs = rows([(1, ["gain", "none"]), (2, ["loss"])], "id bigint, tokens array<string>")
+    modifiers = rows([], "w string, booster_milli int, is_negation boolean, intensity_milli int")
+    got = {r.id: r.polarity for r in sentiment.score_texts(docs, ["id"], "tokens", lexicon, modifiers).collect()}
+    assert got == {1: 0.5, 2: -1.0}

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsvane.config import Settings, TopicSettings
-from newsvane.dictionaries import LEMMAS, STOPWORDS
+from newsvane.dictionaries import LEMMAS, STOPWORDS, lemma_table, lexicon_table, modifier_table
 from newsvane.operators import news as news_ops
 from newsvane.plans import daily
 from newsvane.sources import raw_zone, tables
@@ -212,6 +212,60 @@ def test_stream_stores_every_article_once(spark, tmp_path, database):
     assert run() == [("A", 1, DAY), ("A", 2, DAY), ("A", 3, later)]
 
 
+def test_stream_scores_and_knows_articles_after_long(spark, tmp_path, database):
+    zone, table, scores = tmp_path / "zone", f"{database}.stream", f"{database}.scores"
+    scoring = ingest.Scoring(scores, lexicon_table(spark), modifier_table(spark))
+    path = f"{zone}/news/*/*/*/*.json"
+    # The same article twice in one batch, under two run dates: the later one counts.
+    put(zone, "news", DAY, "A", [article(1), article(2, text="weak loss")])
+    put(zone, "news", DAY + dt.timedelta(days=1), "A", [article(2, text="good gain")])
+
+    def run(**options):
+        query = ingest.ingest_available(
+            spark, path, table, str(tmp_path / "checkpoint"), STOPWORDS, LEMMAS, scoring, **options
+        )
+        assert query.awaitTermination(120)
+        return query
+
+    run()
+    assert [(r.id, r.summary) for r in spark.read.table(table).orderBy("id").collect()] == [
+        (1, "strong growth and profit"), (2, "good gain")
+    ]
+    scored = spark.read.table(scores).orderBy("id").collect()
+    by_hand = daily.score_articles(spark.read.table(table), scoring.lexicon, scoring.modifiers, scoring.cuts).orderBy("id")
+    assert [r.vd_comp_summary_token for r in scored] == [r.vd_comp_summary_token for r in by_hand.collect()]
+    # Half a year later both come again with one that is new; the query is a new one on the old checkpoint.
+    later = DAY + dt.timedelta(days=180)
+    put(zone, "news", later, "A", [article(1, text="changed"), article(2), article(3, later)])
+    query = run()
+    for name in (table, scores):
+        assert sorted((r.id, r.run_date) for r in spark.read.table(name).collect()) == [
+            (1, DAY), (2, DAY + dt.timedelta(days=1)), (3, later)
+        ]
+    # What is known is state, not a scan of the tables.
+    plan = query._jsq.toString() + query.lastProgress["sources"][0]["description"]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 3 and database not in plan
+
+
+def test_state_expires_and_rows_without_a_key_stay(spark, tmp_path, database):
+    zone, table = tmp_path / "zone", f"{database}.stream"
+    path = f"{zone}/news/*/*/*/*.json"
+
+    def run():
+        ingest.ingest_available(
+            spark, path, table, str(tmp_path / "checkpoint"), STOPWORDS, LEMMAS, horizon_ms=1
+        ).awaitTermination(120)
+        return spark.read.table(table)
+
+    put(zone, "news", DAY, "A", [article(1), article(None), article(None)])
+    assert run().count() == 3
+    # A run in which the article does not come lets its state go.
+    put(zone, "news", DAY, "B", [article(5)])
+    run()
+    put(zone, "news", DAY + dt.timedelta(days=1), "A", [article(1)])
+    assert run().where("ticker = 'A' AND id = 1").count() == 2
+
+
 def test_a_repeated_batch_replaces_itself(spark, rows, database):
     batch = rows(
         [("A", 1, "h", "s", epoch(DAY), DAY)],
@@ -225,6 +279,13 @@ def test_a_repeated_batch_replaces_itself(spark, rows, database):
 def test_all_jobs_of_two_days(spark, tmp_path, database):
     cfg = Settings(raw_zone=str(tmp_path), database=database, topics=TopicSettings(iterations=2))
     days = [DAY, DAY + dt.timedelta(days=1)]
+    with pytest.raises(LookupError):
+        daily.run_all(spark, cfg, DAY)
+    for name, words in {
+        daily.STOPWORDS_TABLE: spark.createDataFrame([(w,) for w in STOPWORDS], "w string"),
+        daily.LEMMAS_TABLE: lemma_table(spark), daily.LEXICON_TABLE: lexicon_table(spark), daily.MODIFIERS_TABLE: modifier_table(spark),
+    }.items():
+        words.write.saveAsTable(cfg.table(name))
     texts = ["strong growth and profit", "weak loss and lawsuit risk", "good gain but plunge fear"]
     for n, run_date in enumerate(days):
         for ticker in ("AAPL", "MSFT"):
