@@ -657,6 +657,21 @@ def build() -> dict[str, str]:
         GROUP BY 1, 2"""
 
     # --- vectors
+    near_words = (
+        NEWS, TOKENIZED, DOC_TOKENS,
+        ("long", "SELECT id, unnest(tokens) AS w, generate_subscripts(tokens, 1) AS i FROM docs"),
+        ("known", "SELECT w FROM long GROUP BY 1 HAVING count(*) >= 3"),
+        ("pairs", """SELECT least(x.w, y.w) AS a, greatest(x.w, y.w) AS b, CAST(sum(6 - (y.i - x.i)) AS BIGINT) AS n
+            FROM long x JOIN long y ON x.id = y.id AND y.i BETWEEN x.i + 1 AND x.i + 5
+            WHERE x.w IN (FROM known) AND y.w IN (FROM known) GROUP BY 1, 2"""),
+    )
+    sql["cooccurrence"] = _ctes(*near_words) + "SELECT a, b, n FROM pairs"
+    sql["ppmi"] = _ctes(
+        *near_words,
+        ("sides", "SELECT w, CAST(sum(n) AS DOUBLE) AS n FROM (SELECT a AS w, n FROM pairs UNION ALL SELECT b, n FROM pairs) GROUP BY 1"),
+        ("shares", """SELECT a, b, p.n, CASE WHEN a = b THEN 2 ELSE 1 END * CAST(p.n AS DOUBLE) * (SELECT sum(n) FROM sides) / (x.n * y.n) AS share
+            FROM pairs p JOIN sides x ON x.w = a JOIN sides y ON y.w = b"""),
+    ) + f"SELECT a, b, n, {_round('ln(share)', 6)} AS ppmi FROM shares WHERE share > 1 AND {_round('ln(share)', 6)} > 0"
     sql["dominant_topic"] = """SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT)
         AS dominant_topic_id FROM embeddings"""
     fixed = f"list_transform(embedding, lambda x: {_micros('CAST(x AS DOUBLE)')})"

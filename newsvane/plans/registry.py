@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newsvane import dictionaries as dic
 from newsvane.functions import labels, text
 from newsvane.operators import (
-    compare, models, news as news_ops, ranking, sentiment, signals as signal_ops, terms, topics,
+    compare, embeddings, models, news as news_ops, ranking, sentiment, signals as signal_ops, terms, topics,
     trading, vectors,
 )
 from newsvane.plans import views
@@ -727,6 +727,34 @@ def word2vec_synonyms(spark, sf):
     return near.select(F.lit(term).alias("query"), F.col("term").alias("word"), F.col("cosine").alias("similarity"))
 
 
+@query
+def cooccurrence(spark, sf):
+    return embeddings.cooccurrence(_doc_tokens(spark, sf), "tokens")
+
+
+@query
+def ppmi(spark, sf):
+    return embeddings.ppmi(embeddings.cooccurrence(_doc_tokens(spark, sf), "tokens"))
+
+
+@query
+def word_vectors(spark, sf):
+    """Repeatable word vectors of the corpus, entries in millionths."""
+    counted = embeddings.ppmi(embeddings.cooccurrence(_doc_tokens(spark, sf), "tokens"))
+    micros = F.transform("vector", lambda x: F.floor(x * 1e6 + 0.5).cast("string"))
+    return embeddings.word_vectors(counted, VECTOR_SIZE).select("term", F.array_join(micros, ",").alias("vector"))
+
+
+@query
+def word_vector_neighbours(spark, sf):
+    """The words nearest to the most frequent one, by the corpus's own vectors."""
+    docs = _doc_tokens(spark, sf)
+    words = embeddings.word_vectors(embeddings.ppmi(embeddings.cooccurrence(docs, "tokens")), VECTOR_SIZE)
+    term = terms.vocabulary(docs, "tokens", size=1).first()["term"]
+    near = vectors.nearest_terms(words, term, 15)
+    return near.select(F.lit(term).alias("query"), F.col("term").alias("word"), F.col("cosine").alias("similarity"))
+
+
 WORD_VECTORS = {"size": 100, "min_count": 3, "window": 5, "iterations": 20}
 
 
