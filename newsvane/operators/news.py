@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsvane.functions.numeric import from_micros, round_to, to_micros
@@ -89,6 +89,43 @@ def fetch_plan(symbols: DataFrame, run_date: dt.date, days: int = 365, step: int
     )
 
 
+def merged_windows(windows: DataFrame) -> DataFrame:
+    """(symbol, from_date, to_date): windows of whole days joined where they overlap or touch."""
+    by_start = Window.partitionBy("symbol").orderBy("from_date", "to_date")
+    reached = F.max("to_date").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    first = F.when(reached.isNull() | (F.col("from_date") > F.date_add(reached, 1)), 1).otherwise(0)
+    # Windows that end before they start, or lack an end, hold no day.
+    whole = windows.where("symbol IS NOT NULL AND from_date <= to_date").select("symbol", "from_date", "to_date").distinct()
+    numbered = whole.withColumn("first", first).withColumn("island", F.sum("first").over(by_start))
+    return numbered.groupBy("symbol", "island").agg(
+        F.min("from_date").alias("from_date"), F.max("to_date").alias("to_date")
+    ).drop("island")
+
+
+def fetch_gaps(plan: DataFrame, landed: DataFrame) -> DataFrame:
+    """(symbol, from_date, to_date): the days of ``plan`` that no landed window holds, as windows.
+
+    Both are (symbol, from_date, to_date) with both ends included, in any order, overlapping or not.
+    The days between a symbol's landed windows, and before and after them, are laid over its wanted
+    ones; a symbol of which nothing landed keeps all it wants.
+    """
+    by_start = Window.partitionBy("symbol").orderBy("from_date")
+    early, late = F.lit("0001-01-02").cast("date"), F.lit("9999-12-30").cast("date")
+    held = merged_windows(landed)
+    before = held.select(
+        "symbol", F.coalesce(F.date_add(F.lag("to_date").over(by_start), 1), early).alias("open_from"),
+        F.date_sub("from_date", 1).alias("open_to"),
+    )
+    after = held.groupBy("symbol").agg(F.date_add(F.max("to_date"), 1).alias("open_from")).withColumn("open_to", late)
+    wanted = merged_windows(plan)
+    # A symbol has as many open stretches as it has landed windows, and one more.
+    laid = wanted.join(before.unionByName(after), "symbol", "left").select(
+        "symbol", F.greatest("from_date", F.coalesce("open_from", early)).alias("from_date"),
+        F.least("to_date", F.coalesce("open_to", late)).alias("to_date"),
+    )
+    return laid.where("from_date <= to_date")
+
+
 def dedup_fetches(df: DataFrame, *keys: str, ties: Sequence[Column] | None = None) -> DataFrame:
     """Overlapping fetches repeat records; the one of the latest run date stays. Records without a whole key stay."""
     return latest_per_key(df, keys, F.col("run_date"), ties)

@@ -343,6 +343,16 @@ def build() -> dict[str, str]:
         CAST(greatest(DATE '2024-01-30' - CAST((n + 1) * 30 AS INTEGER), DATE '2024-01-30' - 365) AS VARCHAR) AS from_date,
         CAST(DATE '2024-01-30' - CAST(n * 30 AS INTEGER) AS VARCHAR) AS to_date
         FROM supplier, range(0, 13) AS r(n)"""
+    # Day by day: what is wanted and not landed, then days in a row.
+    sql["fetch_gaps"] = """WITH symbols AS (SELECT s_suppkey, replace(replace(s_name, '#', '.'), '.', '-') AS symbol FROM supplier),
+        wanted AS (SELECT symbol, CAST(d AS DATE) AS d
+            FROM symbols, generate_series(DATE '2024-01-30' - 365, DATE '2024-01-30', INTERVAL 1 DAY) AS r(d)),
+        landed AS (SELECT DISTINCT symbol, CAST(ts AS DATE) + k AS d FROM events JOIN symbols ON s_suppkey = user_id % 40 + 1,
+            (SELECT unnest([-1, 0, 1]) AS k) WHERE user_id % 3 <> 0
+            AND event_id % 3 - 1 >= 0 AND k BETWEEN 0 AND event_id % 3 - 1),
+        missing AS (SELECT symbol, d, d - CAST(row_number() OVER (PARTITION BY symbol ORDER BY d) AS INTEGER) AS island
+            FROM wanted ANTI JOIN landed USING (symbol, d))
+        SELECT symbol, CAST(min(d) AS VARCHAR) AS from_date, CAST(max(d) AS VARCHAR) AS to_date FROM missing GROUP BY symbol, island"""
     sql["dedup_latest"] = """SELECT user_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS run_date, value, event_id
         FROM events QUALIFY row_number() OVER
         (PARTITION BY user_id, event_type ORDER BY CAST(ts AS DATE) DESC, value DESC, event_id DESC) = 1"""

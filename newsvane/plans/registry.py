@@ -108,6 +108,19 @@ def fetch_plan(spark, sf):
     return _dates_as_text(news_ops.fetch_plan(symbols, RUN_DATE))
 
 
+@query
+def fetch_gaps(spark, sf):
+    """What is still to fetch for every supplier's symbol; a user's events stand for windows that landed."""
+    suppliers = views.table(spark, sf, "supplier").select("s_suppkey", news_ops.market_symbol(F.replace("s_name", F.lit("#"), F.lit("."))).alias("symbol"))
+    day = F.to_date("ts")
+    landed = views.table(spark, sf, "events").where("user_id % 3 <> 0").select(
+        (F.col("user_id") % 40 + 1).alias("s_suppkey"), day.alias("from_date"),
+        F.date_add(day, (F.col("event_id") % 3 - 1).cast("int")).alias("to_date"),
+    )
+    plan = news_ops.fetch_plan(suppliers.select("symbol"), RUN_DATE)
+    return _dates_as_text(news_ops.fetch_gaps(plan, landed.join(suppliers, "s_suppkey").drop("s_suppkey")))
+
+
 @query
 def dedup_latest(spark, sf):
     fetched = views.table(spark, sf, "events").select(

@@ -326,3 +326,30 @@ def test_all_jobs_of_two_days(spark, tmp_path, database):
     daily.run_all(spark, cfg, days[-1])
     after = {t: spark.read.table(f"{database}.{t}").count() for t in tables.list_tables(spark, database)}
     assert after == before
+
+
+def test_gaps_are_the_days_that_did_not_land(rows):
+    import random
+
+    rng = random.Random(5)
+    first = dt.date(2024, 1, 1)
+
+    def windows(symbols, count, longest):
+        out = []
+        for _ in range(count):
+            start = rng.randint(0, 60)
+            out.append((rng.choice(symbols), first + dt.timedelta(days=start), first + dt.timedelta(days=start + rng.randint(-1, longest))))
+        return out
+
+    plan, landed = windows("ABCD", 25, 20), windows("ABC", 20, 6) + [("A", None, first), (None, first, first), ("E", first, first)]
+    schema = "symbol string, from_date date, to_date date"
+
+    def days(rows_):
+        return {(s, d + dt.timedelta(days=k)) for s, d, e in rows_ if s and d and e for k in range((e - d).days + 1)}
+
+    got = [tuple(r) for r in news_ops.fetch_gaps(rows(plan, schema), rows(landed, schema)).collect()]
+    assert days(got) == days(plan) - days(landed) and len(days(got)) == sum((e - d).days + 1 for _, d, e in got)
+    # Windows are as long as they can be but where a plan's own windows part.
+    merged = [tuple(r) for r in news_ops.merged_windows(rows(got, schema)).collect()]
+    assert sorted(merged) == sorted(got)
+    assert news_ops.fetch_gaps(rows(plan, schema).where("false"), rows(landed, schema)).collect() == []
