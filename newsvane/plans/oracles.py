@@ -728,4 +728,10 @@ def build() -> dict[str, str]:
         FROM (SELECT {_polarity_label('polarity')} AS label, count(*) AS articles FROM scored GROUP BY 1)"""
     sql["topic_k_choice"] = """SELECT source AS ticker, count(*) AS documents,
         CAST(greatest(2, least(10, count(*) // 2)) AS INTEGER) AS k FROM documents GROUP BY source HAVING count(*) >= 5"""
+    targets = [f"{scorer}_{field}_token" for field in ("title", "summary") for scorer in ("tb_pol", "tb_sub")]
+    sql["score_gram"] = f"""WITH vectors AS ({sql['word2vec_docs']}), scores AS ({sql['sentiment_matrix']}),
+        design AS (SELECT list_concat([1000000], list_transform(string_split(vector, ','), lambda x: CAST(x AS BIGINT)),
+            [{', '.join(_micros(t) for t in targets)}]) AS m FROM vectors JOIN scores USING (ticker, id) WHERE vector IS NOT NULL)
+        SELECT CAST(i - 1 AS INTEGER) AS i, CAST(j - 1 AS INTEGER) AS j, CAST(sum(CAST(m[i] AS HUGEINT) * m[j]) AS VARCHAR) AS total
+        FROM design, range(1, 70) AS a(i), range(1, 70) AS b(j) WHERE i <= j GROUP BY ALL"""
     return sql

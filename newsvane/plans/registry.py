@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newsvane import dictionaries as dic
 from newsvane.functions import labels, text
 from newsvane.operators import (
-    compare, embeddings, models, news as news_ops, ranking, sentiment, signals as signal_ops, terms, topics,
+    compare, embeddings, models, news as news_ops, ranking, regression, sentiment, signals as signal_ops, terms, topics,
     trading, vectors,
 )
 from newsvane.plans import views
@@ -843,3 +843,13 @@ def score_regression(spark, sf):
     fitted = models.fit_score_heads(docs, "tokens", SCORE_TARGETS, **_vector_options(docs))
     predicted = fitted.transform(docs)
     return predicted.select("ticker", "id", *SCORE_TARGETS, *[f"pred_{t}" for t in SCORE_TARGETS])
+
+
+@query
+def score_gram(spark, sf):
+    """What linear heads for the four scores are solved from, with stored word vectors as features."""
+    docs = vectors.document_vectors(_doc_tokens(spark, sf), ["ticker", "id"], "tokens", _word_table(spark, sf), VECTOR_SIZE)
+    scored = sentiment.sentiment_matrix(views.nlp_news(spark, sf), ["ticker", "id"], *_dictionaries(spark))
+    rows = docs.join(scored.select("ticker", "id", *SCORE_TARGETS), ["ticker", "id"])
+    sums = regression.gram(rows, "vector", SCORE_TARGETS, VECTOR_SIZE)
+    return sums.select("i", "j", F.col("total").cast("string").alias("total"))
