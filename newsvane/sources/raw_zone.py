@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,55 @@ def read_history(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return _with_ticker(files, schema.names)
 
 
+def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Every JSON file below a folder without a given schema: (file, place, record) and (file, place, reason).
+
+    A file holds an array of records or one record. What is no record goes to the second table: a
+    file that is no JSON or too large for one value (place null), an entry that is no object. A file is one value
+    and one row of the first step; an empty array has neither records nor rejects.
+    """
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    values = files.select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("v"))
+    entries = F.expr(
+        "CASE WHEN schema_of_variant(v) LIKE 'ARRAY%' THEN try_variant_get(v, '$', 'array<variant>') ELSE array(v) END"
+    )
+    rows = values.where("v IS NOT NULL").select("file", F.posexplode(entries).alias("place", "record"))
+    is_object = F.schema_of_variant("record").like("OBJECT%")
+    unread = values.where("v IS NULL").select(
+        "file", F.lit(None).cast("int").alias("place"), F.lit("no JSON, or too large").alias("reason")
+    )
+    strange = rows.where(~F.coalesce(is_object, F.lit(False))).select("file", "place", F.lit("no object").alias("reason"))
+    return rows.where(is_object), unread.unionByName(strange)
+
+
+# Parts of an inferred schema: quoted names stay as they are, the rest becomes a table's types.
+_TYPES = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\bDECIMAL\(\d+,\s*\d+\)|(?<=[<:\s])(?:VOID|VARIANT)\b(?!:)")
+
+
+def inferred_schema(records: DataFrame) -> str:
+    """The type that holds all records, found by one aggregate over them.
+
+    Fields that are missing in some records are there, numbers with a fraction are doubles, and what
+    is of several kinds, or always null, is text.
+    """
+    found = records.agg(F.schema_of_variant_agg("record")).first()[0] or "OBJECT<>"
+
+    def kind(match: re.Match) -> str:
+        part = match.group()
+        if part.startswith("`"):
+            return part
+        return "STRUCT<" if part.startswith("OBJECT") else "DOUBLE" if part.startswith("DECIMAL") else "STRING"
+
+    return _TYPES.sub(kind, found)
+
+
+def read_inferred(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Records as columns of the schema inferred from all files, with their ticker, and the rejects of `read_records`."""
+    records, rejects = read_records(spark, path)
+    made = F.try_variant_get("record", "$", inferred_schema(records)).alias("r")
+    return records.select(ticker_from_path(F.col("file")).alias("ticker"), made).select("ticker", "r.*"), rejects
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """Files holding one JSON array of nested articles each, as rows (ticker, uuid, title, ...).
 

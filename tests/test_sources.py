@@ -353,3 +353,29 @@ def test_gaps_are_the_days_that_did_not_land(rows):
     merged = [tuple(r) for r in news_ops.merged_windows(rows(got, schema)).collect()]
     assert sorted(merged) == sorted(got)
     assert news_ops.fetch_gaps(rows(plan, schema).where("false"), rows(landed, schema)).collect() == []
+
+
+def test_schema_of_drifting_files_and_what_is_no_record(spark, tmp_path):
+    texts = {
+        "AAPL": '[{"Date": "2024-01-01", "Close": 1, "Stock Splits": 0.5, "none": null}, {"Date": "x", "Close": 2, "more": {"VOID": [1]}}, 7, null]',
+        "2024/MSFT": '{"Date": "2024-01-02", "Close": 3, "mixed": "high"}',
+        "2024/GOOG": '[{"mixed": 4}, {}]',
+        "BROKEN": '[{"Date": "2024',
+        "EMPTY": "[]",
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").parent.mkdir(exist_ok=True)
+        (tmp_path / f"{name}.json").write_text(text)
+    made, rejects = raw_zone.read_inferred(spark, str(tmp_path))
+    kinds = dict(made.dtypes)
+    assert kinds == {
+        "ticker": "string", "Close": "bigint", "Date": "string", "Stock Splits": "double", "mixed": "string",
+        "more": "struct<VOID:array<bigint>>", "none": "string",
+    }
+    got = sorted(((r.ticker, r.Date, r.Close, r["Stock Splits"], r.mixed) for r in made.collect()), key=str)
+    assert got == sorted([
+        ("AAPL", "2024-01-01", 1, 0.5, None), ("AAPL", "x", 2, None, None), ("MSFT", "2024-01-02", 3, None, "high"),
+        ("GOOG", None, None, None, "4"), ("GOOG", None, None, None, None),
+    ], key=str)
+    left = sorted((r.file.rsplit("/", 1)[1], r.place, r.reason) for r in rejects.collect())
+    assert left == [("AAPL.json", 2, "no object"), ("AAPL.json", 3, "no object"), ("BROKEN.json", None, "no JSON, or too large")]
