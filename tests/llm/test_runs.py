@@ -50,7 +50,8 @@ def test_automaton_and_filter_equal_brute_force():
 
 
 def test_long_periodic_words_take_few_steps():
-    block = [random.Random(3).randint(0, 10**6) for _ in range(3000)]
+    rng = random.Random(3)
+    block = [rng.randint(0, 10**6) for _ in range(3000)]
     assert runs.repetitions(block * 5) == [(0, 15000, 3000)]
     assert runs.repetitions([1] * 20000) == [(0, 20000, 1)]
 
