@@ -194,6 +194,16 @@ def word_vectors(pairs: DataFrame, size: int = SIZE, rounds: int = ROUNDS, seed:
     return made
 
 
+def fit(
+    df: DataFrame, tokens: str, size: int = SIZE, window: int = WINDOW, min_count: int = MIN_COUNT, rounds: int = ROUNDS
+) -> DataFrame:
+    """(term, vector) of a corpus, from its token lists: counted once, staged, the same in every run."""
+    pairs, path = stage(cooccurrence(df, tokens, window, min_count), "vector-pairs")
+    made = word_vectors(ppmi(pairs), size, rounds)
+    discard(df.sparkSession, [path])
+    return made
+
+
 def _whole(size: int):
     """Rows (a, y) in the order of a, to one row per word."""
 

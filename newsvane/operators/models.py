@@ -1,31 +1,30 @@
-"""Corpus topics, word vectors, classifier, regression heads."""
+"""Corpus topics, and the classifier and score heads on word vectors."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, Word2Vec, Word2VecModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsvane.config import TopicSettings
 from newsvane.functions.numeric import round_to
-from newsvane.operators.ranking import top_n
-from newsvane.operators.terms import term_counts, vocabulary
+from newsvane.operators import regression
+from newsvane.operators.terms import vocabulary
 from newsvane.operators.topics import TickerTopics, fit_topics
-from newsvane.operators.vectors import is_train
+from newsvane.operators.vectors import document_vectors, is_train
 from newsvane.session import discard, stage
 
 SEED = 42
 
 
 CORPUS = "*"
-# Word vectors are trained in this many tasks and know at most this many words. Both shape the model,
-# so they are parameters and never follow the machine.
-VECTOR_TASKS, VECTOR_WORDS = 8, 50_000
 
 
 def corpus_topics(
@@ -57,42 +56,21 @@ def corpus_topic_keywords(model: TickerTopics) -> DataFrame:
     return model.keywords().select("topic", "keywords")
 
 
-def least_count(docs: DataFrame, tokens: str, words: int, min_count: int) -> int:
-    """The smallest count with which at most ``words`` words are as frequent, at least ``min_count``."""
-    counts = term_counts(docs, F.col(tokens)).where(F.col("n") >= min_count)
-    beyond = top_n(counts, [F.desc("n"), F.asc("term")], words + 1).where(F.col("rank") == words + 1).first()
-    return min_count if beyond is None else beyond["n"] + 1
-
-
-def word_vectors(
-    tokens: str, size: int = 100, min_count: int = 3, window: int = 5, iterations: int = 20,
-    partitions: int = VECTOR_TASKS,
-) -> Word2Vec:
-    """Spark's word vectors. A fit in more than one task is not repeatable: tasks train on their own
-    copies, whose order of merging is not fixed. Fit once, store the vectors (`vector_table`), and
-    compute from the stored table, which is repeatable (`vectors.document_vectors`).
-
-    The model, words x size numbers, passes through the driver and goes to every task; bound its
-    words with ``min_count`` = `least_count` of `VECTOR_WORDS`.
-    """
-    return Word2Vec(
-        vectorSize=size, minCount=min_count, windowSize=window, maxIter=iterations, seed=SEED,
-        numPartitions=partitions, inputCol=tokens, outputCol="features",
-    )
-
-
-def vector_table(fitted: Word2VecModel) -> DataFrame:
-    """(term, vector) of a fitted model, to be stored."""
-    return fitted.getVectors().select(F.col("word").alias("term"), vector_to_array("vector").alias("vector"))
+def article_features(
+    df: DataFrame, keys: Sequence[str], tokens: str, words: DataFrame, size: int, *keep: str
+) -> DataFrame:
+    """(keys, ``keep`` columns, vector): the mean vector of an article's known words from a stored table
+    (term, vector), zeros for an article without one. Keys are whole and occur once."""
+    means = document_vectors(df, keys, tokens, words, size).select(*keys, "vector")
+    zeros = F.array_repeat(F.lit(0.0), size)
+    vector = F.coalesce("vector", zeros).alias("vector")
+    return df.select(*keys, *keep).join(means, list(keys)).select(*keys, *keep, vector)
 
 
-def sentiment_classifier(
-    tokens: str, label: str, trees: int = 50, depth: int = 10, **vector_options
-) -> Pipeline:
-    """Word vectors, label index, random forest."""
+def sentiment_classifier(label: str, trees: int = 50, depth: int = 10) -> Pipeline:
+    """Label index and random forest on the column ``features``."""
     return Pipeline(
         stages=[
-            word_vectors(tokens, **vector_options),
             StringIndexer(inputCol=label, outputCol="label_index", handleInvalid="keep"),
             RandomForestClassifier(
                 featuresCol="features", labelCol="label_index", numTrees=trees, maxDepth=depth, seed=SEED
@@ -101,6 +79,34 @@ def sentiment_classifier(
     )
 
 
+# A forest draws its samples task by task. So many rows are the work of one, whatever the machine.
+ROWS_PER_TASK = 100_000
+
+
+def with_features(rows: DataFrame) -> DataFrame:
+    """The column ``vector`` as ``features``, in the form Spark ML reads."""
+    return rows.withColumn("features", array_to_vector("vector"))
+
+
+def fit_classifier(
+    rows: DataFrame, keys: Sequence[str], label: str, trees: int = 50, depth: int = 10,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> PipelineModel:
+    """A forest fitted on rows (keys, vector, label); predict with ``transform(with_features(rows))``.
+
+    The model is the same on any number of cores: rows are dealt by a hash of their keys to a number of tasks that
+    follows from how many rows there are, and are sorted there, so every tree meets the same sample.
+    Rows without a label take part as a label of their own, as the indexer keeps them.
+    """
+    spark = rows.sparkSession
+    narrow, path = stage(rows.select(*keys, label, "vector"), "forest-rows")
+    tasks = max(1, math.ceil(narrow.count() / rows_per_task))
+    dealt = narrow.repartition(tasks, *keys).sortWithinPartitions(*keys, label)
+    fitted = sentiment_classifier(label, trees, depth).fit(with_features(dealt))
+    discard(spark, [path])
+    return fitted
+
+
 def split(df: DataFrame, key: str, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
     train = is_train(F.col(key), share)
     return df.where(train), df.where(~train)
@@ -123,21 +129,16 @@ def accuracy_report(predictions: DataFrame) -> DataFrame:
     return predictions.agg(round_to(right, 6).alias("accuracy"), F.count("*").alias("articles"))
 
 
-def fit_score_heads(df: DataFrame, tokens: str, targets: list[str], **vector_options) -> PipelineModel:
-    """One regression per score on shared word-vector features; predictions are `pred_<score>`.
+def score_predictions(
+    rows: DataFrame, targets: Sequence[str], size: int, ridge: float = 0.01
+) -> tuple[DataFrame, dict[str, list[float]]]:
+    """The rows with `pred_<score>` per score, and the weights: linear heads on the column ``vector``.
 
-    Word vectors are fitted and features computed once, written out, and all heads fitted on them.
+    All heads are solved from one pass over the rows (`regression.gram`), the same on any number of
+    cores. Rows without a score take no part in the fit and are predicted all the same.
     """
-    embedding = word_vectors(tokens, **vector_options).fit(df)
-    features, path = stage(embedding.transform(df).select("features", *targets), "score-features")
-    heads = [
-        LinearRegression(
-            featuresCol="features", labelCol=target, predictionCol=f"pred_{target}", regParam=0.01
-        ).fit(features)
-        for target in targets
-    ]
-    discard(df.sparkSession, [path])
-    return PipelineModel([embedding, *heads])
+    weights = regression.fit_heads(regression.gram(rows, "vector", targets, size), size, targets, ridge)
+    return regression.predict(rows, "vector", weights), weights
 
 
 def mean_squared_errors(predictions: DataFrame, targets: list[str]) -> dict[str, float]:

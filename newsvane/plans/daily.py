@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from newsvane.config import Settings, Thresholds
 from newsvane.functions.text import INLINE_DICTIONARY_LIMIT, combine_tokens, lemmatize, tokenize
-from newsvane.operators import compare, models
+from newsvane.operators import compare, embeddings, models
 from newsvane.operators import news as news_ops
 from newsvane.operators import sentiment, signals, terms, topics, trading
 from newsvane.operators.ranking import latest_per_key
@@ -27,6 +27,7 @@ TERMS_TABLE, BIGRAMS_TABLE, MANIFEST_TABLE = "report_terms", "report_bigrams", "
 COLLOCATIONS_TABLE, LAYOUT_TABLE, SALIENCY_TABLE = "report_collocations", "report_topic_layout", "report_term_saliency"
 TOPIC_TERMS_TABLE, TOPIC_DISTANCE_TABLE, TOPIC_SIZES_TABLE = "report_topic_terms", "report_topic_distance", "report_topic_sizes"
 COMPARISON_TABLE, PREDICTIONS_TABLE = "sentiment_comparison", "news_score_predictions"
+VECTORS_TABLE, HEADS_TABLE = "word_vectors", "news_score_heads"
 TRADES_TABLE, EQUITY_TABLE = "backtest_trades", "backtest_equity"
 
 # Dictionaries are tables that the user stores: (w), (token, lemma), and what `operators.sentiment` scores with.
@@ -213,9 +214,13 @@ def comparison_job(spark: SparkSession, cfg: Settings, run_date: dt.date) -> Dat
 
 
 def prediction_job(
-    spark: SparkSession, cfg: Settings, run_date: dt.date, model_path: str | None = None, **vector_options
+    spark: SparkSession, cfg: Settings, run_date: dt.date, size: int = embeddings.SIZE, **vector_options
 ) -> DataFrame:
-    """Scores predicted from word vectors, next to the scores they were fitted on."""
+    """Scores predicted from word vectors, next to the scores they were fitted on.
+
+    The model is two tables: the word vectors, and the weights of the heads (target, weights), the
+    constant first.
+    """
     targets = [f"{scorer}_{field}_token" for field in ("title", "summary") for scorer in ("tb_pol", "tb_sub")]
     scores = news_ops.dedup_fetches(
         spark.read.table(cfg.table(SCORES_TABLE)).select("ticker", "id", "run_date", *targets), "ticker", "id"
@@ -225,12 +230,15 @@ def prediction_job(
         combine_tokens(F.col("title_tokens"), F.col("summary_tokens")).alias("tokenized_text"),
     )
     rows = docs.join(scores.drop("run_date"), ["ticker", "id"])
-    fitted = models.fit_score_heads(rows, "tokenized_text", targets, **vector_options)
-    if model_path:
-        fitted.write().overwrite().save(model_path)
-    tables.replace_table(
-        fitted.transform(rows).drop("features"), cfg.table(PREDICTIONS_TABLE), cfg.table_format
-    )
+    fitted = embeddings.fit(rows, "tokenized_text", size, **vector_options)
+    tables.replace_table(fitted, cfg.table(VECTORS_TABLE), cfg.table_format)
+    words = spark.read.table(cfg.table(VECTORS_TABLE))
+    others = [c for c in rows.columns if c not in ("ticker", "id")]
+    features = models.article_features(rows, ["ticker", "id"], "tokenized_text", words, size, *others)
+    predicted, weights = models.score_predictions(features, targets, size)
+    heads = spark.createDataFrame(list(weights.items()), "target string, weights array<double>")
+    tables.replace_table(heads, cfg.table(HEADS_TABLE), cfg.table_format)
+    tables.replace_table(predicted.drop("vector"), cfg.table(PREDICTIONS_TABLE), cfg.table_format)
     return spark.read.table(cfg.table(PREDICTIONS_TABLE))
 
 

@@ -15,6 +15,7 @@ from newsvane.operators import (
     trading, vectors,
 )
 from newsvane.plans import views
+from newsvane.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -753,24 +754,20 @@ def ppmi(spark, sf):
 @query
 def word_vectors(spark, sf):
     """Repeatable word vectors of the corpus, entries in millionths."""
-    counted = embeddings.ppmi(embeddings.cooccurrence(_doc_tokens(spark, sf), "tokens"))
     micros = F.transform("vector", lambda x: F.floor(x * 1e6 + 0.5).cast("string"))
-    return embeddings.word_vectors(counted, VECTOR_SIZE).select("term", F.array_join(micros, ",").alias("vector"))
+    return embeddings.fit(_doc_tokens(spark, sf), "tokens", VECTOR_SIZE).select("term", F.array_join(micros, ",").alias("vector"))
 
 
 @query
 def word_vector_neighbours(spark, sf):
     """The words nearest to the most frequent one, by the corpus's own vectors."""
     docs = _doc_tokens(spark, sf)
-    words = embeddings.word_vectors(embeddings.ppmi(embeddings.cooccurrence(docs, "tokens")), VECTOR_SIZE)
+    words = embeddings.fit(docs, "tokens", VECTOR_SIZE)
     term = terms.vocabulary(docs, "tokens", size=1).first()["term"]
     near = vectors.nearest_terms(words, term, 15)
     return near.select(F.lit(term).alias("query"), F.col("term").alias("word"), F.col("cosine").alias("similarity"))
 
 
-WORD_VECTORS = {"size": 100, "min_count": 3, "window": 5, "iterations": 20}
-
-
 def _labelled_tokens(spark, sf):
     scored = sentiment.sentiment_matrix(views.nlp_news(spark, sf), ["ticker", "id"], *_dictionaries(spark))
     targets = scored.select(
@@ -784,15 +781,18 @@ SCORE_TARGETS = [
 ]
 
 
-def _vector_options(docs: DataFrame) -> dict:
-    least = models.least_count(docs, "tokens", models.VECTOR_WORDS, WORD_VECTORS["min_count"])
-    return {**WORD_VECTORS, "min_count": least}
+def _article_rows(spark, sf):
+    """(ticker, id, label, scores, vector): articles as the corpus's own word vectors describe them."""
+    docs = _labelled_tokens(spark, sf)
+    words = embeddings.fit(_doc_tokens(spark, sf), "tokens", VECTOR_SIZE)
+    rows = models.article_features(docs, ["ticker", "id"], "tokens", words, VECTOR_SIZE, "label", *SCORE_TARGETS)
+    # Fitted on and predicted for: read twice, made once.
+    return stage(rows, "article-rows")[0]
 
 
 def _predicted_labels(spark, sf):
-    train, test = models.split(_labelled_tokens(spark, sf), "id")
-    fitted = models.sentiment_classifier("tokens", "label", **_vector_options(train)).fit(train)
-    return fitted.transform(test)
+    train, test = models.split(_article_rows(spark, sf), "id")
+    return models.fit_classifier(train, ["ticker", "id"], "label").transform(models.with_features(test))
 
 
 @query
@@ -839,10 +839,8 @@ def label_accuracy(spark, sf):
 
 @query
 def score_regression(spark, sf):
-    docs = _labelled_tokens(spark, sf)
-    fitted = models.fit_score_heads(docs, "tokens", SCORE_TARGETS, **_vector_options(docs))
-    predicted = fitted.transform(docs)
-    return predicted.select("ticker", "id", *SCORE_TARGETS, *[f"pred_{t}" for t in SCORE_TARGETS])
+    rows, _ = models.score_predictions(_article_rows(spark, sf), SCORE_TARGETS, VECTOR_SIZE)
+    return rows.select("ticker", "id", *SCORE_TARGETS, *[f"pred_{t}" for t in SCORE_TARGETS])
 
 
 @query

@@ -318,9 +318,8 @@ def test_all_jobs_of_two_days(spark, tmp_path, database):
     report = daily.comparison_job(spark, cfg, days[-1]).collect()
     assert len(report) == 1 and 0 <= report[0]["agreement_pct"] <= 100
     assert spark.read.option("header", True).csv(f"{reports}/agreement_*").count() == 1
-    predicted = daily.prediction_job(
-        spark, cfg, days[-1], model_path=str(tmp_path / "model"), size=4, min_count=1, iterations=1, partitions=1
-    )
+    predicted = daily.prediction_job(spark, cfg, days[-1], size=4, min_count=1, rounds=2)
+    assert len(spark.read.table(f"{database}.news_score_heads").collect()) == 4
     assert predicted.count() == 16 and "pred_tb_pol_title_token" in predicted.columns
     before = {t: spark.read.table(f"{database}.{t}").count() for t in tables.list_tables(spark, database)}
     daily.run_all(spark, cfg, days[-1])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsvane import session
 from newsvane.config import TopicSettings
-from newsvane.operators import models, topics, vectors
+from newsvane.operators import embeddings, models, topics, vectors
 
 
 def corpus(rows, hot=40):
@@ -88,16 +88,20 @@ from newsvane.session import build_session
 spark = build_session("cores", "local[{cores}]", **{{"spark.sql.shuffle.partitions": "{partitions}", "spark.sql.warehouse.dir": {folder!r}}})
 spark.sparkContext.setLogLevel("OFF")
 from newsvane.config import TopicSettings
-from newsvane.operators import models, topics
+from newsvane.operators import embeddings, models, topics
 from newsvane.plans import registry
 docs = registry._doc_tokens(spark, "/root/testdata/sf0.001")
 one = models.corpus_assignments(models.corpus_topics(docs, "tokens", iterations=3)).orderBy("ticker", "id").collect()
 two = topics.fit_topics(docs, TopicSettings(iterations=2)).assignments().orderBy("ticker", "id").collect()
-print("RESULT", hash(tuple(str(r) for r in one + two)))
+words = embeddings.fit(docs.where("id < 60"), "tokens", 8, rounds=2)
+rows = models.article_features(docs.withColumn("label", docs.id % 3), ["ticker", "id"], "tokens", words, 8, "label")
+forest = models.fit_classifier(rows.selectExpr("ticker", "id", "CAST(label AS STRING) AS label", "vector"), ["ticker", "id"], "label", 5, 4, 90)
+heads, weights = models.score_predictions(rows, ["label"], 8)
+print("RESULT", hash(tuple(str(r) for r in one + two)), hash(forest.stages[-1].toDebugString.split(",", 1)[1]), hash(str(weights)))
 """
 
 
-def test_topics_are_the_same_on_two_and_four_cores(tmp_path):
+def test_models_are_the_same_on_two_and_four_cores(tmp_path):
     root = str(Path(__file__).resolve().parent.parent)
     found = set()
     for cores, partitions in ((2, 3), (4, 8)):
@@ -128,20 +132,6 @@ def test_document_vectors(rows):
     assert [r["term"] for r in vectors.nearest_terms(words, "a", 5).collect()] == ["b"]
 
 
-def test_vectors_from_a_fit_are_those_of_its_table(rows):
-    df = rows([("A", i, ["up", "down", "up"][: 1 + i % 3]) for i in range(30)], "ticker string, id bigint, tokens array<string>")
-    fitted = models.word_vectors("tokens", size=4, min_count=1, iterations=2, partitions=1).fit(df)
-    table = models.vector_table(fitted)
-    ours = {r["id"]: r["vector"] for r in vectors.document_vectors(df, ["ticker", "id"], "tokens", table, 4).collect()}
-    theirs = {r["id"]: r["features"] for r in fitted.transform(df).collect()}
-    assert all(list(theirs[i]) == pytest.approx(ours[i], abs=2e-6) for i in ours)
-
-
-def test_vector_words_are_bounded(rows):
-    df = rows([(["a"] * 5 + ["b"] * 3 + ["c"] * 3 + ["d"],)], "tokens array<string>")
-    assert [models.least_count(df, "tokens", n, 1) for n in (1, 2, 3, 4, 9)] == [4, 4, 2, 1, 1]
-
-
 def test_argmax_takes_the_first_of_equals(rows):
     df = rows([([0.4, 0.4, 0.2],), ([0.1, 0.2, 0.7],)], "v array<double>")
     assert [r[0] for r in df.select(vectors.dominant_index(F.col("v"))).collect()] == [0, 2]
@@ -155,28 +145,56 @@ def test_split_is_stable_and_near_its_share(spark):
     assert train.repartition(3).exceptAll(models.split(ids.repartition(5), "id")[0]).count() == 0
 
 
+def _articles(rows, sets, n):
+    tokens = [(("A", "B")[i % 3 == 0], i, sets[i % 2] * 4 + (["only"] if i == 7 else [])) for i in range(n)]
+    labels = [(*t, "positive" if t[1] % 2 == 0 else "negative", 0.8 if t[1] % 2 else -0.8) for t in tokens]
+    odd = [("A", 900, [], "positive", 0.1), ("A", 901, ["unseen"], "negative", None)]
+    return rows(labels + odd, "ticker string, id bigint, tokens array<string>, label string, polarity double")
+
+
 def test_classifier_learns_saves_and_loads(spark, rows, tmp_path):
-    sets = (["gain", "rise", "up"], ["loss", "fall", "down"])
-    data = [(i, sets[i % 2] * 4, "positive" if i % 2 == 0 else "negative") for i in range(120)]
-    df = rows(data, "id bigint, tokens array<string>, label string")
-    train, test = models.split(df, "id")
-    fitted = models.sentiment_classifier(
-        "tokens", "label", trees=5, depth=3, size=8, min_count=1, iterations=3, partitions=1
-    ).fit(train)
-    assert models.accuracy(fitted.transform(test)) > 0.9
+    df = _articles(rows, (["gain", "rise", "up"], ["loss", "fall", "down"]), 120)
+    words = embeddings.fit(df, "tokens", size=8, rounds=4)
+    made = models.article_features(df, ["ticker", "id"], "tokens", words, 8, "label")
+    assert made.count() == df.count() and made.where("id = 900").first()["vector"] == [0.0] * 8
+    train, test = models.split(made.where("id < 900"), "id")
+    options = {"trees": 5, "depth": 3, "rows_per_task": 40}
+    fitted = models.fit_classifier(train, ["ticker", "id"], "label", **options)
+    predicted = fitted.transform(models.with_features(test))
+    assert models.accuracy(predicted) > 0.9
     fitted.write().overwrite().save(str(tmp_path / "model"))
-    again = models.PipelineModel.load(str(tmp_path / "model")).transform(test)
-    assert again.select("id", "prediction").exceptAll(fitted.transform(test).select("id", "prediction")).count() == 0
+    again = models.PipelineModel.load(str(tmp_path / "model")).transform(models.with_features(test))
+    assert again.select("id", "prediction").exceptAll(predicted.select("id", "prediction")).count() == 0
     assert models.confusion(again).count() >= 2
-
-
-def test_score_heads(spark, rows):
-    data = [(i, ["good"] * 4 if i % 2 else ["bad"] * 4, 0.8 if i % 2 else -0.8) for i in range(60)]
-    df = rows(data, "id bigint, tokens array<string>, polarity double")
-    fitted = models.fit_score_heads(
-        df, "tokens", ["polarity"], size=4, min_count=1, iterations=2, partitions=1
-    )
-    assert models.mean_squared_errors(fitted.transform(df), ["polarity"])["polarity"] < 0.2
+    # The layout of the rows changes no tree.
+    other = models.fit_classifier(train.repartition(7), ["ticker", "id"], "label", **options)
+    trees = [model.stages[-1].toDebugString.split(",", 1)[1] for model in (fitted, other)]
+    assert trees[0] == trees[1]
+
+
+def test_score_heads(rows):
+    df = _articles(rows, (["good", "fine"], ["bad", "poor"]), 60)
+    words = embeddings.fit(df, "tokens", size=4, rounds=4)
+    made = models.article_features(df, ["ticker", "id"], "tokens", words, 4, "polarity")
+    predicted, weights = models.score_predictions(made, ["polarity"], 4)
+    assert set(weights) == {"polarity"} and len(weights["polarity"]) == 5
+    assert predicted.count() == 62 and predicted.where("pred_polarity IS NULL").count() == 0
+    assert models.mean_squared_errors(predicted.where("id < 900"), ["polarity"])["polarity"] < 0.2
+
+
+def test_predictions_are_those_of_sql_from_the_same_weights(rows, spark):
+    import duckdb
+
+    df = _articles(rows, (["good", "fine"], ["bad", "poor"]), 60)
+    words = embeddings.fit(df, "tokens", size=4, rounds=4)
+    made = models.article_features(df, ["ticker", "id"], "tokens", words, 4, "polarity")
+    predicted, weights = models.score_predictions(made, ["polarity"], 4)
+    table = made.select("id", "vector").toPandas()  # noqa: F841
+    table["vector"] = table["vector"].map(list)
+    constant, *rest = weights["polarity"]
+    sql = f"SELECT id, {constant!r} + list_dot_product(vector::DOUBLE[], {rest!r}::DOUBLE[]) FROM table"
+    want = dict(duckdb.sql(sql.replace("FROM table", 'FROM "table"')).fetchall())
+    assert {r["id"]: r["pred_polarity"] for r in predicted.collect()} == pytest.approx(want, abs=1e-9)
 
 
 def test_label_index(rows):
