@@ -8,7 +8,13 @@ every word has exactly one path, and its labels are the tokens that applying the
 would give.
 
 All arcs with one label end in one state, so a state needs only its origin, the label it bars and
-the merge that made it; whether an arc exists is looked up through these and kept in a table.
+the merge that made it; whether an arc exists is looked up through these.
+
+Words are read byte by byte through a table made from that automaton: (state, byte) to the next
+state and the labels that are certain by then. Every beginning of a word is a word with one path of
+its own, so the last label of each is known when its byte is read; a label is certain when the paths
+that a longer token could still start from all share it. Rows of the table are compiled when they are
+first met. Nothing is searched or taken back while a word is read.
 """
 
 from __future__ import annotations
@@ -28,8 +34,9 @@ from newsvane.llm.common import map_texts
 # How the public byte-level tokenizers cut a text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# Words kept with their tokens and arcs kept with their answers while a task runs, and words kept after it.
-CACHED_WORDS, CACHED_ARCS, KEPT_WORDS = 500_000, 300_000, 150_000
+# Words kept with their tokens while a task runs, and after it; entries of the byte table kept before
+# it is begun anew.
+CACHED_WORDS, KEPT_WORDS, TABLE_ENTRIES = 500_000, 150_000, 250_000
 CACHED_WORD_BYTES = 64
 
 
@@ -106,8 +113,132 @@ def compile_merges(vocabulary: dict[bytes, int], merges: list[tuple[bytes, bytes
     return automaton
 
 
+class ByteTable:
+    """(state, byte) -> (next state, labels emitted), deterministic; state 0 is the start of a word.
+
+    A state is the bytes read since all was certain, the last label of each of their beginnings, and
+    what the automaton's state there bars from following. Of that only what begins like the pending
+    bytes is kept, so that words in the same state go on alike, whatever came before.
+    """
+
+    def __init__(self, automaton: Automaton, usable: dict[bytes, int]):
+        self.automaton, self.usable = automaton, usable
+        # What a token can still be made of by further bytes.
+        self.open = {label[:size] for label in usable for size in range(1, len(label))}
+        self.clear()
+
+    def clear(self) -> None:
+        # Per state: bars, pending bytes, last label of each of their beginnings (-1: no path).
+        self.states: list[tuple] = [((), b"", ())]
+        self.numbers: dict[tuple, int] = {self.states[0]: 0}
+        self.entries: dict[int, tuple] = {}
+        self.ends: list[tuple] = [()]
+        self.barring: dict[tuple, tuple] = {}
+
+    def bars(self, token: int, first: int | None) -> tuple:
+        """(merge, barred label) of the state behind ``token``, latest merge first; if the next byte
+        is known, those that begin with it."""
+        made = self.barring.get((token, first))
+        if made is None:
+            found, automaton = [], self.automaton
+            state = automaton.enters[token]
+            while state:
+                label = automaton.barred[state]
+                if first is None or automaton.labels[label][0] == first:
+                    found.append((automaton.since[state], label))
+                state = automaton.origin[state]
+            made = self.barring[token, first] = tuple(found)
+        return made
+
+    def allows(self, bars: tuple, token: int) -> bool:
+        """`Automaton.may_follow` for a state given by its bars."""
+        born, left = self.automaton.born, self.automaton.left
+        for since, barred in bars:
+            while born[token] >= since and born[token] >= 0:
+                token = left[token]
+            if token == barred:
+                return False
+        return True
+
+    def compile(self, state: int, byte: int) -> tuple:
+        """The table's entry for one state and byte."""
+        labels = self.automaton.labels
+        bars, pending, last = self.states[state]
+        pending += bytes((byte,))
+        size = len(pending)
+        # The one label with which the path of everything read so far ends.
+        for start in range(size):
+            token = self.usable.get(pending[start:])
+            if token is None or (start and last[start - 1] < 0):
+                continue
+            if self.allows(self.bars(last[start - 1], pending[start]) if start else bars, token):
+                break
+        last = (*last, token)
+
+        def up(at: int) -> int:
+            return at - len(labels[last[at - 1]])
+
+        path = [size]
+        while path[-1]:
+            path.append(up(path[-1]))
+        shared, on_path, live = size, set(path), False
+        for at in range(size):
+            if (at == 0 or last[at - 1] >= 0) and pending[at:] in self.open:
+                live = live or at == 0
+                while at not in on_path:
+                    at = up(at)
+                shared = min(shared, at)
+        emitted = tuple(last[at - 1] for at in reversed(path) if 0 < at <= shared)
+        if shared:
+            live = pending[shared:] in self.open
+            pending, before, rest = pending[shared:], last[shared - 1], last[shared:]
+            bars = self.bars(before, pending[0] if pending else None)
+            kept = []
+            for at, label in enumerate(rest, 1):
+                begins = at - len(labels[label]) if label >= 0 else -1
+                kept.append(label if begins == 0 or (begins > 0 and kept[begins - 1] >= 0) else -1)
+            last = tuple(kept)
+        if not live and pending:
+            # Nothing longer begins where all is certain: what is barred there no longer matters.
+            bars = ()
+        elif pending:
+            bars = tuple(
+                b for b in bars if labels[b[1]].startswith(pending) or pending.startswith(labels[b[1]])
+            )
+        number = self.numbers.get(key := (bars, pending, last))
+        if number is None:
+            number = self.numbers[key] = len(self.states)
+            self.states.append(key)
+            self.ends.append(self._end(pending, last))
+        entry = self.entries[state << 8 | byte] = (number, emitted)
+        return entry
+
+    def _end(self, pending: bytes, last: tuple) -> tuple:
+        """The labels of the pending bytes, if the word ends with them."""
+        made, at = [], len(pending)
+        while at:
+            made.append(last[at - 1])
+            at -= len(self.automaton.labels[last[at - 1]])
+        return tuple(reversed(made))
+
+    def read(self, word: bytes) -> list[int]:
+        """The labels on the word's path: one look into the table per byte."""
+        if len(self.entries) > TABLE_ENTRIES:
+            self.clear()
+        entry, made, state = self.entries.get, [], 0
+        for byte in word:
+            found = entry(state << 8 | byte)
+            if found is None:
+                found = self.compile(state, byte)
+            state, emitted = found
+            if emitted:
+                made += emitted
+        made += self.ends[state]
+        return made
+
+
 class Tokenizer:
-    """Encode by transitions of the automaton, decode by the labels of its arcs."""
+    """Encode by transitions of the byte table, decode by the labels of the automaton's arcs."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -118,15 +249,8 @@ class Tokenizer:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self.automaton = compile_merges(vocabulary, [(to_bytes(a), to_bytes(b)) for a, b in pairs])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.usable = {
-            label: token for label, token in vocabulary.items() if self.automaton.enters[token] >= 0
-        }
-        self.starts: dict[bytes, set | tuple] = {}
-        # Lengths that tokens can have, longest first, by the three bytes they start with.
-        for label in self.usable:
-            if len(label) > 2:
-                self.starts.setdefault(label[:3], {2, 1}).add(len(label))
-        self.starts = {start: tuple(sorted(lengths, reverse=True)) for start, lengths in self.starts.items()}
+        usable = {label: token for label, token in vocabulary.items() if self.automaton.enters[token] >= 0}
+        self.table = ByteTable(self.automaton, usable)
         self.labels = list(self.automaton.labels)
         for content, token in self.special.items():
             self.labels += [b""] * (token + 1 - len(self.labels))
@@ -141,56 +265,11 @@ class Tokenizer:
 
     def trim(self) -> None:
         """Drop what was kept for one task only. The words met first, most of them common, stay for
-        the worker's next task, and so do arcs, of which far fewer are ever met."""
+        the worker's next task, and so does the table."""
         self.cache = dict(islice(self.cache.items(), KEPT_WORDS))
 
-    def word_tokens(self, word: bytes) -> list[int]:
-        """The labels of the word's only path.
-
-        Longest arcs are tried first. Any place in the word is reached by one path at most, so a
-        place from which no arc leads on is never tried again.
-        """
-        whole = self.usable.get(word)
-        if whole is not None:
-            return [whole]
-        size, usable, starts = len(word), self.usable.get, self.starts.get
-        enters, may_follow, known = self.automaton.enters, self.automaton.may_follow, self.automaton.arcs.get
-        tokens: list[int] = []
-        # Where the tokens begin, and which lengths are left to try there.
-        places, untried = [0], [iter(starts(word[:3], (2, 1)))]
-        seen = {0}
-        state = at = 0
-        while at < size:
-            for length in untried[-1]:
-                stop = at + length
-                if stop > size or stop in seen:
-                    continue
-                token = usable(word[at:stop])
-                if token is None:
-                    continue
-                follows = known((state, token))
-                if follows is None:
-                    follows = may_follow(state, token)
-                if follows:
-                    tokens.append(token)
-                    at = stop
-                    places.append(at)
-                    untried.append(iter(starts(word[at : at + 3], (2, 1))))
-                    seen.add(at)
-                    state = enters[token]
-                    break
-            else:
-                untried.pop()
-                places.pop()
-                tokens.pop()
-                at = places[-1]
-                state = enters[tokens[-1]] if tokens else 0
-        return tokens
-
     def _packed(self, word: str) -> bytes:
-        packed = np.array(self.word_tokens(word.encode()), dtype="<u4").tobytes()
-        if self.automaton.known > CACHED_ARCS:
-            self.automaton.forget()
+        packed = np.array(self.table.read(word.encode()), dtype="<u4").tobytes()
         if len(word) <= CACHED_WORD_BYTES:
             self.cache[word] = packed
         return packed

@@ -33,6 +33,32 @@ def test_automaton_of_a_hand_made_table():
     assert all(automaton.may_follow(automaton.enters[1], t) for t in (0, 1, 2, 3, 4))
 
 
+def test_byte_table_of_a_hand_made_table():
+    vocabulary = {b"a": 0, b"b": 1, b"ab": 2, b"aa": 3, b"aab": 4, b"ba": 5}
+    merges = [(b"a", b"b"), (b"a", b"a"), (b"a", b"ab"), (b"b", b"a")]
+    automaton = bpe.compile_merges(vocabulary, merges)
+    table = bpe.ByteTable(automaton, {k: v for k, v in vocabulary.items() if automaton.enters[v] >= 0})
+
+    def merged(word):
+        parts = [word[i : i + 1] for i in range(len(word))]
+        for first, second in merges:
+            at = 0
+            while at + 1 < len(parts):
+                if parts[at] == first and parts[at + 1] == second:
+                    parts[at : at + 2] = [first + second]
+                at += 1
+        return [vocabulary[p] for p in parts]
+
+    words = [bytes(97 + (n >> i & 1) for i in range(size)) for size in range(1, 11) for n in range(1 << size)]
+    assert [table.read(w) for w in words] == [merged(w) for w in words]
+    # The table is finite: long words add no entry to those of short ones.
+    entries = len(table.entries)
+    for seed in range(50):
+        word = bytes(random.Random(seed).choice(b"ab") for _ in range(200))
+        assert table.read(word) == merged(word)
+    assert len(table.entries) == entries
+
+
 def test_random_strings_as_the_library(library):
     mine, rng = bpe.load(PATH), random.Random(5)
     pieces = ["hello", "aaaa", "  ", "\n\n", "<|endoftext|>", "日本語", "🙂", "don't", "1234", "é", "\x00", "'LL", "====", "�", "a" * 300]
@@ -60,7 +86,7 @@ def test_odd_documents(odd_docs, no_docs, library):
 
 def test_small_caches_change_nothing(monkeypatch, library):
     monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
-    monkeypatch.setattr(bpe, "CACHED_ARCS", 5)
+    monkeypatch.setattr(bpe, "TABLE_ENTRIES", 5)
     mine = bpe.Tokenizer(PATH)
     text = "Several different words, internationalization, and antidisestablishmentarianism."
     for _ in range(3):
