@@ -21,8 +21,11 @@ from newsvane.llm.common import bounded_batches, map_texts
 
 BUCKETS = 1 << 16
 SEGMENT = 16
-ROUNDS = 8
-MOST_LANGUAGES = 4
+# Expectation-maximisation ends when no proportions can raise the likelihood by more than this, in
+# logs per segment.
+TOLERANCE = 1e-4
+# Grams looked up at once, in bytes of text: whole segments.
+PIECE = SEGMENT << 14
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 # Everything in ASCII but letters becomes a blank.
@@ -46,51 +49,97 @@ def gram_buckets(data: bytes) -> np.ndarray:
     return ((grams * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64)
 
 
+BLANK_BUCKET = int(gram_buckets(b"    ")[0])
+
+
 @dataclass
 class Model:
     languages: list[str]
     logs: np.ndarray  # bucket x language
 
+    def _segment_logs(self, data: bytes, ends: np.ndarray) -> np.ndarray:
+        """Log-likelihood of every segment in every language, a piece of the text at a time.
+
+        ``ends`` are the ends of the texts in ``data``: no gram reaches into the next text.
+        """
+        logs = np.empty((len(data) // SEGMENT, len(self.languages)))
+        for begin in range(0, len(data), PIECE):
+            stop = min(begin + PIECE, len(data))
+            buckets = gram_buckets(data[begin : stop + 3])[: stop - begin]
+            for back in (1, 2, 3):
+                at = ends - back - begin
+                buckets[at[(at >= 0) & (at < len(buckets))]] = BLANK_BUCKET
+            made = self.logs[buckets].reshape(-1, SEGMENT, len(self.languages)).sum(1, dtype=np.float64)
+            logs[begin // SEGMENT : stop // SEGMENT] = made
+        return logs
+
     def proportions(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Per text the proportions of all languages (0 if not selected) and the penalised likelihood."""
+        """Per text the proportions of all languages (0 if not selected) and the penalised likelihood.
+
+        The languages are taken in order of their share under one round with all of them; of the sets
+        that this order begins with the one of greatest penalised likelihood is selected, however many
+        languages it has. No mixture explains a segment better than the segment's best language, so a
+        text is done when even that would not pay for another language.
+        """
         parts = [normalised(t) for t in texts]
         segments = np.array([len(p) // SEGMENT for p in parts])
         starts = np.concatenate([[0], np.cumsum(segments)[:-1]])
         n = len(self.languages)
-        logs = self.logs[gram_buckets(b"".join(parts))].reshape(-1, SEGMENT, n).sum(1, dtype=np.float64)
+        logs = self._segment_logs(b"".join(parts), (starts + segments) * SEGMENT)
         whole = np.add.reduceat(logs, starts)
         # Likelihoods relative to the best language of the segment, so nothing vanishes.
         peak = logs.max(1)
         likely = np.exp(logs - peak[:, None])
         offset = np.add.reduceat(peak, starts)
-        # The languages in order of their share under one round with all of them.
         shares = np.add.reduceat(likely / likely.sum(1)[:, None], starts)
         order = np.lexsort((-whole.T, -np.round(shares, 6).T), axis=0).T if n > 1 else np.zeros((len(texts), 1), int)
         best = np.zeros((len(texts), n))
         first = whole.argmax(1)
         best[np.arange(len(texts)), first] = 1
         reached = whole.max(1)
-        for size in range(2, min(n, MOST_LANGUAGES) + 1):
-            chosen = order[:, :size]
-            of = np.repeat(np.arange(len(texts)), segments)
-            mine = np.take_along_axis(likely, chosen[of], 1)
-            share = np.full((len(texts), size), 1 / size)
-            for _ in range(ROUNDS):
-                joint = mine * share[of]
-                total = joint.sum(1)
-                share = np.add.reduceat(joint / total[:, None], starts) / segments[:, None]
-                share = np.maximum(share, 1e-9)
-            total = (mine * share[of]).sum(1)
-            value = np.add.reduceat(np.log(total), starts) + offset
-            value -= (size - 1) * np.log(np.maximum(segments, 2)) * 0.5 + 2 * (size - 1)
-            better = value > reached
-            reached = np.where(better, value, reached)
-            spread = np.zeros((len(texts), n))
-            np.put_along_axis(spread, chosen, share / share.sum(1)[:, None], 1)
-            best[better] = spread[better]
+        of = np.repeat(np.arange(len(texts)), segments)
+        for size in range(2, n + 1):
+            penalty = (size - 1) * np.log(np.maximum(segments, 2)) * 0.5 + 2 * (size - 1)
+            open_ = offset - penalty > reached
+            if not open_.any():
+                break
+            rows = open_[of]
+            chosen = order[open_, :size]
+            mine = np.take_along_axis(likely[rows], np.repeat(chosen, segments[open_], axis=0), 1)
+            share, gained = mixture(mine, segments[open_])
+            value = gained + offset[open_] - penalty[open_]
+            better = value > reached[open_]
+            at = np.flatnonzero(open_)[better]
+            reached[at] = value[better]
+            best[at] = 0
+            best[at[:, None], chosen[better]] = share[better]
         return best, reached
 
 
+def mixture(likely: np.ndarray, segments: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The likeliest proportions of every text and the log-likelihood they reach.
+
+    ``likely`` has the rows of all segments, text after text. The mean ratio of a language's likelihood
+    to the mixture's bounds what is left to gain: no proportions are likelier by more than the log
+    of the largest such mean a segment. A text leaves the rounds when that is below the tolerance.
+    """
+    texts, size = len(segments), likely.shape[1]
+    share, reached = np.full((texts, size), 1 / size), np.zeros(texts)
+    left, mine, counts = np.arange(texts), likely, segments
+    while len(left):
+        starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        total = (mine * np.repeat(share[left], counts, axis=0)).sum(1)
+        gain = np.add.reduceat(mine / total[:, None], starts) / counts[:, None]
+        done = np.log(gain.max(1)) <= TOLERANCE
+        if done.any():
+            reached[left[done]] = np.add.reduceat(np.log(total), starts)[done]
+            going = ~done
+            mine, left, gain = mine[np.repeat(going, counts)], left[going], gain[going]
+            counts = counts[going]
+        share[left] *= gain
+    return share / share.sum(1)[:, None], reached
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Gram counts of every row with a language and a text; tasks count, Spark adds the counts up.
 
@@ -137,8 +186,9 @@ def identify(
 
     The prediction is the language with the largest share, its score that share. Null texts and
     texts without a letter are ``und`` with score 0, as is everything if nothing was learned; equal
-    shares go to the language first in the alphabet. Whole texts of any length are read; repeated
-    rows get equal results. Other columns are not read.
+    shares go to the language first in the alphabet. Whole texts of any length are read, their grams a
+    piece at a time; what is held of a text is about two bytes a language for each of its bytes.
+    Repeated rows get equal results, whatever stands beside them. Other columns are not read.
     """
     fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
     if with_shares:

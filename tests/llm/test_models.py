@@ -72,6 +72,67 @@ def test_mixtures_are_told_apart(make_docs):
     assert abs(shares[2][0] - 0.5) < 0.1 and 0.2 < shares[3][0] < 0.45
 
 
+def _likeliest(model, text):
+    """Share per language and penalised likelihood, by plain loops: every set that the order begins."""
+    import math
+
+    data = language.normalised(text)
+    whole = data + b"    "
+    buckets = [int.from_bytes(whole[i : i + 4], "little") * 2654435761 % 2**32 >> 16 for i in range(len(data))]
+    n = len(model.languages)
+    segments = [
+        [sum(float(model.logs[b, k]) for b in buckets[i : i + language.SEGMENT]) for k in range(n)]
+        for i in range(0, len(buckets), language.SEGMENT)
+    ]
+    total = [sum(s[k] for s in segments) for k in range(n)]
+    one_round = [sum(1 / sum(math.exp(s[j] - s[k]) for j in range(n)) for s in segments) for k in range(n)]
+    order = sorted(range(n), key=lambda k: (-round(one_round[k], 6), -total[k]))
+    best, reached = {total.index(max(total)): 1.0}, max(total)
+    for size in range(2, n + 1):
+        share = dict.fromkeys(order[:size], 1 / size)
+        for _ in range(3000):
+            mixed = [sum(share[k] * math.exp(s[k] - max(s)) for k in share) for s in segments]
+            share = {
+                k: sum(share[k] * math.exp(s[k] - max(s)) / m for s, m in zip(segments, mixed)) / len(segments)
+                for k in share
+            }
+        value = sum(max(s) + math.log(sum(share[k] * math.exp(s[k] - max(s)) for k in share)) for s in segments)
+        value -= (size - 1) * (math.log(max(len(segments), 2)) / 2 + 2)
+        if value > reached:
+            best, reached = share, value
+    return best, reached
+
+
+def test_mixtures_as_by_plain_loops_with_any_number_of_languages():
+    rng = np.random.default_rng(6)
+    words = [["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(6)] for _ in range(6)]
+    texts = [" ".join(rng.choice(w, 60)) for w in words]
+    counts = np.full((language.BUCKETS, 6), 0.5)
+    for k, text in enumerate(texts):
+        np.add.at(counts[:, k], language.gram_buckets(language.normalised(text)), 1)
+    model = language.Model(list("uvwxyz"), np.log(counts / counts.sum(0)).astype(np.float32))
+    asked = [texts[2], texts[0] + texts[1], " ".join(texts), " ".join(texts[:5]), "abc", texts[3] + "jj aa " * 9]
+    got, reached = model.proportions(asked)
+    for text, row, value in zip(asked, got, reached):
+        want, best = _likeliest(model, text)
+        assert set(np.flatnonzero(row)) == set(want)
+        assert value == pytest.approx(best, abs=language.TOLERANCE * len(text))
+        assert [row[k] for k in want] == pytest.approx(list(want.values()), abs=0.03)
+    # Five and six languages are found, and a text's result does not depend on those beside it.
+    assert (got[2] > 0).sum() == 6 and (got[3] > 0).sum() == 5
+    for i, text in enumerate(asked):
+        assert np.allclose(model.proportions([text])[0][0], got[i], atol=1e-12)
+
+
+def test_pieces_of_a_long_text_change_nothing(monkeypatch):
+    rng = np.random.default_rng(7)
+    model = language.Model(["a", "b"], np.log(rng.uniform(1, 9, (language.BUCKETS, 2)) / 1e5).astype(np.float32))
+    texts = ["".join(rng.choice(list("abc "), size)) for size in (3, 700, 50, 0)]
+    whole = model.proportions(texts)
+    monkeypatch.setattr(language, "PIECE", language.SEGMENT * 2)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, model.proportions(texts)))
+
+
 def test_gram_buckets_by_hand():
     data = language.normalised("Ab1 ÉTÉ")
     assert len(data) % language.SEGMENT == 0 and data.startswith("ab  été    ".encode())
