@@ -34,8 +34,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Rows that share an id are one document; documents without an id stay.
     """
-    kept = near_dup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return near_dup.keep_ids(docs, kept, "doc_id")
+    copies = near_dup.near_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return near_dup.drop_ids(docs, copies, "doc_id")
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

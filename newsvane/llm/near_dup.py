@@ -391,10 +391,11 @@ def _sets(shingle: int):
     return lambda texts: [[shingler(t).tobytes() for t in texts]]
 
 
-def keep_ids(docs: DataFrame, ids: DataFrame, doc_id: str) -> DataFrame:
-    """The documents, all columns, with one of the distinct ids; rows without an id stay."""
-    kept = staged(ids.select(F.col(doc_id).alias("__kept")), "near-kept")
-    known = broadcast_if_small(kept, kept.count(), 16)
-    same = F.col(f"`{doc_id}`") == F.col("__kept")
-    unknown = docs.where(F.col(f"`{doc_id}`").isNull())
-    return docs.join(known, same, "left_semi").unionByName(unknown)
+def drop_ids(docs: DataFrame, ids: DataFrame, doc_id: str) -> DataFrame:
+    """The documents, all columns, without those of the distinct ids; rows without an id stay.
+
+    The ids to drop are fewer than those to keep, and a copy's text is not wanted any more.
+    """
+    dropped = staged(ids.select(F.col(doc_id).alias("__dropped")), "near-dropped")
+    known = broadcast_if_small(dropped, dropped.count(), 16)
+    return docs.join(known, F.col(f"`{doc_id}`") == F.col("__dropped"), "left_anti")
