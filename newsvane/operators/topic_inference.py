@@ -1,6 +1,6 @@
 """Inference inside one task: the mixtures of a block's documents under given topics.
 
-Only numpy and pandas are used, and the functions are pickled by value, so executors need no copy
+Only numpy, pandas and Arrow are used, and the functions are pickled by value, so executors need no copy
 of this package.
 """
 
@@ -11,11 +11,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MICROS = 1_000_000
+# The bound is summed in thousandths, so that it stays far below 64 bits on any corpus, and stands
+# beside the statistics under a number that no term has.
+MILLIS, BOUND = 1000, -1
 _INNER_STEPS, _INNER_TOLERANCE = 30, 1e-3
 _DOCUMENTS_AT_ONCE = 32
 
@@ -57,14 +61,36 @@ def _digamma(x: np.ndarray) -> np.ndarray:
     return np.log(x) - 0.5 / x - series - below
 
 
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """As the digamma function: moved up by six, then the series."""
+    below = np.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5))
+    x = x + 6.0
+    inverse = 1.0 / (x * x)
+    series = (1 / 12 - inverse * (1 / 360 - inverse * (1 / 1260 - inverse / 1680))) / x
+    return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + series - below
+
+
+def _expected_logs(dirichlet: np.ndarray) -> np.ndarray:
+    return _digamma(dirichlet) - _digamma(dirichlet.sum(axis=1, keepdims=True))
+
+
 def _expected(dirichlet: np.ndarray) -> np.ndarray:
-    return np.exp(_digamma(dirichlet) - _digamma(dirichlet.sum(axis=1, keepdims=True)))
+    return np.exp(_expected_logs(dirichlet))
+
+
+def _prior_gain(dirichlet: np.ndarray, prior: float) -> float:
+    """What rows of Dirichlet weights add to the variational bound, under a symmetric prior."""
+    rows, width = dirichlet.shape
+    cells = (prior - dirichlet) * _expected_logs(dirichlet) + _log_gamma(dirichlet)
+    one = np.array([prior, prior * width])
+    of_prior = np.diff(_log_gamma(one))[0] - (width - 1) * _log_gamma(one[:1])[0]
+    return float(cells.sum() - _log_gamma(dirichlet.sum(axis=1)).sum() + rows * of_prior)
 
 
 def _mixtures(
     lengths: np.ndarray, terms: np.ndarray, beta: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document weights of a few documents, and every (document, term) pair's share of topics."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Document weights of a few documents, every (document, term) pair's share of topics, and the bound."""
     k, width = beta.shape[1], beta.shape[0]
     documents = np.repeat(np.arange(len(lengths)), lengths)
     pairs, counts = np.unique(documents * width + terms, return_counts=True)
@@ -72,7 +98,7 @@ def _mixtures(
     alpha = 1.0 / k
     gamma = np.full((len(lengths), k), alpha) + lengths[:, None] / k
     if len(pairs) == 0:
-        return gamma, w, np.zeros((0, k))
+        return gamma, w, np.zeros((0, k)), _prior_gain(gamma, alpha)
     used, starts = np.unique(d, return_index=True)
     by_term = beta[w]
     for _ in range(_INNER_STEPS):
@@ -85,80 +111,86 @@ def _mixtures(
         if change < _INNER_TOLERANCE:
             break
     shares = _expected(gamma)[d] * by_term
-    return gamma, w, shares * (counts / np.maximum(shares.sum(axis=1), 1e-100))[:, None]
-
+    whole = np.maximum(shares.sum(axis=1), 1e-100)
+    bound = float(counts @ np.log(whole)) + _prior_gain(gamma, alpha)
+    return gamma, w, shares * (counts / whole)[:, None], bound
 
-def _topics(lead, k: int, max_topics: int) -> np.ndarray:
-    """Expected term weights of a ticker's topics, from the row that leads its blocks."""
-    weights = np.empty((len(lead.places), max_topics))
-    weights[np.asarray(lead.places)] = np.asarray(lead.weights, dtype=float).reshape(weights.shape)
-    return np.ascontiguousarray(_expected(weights[:, :k].T).T)
 
-
-def _infer(row, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document weights of a block and its term statistics (terms, sums per topic).
+def _infer(lengths: np.ndarray, terms: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Document weights of a block, its term statistics (terms, sums per topic) and its part of the bound.
 
     A few documents at a time, so that the arrays of a step stay in the processor's cache.
     """
-    lengths, terms = np.asarray(row.lengths, dtype=np.int64), np.asarray(row.terms, dtype=np.int64)
     ends = np.concatenate([[0], np.cumsum(lengths)])
-    gammas, statistics = [], np.zeros_like(beta)
+    gammas, statistics, bound = [], np.zeros_like(beta), 0.0
     for first in range(0, len(lengths), _DOCUMENTS_AT_ONCE):
         last = min(first + _DOCUMENTS_AT_ONCE, len(lengths))
-        gamma, w, shares = _mixtures(lengths[first:last], terms[ends[first]:ends[last]], beta)
+        gamma, w, shares, gained = _mixtures(lengths[first:last], terms[ends[first]:ends[last]], beta)
         gammas.append(gamma)
+        bound += gained
         for j in range(beta.shape[1]):
             statistics[:, j] += np.bincount(w, weights=shares[:, j], minlength=len(beta))
     seen = np.unique(terms)
-    return np.concatenate(gammas), seen, statistics[seen]
+    return np.concatenate(gammas), seen, statistics[seen], bound
 
 
-def _led_blocks(batches: Iterator[pd.DataFrame], max_topics: int):
-    """Blocks with their ticker's topics, which are unpacked once per ticker and slice."""
-    lead, beta = None, None
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            if row.lead:
-                lead, beta = row, None
-            elif _same(lead, row):
-                if beta is None:
-                    beta = _topics(lead, int(row.k), max_topics)
-                yield row, beta
+def _inferred(blocks: pa.Table, lead: pa.Table, max_topics: int):
+    """Every block of a slice as (ids, what `_infer` finds), and the topics' weights, (topic, term).
+
+    ``lead`` is the one row with the ticker's topics.
+    """
+    weights = np.empty((len(lead["places"][0].values), max_topics))
+    weights[lead["places"][0].values.to_numpy()] = lead["weights"][0].values.to_numpy().reshape(weights.shape)
+    weights = weights[:, : blocks["k"][0].as_py()].T
+    beta = np.ascontiguousarray(_expected(weights).T)
+
+    def of_block(i: int):
+        lengths, terms = (blocks[c][i].values.to_numpy().astype(np.int64) for c in ("lengths", "terms"))
+        return blocks["ids"][i].values, _infer(lengths, terms, beta)
+
+    return map(of_block, range(blocks.num_rows)), weights
 
 
 def statistics_of(max_topics: int):
-    """Term statistics, added up over the blocks of a slice. Blocks are rounded to whole numbers
-    first, so the sum is the same in every order."""
+    """Term statistics and the bound, added up over the blocks of a slice. Blocks are rounded to whole
+    numbers first, so the sums are the same in every order."""
     names = [f"s{j}" for j in range(max_topics)]
-
-    def table(ticker: str, sums: np.ndarray) -> pd.DataFrame:
-        terms = np.flatnonzero(sums.any(axis=1)).astype(np.int32)
-        out = {"ticker": ticker, "term_index": terms}
-        for j, name in enumerate(names):
-            out[name] = sums[terms, j] if j < sums.shape[1] else np.zeros(len(terms), dtype=np.int64)
-        return pd.DataFrame(out)
-
-    def statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, sums = None, None
-        for row, beta in _led_blocks(batches, max_topics):
-            if at != (row.ticker, row.slice):
-                if sums is not None and sums.any():
-                    yield table(at[0], sums)
-                at, sums = (row.ticker, row.slice), np.zeros(beta.shape, dtype=np.int64)
-            _, terms, found = _infer(row, beta)
-            sums[terms] += np.floor(found * MICROS + 0.5).astype(np.int64)
-        if sums is not None and sums.any():
-            yield table(at[0], sums)
+    schema = pa.schema([("ticker", pa.string()), ("term_index", pa.int32()), *[(n, pa.int64()) for n in names]])
+
+    def statistics(blocks: pa.Table, lead: pa.Table) -> pa.Table:
+        if not blocks.num_rows or not lead.num_rows:
+            return schema.empty_table()
+        found, weights = _inferred(blocks, lead, max_topics)
+        k, width = weights.shape
+        sums = np.zeros((width, k), dtype=np.int64)
+        # The topics' own part is counted once, by the ticker's first slice.
+        bound = round(_prior_gain(weights, 1.0 / k) * MILLIS) if lead["slice"][0].as_py() == 0 else 0
+        for _, (_, terms, sums_of_block, gained) in found:
+            sums[terms] += np.floor(sums_of_block * MICROS + 0.5).astype(np.int64)
+            bound += round(gained * MILLIS)
+        terms = np.flatnonzero(sums.any(axis=1))
+        table = np.zeros((len(terms) + 1, max_topics), dtype=np.int64)
+        table[:-1, :k], table[-1, 0] = sums[terms], bound
+        ticker = pa.array([lead["ticker"][0].as_py()] * len(table), pa.string())
+        return pa.table([ticker, pa.array([*terms, BOUND], pa.int32()), *table.T.copy()], schema=schema)
 
     return statistics
 
 
 def assign_with(max_topics: int):
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for row, beta in _led_blocks(batches, max_topics):
-            gamma, _, _ = _infer(row, beta)
+    schema = pa.schema([("ticker", pa.string()), ("id", pa.string()), ("distribution", pa.list_(pa.float64()))])
+
+    def assign(blocks: pa.Table, lead: pa.Table) -> pa.Table:
+        if not blocks.num_rows or not lead.num_rows:
+            return schema.empty_table()
+        found, weights = _inferred(blocks, lead, max_topics)
+        parts = [schema.empty_table()]
+        for ids, (gamma, *_) in found:
             share = gamma / gamma.sum(axis=1, keepdims=True)
-            yield pd.DataFrame({"ticker": row.ticker, "id": row.ids, "distribution": list(share)})
+            ticker = pa.array([lead["ticker"][0].as_py()] * len(ids), pa.string())
+            ends = pa.array(np.arange(0, share.size + 1, len(weights)), pa.int32())
+            parts.append(pa.table([ticker, ids, pa.ListArray.from_arrays(ends, share.ravel())], schema=schema))
+        return pa.concat_tables(parts).combine_chunks()
 
     return assign
 

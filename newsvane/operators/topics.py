@@ -1,11 +1,12 @@
 """One topic model per ticker, all tickers trained together.
 
 Variational LDA. The documents of a ticker are cut into blocks of bounded size, and its blocks into
-slices of a bounded number of blocks; a slice is the work of one task, so a ticker with a third of
-all news is spread over as many tasks as it has slices. In a round the ticker's current topics go
-to each of its slices once, as the row that leads the slice's blocks. Tasks infer the document
-mixtures and add up term statistics, and Spark sums those per (ticker, term). Statistics are summed
-as integers, so a run does not depend on how many cores there are or how rows are distributed.
+slices of a bounded number of blocks; a slice is inferred by one task, so a ticker with a third of
+all news is spread over as many tasks as it has slices. The blocks are written once, bucketed by
+slice, and stay where they lie: in a round only the ticker's current topics are moved, once to each
+of its slices. Tasks infer the document mixtures and add up term statistics and the variational
+bound, and Spark sums those per (ticker, term). All are summed as integers, so a run does not depend
+on how many cores there are or how rows are distributed.
 
 Intermediates are tables in the shared folder; those of a round are deleted when the next is done.
 """
@@ -13,6 +14,7 @@ Intermediates are tables in the shared folder; those of a round are deleted when
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,11 +23,13 @@ from newsvane.config import TopicSettings
 from newsvane.functions.numeric import MICROS, round_to
 from newsvane.operators.ranking import top_n_per_group
 from newsvane.operators.terms import pruned_vocabulary_per_group, vocabulary_per_group
-from newsvane.operators.topic_inference import assign_with, encode, lay_out, statistics_of
-from newsvane.session import discard, stage
+from newsvane.operators.topic_inference import BOUND, MILLIS, assign_with, encode, lay_out, statistics_of
+from newsvane.session import discard, stage, stage_buckets
 
 # A block holds about so many documents and words at most, a slice so many blocks.
 BLOCK_DOCUMENTS, BLOCK_TOKENS, SLICE_BLOCKS = 256, 100_000, 64
+# A bucket holds about so many blocks, so many small tickers share one; Spark allows so many buckets.
+BUCKET_BLOCKS, MOST_BUCKETS = 32, 100_000
 
 
 def topic_count(documents: Column, settings: TopicSettings = TopicSettings()) -> Column:
@@ -46,10 +50,15 @@ def topic_counts(df: DataFrame, settings: TopicSettings = TopicSettings()) -> Da
     return large.withColumn("k", topic_count(F.col("documents"), settings))
 
 
+def _leads(rows: DataFrame, slices: DataFrame) -> DataFrame:
+    """A ticker's row of ``rows`` once for each of its slices."""
+    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice")
+    return rows.join(slices.select("ticker", numbers), "ticker")
+
+
 def _led(rows: DataFrame, leads: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
     """The rows of every (ticker, slice) behind one row of ``leads``, in one task, in that order."""
-    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("slice")
-    every = leads.join(slices.select("ticker", numbers), "ticker").withColumn("lead", F.lit(True))
+    every = _leads(leads, slices).withColumn("lead", F.lit(True))
     both = every.unionByName(rows.withColumn("lead", F.lit(False)), allowMissingColumns=True)
     return both.repartition(tasks, "ticker", "slice").sortWithinPartitions("ticker", "slice", F.desc("lead"))
 
@@ -110,11 +119,15 @@ def _start_weights(vocabulary: DataFrame, settings: TopicSettings) -> DataFrame:
 def _per_ticker(weights: DataFrame) -> DataFrame:
     """All weights of a ticker as one list, term by term: bounded by vocabulary and topics.
 
-    The terms stand in any order; ``places`` says which is which.
+    The terms stand in any order; ``places`` says which is which. A row that is no term brings the
+    bound of the weights before these.
     """
-    lists = weights.groupBy("ticker").agg(F.collect_list(F.struct("term_index", "w")).alias("rows"))
+    term = F.when(F.col("term_index") != BOUND, F.struct("term_index", "w"))
+    bound = F.max(F.when(F.col("term_index") == BOUND, F.get("w", F.lit(0))))
+    lists = weights.groupBy("ticker").agg(F.collect_list(term).alias("rows"), bound.alias("bound"))
     return lists.select(
         "ticker",
+        "bound",
         F.transform("rows", lambda r: r["term_index"]).alias("places"),
         F.flatten(F.transform("rows", lambda r: r["w"])).alias("weights"),
     )
@@ -129,11 +142,17 @@ class TickerTopics:
         self._sizes = self._stage(sizes, "sizes")
         kept = docs.join(self._sizes.select("ticker"), "ticker", "left_semi")
         self._slices = self._stage(_cut(kept, self._sizes), "slices")
-        # As many tasks as there are slices.
-        self._tasks = max(1, int(self._slices.agg(F.sum("slices")).first()[0] or 0))
+        cut = self._slices.agg(F.sum("slices").alias("slices"), F.sum("blocks").alias("blocks")).first()
+        # Enough buckets for every core, at most one a slice.
+        wanted = max(4 * docs.sparkSession.sparkContext.defaultParallelism, (cut["blocks"] or 0) // BUCKET_BLOCKS)
+        buckets = max(1, min(int(cut["slices"] or 0), int(wanted), MOST_BUCKETS))
         self._vocabulary = self._stage(vocabulary, "vocabulary")
-        self._blocks = self._stage(_blocks(kept, self._vocabulary, self._slices, self._tasks), "blocks")
+        self._blocks, path, self._table = stage_buckets(
+            _blocks(kept, self._vocabulary, self._slices, buckets), "topic-blocks", ["ticker", "slice"], buckets
+        )
+        self._paths.append(path)
         self._weights, self._weights_path = stage(_start_weights(self._vocabulary, settings), "topic-weights")
+        self._bounds: list[DataFrame] = []
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
         made, path = stage(df, f"topic-{name}")
@@ -142,28 +161,52 @@ class TickerTopics:
 
     def discard(self) -> None:
         """Delete the intermediates. Results that were not written by now can no longer be read."""
-        discard(self._blocks.sparkSession, [*self._paths, self._weights_path])
+        spark = self._blocks.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {self._table}")
+        discard(spark, [*self._paths, self._weights_path])
 
-    def _led_blocks(self) -> DataFrame:
-        return _led(self._blocks, self._weights, self._slices, self._tasks)
+    def _over_slices(self, work, schema: str) -> DataFrame:
+        """``work`` on the blocks of every slice and the ticker's topics; the blocks are not moved."""
+        by = ["ticker", "slice"]
+        leads = _leads(self._weights.drop("bound"), self._slices)
+        return self._blocks.groupBy(*by).cogroup(leads.groupBy(*by)).applyInArrow(work, schema)
 
-    def step(self) -> None:
-        """One round: infer documents, add up statistics, write the new weights over the old."""
+    def _statistics(self) -> DataFrame:
         names = [f"s{j}" for j in range(self._settings.max_topics)]
         schema = "ticker string, term_index int, " + ", ".join(f"{n} bigint" for n in names)
-        parts = self._led_blocks().mapInPandas(statistics_of(self._settings.max_topics), schema)
-        sums = parts.groupBy("ticker", "term_index").agg(*[F.sum(n).alias(n) for n in names])
+        parts = self._over_slices(statistics_of(self._settings.max_topics), schema)
+        return parts.groupBy("ticker", "term_index").agg(*[F.sum(n).alias(n) for n in names])
+
+    def step(self) -> None:
+        """One round: infer documents, add up statistics, write the new weights over the old."""
         prior = self._sizes.select("ticker", (F.lit(1.0) / F.col("k")).alias("eta"))
         # A term that no topic claims keeps the prior, so that every term has a weight.
-        every = self._vocabulary.select("ticker", "term_index").join(sums, ["ticker", "term_index"], "left")
-        smoothed = every.join(prior, "ticker").select(
+        terms = self._vocabulary.select("ticker", "term_index")
+        bounds = self._weights.select("ticker", F.lit(BOUND).alias("term_index"))
+        every = terms.unionByName(bounds).join(self._statistics(), ["ticker", "term_index"], "left")
+        smoothed = every.join(prior, "ticker").withColumn("eta", F.expr(f"if(term_index = {BOUND}, 0.0D, eta)")).select(
             "ticker",
             "term_index",
-            F.array(*[F.coalesce(n, F.lit(0)) / float(MICROS) + F.col("eta") for n in names]).alias("w"),
+            F.array(
+                *[F.coalesce(f"s{j}", F.lit(0)) / float(MICROS) + F.col("eta") for j in range(self._settings.max_topics)]
+            ).alias("w"),
         )
         old = self._weights_path
         self._weights, self._weights_path = stage(_per_ticker(smoothed), "topic-weights")
         discard(self._blocks.sparkSession, [old])
+        numbered = self._weights.select(
+            "ticker", F.lit(len(self._bounds)).alias("round"), (F.col("bound") * float(MICROS // MILLIS)).alias("bound")
+        )
+        # One number per ticker.
+        self._bounds.append(self._stage(numbered, "bound"))
+
+    def bounds(self) -> DataFrame:
+        """(ticker, round, bound): the variational bound, in nats, of the topics that every round began with.
+
+        It does not fall from round to round, and how little it still rises says whether more are worth it.
+        """
+        empty = self._sizes.select("ticker", F.lit(0).alias("round"), F.lit(0.0).alias("bound")).limit(0)
+        return reduce(DataFrame.unionByName, self._bounds, empty)
 
     def topic_terms(self) -> DataFrame:
         """(ticker, topic, term, n, probability) for every term of a ticker's vocabulary."""
@@ -197,7 +240,7 @@ class TickerTopics:
 
     def assignments(self) -> DataFrame:
         """(ticker, id, distribution, dominant_topic_id) for every document."""
-        out = self._led_blocks().mapInPandas(
+        out = self._over_slices(
             assign_with(self._settings.max_topics), "ticker string, id string, distribution array<double>"
         )
         best = F.array_position("distribution", F.array_max("distribution")) - 1

@@ -58,6 +58,19 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def stage_buckets(df: DataFrame, name: str, by: Iterable[str], buckets: int) -> tuple[DataFrame, str, str]:
+    """Write an intermediate table cut into ``buckets`` by a hash of ``by``, so that a join or a group
+    on ``by`` reads it where it lies; the table, where it lies, and the name it has in the catalog.
+
+    A frame that is partitioned so already writes one file per bucket.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged/{table}"
+    df.write.format("parquet").option("path", path).bucketBy(buckets, *by).saveAsTable(table)
+    return spark.read.table(table), path, table
+
+
 def discard(spark: SparkSession, paths: Iterable[str]) -> None:
     """Delete staged tables that nothing reads any more."""
     for path in paths:

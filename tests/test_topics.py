@@ -1,3 +1,4 @@
+import math
 import numpy as np
 import os
 import subprocess
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from newsvane import session
 from newsvane.config import TopicSettings
-from newsvane.operators import embeddings, models, topics, vectors
+from newsvane.operators import embeddings, models, topic_inference, topics, vectors
 
 
 def corpus(rows, hot=40):
@@ -78,6 +79,56 @@ def test_rounds_leave_nothing_behind(spark, rows):
     assert len([f for f in set(os.listdir(folder)) - before if "weights" in f]) == 1
     model.discard()
     assert set(os.listdir(folder)) - before == set()
+    assert not spark.catalog.tableExists(model._table)
+
+
+def test_the_bound_never_falls(rows):
+    model = topics.fit_topics(corpus(rows), TopicSettings(max_topics=3, iterations=8))
+    found = {}
+    for r in model.bounds().orderBy("ticker", "round").collect():
+        found.setdefault(r["ticker"], []).append(r["bound"])
+    assert {t: len(b) for t, b in found.items()} == {"hot": 8, "cold": 8}
+    # Inner steps end within a tolerance, and parts of the sum are whole thousandths.
+    assert all(after >= before - 0.1 for b in found.values() for before, after in zip(b, b[1:]))
+    assert all(b[-1] > b[0] for b in found.values())
+
+
+@pytest.mark.parametrize("lengths", [[0], [3, 0, 5], [1] * 40])
+def test_the_bound_of_a_block(lengths):
+    """The bound of documents, written out for each of them, against the one of the whole block."""
+    rng = np.random.default_rng(3)
+    lengths, k, width, alpha = np.array(lengths, dtype=np.int64), 2, 4, 0.5
+    terms = rng.integers(0, width, lengths.sum())
+    beta = rng.random((width, k))
+    gamma, _, _, bound = topic_inference._infer(lengths, terms, beta)
+    expected, at = 0.0, 0
+    for n, g in zip(lengths, gamma):
+        logs = topic_inference._expected_logs(g[None])[0]
+        expected += sum(math.log(sum(math.exp(logs[j]) * beta[t, j] for j in range(k))) for t in terms[at : at + n])
+        expected += sum((alpha - g[j]) * logs[j] + math.lgamma(g[j]) - math.lgamma(alpha) for j in range(k))
+        expected += math.lgamma(alpha * k) - math.lgamma(sum(g))
+        at += n
+    assert bound == pytest.approx(expected, abs=1e-6)
+
+
+def test_a_round_does_not_move_the_blocks(rows):
+    model = topics.fit_topics(corpus(rows), TopicSettings(max_topics=2, iterations=1))
+    plan = model._statistics()._jdf.queryExecution().executedPlan().toString()
+    blocks, leads = plan[plan.index("FlatMapCoGroupsInArrow") :].split("+- Sort", 1)
+    assert "Bucketed: true" in blocks and "Exchange" not in blocks and "Exchange" in leads
+
+
+def test_many_small_tickers_share_buckets(rows, monkeypatch):
+    monkeypatch.setattr(topics, "MOST_BUCKETS", 2)
+    data = [(f"t{i}", 10 * i + j, ["oil", "gas", "rig"] if j % 2 else ["chip", "code"]) for i in range(9) for j in range(5)]
+    docs = rows(data, "ticker string, id bigint, tokens array<string>")
+    settings = TopicSettings(max_topics=2, iterations=2)
+    few = topics.fit_topics(docs, settings)
+    assert few._blocks.rdd.getNumPartitions() <= 2
+    monkeypatch.undo()
+    order = ["ticker", "id"]
+    many = topics.fit_topics(docs, settings).assignments().orderBy(*order).collect()
+    assert few.assignments().orderBy(*order).collect() == many and len(many) == 45
 
 
 CORES = """
