@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -79,6 +79,12 @@ HTML_NAMES = {name[:-1]: text for name, text in html5.items() if name.endswith("
 LARGEST_CODE_POINT = 0x10FFFF
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used: inside a lambda Spark computes
+    an expression anew at every place where it stands."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def decode_entities(text: Column) -> Column:
     """Named, decimal and hexadecimal character references as the characters they stand for.
 
@@ -86,19 +92,28 @@ def decode_entities(text: Column) -> Column:
     is read once, so `&amp;lt;` becomes `&lt;`.
     """
 
+    def character(code: Column) -> Column:
+        known = (code > 0) & (code <= LARGEST_CODE_POINT) & ~code.between(0xD800, 0xDFFF)
+        # Four bytes, the highest first.
+        written = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(code == 160, F.lit(" ")).when(known, written)
+
+    def meaning(name: Column) -> Column:
+        digits = F.when(F.lower(F.substr(name, F.lit(2), F.lit(1))) == "x", F.conv(F.substr(name, F.lit(3)), 16, 10))
+        code = digits.otherwise(F.substr(name, F.lit(2))).cast("bigint")
+        return F.when(F.startswith(name, F.lit("#")), _bound(code, character)).otherwise(lookup(name, HTML_NAMES))
+
     def decoded(piece: Column) -> Column:
         """A piece of text that followed an ampersand."""
         name = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        hexadecimal = F.regexp_extract(name, "^#[xX]([0-9a-fA-F]+)$", 1)
-        decimal = F.regexp_extract(name, "^#([0-9]+)$", 1)
-        code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).when(decimal != "", decimal).cast("bigint")
-        known = (code > 0) & (code <= LARGEST_CODE_POINT) & ~code.between(0xD800, 0xDFFF)
-        # Four bytes, the highest first.
-        character = F.decode(F.unhex(F.lpad(F.hex(F.when(known, code).otherwise(F.lit(32))), 8, "0")), "UTF-32")
-        character = F.when(code == 160, F.lit(" ")).otherwise(character)
-        found = F.when(known, character).otherwise(lookup(name, HTML_NAMES))
-        rest = F.substr(piece, F.length(name) + 2)
-        return F.when(found.isNotNull(), F.concat(found, rest)).otherwise(F.concat(F.lit("&"), piece))
+
+        def written(name: Column) -> Column:
+            rest = F.substr(piece, F.length(name) + 2)
+            stays = F.concat(F.lit("&"), piece)
+            replaced = _bound(meaning(name), lambda found: F.coalesce(F.concat(found, rest), stays))
+            return F.when(name == "", stays).otherwise(replaced)
+
+        return _bound(name, written)
 
     pieces = F.split(text, "&")
     tail = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), decoded)

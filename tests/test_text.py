@@ -95,3 +95,8 @@ def test_clean_report(rows, raw, cleaned):
 def test_report_tokens(rows):
     df = rows([("The Shares rose 5% -- café q3",)], "t string")
     assert one(df, text.report_tokens("t", STOPWORDS, LEMMAS)) == [["share", "rise"]]
+
+
+def test_a_reference_is_read_once(rows):
+    plan = rows([("a",)], "h string").select(text.decode_entities(F.col("h")).alias("t"))._jdf.queryExecution().analyzed().toString()
+    assert plan.lower().count("regexp_extract(") == 1
