@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsvane.functions.numeric import round_to
-from newsvane.operators.terms import term_counts
+from newsvane.operators import pair_counts
+from newsvane.operators.ranking import global_rank
 from newsvane.session import broadcast_if_small, discard, stage
 
 WINDOW, MIN_COUNT, SIZE, ROUNDS = 5, 3, 64, 8
@@ -28,6 +29,64 @@ WINDOW, MIN_COUNT, SIZE, ROUNDS = 5, 3, 64, 8
 # million entries then sums up to less than 2**62.
 MATRIX_BITS, BLOCK_BITS = 16, 20
 SEED = 42
+# What a word and its number take in a broadcast table, about.
+WORD_BYTES = 64
+BLOCKS_PER_FILE = 32
+
+
+class PairCounts:
+    """The counted pairs of a corpus, words as numbers: 0 the most frequent.
+
+    Documents are staged as blocks: a block's words once each, and the places of its tokens among
+    them. So a word meets the vocabulary once per block, not once per token. Pairs of numbers are
+    combined over many blocks before the shuffle, where each takes some bytes, and are cut by their rarer
+    word: a word of rank r has at most r of those, and a rare one few, so no bucket is much larger
+    than others. Words that occur less than ``min_count`` times are left out, but keep their place.
+    """
+
+    def __init__(self, df: DataFrame, tokens: str, window: int, min_count: int):
+        if not 0 < window < 1 << pair_counts.WEIGHT_BITS:
+            raise ValueError("the window is too wide")
+        self._spark, self._window, self.paths = df.sparkSession, window, []
+        made = df.select(tokens).mapInArrow(pair_counts.blocks, pair_counts.BLOCK_SCHEMA)
+        blocks = self._stage(made.withColumn("block", F.monotonically_increasing_id()), "blocks", BLOCKS_PER_FILE)
+        words = blocks.selectExpr("block", "posexplode(arrays_zip(words, counts)) AS (at, w)").selectExpr(
+            "block", "at", "w.words AS term", "w.counts AS n"
+        )
+        counts = words.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+        ranked = global_rank(counts, [F.desc("n"), F.asc("term")], "rank")
+        self.words = self._stage(ranked.select((F.col("rank") - 1).cast("int").alias("id"), "term", "n"), "words")
+        size = self.words.agg(F.count("*"), F.sum("n")).first()
+        self.size, pairs = size[0], (size[1] or 0) * window
+        if self.size >= 1 << pair_counts.PLACE_BITS:
+            raise ValueError("too many words for the numbers of a pair")
+        self._buckets = max(1, -(-pairs // pair_counts.PAIRS_AT_ONCE))
+        known = words.select("block", "at", "term").join(broadcast_if_small(self.words, self.size, WORD_BYTES).select("id", "term"), "term")
+        listed = known.groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("e"))
+        listed = listed.selectExpr("block", "transform(e, e -> e.at) AS ats", "transform(e, e -> e.id) AS ids")
+        self._blocks = self._stage(blocks.select("block", "codes", "lengths").join(listed, "block").drop("block"), "coded", BLOCKS_PER_FILE)
+
+    def _stage(self, df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
+        made, path = stage(df, f"pair-{name}", rows_per_file)
+        self.paths.append(path)
+        return made
+
+    def pairs(self) -> DataFrame:
+        """(first, second, n) of every pair, first the more frequent word."""
+        parts = self._blocks.mapInArrow(pair_counts.pairs_of(self._window, self._buckets), "bucket int, keys binary, counts binary")
+        return parts.groupBy("bucket").applyInArrow(pair_counts.counted, "first int, second int, n bigint")
+
+    def sides(self) -> DataFrame:
+        """(id, n): what all pairs of a word count, a pair of a word with itself on both sides."""
+        parts = self._blocks.mapInArrow(pair_counts.sides_of(self._window), "id int, n bigint")
+        return self._stage(parts.groupBy("id").agg(F.sum("n").alias("n")), "sides")
+
+    def named(self, pairs: DataFrame) -> DataFrame:
+        """The pairs with their words, a <= b, for first and second."""
+        words = broadcast_if_small(self.words.select("id", "term"), self.size, WORD_BYTES)
+        left, right = (words.select(F.col("id").alias(i), F.col("term").alias(t)) for i, t in (("first", "t1"), ("second", "t2")))
+        both = pairs.join(left, "first").join(right, "second")
+        return both.select(F.least("t1", "t2").alias("a"), F.greatest("t1", "t2").alias("b"), *[c for c in pairs.columns if c not in ("first", "second")])
 
 
 def cooccurrence(df: DataFrame, tokens: str, window: int = WINDOW, min_count: int = MIN_COUNT) -> DataFrame:
@@ -35,37 +94,39 @@ def cooccurrence(df: DataFrame, tokens: str, window: int = WINDOW, min_count: in
 
     Neighbours count ``window`` times, words at the window's end once: what a window of random width
     would count on average, times ``window``. Words that occur less than ``min_count`` times are left
-    out, but keep their place between others. Pairs are combined in every task before the shuffle.
+    out, but keep their place between others. See `PairCounts`.
     """
-    placed = df.selectExpr(tokens, f"posexplode_outer({tokens}) AS (at, first)").where("first IS NOT NULL")
-    ahead = placed.select("first", tokens, "at", F.explode(F.sequence(F.lit(1), F.lit(window))).alias("d"))
-    met = ahead.selectExpr("first", f"get({tokens}, at + d) AS second", f"CAST({window} + 1 - d AS BIGINT) AS w")
-    pairs = (
-        met.where("second IS NOT NULL")
-        .select(F.least("first", "second").alias("a"), F.greatest("first", "second").alias("b"), "w")
-        .groupBy("a", "b")
-        .agg(F.sum("w").alias("n"))
-    )
-    known = term_counts(df, F.col(tokens)).where(F.col("n") >= min_count).select("term")
-    known_a, known_b = known.withColumnRenamed("term", "a"), known.withColumnRenamed("term", "b")
-    return pairs.join(known_a, "a", "left_semi").join(known_b, "b", "left_semi").select("a", "b", "n")
+    counts = PairCounts(df, tokens, window, min_count)
+    return counts.named(counts.pairs())
+
+
+def _associated(pairs: DataFrame, sides: DataFrame, a: str, b: str, key: str, words: int) -> DataFrame:
+    """Pairs with ``ppmi``, from what each word's pairs count (``key``, n)."""
+    total = sides.agg(F.sum("n")).scalar()
+    held = broadcast_if_small(sides, words, WORD_BYTES)
+    left = held.select(F.col(key).alias(a), F.col("n").alias("n_a"))
+    right = held.select(F.col(key).alias(b), F.col("n").alias("n_b"))
+    # A pair of a word with itself fills one cell of the matrix with both its sides.
+    cell = F.when(F.col(a) == F.col(b), 2 * F.col("n")).otherwise(F.col("n")).cast("double")
+    share = cell * F.col("every").cast("double") / (F.col("n_a").cast("double") * F.col("n_b").cast("double"))
+    scored = pairs.withColumn("every", total).join(left, a).join(right, b).withColumn("share", share)
+    return scored.where("share > 1").select(a, b, "n", round_to(F.ln("share"), 6).alias("ppmi")).where("ppmi > 0")
 
 
 def ppmi(pairs: DataFrame) -> DataFrame:
     """(a, b, n, ppmi) of the pairs (a, b, n) that occur oftener than by chance: ln(n x all / (n of a x n of b)).
 
     A word's count is that of all its pairs, from either side; a pair of a word with itself counts
-    on both.
+    on both. ``pairs`` is read twice: a table, or a corpus by `corpus_ppmi`.
     """
-    sides = pairs.select(F.explode(F.array("a", "b")).alias("term"), "n").groupBy("term").agg(F.sum("n").alias("n"))
-    total = sides.agg(F.sum("n")).scalar()
-    left = sides.select(F.col("term").alias("a"), F.col("n").alias("n_a"))
-    right = sides.select(F.col("term").alias("b"), F.col("n").alias("n_b"))
-    # A pair of a word with itself fills one cell of the matrix with both its sides.
-    cell = F.when(F.col("a") == F.col("b"), 2 * F.col("n")).otherwise(F.col("n")).cast("double")
-    share = cell * F.col("every").cast("double") / (F.col("n_a").cast("double") * F.col("n_b").cast("double"))
-    scored = pairs.withColumn("every", total).join(left, "a").join(right, "b").withColumn("share", share)
-    return scored.where("share > 1").select("a", "b", "n", round_to(F.ln("share"), 6).alias("ppmi")).where("ppmi > 0")
+    sides, _ = stage(pairs.select(F.explode(F.array("a", "b")).alias("term"), "n").groupBy("term").agg(F.sum("n").alias("n")), "pair-sides")
+    return _associated(pairs, sides, "a", "b", "term", sides.count())
+
+
+def corpus_ppmi(df: DataFrame, tokens: str, window: int = WINDOW, min_count: int = MIN_COUNT) -> DataFrame:
+    """`ppmi` of `cooccurrence`, scored while words are numbers."""
+    counts = PairCounts(df, tokens, window, min_count)
+    return counts.named(_associated(counts.pairs(), counts.sides(), "first", "second", "id", counts.size))
 
 
 def _times(size: int):

@@ -748,7 +748,7 @@ def cooccurrence(spark, sf):
 
 @query
 def ppmi(spark, sf):
-    return embeddings.ppmi(embeddings.cooccurrence(_doc_tokens(spark, sf), "tokens"))
+    return embeddings.corpus_ppmi(_doc_tokens(spark, sf), "tokens")
 
 
 @query

@@ -81,3 +81,38 @@ def test_fewer_words_than_numbers(rows):
     got = {r.term: r.vector for r in embeddings.word_vectors(df, 5, 3).collect()}
     assert set(got) == {"a", "b"} and all(len(v) == 5 and v[2:] == [0.0] * 3 for v in got.values())
     assert all(np.isfinite(v).all() for v in got.values())
+
+
+def test_pairs_are_combined_as_numbers_in_small_pieces(rows, monkeypatch):
+    """Blocks, chunks and buckets cut anywhere give the same counts, and no pair of texts is shuffled."""
+    rng = np.random.default_rng(3)
+    lists = [[None if w == "w7" else w for w in (f"w{int(x)}" for x in rng.zipf(1.5, n) if x < 60)] for n in range(120)]
+    df = rows([(i, t) for i, t in enumerate(lists)], "id bigint, tokens array<string>").repartition(3)
+    words = Counter(w for d in lists for w in d if w)
+    want = Counter()
+    for d in lists:
+        for i, w in enumerate(d):
+            for k in range(1, 6):
+                if i + k < len(d) and words.get(w, 0) >= 3 and words.get(d[i + k], 0) >= 3:
+                    want[tuple(sorted((w, d[i + k])))] += 6 - k
+    monkeypatch.setattr(embeddings.pair_counts, "BLOCK_TOKENS", 40)
+    monkeypatch.setattr(embeddings.pair_counts, "PAIRS_AT_ONCE", 100)
+    made = embeddings.cooccurrence(df, "tokens")
+    assert {(r.a, r.b): r.n for r in made.collect()} == dict(want)
+    assert "hashpartitioning(bucket" in made._jdf.queryExecution().executedPlan().toString()
+    scored = {(r.a, r.b): (r.n, r.ppmi) for r in embeddings.corpus_ppmi(df, "tokens").collect()}
+    assert scored and scored == {(r.a, r.b): (r.n, r.ppmi) for r in embeddings.ppmi(made).collect()}
+
+
+@pytest.mark.parametrize("lists", [[], [[]], [None], [["a"]], [["a", "b"]]])
+def test_no_pair_of_known_words(rows, lists):
+    df = rows([(t,) for t in lists], "tokens array<string>")
+    assert embeddings.cooccurrence(df, "tokens").collect() == [] == embeddings.corpus_ppmi(df, "tokens").collect()
+
+
+def test_packed_numbers_come_back():
+    pack, unpack = embeddings.pair_counts.pack, embeddings.pair_counts.unpack
+    for keys in ([], [0], [5, 5, 1 << 56], list(range(0, 1 << 40, 1 << 33))):
+        values = np.array(keys, np.int64) * 3 - 7
+        got = unpack(*pack(np.array(keys, np.uint64), values))
+        assert got[0].tolist() == keys and got[1].tolist() == values.tolist()
