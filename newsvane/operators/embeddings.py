@@ -5,24 +5,23 @@
 3. The leading eigenvectors of that symmetric matrix come from block power iteration: every round
    multiplies the matrix with a narrow block and makes its columns orthonormal. Matrix, block and
    sums are whole numbers (fixed point), so a sum is the same in any order and on any number of
-   cores. The block's rows lie in a table by word; only small square matrices reach the driver.
+   cores. Matrix and block lie in tables by groups of words; the block is broadcast in pieces.
 
 There is no bound on the vocabulary: rare words are left out by their count alone, a parameter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsvane.functions.numeric import round_to
-from newsvane.operators import pair_counts
+from newsvane.operators import pair_counts, vector_blocks
 from newsvane.operators.ranking import global_rank
-from newsvane.session import broadcast_if_small, discard, stage
+from newsvane.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, discard, stage
 
 WINDOW, MIN_COUNT, SIZE, ROUNDS = 5, 3, 64, 8
 # Fixed point: entries of the matrix have 16 bits behind the point, those of the block 20. A row of a
@@ -31,7 +30,7 @@ MATRIX_BITS, BLOCK_BITS = 16, 20
 SEED = 42
 # What a word and its number take in a broadcast table, about.
 WORD_BYTES = 64
-BLOCKS_PER_FILE = 32
+BLOCKS_PER_FILE, CELLS_PER_FILE = 32, 4
 
 
 class PairCounts:
@@ -129,129 +128,94 @@ def corpus_ppmi(df: DataFrame, tokens: str, window: int = WINDOW, min_count: int
     return counts.named(_associated(counts.pairs(), counts.sides(), "first", "second", "id", counts.size))
 
 
-def _times(size: int):
-    """Rows (a, w, x) in the order of a, to (a, y): sums of w x per word, as 64-bit whole numbers."""
+def _vectors(entries: DataFrame, words: DataFrame, ids: int, size: int, rounds: int, seed: int) -> DataFrame:
+    """(term, vector) from entries (first, second, ppmi) of one half of the matrix and the words (id, term), ids below ``ids``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, total = None, None
-        names: list = []
-        sums: list = []
-
-        def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sums, pa.binary())], names=["a", "y"])
-
-        for batch in batches:
-            words = batch.column(0).to_pylist()
-            weights = batch.column(1).to_numpy()
-            block = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<i4").reshape(len(words), size)
-            starts = [0, *(i for i in range(1, len(words)) if words[i] != words[i - 1])] if words else []
-            parts = np.add.reduceat(block.astype(np.int64) * weights[:, None], starts, axis=0) if words else []
-            for begin, part in zip(starts, parts):
-                if words[begin] == word:
-                    total = total + part
-                    continue
-                if word is not None:
-                    names.append(word)
-                    sums.append(total.tobytes())
-                word, total = words[begin], part
-            if names:
-                yield made()
-                names, sums = [], []
-        if word is not None:
-            names, sums = [word], [total.tobytes()]
-            yield made()
-
-    return run
-
-
-def _rows_of(batch: pa.RecordBatch, column: int, size: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column(column).to_pylist()), "<i8").reshape(batch.num_rows, size)
+    The matrix is staged once, in cells: the rows of some words, the columns of one group of words. In
+    a round a cell meets the block's rows of its group, which are few and large, never a row per entry.
+    """
+    spark, paths = entries.sparkSession, []
 
+    def held(df: DataFrame, name: str, rows_per_file: int = CELLS_PER_FILE) -> DataFrame:
+        made, path = stage(df, f"vector-{name}", rows_per_file)
+        paths.append(path)
+        return made
 
-def _reduced(rows: DataFrame, size: int, start: np.ndarray, part, join) -> np.ndarray:
-    """One small whole-number matrix over all rows (a, y): one per task reaches the driver."""
+    grid = vector_blocks.Grid.of(ids, 2 * spark.sparkContext.defaultParallelism)
+    weight = F.rint(F.col("ppmi") * (1 << MATRIX_BITS)).cast("bigint").alias("w")
+    pieces = entries.select("first", "second", weight).mapInArrow(
+        vector_blocks.cut_into_cells(grid), "r int, c int, keys binary, weights binary"
+    )
+    dealt = pieces.repartition(-(-grid.groups // grid.span), "r").sortWithinPartitions("r", "c")
+    # No bound on a file's rows: all cells of the same rows are in one, so a task's sums are whole.
+    cells = held(dealt.mapInArrow(vector_blocks.whole_cells, vector_blocks.CELL_SCHEMA), "matrix", 0)
+    met = cells.select("r", "rows").mapInArrow(vector_blocks.rows_of_cells(grid), "id int").distinct()
+    terms, terms_path = stage(words.select("id", "term").join(met, "id"), "vector-terms")
+    known = terms.count()
+    width = max(1, min(size, known))
+    # The block goes to the tasks in pieces below the limit of a broadcast, one after another.
+    groups_at_once = max(1, BROADCAST_LIMIT_BYTES // (4 * width * grid.places))
+
+    def multiplied(block: DataFrame) -> DataFrame:
+        parts, used = [], []
+        for first in range(0, grid.groups, groups_at_once):
+            here = F.col("c").between(first, first + groups_at_once - 1)
+            met = cells.where(here).join(F.broadcast(block.where(here)), "c")
+            part = met.mapInArrow(vector_blocks.times(grid, width), "p int, y binary")
+            if groups_at_once < grid.groups:
+                part, path = stage(part, "vector-part", CELLS_PER_FILE)
+                used.append(path)
+            parts.append(part)
+        whole = reduce(DataFrame.unionByName, parts).groupBy("p").applyInArrow(vector_blocks.added, "p int, y binary")
+        made = held(whole, "sums")
+        discard(spark, used)
+        return made
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summed(sums: DataFrame, start: np.ndarray, part, join) -> np.ndarray:
         total = start
-        for batch in batches:
-            total = join(total, part(_rows_of(batch, 1, size)))
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["m"])
-
-    total = start
-    for (m,) in rows.mapInArrow(run, "m binary").collect():
-        total = join(total, np.frombuffer(m, "<i8").reshape(start.shape))
-    return total
-
-
-def _scaled(rows: np.ndarray, top: np.ndarray) -> np.ndarray:
-    """Columns brought to 20 bits by their largest entries."""
-    return np.rint(rows / np.maximum(top, 1) * (1 << BLOCK_BITS)).astype(np.int64)
-
-
-def word_vectors(pairs: DataFrame, size: int = SIZE, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
-    """(term, vector): ``size`` numbers per word of the pairs (a, b, ppmi), a <= b, as `ppmi` gives them.
+        for (m,) in sums.mapInArrow(vector_blocks.reduced(start, part, join), "m binary").collect():
+            total = join(total, np.frombuffer(m, "<i8").reshape(start.shape))
+        return total
 
-    Column j is about the j-th eigenvector times the root of its eigenvalue. The number of rounds is
-    fixed, so the result depends on nothing but the pairs and the seed. Fewer words than ``size``
-    leave the last numbers zero. The result is a staged table in the shared folder.
-    """
-    spark = pairs.sparkSession
-    weight = F.rint(F.col("ppmi") * (1 << MATRIX_BITS)).cast("bigint").alias("w")
-    half = pairs.select("a", "b", weight)
-    both = half.unionByName(half.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "w"))
-    # Dealt and sorted by the word whose row they are of: a task's sums are nearly whole. A hash of
-    # the other word cuts the row of a very frequent one.
-    entries, entries_path = stage(both.repartition("a").sortWithinPartitions("a"), "vector-matrix")
-    terms, terms_path = stage(both.select(F.col("a").alias("term")).distinct(), "vector-terms")
-    words = terms.count()
-    width = max(1, min(size, words))
-
-    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seeds = batch.column(1).to_pylist()
-            rows = [np.random.default_rng(s % (1 << 63)).integers(-(1 << BLOCK_BITS), 1 << BLOCK_BITS, width).astype("<i4") for s in seeds]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], names=["b", "x"])
-
-    seeded = terms.select("term", F.pmod(F.xxhash64("term", F.lit(seed)), F.lit((1 << 63) - 1)))
-    block, block_path = stage(seeded.mapInArrow(start, "b string, x binary"), "vector-block")
-    sums_path, scale, top = None, np.ones(width), np.ones(width)
+    seeds = terms.select((F.col("id") % grid.groups).alias("p"), "id", F.pmod(F.xxhash64("term", F.lit(seed)), F.lit((1 << 63) - 1)).alias("seed"))
+    block = held(seeds.groupBy("p").applyInArrow(vector_blocks.started(grid, width, BLOCK_BITS), "c int, x binary"), "block")
+    sums, scale, matrix = None, np.ones(width), paths[0]
     for _ in range(rounds):
-        near = entries.join(broadcast_if_small(block, words, 4 * width + 64), "b").select("a", "w", "x")
-        # Partial sums of the rows, then whole ones; sums of whole numbers do not depend on the cut.
-        partial = near.mapInArrow(_times(width), "a string, y binary")
-        whole = partial.repartition("a").sortWithinPartitions("a").mapInArrow(_whole(width), "a string, y binary")
-        sums, new_path = stage(whole, "vector-sums")
-        top = _reduced(sums, width, np.zeros(width, np.int64), lambda y: np.abs(y).max(axis=0, initial=0), np.maximum)
-        gram = _reduced(
-            sums, width, np.zeros((width, width), np.int64), lambda y, top=top: _scaled(y, top).T @ _scaled(y, top), np.add
+        before, sums = paths[1:], multiplied(block)
+        top = summed(sums, np.zeros(width, np.int64), lambda y: np.abs(y).max(axis=0, initial=0), np.maximum)
+        gram = summed(
+            sums, np.zeros((width, width), np.int64), lambda y, top=top: vector_blocks.products(y, top, BLOCK_BITS), np.add
         )
         unit = gram.astype(np.float64) / float(1 << 2 * BLOCK_BITS)
         # A column that depends on those before it gets nothing but rounding: held up by a small ridge.
         factor = np.linalg.cholesky(unit + np.eye(width) * 1e-12 * max(1.0, np.trace(unit)))
         turn = np.linalg.inv(factor).T
         scale = np.sqrt(np.diag(unit)) * top / float(1 << MATRIX_BITS + BLOCK_BITS)
+        block = held(sums.mapInArrow(vector_blocks.turned(width, top, turn, BLOCK_BITS), "c int, x binary"), "block")
+        discard(spark, before)
+        paths[:] = [matrix, *paths[len(before) + 1 :]]
+    unit = np.concatenate([[float(1 << MATRIX_BITS + BLOCK_BITS)], np.sqrt(np.maximum(scale, 1e-300))])
+    rows = sums.mapInArrow(vector_blocks.finished(grid, width, size, unit), "id int, vector array<double>")
+    made, _ = stage(rows.join(broadcast_if_small(terms, known, WORD_BYTES), "id").select("term", "vector"), "vectors")
+    discard(spark, [*paths, terms_path])
+    return made
+
 
-        def orthonormal(batches, top=top, turn=turn):
-            for batch in batches:
-                rows = _scaled(_rows_of(batch, 1, width), top) / float(1 << BLOCK_BITS) @ turn
-                held = np.clip(np.rint(rows * (1 << BLOCK_BITS)), -(1 << BLOCK_BITS + 2), 1 << BLOCK_BITS + 2).astype("<i4")
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([r.tobytes() for r in held], pa.binary())], names=["b", "x"]
-                )
-
-        discard(spark, [block_path, *([sums_path] if sums_path else [])])
-        block, block_path = stage(sums.mapInArrow(orthonormal, "b string, x binary"), "vector-block")
-        sums_path = new_path
-    roots = np.sqrt(np.maximum(scale, 1e-300))
-
-    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = _rows_of(batch, 1, width) / float(1 << MATRIX_BITS + BLOCK_BITS) / roots
-            padded = np.pad(rows, ((0, 0), (0, size - width)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(padded), pa.list_(pa.float64()))], names=["term", "vector"])
-
-    made, _ = stage(sums.mapInArrow(finished, "term string, vector array<double>"), "vectors")
-    discard(spark, [entries_path, terms_path, block_path, sums_path])
+def word_vectors(pairs: DataFrame, size: int = SIZE, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
+    """(term, vector): ``size`` numbers per word of the pairs (a, b, ppmi), a <= b, as `ppmi` gives them.
+
+    Column j is about the j-th eigenvector times the root of its eigenvalue. The number of rounds is
+    fixed, so the result depends on nothing but the pairs and the seed. Fewer words than ``size``
+    leave the last numbers zero. The result is a staged table in the shared folder. ``pairs`` is read twice.
+    """
+    counts = pairs.select(F.explode(F.array("a", "b")).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    ranked = global_rank(counts, [F.desc("n"), F.asc("term")])
+    words, path = stage(ranked.select((F.col("rank") - 1).cast("int").alias("id"), "term"), "vector-words")
+    ids = words.count()
+    known = broadcast_if_small(words, ids, WORD_BYTES)
+    left, right = known.toDF("first", "a"), known.toDF("second", "b")
+    made = _vectors(pairs.join(left, "a").join(right, "b"), words, ids, size, rounds, seed)
+    discard(pairs.sparkSession, [path])
     return made
 
 
@@ -259,29 +223,8 @@ def fit(
     df: DataFrame, tokens: str, size: int = SIZE, window: int = WINDOW, min_count: int = MIN_COUNT, rounds: int = ROUNDS
 ) -> DataFrame:
     """(term, vector) of a corpus, from its token lists: counted once, staged, the same in every run."""
-    pairs, path = stage(cooccurrence(df, tokens, window, min_count), "vector-pairs")
-    made = word_vectors(ppmi(pairs), size, rounds)
-    discard(df.sparkSession, [path])
+    counts = PairCounts(df, tokens, window, min_count)
+    scored = _associated(counts.pairs(), counts.sides(), "first", "second", "id", counts.size)
+    made = _vectors(scored, counts.words, counts.size, size, rounds, SEED)
+    discard(df.sparkSession, counts.paths)
     return made
-
-
-def _whole(size: int):
-    """Rows (a, y) in the order of a, to one row per word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, total = None, None
-        for batch in batches:
-            out = []
-            for name, row in zip(batch.column(0).to_pylist(), _rows_of(batch, 1, size)):
-                if name == word:
-                    total = total + row
-                    continue
-                if word is not None:
-                    out.append((word, total.tobytes()))
-                word, total = name, row
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.binary()))], names=["a", "y"])
-        if word is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([word]), pa.array([total.tobytes()], pa.binary())], names=["a", "y"])
-
-    return run

@@ -116,3 +116,18 @@ def test_packed_numbers_come_back():
         values = np.array(keys, np.int64) * 3 - 7
         got = unpack(*pack(np.array(keys, np.uint64), values))
         assert got[0].tolist() == keys and got[1].tolist() == values.tolist()
+
+
+def test_vectors_do_not_depend_on_the_grid(rows, monkeypatch):
+    """Many groups, many pieces of the block and few pairs at once: the same vectors, and no row per entry is joined."""
+    m = matrix(40)
+    data = [(f"w{i:02}", f"w{j:02}", float(m[i, j])) for i in range(40) for j in range(i, 40) if m[i, j] > 0]
+    df = rows(data, "a string, b string, ppmi double").repartition(3)
+    whole = {r.term: r.vector for r in embeddings.word_vectors(df, 4, 2).collect()}
+    blocks = embeddings.vector_blocks
+    for name, value in (("GROUP_WORDS", 3), ("ROW_WORDS", 1 << 20), ("PAIRS_AT_ONCE", 50), ("ENTRIES_AT_ONCE", 5)):
+        monkeypatch.setattr(blocks, name, value)
+    monkeypatch.setattr(embeddings, "BROADCAST_LIMIT_BYTES", 4 * 4 * 3 * 5)
+    monkeypatch.setattr(blocks.Grid, "of", staticmethod(lambda words, tasks: blocks.Grid(14, 3, 4)))
+    cut = {r.term: r.vector for r in embeddings.word_vectors(df, 4, 2).collect()}
+    assert cut == whole and len(cut) == 40
