@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 from newsvane.functions.numeric import MICROS, round_to, to_micros
 from newsvane.operators.ranking import top_n
 from newsvane.operators.terms import explode_terms
+from newsvane.session import BROADCAST_LIMIT_BYTES, stage
+
+# What a word takes in a broadcast table beside its vector, about.
+WORD_BYTES = 100
 
 
 def dominant_index(vector: Column) -> Column:
@@ -43,15 +48,22 @@ def document_vectors(df: DataFrame, keys: Sequence[str], tokens: str, words: Dat
     """(keys, known_words, vector): the mean vector of an article's known words, from a stored table
     (term, vector of ``size`` entries).
 
-    Entries are summed as fixed-point integers, in any order the same. Words are counted per article
-    before they meet their vectors. Articles without a known word have no vector.
+    Entries are summed as fixed-point integers, in any order the same. Words meet their vectors where
+    they are read, and a task adds up whole articles, so one row per article is moved. A table of words
+    beyond the limit of a broadcast goes in pieces, one after another. Articles without a known word have no vector.
     """
-    counts = explode_terms(df, F.col(tokens), *keys).groupBy(*keys, "term").agg(F.count("*").alias("n"))
     entries = [to_micros(F.get("vector", F.lit(i)).cast("double")).alias(f"v{i}") for i in range(size)]
-    joined = counts.join(words.select("term", *entries), "term")
-    sums = joined.groupBy(*keys).agg(
-        F.sum("n").alias("known_words"), *[F.sum(F.col("n") * F.col(f"v{i}")).alias(f"v{i}") for i in range(size)]
-    )
+    found = explode_terms(df, F.col(tokens), *keys)
+    sums = [F.sum(f"v{i}").alias(f"v{i}") for i in range(size)]
+    pieces = max(1, -(-words.count() * (8 * size + WORD_BYTES) // BROADCAST_LIMIT_BYTES))
+    piece, parts = F.pmod(F.xxhash64("term"), F.lit(pieces)), []
+    for i in range(pieces):
+        here = words.where(piece == i).select("term", *entries)
+        part = found.join(F.broadcast(here), "term").groupBy(*keys).agg(F.count("*").alias("known_words"), *sums)
+        parts.append(part if pieces == 1 else stage(part, "article-sums")[0])
+    sums = reduce(DataFrame.unionByName, parts)
+    if pieces > 1:
+        sums = sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums.columns[len(keys) :]])
     mean = F.array(*[F.col(f"v{i}") / F.col("known_words") / float(MICROS) for i in range(size)])
     found = sums.select(*keys, "known_words", mean.alias("vector"))
     return df.select(*keys).join(found, list(keys), "left").withColumn("known_words", F.coalesce("known_words", F.lit(0)))

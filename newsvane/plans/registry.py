@@ -722,7 +722,8 @@ def _word_table(spark, sf):
     """The given vectors as a stored word-vector table: the vector of a term's place in the vocabulary."""
     words = terms.vocabulary(_doc_tokens(spark, sf), "tokens")
     stored = views.table(spark, sf, "embeddings").select(F.col("vec_id").alias("term_index"), F.col("embedding").alias("vector"))
-    return words.withColumn("term_index", F.col("term_index").cast("bigint")).join(stored, "term_index").select("term", "vector")
+    words = words.withColumn("term_index", F.col("term_index").cast("bigint"))
+    return stage(words.join(stored, "term_index").select("term", "vector"), "word-table")[0]
 
 
 @query

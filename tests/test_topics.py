@@ -287,3 +287,22 @@ def test_saliency_prefers_frequent_terms_of_one_topic(rows):
     q = np.array([0.5, 0.001]) / 0.501
     d = float((q * np.log(q / 0.5)).sum())
     assert got[0].distinctiveness == pytest.approx(d, abs=1e-6) and got[0].saliency == pytest.approx(50 / 102 * d, abs=1e-8)
+
+
+def test_document_vectors_move_one_row_per_article(rows, monkeypatch):
+    """Words meet their vectors where they are read, also when the table of words goes in pieces."""
+    rng = np.random.default_rng(8)
+    docs = [("t", i, [f"w{int(x)}" for x in rng.integers(0, 30, i)]) for i in range(25)]
+    df = rows(docs, "ticker string, id bigint, tokens array<string>").repartition(3)
+    words = rows([(f"w{i}", [float(i), -0.5 * i]) for i in range(20)], "term string, vector array<double>")
+    made = vectors.document_vectors(df, ["ticker", "id"], "tokens", words, 2)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(term" not in plan and ", term" not in "".join(p.split("]")[0] for p in plan.split("hashpartitioning(")[1:])
+    whole = {r["id"]: (r["known_words"], r["vector"]) for r in made.collect()}
+    monkeypatch.setattr(vectors, "BROADCAST_LIMIT_BYTES", 500)
+    cut = {r["id"]: (r["known_words"], r["vector"]) for r in vectors.document_vectors(df, ["ticker", "id"], "tokens", words, 2).collect()}
+    assert cut == whole and len(cut) == 25
+    for _, i, tokens in docs:
+        known = [int(w[1:]) for w in tokens if int(w[1:]) < 20]
+        assert whole[i][0] == len(known)
+        assert not known or whole[i][1] == pytest.approx([np.mean(known), -0.5 * np.mean(known)])
