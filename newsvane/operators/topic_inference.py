@@ -21,7 +21,11 @@ MICROS = 1_000_000
 # beside the statistics under a number that no term has.
 MILLIS, BOUND = 1000, -1
 _INNER_STEPS, _INNER_TOLERANCE = 30, 1e-3
-_DOCUMENTS_AT_ONCE = 32
+# So many documents of a block stop together; so many steps are gone before it is seen which have.
+_DOCUMENTS_AT_ONCE, _STEPS_AT_ONCE = 32, 10
+# Blocks of about so many words are inferred together, in batches of so many cells: a batch's weights
+# fit into the cache. Filling takes about the part of a batch that ``_WASTE`` and ``_SPARE`` allow.
+_WORDS_AT_ONCE, _CELLS_AT_ONCE, _WASTE, _SPARE = 500_000, 12_000, 1.15, 8
 
 
 def _same(lead, row) -> bool:
@@ -44,10 +48,12 @@ def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             documents = np.repeat(np.arange(len(row.lengths)), np.asarray(row.lengths, dtype=np.int64))
             kept = codes >= 0
             lengths = np.bincount(documents[kept], minlength=len(row.lengths)).astype(np.int32)
+            # Sorted once here, not in every round.
+            by_term = np.lexsort((codes[kept], documents[kept]))
             yield pd.DataFrame(
                 {
-                    "ticker": [row.ticker], "slice": [row.slice], "k": [row.k], "ids": [row.ids],
-                    "lengths": [lengths], "terms": [codes[kept]],
+                    "ticker": [row.ticker], "slice": [row.slice], "block": [row.block], "k": [row.k], "ids": [row.ids],
+                    "lengths": [lengths], "terms": [codes[kept][by_term]],
                 }
             )
 
@@ -74,8 +80,19 @@ def _expected_logs(dirichlet: np.ndarray) -> np.ndarray:
     return _digamma(dirichlet) - _digamma(dirichlet.sum(axis=1, keepdims=True))
 
 
+def _exp_digamma(x: np.ndarray) -> np.ndarray:
+    """exp of `_digamma` without a logarithm, and with the six fractions as one."""
+    y = x * (x + 5.0)
+    below = (x + x + 5.0) * ((3.0 * y + 20.0) * y + 24.0) / (y * (y + 4.0) * (y + 6.0))
+    x = x + 6.0
+    part = 1.0 / x
+    inverse = part * part
+    series = inverse * (1 / 12 - inverse * (1 / 120 - inverse * (1 / 252 - inverse / 240)))
+    return x * np.exp(-0.5 * part - series - below)
+
+
 def _expected(dirichlet: np.ndarray) -> np.ndarray:
-    return np.exp(_expected_logs(dirichlet))
+    return _exp_digamma(dirichlet) / _exp_digamma(dirichlet.sum(axis=1, keepdims=True))
 
 
 def _prior_gain(dirichlet: np.ndarray, prior: float) -> float:
@@ -87,68 +104,134 @@ def _prior_gain(dirichlet: np.ndarray, prior: float) -> float:
     return float(cells.sum() - _log_gamma(dirichlet.sum(axis=1)).sum() + rows * of_prior)
 
 
-def _mixtures(
-    lengths: np.ndarray, terms: np.ndarray, beta: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Document weights of a few documents, every (document, term) pair's share of topics, and the bound."""
-    k, width = beta.shape[1], beta.shape[0]
-    documents = np.repeat(np.arange(len(lengths)), lengths)
-    pairs, counts = np.unique(documents * width + terms, return_counts=True)
-    d, w = pairs // width, pairs % width
+def _pairs(lengths: np.ndarray, terms: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every (document, term) pair once: how many each document has, their terms, how often they occur.
+
+    The stored terms of a document are sorted already.
+    """
+    keys = np.repeat(np.arange(len(lengths)) * width, lengths) + terms
+    if (keys[1:] < keys[:-1]).any():
+        keys.sort()
+    firsts = np.flatnonzero(np.diff(keys, prepend=-1))
+    documents, w = np.divmod(keys[firsts], width)
+    return np.bincount(documents, minlength=len(lengths)), w, np.diff(firsts, append=len(keys))
+
+
+def _batches(per: np.ndarray, w: np.ndarray, counts: np.ndarray, beta: np.ndarray) -> list[tuple]:
+    """Documents with about as many pairs side by side: (documents, weights of their pairs' terms as
+    (document, topic, pair), counts, places of the pairs, which of these are pairs and no filling).
+
+    A batch stays in the processor's cache through all its steps. Filling counts nothing.
+    """
+    order = np.argsort(per, kind="stable")
+    sizes, starts = per[order], (np.cumsum(per) - per)[order]
+    filled = np.ascontiguousarray(np.vstack([beta, np.zeros((1, beta.shape[1]))]).T)
+    made, end, least = [], len(order), int(np.searchsorted(sizes, 1))
+    while end > least:
+        wide = int(sizes[end - 1])
+        near = int(np.searchsorted(sizes, (wide - _SPARE) / _WASTE))
+        first = min(end - 1, max(least, near, end - max(1, _CELLS_AT_ONCE // wide)))
+        inside = np.arange(wide) < sizes[first:end, None]
+        at = np.where(inside, starts[first:end, None] + np.arange(wide), 0)
+        cells = np.take(filled, np.where(inside, w[at], len(beta)), axis=1).transpose(1, 0, 2)
+        made.append((order[first:end], cells, np.where(inside, counts[at], 0.0)[:, None, :], at, inside))
+        end = first
+    return made
+
+
+def _follow(path: np.ndarray, batch: tuple, alpha: float) -> None:
+    """The steps of a batch's documents, from ``path[0]``, into ``path``."""
+    documents, cells, counts, *_ = batch
+    gamma, ratio, turned = path[0, documents], np.empty_like(counts), cells.transpose(0, 2, 1)
+    for step in range(1, len(path)):
+        # A document's scale cancels, so its weights need not add up to anything.
+        theta = _exp_digamma(gamma)
+        np.matmul(theta[:, None, :], cells, out=ratio)
+        np.divide(counts, np.maximum(ratio, 1e-100, out=ratio), out=ratio)
+        gamma = alpha + theta * np.matmul(ratio, turned)[:, 0]
+        path[step, documents] = gamma
+
+
+def _settle(lengths: np.ndarray, groups: np.ndarray, batches: list[tuple], k: int) -> np.ndarray:
+    """Document weights. A group of documents stops where its mean change falls below the tolerance."""
     alpha = 1.0 / k
     gamma = np.full((len(lengths), k), alpha) + lengths[:, None] / k
-    if len(pairs) == 0:
-        return gamma, w, np.zeros((0, k)), _prior_gain(gamma, alpha)
-    used, starts = np.unique(d, return_index=True)
-    by_term = beta[w]
-    for _ in range(_INNER_STEPS):
-        theta = _expected(gamma)
-        ratio = counts / np.maximum(np.einsum("ek,ek->e", theta[d], by_term), 1e-100)
-        updated = gamma.copy()
-        updated[used] = alpha + theta[used] * np.add.reduceat(by_term * ratio[:, None], starts)
-        change = np.abs(updated - gamma).mean()
-        gamma = updated
-        if change < _INNER_TOLERANCE:
+    firsts = np.flatnonzero(np.diff(groups, prepend=-1))
+    cells, running = np.bincount(groups) * k, np.ones(len(firsts), dtype=bool)
+    for done in range(0, _INNER_STEPS, _STEPS_AT_ONCE):
+        path = np.repeat(gamma[None], min(_STEPS_AT_ONCE, _INNER_STEPS - done) + 1, axis=0)
+        for batch in batches:
+            _follow(path, batch, alpha)
+        change = np.add.reduceat(np.abs(np.diff(path, axis=0)).sum(axis=2), firsts, axis=1) / cells
+        small = change < _INNER_TOLERANCE
+        stops = np.where(small.any(axis=0), small.argmax(axis=0) + 1, len(path) - 1)
+        moved = np.flatnonzero(running[groups])
+        gamma[moved] = path[stops[groups[moved]], moved]
+        running &= ~small.any(axis=0)
+        batches = [b for b in batches if running[groups[b[0]]].any()]
+        if not batches:
             break
-    shares = _expected(gamma)[d] * by_term
-    whole = np.maximum(shares.sum(axis=1), 1e-100)
-    bound = float(counts @ np.log(whole)) + _prior_gain(gamma, alpha)
-    return gamma, w, shares * (counts / whole)[:, None], bound
+    return gamma
+
+
+def _infer_blocks(blocks: list[tuple[np.ndarray, np.ndarray]], beta: np.ndarray) -> list[tuple]:
+    """For every block (lengths, terms) what `_infer` finds; documents of all of them share batches."""
+    width, k = beta.shape
+    paired = [_pairs(lengths, terms, width) for lengths, terms in blocks]
+    per, w, counts = (np.concatenate([p[i] for p in paired]) for i in range(3))
+    lengths = np.concatenate([b[0] for b in blocks])
+    if not len(lengths):
+        return [(np.zeros((0, k)), np.zeros(0, dtype=np.int64), np.zeros((0, k)), 0.0) for _ in blocks]
+    # Groups are runs of documents of one block.
+    in_block = np.concatenate([np.arange(len(b[0])) for b in blocks])
+    groups = np.cumsum(in_block % _DOCUMENTS_AT_ONCE == 0) - 1
+    batches = _batches(per, w, counts, beta)
+    gamma = _settle(lengths, groups, batches, k)
+    theta, whole = _expected(gamma), np.empty(len(w))
+    for documents, cells, _, at, inside in batches:
+        sums = np.matmul(theta[documents, None, :], cells)[:, 0]
+        whole[at[inside]] = np.maximum(sums[inside], 1e-100)
+    logs, ratio, found, d, e = np.log(whole), counts / whole, [], 0, 0
+    for (own, _), (pairs_of, terms, n) in zip(blocks, paired):
+        mine, pairs = slice(d, d + len(own)), slice(e, e + len(terms))
+        seen = np.flatnonzero(np.bincount(terms, minlength=width))
+        sums = np.empty((len(seen), k))
+        for j in range(k):
+            weights = np.repeat(theta[mine, j], pairs_of) * ratio[pairs]
+            sums[:, j] = np.bincount(terms, weights=weights, minlength=width)[seen]
+        bound = float(n @ logs[pairs]) + _prior_gain(gamma[mine], 1.0 / k)
+        found.append((gamma[mine], seen, sums * beta[seen], bound))
+        d, e = mine.stop, pairs.stop
+    return found
 
 
 def _infer(lengths: np.ndarray, terms: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Document weights of a block, its term statistics (terms, sums per topic) and its part of the bound.
-
-    A few documents at a time, so that the arrays of a step stay in the processor's cache.
-    """
-    ends = np.concatenate([[0], np.cumsum(lengths)])
-    gammas, statistics, bound = [], np.zeros_like(beta), 0.0
-    for first in range(0, len(lengths), _DOCUMENTS_AT_ONCE):
-        last = min(first + _DOCUMENTS_AT_ONCE, len(lengths))
-        gamma, w, shares, gained = _mixtures(lengths[first:last], terms[ends[first]:ends[last]], beta)
-        gammas.append(gamma)
-        bound += gained
-        for j in range(beta.shape[1]):
-            statistics[:, j] += np.bincount(w, weights=shares[:, j], minlength=len(beta))
-    seen = np.unique(terms)
-    return np.concatenate(gammas), seen, statistics[seen], bound
+    """Document weights of a block, its term statistics (terms, sums per topic) and its part of the bound."""
+    return _infer_blocks([(lengths, terms)], beta)[0]
 
 
 def _inferred(blocks: pa.Table, lead: pa.Table, max_topics: int):
-    """Every block of a slice as (ids, what `_infer` finds), and the topics' weights, (topic, term).
+    """Every block of a slice as (its row, what `_infer` finds), and the topics' weights, (topic, term).
 
-    ``lead`` is the one row with the ticker's topics.
+    ``lead`` is the one row with the ticker's topics. Blocks are taken in their order, a few at a time.
     """
     weights = np.empty((len(lead["places"][0].values), max_topics))
     weights[lead["places"][0].values.to_numpy()] = lead["weights"][0].values.to_numpy().reshape(weights.shape)
     weights = weights[:, : blocks["k"][0].as_py()].T
     beta = np.ascontiguousarray(_expected(weights).T)
 
-    def of_block(i: int):
-        lengths, terms = (blocks[c][i].values.to_numpy().astype(np.int64) for c in ("lengths", "terms"))
-        return blocks["ids"][i].values, _infer(lengths, terms, beta)
+    def found():
+        rows, taken, words = [], [], 0
+        order = np.argsort(blocks["block"].to_numpy())
+        for i in order:
+            rows.append(int(i))
+            taken.append(tuple(blocks[c][int(i)].values.to_numpy().astype(np.int64) for c in ("lengths", "terms")))
+            words += len(taken[-1][1])
+            if words >= _WORDS_AT_ONCE or i == order[-1]:
+                yield from zip(rows, _infer_blocks(taken, beta))
+                rows, taken, words = [], [], 0
 
-    return map(of_block, range(blocks.num_rows)), weights
+    return found(), weights
 
 
 def statistics_of(max_topics: int):
@@ -185,7 +268,8 @@ def assign_with(max_topics: int):
             return schema.empty_table()
         found, weights = _inferred(blocks, lead, max_topics)
         parts = [schema.empty_table()]
-        for ids, (gamma, *_) in found:
+        for row, (gamma, *_) in found:
+            ids = blocks["ids"][row].values
             share = gamma / gamma.sum(axis=1, keepdims=True)
             ticker = pa.array([lead["ticker"][0].as_py()] * len(ids), pa.string())
             ends = pa.array(np.arange(0, share.size + 1, len(weights)), pa.int32())

@@ -28,6 +28,8 @@ from newsvane.session import discard, stage, stage_buckets
 
 # A block holds about so many documents and words at most, a slice so many blocks.
 BLOCK_DOCUMENTS, BLOCK_TOKENS, SLICE_BLOCKS = 256, 100_000, 64
+# Fewer blocks in all make shorter slices, so that there are about so many of them, of so many blocks at least.
+SLICES, LEAST_BLOCKS = 96, 4
 # A bucket holds about so many blocks, so many small tickers share one; Spark allows so many buckets.
 BUCKET_BLOCKS, MOST_BUCKETS = 32, 100_000
 
@@ -64,13 +66,17 @@ def _led(rows: DataFrame, leads: DataFrame, slices: DataFrame, tasks: int) -> Da
 
 
 def _cut(docs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Tickers with their number of blocks and slices: by documents or by words, whichever is more."""
+    """Tickers with their number of blocks: by documents or by words, whichever is more."""
     words = docs.groupBy("ticker").agg(F.sum(F.greatest(F.size("tokens"), F.lit(0))).alias("words"))
     blocks = F.greatest(
         F.ceil(F.col("documents") / BLOCK_DOCUMENTS), F.ceil(F.col("words") / BLOCK_TOKENS), F.lit(1)
     ).cast("bigint")
-    cut = sizes.join(words, "ticker").withColumn("blocks", blocks)
-    return cut.withColumn("slices", F.ceil(F.col("blocks") / SLICE_BLOCKS).cast("bigint"))
+    return sizes.join(words, "ticker").withColumn("blocks", blocks)
+
+
+def _slice_blocks(blocks: int) -> int:
+    """How many blocks a slice holds, from those of all tickers: the same on any number of cores."""
+    return min(SLICE_BLOCKS, max(LEAST_BLOCKS, blocks // SLICES))
 
 
 def _blocks(docs: DataFrame, vocabulary: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
@@ -90,6 +96,7 @@ def _blocks(docs: DataFrame, vocabulary: DataFrame, slices: DataFrame, tasks: in
         "ticker",
         "k",
         "slice",
+        "block",
         "transform(docs, d -> CAST(d.id AS STRING)) AS ids",
         "transform(docs, d -> greatest(size(d.tokens), 0)) AS lengths",
         "flatten(transform(docs, d -> coalesce(d.tokens, CAST(array() AS array<string>)))) AS words",
@@ -99,7 +106,7 @@ def _blocks(docs: DataFrame, vocabulary: DataFrame, slices: DataFrame, tasks: in
         "ticker", "transform(entries, e -> e.term_index) AS known_places", "transform(entries, e -> e.term) AS known"
     )
     return _led(texts, index, slices, tasks).mapInPandas(
-        encode, "ticker string, slice bigint, k int, ids array<string>, lengths array<int>, terms array<int>"
+        encode, "ticker string, slice bigint, block bigint, k int, ids array<string>, lengths array<int>, terms array<int>"
     )
 
 
@@ -141,11 +148,13 @@ class TickerTopics:
         self._paths: list[str] = []
         self._sizes = self._stage(sizes, "sizes")
         kept = docs.join(self._sizes.select("ticker"), "ticker", "left_semi")
-        self._slices = self._stage(_cut(kept, self._sizes), "slices")
-        cut = self._slices.agg(F.sum("slices").alias("slices"), F.sum("blocks").alias("blocks")).first()
+        cut = self._stage(_cut(kept, self._sizes), "slices")
+        blocks = cut.agg(F.sum("blocks")).first()[0] or 0
+        self._slices = cut.withColumn("slices", F.ceil(F.col("blocks") / _slice_blocks(blocks)).cast("bigint"))
+        slices = self._slices.agg(F.sum("slices")).first()[0] or 0
         # Enough buckets for every core, at most one a slice.
-        wanted = max(4 * docs.sparkSession.sparkContext.defaultParallelism, (cut["blocks"] or 0) // BUCKET_BLOCKS)
-        buckets = max(1, min(int(cut["slices"] or 0), int(wanted), MOST_BUCKETS))
+        wanted = max(4 * docs.sparkSession.sparkContext.defaultParallelism, blocks // BUCKET_BLOCKS, SLICES)
+        buckets = max(1, min(slices, wanted, MOST_BUCKETS))
         self._vocabulary = self._stage(vocabulary, "vocabulary")
         self._blocks, path, self._table = stage_buckets(
             _blocks(kept, self._vocabulary, self._slices, buckets), "topic-blocks", ["ticker", "slice"], buckets
@@ -165,11 +174,15 @@ class TickerTopics:
         spark.sql(f"DROP TABLE IF EXISTS {self._table}")
         discard(spark, [*self._paths, self._weights_path])
 
-    def _over_slices(self, work, schema: str) -> DataFrame:
-        """``work`` on the blocks of every slice and the ticker's topics; the blocks are not moved."""
+    def _over_slices(self, work, schema: str, *more: str) -> DataFrame:
+        """``work`` on the blocks of every slice and the ticker's topics; the blocks are not moved.
+
+        A block comes with its documents' lengths and terms, and the columns ``more``.
+        """
         by = ["ticker", "slice"]
         leads = _leads(self._weights.drop("bound"), self._slices)
-        return self._blocks.groupBy(*by).cogroup(leads.groupBy(*by)).applyInArrow(work, schema)
+        blocks = self._blocks.select(*by, "block", "k", "lengths", "terms", *more)
+        return blocks.groupBy(*by).cogroup(leads.groupBy(*by)).applyInArrow(work, schema)
 
     def _statistics(self) -> DataFrame:
         names = [f"s{j}" for j in range(self._settings.max_topics)]
@@ -241,7 +254,7 @@ class TickerTopics:
     def assignments(self) -> DataFrame:
         """(ticker, id, distribution, dominant_topic_id) for every document."""
         out = self._over_slices(
-            assign_with(self._settings.max_topics), "ticker string, id string, distribution array<double>"
+            assign_with(self._settings.max_topics), "ticker string, id string, distribution array<double>", "ids"
         )
         best = F.array_position("distribution", F.array_max("distribution")) - 1
         return out.withColumn("id", F.col("id").cast(self._id_type)).withColumn("dominant_topic_id", best)

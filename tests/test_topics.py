@@ -111,6 +111,42 @@ def test_the_bound_of_a_block(lengths):
     assert bound == pytest.approx(expected, abs=1e-6)
 
 
+@pytest.mark.parametrize("rows_of", [([3, 0, 1, 2] * 30, [40] * 9), ([1] * 40, [0]), ([90, 2] * 33,)])
+def test_blocks_inferred_together_are_those_inferred_alone(rows_of, monkeypatch):
+    """Batches of documents of several blocks give what plain loops over groups of documents give."""
+    rng = np.random.default_rng(5)
+    beta = rng.random((30, 3)) ** 4
+    blocks = [(np.array(n, dtype=np.int64), rng.integers(0, 30, sum(n))) for n in rows_of]
+    monkeypatch.setattr(topic_inference, "_CELLS_AT_ONCE", 50)
+    for (lengths, terms), (gamma, seen, sums, _) in zip(blocks, topic_inference._infer_blocks(blocks, beta)):
+        want, total, at = [], np.zeros_like(beta), 0
+        for first in range(0, len(lengths), topic_inference._DOCUMENTS_AT_ONCE):
+            group = lengths[first : first + topic_inference._DOCUMENTS_AT_ONCE]
+            words = np.split(terms[at : at + group.sum()], np.cumsum(group)[:-1])
+            now, at = 1 / 3 + group[:, None] / 3 + np.zeros((1, 3)), at + group.sum()
+            for _ in range(topic_inference._INNER_STEPS):
+                parts = [topic_inference._expected(g[None]) * beta[w] for g, w in zip(now, words)]
+                new = np.array([1 / 3 + (p / p.sum(axis=1, keepdims=True)).sum(axis=0) for p in parts])
+                change, now = np.abs(new - now).mean(), new
+                if change < topic_inference._INNER_TOLERANCE:
+                    break
+            for g, w in zip(now, words):
+                p = topic_inference._expected(g[None]) * beta[w]
+                np.add.at(total, w, p / p.sum(axis=1, keepdims=True))
+            want.append(now)
+        assert gamma == pytest.approx(np.concatenate(want), abs=1e-9)
+        assert list(seen) == sorted(set(terms)) and sums == pytest.approx(total[seen], abs=1e-9)
+
+
+def test_a_small_corpus_is_cut_for_many_tasks(rows, monkeypatch):
+    """Ten blocks are not one slice, which one task would infer, and a slice never holds more than its bound."""
+    monkeypatch.setattr(topics, "BLOCK_DOCUMENTS", 4)
+    model = topics.fit_topics(corpus(rows), TopicSettings(max_topics=2, iterations=1))
+    assert model._blocks.where("ticker = 'hot'").select("slice").distinct().count() >= 2
+    assert [topics._slice_blocks(n) for n in (0, 100, 960, 10**6)] == [4, 4, 10, 64]
+    assert "ids" not in model._statistics()._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_round_does_not_move_the_blocks(rows):
     model = topics.fit_topics(corpus(rows), TopicSettings(max_topics=2, iterations=1))
     plan = model._statistics()._jdf.queryExecution().executedPlan().toString()
