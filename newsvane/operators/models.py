@@ -17,7 +17,7 @@ from newsvane.config import TopicSettings
 from newsvane.functions.numeric import round_to
 from newsvane.operators import regression
 from newsvane.operators.terms import vocabulary
-from newsvane.operators.topics import TickerTopics, fit_topics
+from newsvane.operators.topics import TickerTopics, fit_topics, stage_documents
 from newsvane.operators.vectors import document_vectors, is_train
 from newsvane.session import discard, stage
 
@@ -37,10 +37,11 @@ def corpus_topics(
     number of cores. The vocabulary, ``size`` terms at most, is the operator's feature.
     """
     whole = docs.select(F.lit(CORPUS).alias("ticker"), F.to_json(F.struct("ticker", "id")).alias("id"), F.col(tokens).alias("tokens"))
+    whole, staged = stage_documents(whole)
     settings = TopicSettings(max_topics=k, iterations=iterations, vocabulary=size)
     sizes = whole.groupBy("ticker").agg(F.count("*").alias("documents")).withColumn("k", F.lit(k))
-    words = vocabulary(docs, tokens, size, min_docs).select(F.lit(CORPUS).alias("ticker"), "term_index", "term", "n")
-    return fit_topics(whole, settings, sizes, words)
+    words = vocabulary(whole, "tokens", size, min_docs).select(F.lit(CORPUS).alias("ticker"), "term_index", "term", "n")
+    return fit_topics(whole, settings, sizes, words, staged)
 
 
 def corpus_assignments(model: TickerTopics, id_type: str = "bigint") -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -28,34 +29,33 @@ _DOCUMENTS_AT_ONCE, _STEPS_AT_ONCE = 32, 10
 _WORDS_AT_ONCE, _CELLS_AT_ONCE, _WASTE, _SPARE = 500_000, 12_000, 1.15, 8
 
 
-def _same(lead, row) -> bool:
-    return lead is not None and lead.ticker == row.ticker and lead.slice == row.slice
-
-
-def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of a block's documents as vocabulary indices; words outside the vocabulary are left out.
 
-    A row that leads its ticker's blocks brings the vocabulary.
+    A row that leads its slice's blocks brings the vocabulary.
     """
-    lead, index = None, {}
+    names = ["ticker", "slice", "block", "k", "ids"]
+    lead, places = None, None
     for batch in batches:
-        for row in batch.itertuples(index=False):
-            if row.lead:
-                lead, index = row, dict(zip(row.known, row.known_places))
+        column = dict(zip(batch.schema.names, batch.columns))
+        leads, of = column["lead"].to_pylist(), list(zip(column["ticker"].to_pylist(), column["slice"].to_pylist()))
+        for i in range(batch.num_rows):
+            if leads[i]:
+                lead, known, places = of[i], column["known"][i].values, column["known_places"][i].values.to_numpy()
                 continue
-            known = index if _same(lead, row) else {}
-            codes = np.array([known.get(word, -1) for word in row.words], dtype=np.int32)
-            documents = np.repeat(np.arange(len(row.lengths)), np.asarray(row.lengths, dtype=np.int64))
-            kept = codes >= 0
-            lengths = np.bincount(documents[kept], minlength=len(row.lengths)).astype(np.int32)
+            lengths = column["lengths"][i].values.to_numpy().astype(np.int64)
+            documents = np.repeat(np.arange(len(lengths)), lengths)
+            words = column["words"][i].values
+            found = pc.index_in(words, value_set=known) if lead == of[i] else pa.nulls(len(words), pa.int32())
+            kept = found.is_valid().to_numpy(zero_copy_only=False)
+            documents = documents[kept]
+            codes = places[found.drop_null().to_numpy()] if len(documents) else np.zeros(0, dtype=np.int32)
             # Sorted once here, not in every round.
-            by_term = np.lexsort((codes[kept], documents[kept]))
-            yield pd.DataFrame(
-                {
-                    "ticker": [row.ticker], "slice": [row.slice], "block": [row.block], "k": [row.k], "ids": [row.ids],
-                    "lengths": [lengths], "terms": [codes[kept][by_term]],
-                }
-            )
+            codes = codes[np.lexsort((codes, documents))].astype(np.int32)
+            counted = np.bincount(documents, minlength=len(lengths)).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in (counted, codes)]
+            made = [*[column[n].slice(i, 1) for n in names], *lists]
+            yield pa.RecordBatch.from_arrays(made, names=[*names, "lengths", "terms"])
 
 
 def _digamma(x: np.ndarray) -> np.ndarray:

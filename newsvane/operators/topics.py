@@ -67,7 +67,7 @@ def _led(rows: DataFrame, leads: DataFrame, slices: DataFrame, tasks: int) -> Da
 
 def _cut(docs: DataFrame, sizes: DataFrame) -> DataFrame:
     """Tickers with their number of blocks: by documents or by words, whichever is more."""
-    words = docs.groupBy("ticker").agg(F.sum(F.greatest(F.size("tokens"), F.lit(0))).alias("words"))
+    words = docs.groupBy("ticker").agg(F.sum("words").alias("words"))
     blocks = F.greatest(
         F.ceil(F.col("documents") / BLOCK_DOCUMENTS), F.ceil(F.col("words") / BLOCK_TOKENS), F.lit(1)
     ).cast("bigint")
@@ -105,7 +105,7 @@ def _blocks(docs: DataFrame, vocabulary: DataFrame, slices: DataFrame, tasks: in
     index = index.selectExpr(
         "ticker", "transform(entries, e -> e.term_index) AS known_places", "transform(entries, e -> e.term) AS known"
     )
-    return _led(texts, index, slices, tasks).mapInPandas(
+    return _led(texts, index, slices, tasks).mapInArrow(
         encode, "ticker string, slice bigint, block bigint, k int, ids array<string>, lengths array<int>, terms array<int>"
     )
 
@@ -140,8 +140,15 @@ def _per_ticker(weights: DataFrame) -> DataFrame:
     )
 
 
+def stage_documents(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents (ticker, id, tokens) with their number of words, written once: sizes, vocabulary and
+    blocks read lists of tokens, none of them cuts the texts anew."""
+    words = F.greatest(F.size("tokens"), F.lit(0)).alias("words")
+    return stage(docs.select("ticker", "id", "tokens", words), "topic-docs")
+
+
 class TickerTopics:
-    """Fitted models: topic-term weights per ticker and the documents they were fitted on."""
+    """Fitted models: topic-term weights per ticker and the staged documents they were fitted on."""
 
     def __init__(self, docs: DataFrame, settings: TopicSettings, sizes: DataFrame, vocabulary: DataFrame):
         self._settings, self._id_type = settings, docs.schema["id"].dataType
@@ -168,6 +175,10 @@ class TickerTopics:
         self._paths.append(path)
         return made
 
+    def owns(self, path: str) -> None:
+        """Delete what is staged there with the other intermediates."""
+        self._paths.append(path)
+
     def discard(self) -> None:
         """Delete the intermediates. Results that were not written by now can no longer be read."""
         spark = self._blocks.sparkSession
@@ -262,17 +273,21 @@ class TickerTopics:
 
 def fit_topics(
     docs: DataFrame, settings: TopicSettings = TopicSettings(), sizes: DataFrame | None = None,
-    vocabulary: DataFrame | None = None,
+    vocabulary: DataFrame | None = None, staged: str | None = None,
 ) -> TickerTopics:
     """Fit one model per ticker on (ticker, id, tokens); tickers with too few documents are skipped.
 
-    ``id`` tells the documents of a ticker apart. Every round reads all documents.
+    ``id`` tells the documents of a ticker apart. Every round reads all documents. ``staged`` is where
+    documents lie that come from `stage_documents`.
     """
+    if staged is None:
+        docs, staged = stage_documents(docs)
     sizes = topic_counts(docs, settings) if sizes is None else sizes
     if vocabulary is None:
         kept = docs.join(sizes.select("ticker"), "ticker", "left_semi")
         vocabulary = vocabulary_per_group(kept, "tokens", "ticker", settings.vocabulary)
     model = TickerTopics(docs, settings, sizes, vocabulary)
+    model.owns(staged)
     for _ in range(settings.iterations):
         model.step()
     return model
@@ -282,10 +297,11 @@ def display_model(docs: DataFrame, settings: TopicSettings = TopicSettings()) ->
     """The smaller per-ticker model behind a topic map: fewer topics, five rounds, and a vocabulary
     without terms of one document or of more than nine tenths of a ticker's."""
     settings = replace(settings, max_topics=min(5, settings.max_topics), iterations=min(5, settings.iterations))
+    docs, staged = stage_documents(docs)
     sizes = topic_counts(docs, settings).withColumn("k", F.least(display_topic_count(F.col("documents")), F.lit(settings.max_topics)))
     kept = docs.join(sizes.select("ticker"), "ticker", "left_semi")
     vocabulary = pruned_vocabulary_per_group(kept, "tokens", "ticker", settings.vocabulary)
-    return fit_topics(docs, settings, sizes, vocabulary)
+    return fit_topics(docs, settings, sizes, vocabulary, staged)
 
 
 def counted_topic_terms(df: DataFrame, tokens: str, topic: str, topics: int) -> DataFrame:

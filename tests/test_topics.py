@@ -138,6 +138,22 @@ def test_blocks_inferred_together_are_those_inferred_alone(rows_of, monkeypatch)
         assert list(seen) == sorted(set(terms)) and sums == pytest.approx(total[seen], abs=1e-9)
 
 
+def test_texts_are_cut_into_tokens_once(spark, rows):
+    """Sizes, vocabulary and blocks read the staged lists, whatever the tokens are made from."""
+    cut = spark.sparkContext.accumulator(0)
+
+    def tokens(text):
+        cut.add(1)
+        return text.split()
+
+    texts = rows([("t", i, "oil gas rig" if i % 2 else "chip code") for i in range(12)], "ticker string, id bigint, text string")
+    made = texts.select("ticker", "id", F.udf(tokens, "array<string>")("text").alias("tokens"))
+    model = topics.fit_topics(made, TopicSettings(max_topics=2, iterations=1))
+    assert model.assignments().count() == 12 and cut.value == 12
+    models.corpus_topics(made, "tokens", k=2, min_docs=1, iterations=1)
+    assert cut.value == 24
+
+
 def test_a_small_corpus_is_cut_for_many_tasks(rows, monkeypatch):
     """Ten blocks are not one slice, which one task would infer, and a slice never holds more than its bound."""
     monkeypatch.setattr(topics, "BLOCK_DOCUMENTS", 4)
