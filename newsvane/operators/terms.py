@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsvane.functions.numeric import round_to
 from newsvane.operators.ranking import at_least_nth, global_rank, top_n, top_n_per_group
+from newsvane.session import hashed, stage
 
 
 def explode_terms(df: DataFrame, terms: Column, *keep: str) -> DataFrame:
@@ -105,6 +106,8 @@ def association(pair: str, first: str, second: str, words: str) -> Column:
 
 # Pairs of words that score above this are shown as one.
 COLLOCATION_THRESHOLD = 30.0
+# What a group's word takes in a broadcast table with its count, about.
+WORD_BYTES = 150
 
 
 def collocations_per_group(
@@ -118,28 +121,34 @@ def collocations_per_group(
     ``score`` is null for single words. Rows without a group are left out. Stop words are neither words nor part of a pair.
 
     Tokens are counted once, by the word and the one behind it; the counts of single words are sums
-    of those. Everything after works on distinct pairs.
+    of those. Both are staged. Pairs meet the counts of their words where they lie if the words can be
+    broadcast (a measured count), else by a hash join that sorts neither side, and what scores above the
+    threshold is staged for all that follows.
     """
     listed = df.selectExpr(group, tokens, f"posexplode_outer({tokens}) AS (at, first)")
     listed = listed.where(f"first <> '' AND {group} IS NOT NULL")
-    # A word with nothing behind it has an empty second one. Joins must find no filter on the pairs
-    # that could sink below their count, or tokens would be counted anew for every use.
+    # A word with nothing behind it has an empty second one.
     next_to = listed.selectExpr(group, "first", f"coalesce(get({tokens}, at + 1), '') AS second")
     if stopwords:
         known = list(stopwords)
         next_to = next_to.where(~F.col("first").isin(known))
         next_to = next_to.withColumn("second", F.when(F.col("second").isin(known), "").otherwise(F.col("second")))
-    pairs = next_to.groupBy(group, "first", "second").agg(F.count("*").alias("n"))
-    singles = pairs.groupBy(group, F.col("first").alias("term")).agg(F.sum("n").alias("n"))
+    pairs = stage(next_to.groupBy(group, "first", "second").agg(F.count("*").alias("n")), "word-pairs")[0]
+    singles = stage(pairs.groupBy(group, F.col("first").alias("term")).agg(F.sum("n").alias("n")), "pair-words")[0]
     totals = singles.groupBy(group).agg(F.sum("n").alias("words"))
+    # Two tables of words are broadcast at once.
+    rows = 2 * singles.count()
     first = singles.select(group, F.col("term").alias("first"), F.col("n").alias("n_first"))
     second = singles.select(group, F.col("term").alias("second"), F.col("n").alias("n_second"))
+    first, second = (hashed(words, rows, WORD_BYTES) for words in (first, second))
     scored = (
         pairs.join(first, [group, "first"]).join(second, [group, "second"])
         .join(totals, group)
         .withColumn("score", round_to(association("n", "n_first", "n_second", "words"), 6))
         .where(F.col("score") > threshold)
+        .select(group, "first", "second", "n", "score")
     )
+    scored = stage(scored, "collocations")[0]
     both = scored.select(group, F.explode(F.array("first", "second")).alias("term"), "n")
     taken = both.groupBy(group, "term").agg(F.sum("n").alias("taken"))
     left = singles.join(taken, [group, "term"], "left").withColumn("n", F.col("n") - F.coalesce("taken", F.lit(0)))

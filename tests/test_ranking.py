@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from newsvane import session
 from newsvane.operators import ranking, terms
 
 
@@ -166,6 +167,22 @@ def test_collocations_take_from_their_words(rows):
     assert not any("of" in k[1] for k in got)
 
 
+def test_tokens_of_collocations_are_made_once(spark, rows, monkeypatch):
+    """Pairs, words and what scores are staged; words beyond a broadcast give the same by a shuffle."""
+    made = spark.sparkContext.accumulator(0)
+
+    def tokens(text):
+        made.add(1)
+        return text.split()
+
+    texts = rows([("A" if i % 3 else "B", f"new york w{i} w{i % 5} old") for i in range(30)], "ticker string, text string")
+    df = texts.select("ticker", F.udf(tokens, "array<string>")("text").alias("tokens"))
+    first = sorted(map(tuple, terms.collocations_per_group(df, "tokens", 50, "ticker").collect()), key=str)
+    assert made.value == 30 and any(r[1] == "new york" for r in first)
+    monkeypatch.setattr(session, "BROADCAST_LIMIT_BYTES", 1)
+    assert sorted(map(tuple, terms.collocations_per_group(df, "tokens", 50, "ticker").collect()), key=str) == first
+
+
 def test_a_hot_group_of_pairs_is_the_same_in_any_layout(rows):
     data = [("A" if i % 3 else "B", [f"w{(i * k) % 7}" for k in range(9)]) for i in range(200)]
     df = rows(data, "ticker string, tokens array<string>")
