@@ -30,32 +30,49 @@ _WORDS_AT_ONCE, _CELLS_AT_ONCE, _WASTE, _SPARE = 500_000, 12_000, 1.15, 8
 
 
 def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of a block's documents as vocabulary indices; words outside the vocabulary are left out.
+    """Documents, sorted by slice and block, as blocks of vocabulary indices; words outside the vocabulary
+    are left out.
 
-    A row that leads its slice's blocks brings the vocabulary.
+    A row that leads its slice's documents brings the vocabulary. A block may go on in the next batch.
     """
-    names = ["ticker", "slice", "block", "k", "ids"]
-    lead, places = None, None
+    names = ["ticker", "slice", "block", "k"]
+    lead, known, places = None, None, None
+    block, parts = None, []
     for batch in batches:
         column = dict(zip(batch.schema.names, batch.columns))
-        leads, of = column["lead"].to_pylist(), list(zip(column["ticker"].to_pylist(), column["slice"].to_pylist()))
-        for i in range(batch.num_rows):
+        leads, of = column["lead"].to_pylist(), list(zip(*(column[n].to_pylist() for n in names)))
+        cuts = [i for i in range(batch.num_rows) if not i or leads[i] or leads[i - 1] or of[i] != of[i - 1]]
+        for i, end in zip(cuts, [*cuts[1:], batch.num_rows]):
             if leads[i]:
-                lead, known, places = of[i], column["known"][i].values, column["known_places"][i].values.to_numpy()
+                lead, known, places = of[i][:2], column["known"][i].values, column["known_places"][i].values.to_numpy()
                 continue
-            lengths = column["lengths"][i].values.to_numpy().astype(np.int64)
-            documents = np.repeat(np.arange(len(lengths)), lengths)
-            words = column["words"][i].values
-            found = pc.index_in(words, value_set=known) if lead == of[i] else pa.nulls(len(words), pa.int32())
+            if of[i] != block and parts:
+                yield _block_of(block, parts)
+                parts = []
+            block = of[i]
+            tokens = column["tokens"].slice(i, end - i)
+            lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy().astype(np.int64)
+            documents, words = np.repeat(np.arange(len(lengths)), lengths), tokens.flatten()
+            found = pc.index_in(words, value_set=known) if lead == block[:2] else pa.nulls(len(words), pa.int32())
             kept = found.is_valid().to_numpy(zero_copy_only=False)
             documents = documents[kept]
             codes = places[found.drop_null().to_numpy()] if len(documents) else np.zeros(0, dtype=np.int32)
             # Sorted once here, not in every round.
             codes = codes[np.lexsort((codes, documents))].astype(np.int32)
             counted = np.bincount(documents, minlength=len(lengths)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in (counted, codes)]
-            made = [*[column[n].slice(i, 1) for n in names], *lists]
-            yield pa.RecordBatch.from_arrays(made, names=[*names, "lengths", "terms"])
+            parts.append((column["id"].slice(i, end - i), counted, codes))
+    if parts:
+        yield _block_of(block, parts)
+
+
+def _block_of(block: tuple, parts: list[tuple]) -> pa.RecordBatch:
+    """One row from a block's documents: (ticker, slice, block, k, ids, lengths, terms)."""
+    ids, lengths, terms = (list(x) for x in zip(*parts))
+    lists = [pa.concat_arrays(ids), pa.array(np.concatenate(lengths)), pa.array(np.concatenate(terms))]
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int32()]
+    made = [*(pa.array([v], t) for v, t in zip(block, types)), *lists]
+    return pa.RecordBatch.from_arrays(made, names=["ticker", "slice", "block", "k", "ids", "lengths", "terms"])
 
 
 def _digamma(x: np.ndarray) -> np.ndarray:

@@ -58,13 +58,6 @@ def _leads(rows: DataFrame, slices: DataFrame) -> DataFrame:
     return rows.join(slices.select("ticker", numbers), "ticker")
 
 
-def _led(rows: DataFrame, leads: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
-    """The rows of every (ticker, slice) behind one row of ``leads``, in one task, in that order."""
-    every = _leads(leads, slices).withColumn("lead", F.lit(True))
-    both = every.unionByName(rows.withColumn("lead", F.lit(False)), allowMissingColumns=True)
-    return both.repartition(tasks, "ticker", "slice").sortWithinPartitions("ticker", "slice", F.desc("lead"))
-
-
 def _cut(docs: DataFrame, sizes: DataFrame) -> DataFrame:
     """Tickers with their number of blocks: by documents or by words, whichever is more."""
     words = docs.groupBy("ticker").agg(F.sum("words").alias("words"))
@@ -82,30 +75,24 @@ def _slice_blocks(blocks: int) -> int:
 def _blocks(docs: DataFrame, vocabulary: DataFrame, slices: DataFrame, tasks: int) -> DataFrame:
     """Documents as lists of vocabulary indices, in blocks.
 
-    The token lists are shuffled as they are and turned into indices inside the task, so no row per
-    token is ever sorted or moved; the vocabulary goes to each slice once.
+    The token lists are shuffled once, as they are, to the task of their slice, which turns them into
+    indices and cuts them into blocks, so no row per token is ever sorted or moved; the vocabulary
+    goes to each slice once.
     """
     block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     placed = docs.join(slices, "ticker").select(
         "ticker", "k", block.alias("block"), F.pmod(block, F.col("slices")).alias("slice"), "id", "tokens"
     )
-    grouped = placed.groupBy("ticker", "k", "slice", "block").agg(
-        F.array_sort(F.collect_list(F.struct("id", "tokens"))).alias("docs")
-    )
-    texts = grouped.selectExpr(
-        "ticker",
-        "k",
-        "slice",
-        "block",
-        "transform(docs, d -> CAST(d.id AS STRING)) AS ids",
-        "transform(docs, d -> greatest(size(d.tokens), 0)) AS lengths",
-        "flatten(transform(docs, d -> coalesce(d.tokens, CAST(array() AS array<string>)))) AS words",
-    )
     index = vocabulary.groupBy("ticker").agg(F.collect_list(F.struct("term_index", "term")).alias("entries"))
     index = index.selectExpr(
         "ticker", "transform(entries, e -> e.term_index) AS known_places", "transform(entries, e -> e.term) AS known"
     )
-    return _led(texts, index, slices, tasks).mapInArrow(
+    leads = _leads(index, slices).withColumn("lead", F.lit(True))
+    both = leads.unionByName(placed.withColumn("lead", F.lit(False)), allowMissingColumns=True)
+    ordered = both.repartition(tasks, "ticker", "slice").sortWithinPartitions(
+        "ticker", "slice", F.desc("lead"), "block", "id", "tokens"
+    )
+    return ordered.withColumn("id", F.col("id").cast("string")).mapInArrow(
         encode, "ticker string, slice bigint, block bigint, k int, ids array<string>, lengths array<int>, terms array<int>"
     )
 
@@ -154,17 +141,18 @@ class TickerTopics:
         self._settings, self._id_type = settings, docs.schema["id"].dataType
         self._paths: list[str] = []
         self._sizes = self._stage(sizes, "sizes")
-        kept = docs.join(self._sizes.select("ticker"), "ticker", "left_semi")
-        cut = self._stage(_cut(kept, self._sizes), "slices")
+        cut = self._stage(_cut(docs, self._sizes), "slices")
         blocks = cut.agg(F.sum("blocks")).first()[0] or 0
         self._slices = cut.withColumn("slices", F.ceil(F.col("blocks") / _slice_blocks(blocks)).cast("bigint"))
         slices = self._slices.agg(F.sum("slices")).first()[0] or 0
         # Enough buckets for every core, at most one a slice.
         wanted = max(4 * docs.sparkSession.sparkContext.defaultParallelism, blocks // BUCKET_BLOCKS, SLICES)
         buckets = max(1, min(slices, wanted, MOST_BUCKETS))
-        self._vocabulary = self._stage(vocabulary, "vocabulary")
+        # The terms of other tickers are left out here, not their documents before: a join on the ticker
+        # would deal documents by ticker, and one task would count all words of a ticker.
+        self._vocabulary = self._stage(vocabulary.join(self._sizes.select("ticker"), "ticker"), "vocabulary")
         self._blocks, path, self._table = stage_buckets(
-            _blocks(kept, self._vocabulary, self._slices, buckets), "topic-blocks", ["ticker", "slice"], buckets
+            _blocks(docs, self._vocabulary, self._slices, buckets), "topic-blocks", ["ticker", "slice"], buckets
         )
         self._paths.append(path)
         self._weights, self._weights_path = stage(_start_weights(self._vocabulary, settings), "topic-weights")
@@ -284,8 +272,7 @@ def fit_topics(
         docs, staged = stage_documents(docs)
     sizes = topic_counts(docs, settings) if sizes is None else sizes
     if vocabulary is None:
-        kept = docs.join(sizes.select("ticker"), "ticker", "left_semi")
-        vocabulary = vocabulary_per_group(kept, "tokens", "ticker", settings.vocabulary)
+        vocabulary = vocabulary_per_group(docs, "tokens", "ticker", settings.vocabulary)
     model = TickerTopics(docs, settings, sizes, vocabulary)
     model.owns(staged)
     for _ in range(settings.iterations):
@@ -299,8 +286,7 @@ def display_model(docs: DataFrame, settings: TopicSettings = TopicSettings()) ->
     settings = replace(settings, max_topics=min(5, settings.max_topics), iterations=min(5, settings.iterations))
     docs, staged = stage_documents(docs)
     sizes = topic_counts(docs, settings).withColumn("k", F.least(display_topic_count(F.col("documents")), F.lit(settings.max_topics)))
-    kept = docs.join(sizes.select("ticker"), "ticker", "left_semi")
-    vocabulary = pruned_vocabulary_per_group(kept, "tokens", "ticker", settings.vocabulary)
+    vocabulary = pruned_vocabulary_per_group(docs, "tokens", "ticker", settings.vocabulary)
     return fit_topics(docs, settings, sizes, vocabulary, staged)
 
 

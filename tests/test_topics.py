@@ -3,6 +3,7 @@ import numpy as np
 import os
 import subprocess
 import sys
+from itertools import takewhile
 from pathlib import Path
 
 import pytest
@@ -358,3 +359,51 @@ def test_document_vectors_move_one_row_per_article(rows, monkeypatch):
         known = [int(w[1:]) for w in tokens if int(w[1:]) < 20]
         assert whole[i][0] == len(known)
         assert not known or whole[i][1] == pytest.approx([np.mean(known), -0.5 * np.mean(known)])
+
+
+def test_a_ticker_is_not_one_task(spark, rows, monkeypatch):
+    """The words of a ticker are counted where they are read and dealt by term; documents are moved once, in slices."""
+    written = []
+    stage, stage_buckets = topics.stage, topics.stage_buckets
+    monkeypatch.setattr(topics, "stage", lambda df, name, *a: written.append((name, df)) or stage(df, name, *a))
+    monkeypatch.setattr(topics, "stage_buckets", lambda df, *a: written.append(("blocks", df)) or stage_buckets(df, *a))
+    monkeypatch.setattr(topics, "BLOCK_DOCUMENTS", 4)
+    # Nothing is small enough to be broadcast unasked: a join on the ticker would move its documents.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        topics.fit_topics(corpus(rows), TopicSettings(max_topics=2, iterations=0))
+        topics.display_model(corpus(rows), TopicSettings(max_topics=2, iterations=0))
+        plans = [df._jdf.queryExecution().executedPlan().toString() for name, df in written if name == "topic-vocabulary"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 2
+    for plan in plans:
+        lines = plan.splitlines()
+        at = next(i for i, line in enumerate(lines) if "Generate explode" in line)
+        # What stands below the counted words is indented further.
+        deep = lines[at].index("Generate")
+        below = list(takewhile(lambda line: line[deep:].startswith(("+-", "   ")), lines[at + 1 :]))
+        assert "Scan" in below[-1] and not any("Exchange" in line for line in below), plan
+    blocks = next(df for name, df in written if name == "blocks")
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    # Documents are not collected before they are dealt to their slices.
+    assert "REPARTITION_BY_NUM" in plan and "ids" not in plan[plan.index("REPARTITION_BY_NUM") :]
+    assert "collect_list(struct(id" not in plan
+
+
+def test_blocks_may_be_cut_by_batches(rows, monkeypatch, spark):
+    """The blocks are the same however many rows come to a task at once, documents without words included."""
+
+    def blocks():
+        model = topics.fit_topics(corpus(rows), TopicSettings(max_topics=2, iterations=0))
+        return sorted((r.ticker, r.slice, r.block, r.k, r.ids, r.lengths, r.terms) for r in model._blocks.collect())
+
+    monkeypatch.setattr(topics, "BLOCK_DOCUMENTS", 7)
+    whole = blocks()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert blocks() == whole
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sum(len(r[4]) for r in whole) == 50 and [] not in [r[4] for r in whole]
+    assert all(sum(r[5]) == len(r[6]) for r in whole)
