@@ -76,6 +76,21 @@ def test_exact_lengths(make_docs):
     assert run(make_docs, texts) == brute(texts)
 
 
+def test_equal_stretches_of_a_text_are_one_row(spark, monkeypatch):
+    """A line said 300 times is dealt once per text: no key grows with the repeats inside texts."""
+    rng = random.Random(8)
+    line = noise(rng, 600)
+    texts = [noise(rng, 500) + line * 300 + noise(rng, 500), line * 40, noise(rng, 3000)]
+    staged, kept = repeats.staged, {}
+    monkeypatch.setattr(repeats, "staged", lambda df, name: kept.setdefault(name, staged(df, name)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(tuple(r) for r in repeats.remove_repeats(df).collect())
+    assert [r[1:] for r in got] == brute(texts)
+    stretches = kept["repeat-stretches"]
+    assert stretches.groupBy("key", "stretch", "d1", "d2").count().where("count > 1").count() == 0
+    assert kept["repeat-live"].count() < 60
+
+
 def test_index_of_aligned_rows():
     """The match ends of random aligned rows, against comparing every pair."""
     rng = np.random.default_rng(6)
