@@ -5,32 +5,34 @@
 3. The leading eigenvectors of that symmetric matrix come from block power iteration: every round
    multiplies the matrix with a narrow block and makes its columns orthonormal. Matrix, block and
    sums are whole numbers (fixed point), so a sum is the same in any order and on any number of
-   cores. Matrix and block lie in tables by groups of words; the block is broadcast in pieces.
+   cores. Matrix and block lie in tables by groups of words (`newsvane.operators.products`); the
+   block is shuffled to the matrix and never passes through the driver.
 
 There is no bound on the vocabulary: rare words are left out by their count alone, a parameter.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsvane.functions.numeric import round_to
 from newsvane.operators import pair_counts, vector_blocks
+from newsvane.operators.products import BATCH_BYTES, Cells
 from newsvane.operators.ranking import global_rank
-from newsvane.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, discard, stage
+from newsvane.session import broadcast_if_small, discard, frugal, hashed, stage
 
 WINDOW, MIN_COUNT, SIZE, ROUNDS = 5, 3, 64, 8
 # Fixed point: entries of the matrix have 16 bits behind the point, those of the block 20. A row of a
 # million entries then sums up to less than 2**62.
 MATRIX_BITS, BLOCK_BITS = 16, 20
 SEED = 42
-# What a word and its number take in a broadcast table, about.
-WORD_BYTES = 64
-BLOCKS_PER_FILE, CELLS_PER_FILE = 32, 4
+# What a word and its number take in a broadcast table, about, and an entry of a list of numbers.
+WORD_BYTES, NUMBER_BYTES = 64, 8
+BLOCKS_PER_FILE = 32
+# A broadcast is made on the driver, in several copies; a table of words grows with the corpus.
+BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 
 class PairCounts:
@@ -60,10 +62,13 @@ class PairCounts:
         if self.size >= 1 << pair_counts.PLACE_BITS:
             raise ValueError("too many words for the numbers of a pair")
         self._buckets = max(1, -(-pairs // pair_counts.PAIRS_AT_ONCE))
-        known = words.select("block", "at", "term").join(broadcast_if_small(self.words, self.size, WORD_BYTES).select("id", "term"), "term")
+        numbered = hashed(self.words.select("id", "term"), self.size, WORD_BYTES, BROADCAST_LIMIT_BYTES)
+        known = words.select("block", "at", "term").join(numbered, "term")
         listed = known.groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("e"))
         listed = listed.selectExpr("block", "transform(e, e -> e.at) AS ats", "transform(e, e -> e.id) AS ids")
         self._blocks = self._stage(blocks.select("block", "codes", "lengths").join(listed, "block").drop("block"), "coded", BLOCKS_PER_FILE)
+        discard(self._spark, self.paths[:1])
+        del self.paths[0]
 
     def _stage(self, df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
         made, path = stage(df, f"pair-{name}", rows_per_file)
@@ -82,7 +87,7 @@ class PairCounts:
 
     def named(self, pairs: DataFrame) -> DataFrame:
         """The pairs with their words, a <= b, for first and second."""
-        words = broadcast_if_small(self.words.select("id", "term"), self.size, WORD_BYTES)
+        words = broadcast_if_small(self.words.select("id", "term"), self.size, WORD_BYTES, BROADCAST_LIMIT_BYTES)
         left, right = (words.select(F.col("id").alias(i), F.col("term").alias(t)) for i, t in (("first", "t1"), ("second", "t2")))
         both = pairs.join(left, "first").join(right, "second")
         return both.select(F.least("t1", "t2").alias("a"), F.greatest("t1", "t2").alias("b"), *[c for c in pairs.columns if c not in ("first", "second")])
@@ -100,15 +105,24 @@ def cooccurrence(df: DataFrame, tokens: str, window: int = WINDOW, min_count: in
 
 
 def _associated(pairs: DataFrame, sides: DataFrame, a: str, b: str, key: str, words: int) -> DataFrame:
-    """Pairs with ``ppmi``, from what each word's pairs count (``key``, n)."""
+    """Pairs with ``ppmi``, from what each word's pairs count (``key``, n), ``words`` of them or ids below that."""
     total = sides.agg(F.sum("n")).scalar()
-    held = broadcast_if_small(sides, words, WORD_BYTES)
-    left = held.select(F.col(key).alias(a), F.col("n").alias("n_a"))
-    right = held.select(F.col(key).alias(b), F.col("n").alias("n_b"))
+    if key == "id" and words * NUMBER_BYTES <= BROADCAST_LIMIT_BYTES:
+        # Words that are numbers find their counts by place, in lists that take 8 bytes a word.
+        cut = sides.select(F.expr(f"CAST(id div {pair_counts.SIDES_AT_ONCE} AS int)").alias("part"), "id", "n")
+        lists = F.broadcast(cut.groupBy("part").applyInArrow(pair_counts.listed_sides, "part int, ns array<bigint>"))
+        for column, n in ((a, "n_a"), (b, "n_b")):
+            place = F.col(column) % pair_counts.SIDES_AT_ONCE
+            here = F.expr(f"CAST({column} div {pair_counts.SIDES_AT_ONCE} AS int)") == F.col("part")
+            pairs = pairs.join(lists, here).withColumn(n, F.get("ns", place)).drop("part", "ns")
+    else:
+        held = broadcast_if_small(sides, words, WORD_BYTES, BROADCAST_LIMIT_BYTES)
+        pairs = pairs.join(held.select(F.col(key).alias(a), F.col("n").alias("n_a")), a)
+        pairs = pairs.join(held.select(F.col(key).alias(b), F.col("n").alias("n_b")), b)
     # A pair of a word with itself fills one cell of the matrix with both its sides.
     cell = F.when(F.col(a) == F.col(b), 2 * F.col("n")).otherwise(F.col("n")).cast("double")
     share = cell * F.col("every").cast("double") / (F.col("n_a").cast("double") * F.col("n_b").cast("double"))
-    scored = pairs.withColumn("every", total).join(left, a).join(right, b).withColumn("share", share)
+    scored = pairs.withColumn("every", total).withColumn("share", share)
     return scored.where("share > 1").select(a, b, "n", round_to(F.ln("share"), 6).alias("ppmi")).where("ppmi > 0")
 
 
@@ -128,48 +142,38 @@ def corpus_ppmi(df: DataFrame, tokens: str, window: int = WINDOW, min_count: int
     return counts.named(_associated(counts.pairs(), counts.sides(), "first", "second", "id", counts.size))
 
 
-def _vectors(entries: DataFrame, words: DataFrame, ids: int, size: int, rounds: int, seed: int) -> DataFrame:
-    """(term, vector) from entries (first, second, ppmi) of one half of the matrix and the words (id, term), ids below ``ids``.
+class _Matrix:
+    """One half of a symmetric matrix, entries (first, second, ppmi) of words below ``ids``, staged once, in cells."""
+
+    def __init__(self, entries: DataFrame, ids: int):
+        spark = entries.sparkSession
+        self.grid = vector_blocks.Grid.of(ids, spark.sparkContext.defaultParallelism)
+        numbers = vector_blocks.cell_numbers(self.grid.rows, self.grid.groups)
+        weight = F.rint(F.col("ppmi") * (1 << MATRIX_BITS)).cast("bigint").alias("w")
+        pieces = entries.select("first", "second", weight).mapInArrow(
+            vector_blocks.cut_into_cells(self.grid, numbers), vector_blocks.PIECE_SCHEMA
+        )
+        self.cells = Cells(pieces, self.grid, numbers)
+
+
+def _vectors(matrix: _Matrix, words: DataFrame, size: int, rounds: int, seed: int) -> DataFrame:
+    """(term, vector) from the matrix and the words (id, term). The matrix is deleted.
 
-    The matrix is staged once, in cells: the rows of some words, the columns of one group of words. In
-    a round a cell meets the block's rows of its group, which are few and large, never a row per entry.
+    In a round the block is shuffled in parts to the tasks that hold the rows of the matrix, a few large
+    rows and never a row per entry, and sums are staged. What reaches the driver is as wide as a vector.
     """
-    spark, paths = entries.sparkSession, []
+    cells, grid = matrix.cells, matrix.grid
+    spark, numbers, paths = words.sparkSession, cells.numbers, []
 
-    def held(df: DataFrame, name: str, rows_per_file: int = CELLS_PER_FILE) -> DataFrame:
-        made, path = stage(df, f"vector-{name}", rows_per_file)
+    def held(df: DataFrame) -> DataFrame:
+        made, path = stage(df, "vector-sums", 1)
         paths.append(path)
         return made
 
-    grid = vector_blocks.Grid.of(ids, 2 * spark.sparkContext.defaultParallelism)
-    weight = F.rint(F.col("ppmi") * (1 << MATRIX_BITS)).cast("bigint").alias("w")
-    pieces = entries.select("first", "second", weight).mapInArrow(
-        vector_blocks.cut_into_cells(grid), "r int, c int, keys binary, weights binary"
-    )
-    dealt = pieces.repartition(-(-grid.groups // grid.span), "r").sortWithinPartitions("r", "c")
-    # No bound on a file's rows: all cells of the same rows are in one, so a task's sums are whole.
-    cells = held(dealt.mapInArrow(vector_blocks.whole_cells, vector_blocks.CELL_SCHEMA), "matrix", 0)
-    met = cells.select("r", "rows").mapInArrow(vector_blocks.rows_of_cells(grid), "id int").distinct()
+    met = cells.table.select("r", "rows").mapInArrow(vector_blocks.rows_of_cells(grid), "id int").distinct()
     terms, terms_path = stage(words.select("id", "term").join(met, "id"), "vector-terms")
     known = terms.count()
     width = max(1, min(size, known))
-    # The block goes to the tasks in pieces below the limit of a broadcast, one after another.
-    groups_at_once = max(1, BROADCAST_LIMIT_BYTES // (4 * width * grid.places))
-
-    def multiplied(block: DataFrame) -> DataFrame:
-        parts, used = [], []
-        for first in range(0, grid.groups, groups_at_once):
-            here = F.col("c").between(first, first + groups_at_once - 1)
-            met = cells.where(here).join(F.broadcast(block.where(here)), "c")
-            part = met.mapInArrow(vector_blocks.times(grid, width), "p int, y binary")
-            if groups_at_once < grid.groups:
-                part, path = stage(part, "vector-part", CELLS_PER_FILE)
-                used.append(path)
-            parts.append(part)
-        whole = reduce(DataFrame.unionByName, parts).groupBy("p").applyInArrow(vector_blocks.added, "p int, y binary")
-        made = held(whole, "sums")
-        discard(spark, used)
-        return made
 
     def summed(sums: DataFrame, start: np.ndarray, part, join) -> np.ndarray:
         total = start
@@ -178,10 +182,12 @@ def _vectors(entries: DataFrame, words: DataFrame, ids: int, size: int, rounds:
         return total
 
     seeds = terms.select((F.col("id") % grid.groups).alias("p"), "id", F.pmod(F.xxhash64("term", F.lit(seed)), F.lit((1 << 63) - 1)).alias("seed"))
-    block = held(seeds.groupBy("p").applyInArrow(vector_blocks.started(grid, width, BLOCK_BITS), "c int, x binary"), "block")
-    sums, scale, matrix = None, np.ones(width), paths[0]
+    block = seeds.groupBy("p").applyInArrow(vector_blocks.started(grid, width, BLOCK_BITS, numbers), vector_blocks.BLOCK_SCHEMA)
+    sums, scale = None, np.ones(width)
     for _ in range(rounds):
-        before, sums = paths[1:], multiplied(block)
+        before, sums = paths[:], held(cells.times(block, width))
+        discard(spark, before)
+        del paths[: len(before)]
         top = summed(sums, np.zeros(width, np.int64), lambda y: np.abs(y).max(axis=0, initial=0), np.maximum)
         gram = summed(
             sums, np.zeros((width, width), np.int64), lambda y, top=top: vector_blocks.products(y, top, BLOCK_BITS), np.add
@@ -191,12 +197,12 @@ def _vectors(entries: DataFrame, words: DataFrame, ids: int, size: int, rounds:
         factor = np.linalg.cholesky(unit + np.eye(width) * 1e-12 * max(1.0, np.trace(unit)))
         turn = np.linalg.inv(factor).T
         scale = np.sqrt(np.diag(unit)) * top / float(1 << MATRIX_BITS + BLOCK_BITS)
-        block = held(sums.mapInArrow(vector_blocks.turned(width, top, turn, BLOCK_BITS), "c int, x binary"), "block")
-        discard(spark, before)
-        paths[:] = [matrix, *paths[len(before) + 1 :]]
+        block = sums.mapInArrow(vector_blocks.turned(width, top, turn, BLOCK_BITS, numbers), vector_blocks.BLOCK_SCHEMA)
     unit = np.concatenate([[float(1 << MATRIX_BITS + BLOCK_BITS)], np.sqrt(np.maximum(scale, 1e-300))])
+    cells.discard()
     rows = sums.mapInArrow(vector_blocks.finished(grid, width, size, unit), "id int, vector array<double>")
-    made, _ = stage(rows.join(broadcast_if_small(terms, known, WORD_BYTES), "id").select("term", "vector"), "vectors")
+    named = hashed(terms, known, WORD_BYTES, BROADCAST_LIMIT_BYTES)
+    made, _ = stage(rows.join(named, "id").select("term", "vector"), "vectors")
     discard(spark, [*paths, terms_path])
     return made
 
@@ -212,9 +218,10 @@ def word_vectors(pairs: DataFrame, size: int = SIZE, rounds: int = ROUNDS, seed:
     ranked = global_rank(counts, [F.desc("n"), F.asc("term")])
     words, path = stage(ranked.select((F.col("rank") - 1).cast("int").alias("id"), "term"), "vector-words")
     ids = words.count()
-    known = broadcast_if_small(words, ids, WORD_BYTES)
+    known = broadcast_if_small(words, ids, WORD_BYTES, BROADCAST_LIMIT_BYTES)
     left, right = known.toDF("first", "a"), known.toDF("second", "b")
-    made = _vectors(pairs.join(left, "a").join(right, "b"), words, ids, size, rounds, seed)
+    with frugal(pairs.sparkSession, BATCH_BYTES):
+        made = _vectors(_Matrix(pairs.join(left, "a").join(right, "b"), ids), words, size, rounds, seed)
     discard(pairs.sparkSession, [path])
     return made
 
@@ -223,8 +230,11 @@ def fit(
     df: DataFrame, tokens: str, size: int = SIZE, window: int = WINDOW, min_count: int = MIN_COUNT, rounds: int = ROUNDS
 ) -> DataFrame:
     """(term, vector) of a corpus, from its token lists: counted once, staged, the same in every run."""
-    counts = PairCounts(df, tokens, window, min_count)
-    scored = _associated(counts.pairs(), counts.sides(), "first", "second", "id", counts.size)
-    made = _vectors(scored, counts.words, counts.size, size, rounds, SEED)
-    discard(df.sparkSession, counts.paths)
+    with frugal(df.sparkSession, BATCH_BYTES):
+        counts = PairCounts(df, tokens, window, min_count)
+        matrix = _Matrix(_associated(counts.pairs(), counts.sides(), "first", "second", "id", counts.size), counts.size)
+        words_path, *others = counts.paths
+        discard(df.sparkSession, others)
+        made = _vectors(matrix, counts.words, size, rounds, SEED)
+        discard(df.sparkSession, [words_path])
     return made

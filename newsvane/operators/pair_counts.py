@@ -6,8 +6,10 @@ this package.
 
 from __future__ import annotations
 
+import ctypes
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +19,32 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # A block holds about so many tokens of whole documents, a task combines so many pairs at once.
-BLOCK_TOKENS, PAIRS_AT_ONCE = 1 << 18, 1 << 22
+BLOCK_TOKENS, PAIRS_AT_ONCE = 1 << 18, 1 << 20
 # A pair is (second << PLACE_BITS | first), its weight stands in the bits that are left while it is counted.
 PLACE_BITS, WEIGHT_BITS = 28, 8
+# What is handed to Spark at once, in bytes and in rows of pairs.
+BYTES_AT_ONCE, ROWS_AT_ONCE = 2 << 20, 1 << 16
 BLOCK_SCHEMA = "words array<string>, counts array<bigint>, codes binary, lengths binary"
 
 
+def tidied(step: Callable) -> Callable:
+    """A step over batches that hands on small ones and gives memory back at its end: an idle worker would keep it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for batch in step(batches):
+                rows = max(1, batch.num_rows * BYTES_AT_ONCE // max(1, batch.nbytes))
+                for first in range(0, batch.num_rows, rows):
+                    yield batch.slice(first, rows)
+                del batch
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Token lists as blocks of whole documents: a block's words once each, and every token's place among them."""
     for batch in batches:
@@ -46,15 +68,19 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _near(batch: pa.RecordBatch, i: int, window: int):
-    """(distance, firsts, seconds) for the known words of block ``i`` and those so far behind them."""
-    codes, lengths = (np.frombuffer(batch[c][i].as_py(), "<i4") for c in ("codes", "lengths"))
+    """The known words' numbers of block ``i``, and (distance, firsts, seconds) as places among them, those so far behind each."""
+    codes, lengths = (np.frombuffer(batch[c][i].as_buffer(), "<i4") for c in ("codes", "lengths"))
     known = batch["ids"][i].values.to_numpy(zero_copy_only=False)
-    places = np.full(int(codes.max(initial=-1)) + 2, -1, np.int64)
-    places[batch["ats"][i].values.to_numpy(zero_copy_only=False)] = known
-    ids, documents = places[codes], np.repeat(np.arange(len(lengths)), lengths)
-    for d in range(1, min(window, len(ids) - 1) + 1):
-        met = (documents[:-d] == documents[d:]) & (ids[:-d] >= 0) & (ids[d:] >= 0)
-        yield d, ids[:-d][met], ids[d:][met]
+    places = np.full(int(codes.max(initial=-1)) + 2, -1, np.int32)
+    places[batch["ats"][i].values.to_numpy(zero_copy_only=False)] = np.arange(len(known))
+    places, documents = places[codes], np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+
+    def met():
+        for d in range(1, min(window, len(places) - 1) + 1):
+            here = (documents[:-d] == documents[d:]) & (places[:-d] >= 0) & (places[d:] >= 0)
+            yield d, places[:-d][here], places[d:][here]
+
+    return known, met()
 
 
 def sides_of(window: int):
@@ -63,17 +89,15 @@ def sides_of(window: int):
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids = [np.zeros(0, np.int64)]
-                weights = [np.zeros(0, np.int64)]
-                for d, first, second in _near(batch, i, window):
-                    ids += [first, second]
-                    weights.append(np.full(2 * len(first), window + 1 - d))
-                found, at = np.unique(np.concatenate(ids), return_inverse=True)
-                # Sums of small whole numbers over one block: exact in doubles.
-                sums = np.bincount(at, weights=np.concatenate(weights), minlength=len(found)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(sums)], names=["id", "n"])
+                known, near = _near(batch, i, window)
+                sums = np.zeros(len(known), np.int64)
+                for d, *both in near:
+                    for places in both:
+                        sums += (window + 1 - d) * np.bincount(places, minlength=len(known))
+                found = np.flatnonzero(sums)
+                yield pa.RecordBatch.from_arrays([pa.array(known[found].astype(np.int32)), pa.array(sums[found])], names=["id", "n"])
 
-    return sides
+    return tidied(sides)
 
 
 def pack(keys: np.ndarray, values: np.ndarray) -> tuple[bytes, bytes]:
@@ -113,7 +137,9 @@ def pairs_of(window: int, buckets: int):
         parts, held = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                for d, first, second in _near(batch, i, window):
+                known, near = _near(batch, i, window)
+                for d, *both in near:
+                    first, second = (known[places].astype(np.int64) for places in both)
                     key = np.maximum(first, second) << PLACE_BITS | np.minimum(first, second)
                     parts.append(key.astype(np.uint64) << np.uint64(WEIGHT_BITS) | np.uint64(window + 1 - d))
                     held += len(key)
@@ -123,7 +149,7 @@ def pairs_of(window: int, buckets: int):
         if held:
             yield from combined(parts)
 
-    return pairs
+    return tidied(pairs)
 
 
 def counted(rows: pa.Table) -> pa.Table:
@@ -133,4 +159,15 @@ def counted(rows: pa.Table) -> pa.Table:
     order = np.argsort(keys, kind="stable")
     keys, n = _summed(keys[order], n[order])
     places = (keys & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int32), (keys >> np.uint64(PLACE_BITS)).astype(np.int32)
-    return pa.table([pa.array(x) for x in (*places, n)], names=["first", "second", "n"])
+    table = pa.table([pa.array(x) for x in (*places, n)], names=["first", "second", "n"])
+    return pa.Table.from_batches(table.to_batches(max_chunksize=ROWS_AT_ONCE), table.schema)
+
+
+SIDES_AT_ONCE = 1 << 16
+
+
+def listed_sides(rows: pa.Table) -> pa.Table:
+    """Rows (part, id, n) of neighbouring words as one list, a word's n at its place in the part."""
+    made = np.zeros(SIDES_AT_ONCE, np.int64)
+    made[rows["id"].to_numpy() % SIDES_AT_ONCE] = rows["n"].to_numpy()
+    return pa.table([pa.array([rows["part"][0].as_py()], pa.int32()), pa.array([made], pa.list_(pa.int64()))], names=["part", "ns"])

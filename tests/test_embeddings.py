@@ -131,3 +131,78 @@ def test_vectors_do_not_depend_on_the_grid(rows, monkeypatch):
     monkeypatch.setattr(blocks.Grid, "of", staticmethod(lambda words, tasks: blocks.Grid(14, 3, 4)))
     cut = {r.term: r.vector for r in embeddings.word_vectors(df, 4, 2).collect()}
     assert cut == whole and len(cut) == 40
+
+
+def test_nothing_that_grows_with_the_corpus_is_broadcast(rows, monkeypatch):
+    """The block of a round never, words and their counts only below the limit; the same vectors either way."""
+    rng = np.random.default_rng(6)
+    lists = [[f"w{int(x)}" for x in rng.zipf(1.4, 40) if x < 50] for _ in range(60)]
+    df = rows([(t,) for t in lists], "tokens array<string>").repartition(3)
+    sent = []
+
+    def watched(frame, broadcast=embeddings.F.broadcast):
+        sent.append(set(frame.columns))
+        return broadcast(frame)
+
+    monkeypatch.setattr(embeddings.F, "broadcast", watched)
+    whole = {r.term: r.vector for r in embeddings.fit(df, "tokens", 4, rounds=2).collect()}
+    assert sent and not any("x" in columns for columns in sent)
+    sent.clear()
+    monkeypatch.setattr(embeddings, "BROADCAST_LIMIT_BYTES", 0)
+    assert {r.term: r.vector for r in embeddings.fit(df, "tokens", 4, rounds=2).collect()} == whole and whole
+    assert not any(columns & {"x", "term", "id", "n", "ns"} for columns in sent)
+
+
+def test_a_round_moves_the_block_once_to_the_rows(spark, rows):
+    """The cells are read where they lie, and a task has all cells of its rows."""
+    m = matrix(40)
+    entries = rows([(i, j, float(m[i, j])) for i in range(40) for j in range(i, 40) if m[i, j] > 0], "first int, second int, ppmi double")
+    blocks = embeddings.vector_blocks
+    grid, numbers = blocks.Grid(6, 7, 2), blocks.cell_numbers(3, 6)
+    pieces = entries.selectExpr("first", "second", "CAST(rint(ppmi * 64) AS bigint) AS w").mapInArrow(
+        blocks.cut_into_cells(grid, numbers), blocks.PIECE_SCHEMA
+    )
+    cells = embeddings.Cells(pieces, grid, numbers)
+    x = np.random.default_rng(1).integers(-(1 << 22), 1 << 22, (42, 3)).astype("<i4")
+    x[40:] = 0
+    parts = [(c, blocks.squeezed(np.ascontiguousarray(x[c::6])), numbers[:, c].tolist()) for c in range(6)]
+    product = cells.times(rows(parts, blocks.BLOCK_SCHEMA), 3)
+    plan = product._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("hashpartitioning(cell") == 1
+    got = np.zeros((42, 3), np.int64)
+    for r in product.collect():
+        got[r.p :: 6] = blocks.loosened(r.y, "<i8").reshape(-1, 3)
+    want = np.zeros((42, 42), np.int64)
+    want[:40, :40] = np.rint(m * 64).astype(np.int64)
+    assert (got == want @ x.astype(np.int64)).all()
+    cells.discard()
+
+
+def test_numbers_of_cells_are_dealt_by_rows(spark):
+    blocks = embeddings.vector_blocks
+    ids = [0, 1, 41, 1 << 33, (1 << 62) + 5]
+    made = spark.createDataFrame([(i,) for i in ids], "id bigint").selectExpr("hash(id) AS h").collect()
+    assert [r.h for r in made] == blocks.spark_hash(np.array(ids)).tolist()
+    numbers = blocks.cell_numbers(5, 9)
+    assert (np.diff(numbers.ravel()) > 0).all() and (blocks.spark_hash(numbers) % 5 == np.arange(5)[:, None]).all()
+
+
+@pytest.mark.parametrize("large", [1 << 20, 1 << 31])
+def test_products_of_cells_are_exact(large):
+    """Rows longer than a piece, rows of every length, and numbers beyond what doubles hold whole."""
+    blocks = embeddings.vector_blocks
+    rng = np.random.default_rng(9)
+    lengths = [1, 2, 5, 9, 9, 100, 1792, 1793, 4000, 3]
+    rows = np.repeat(np.arange(0, 20, 2), lengths)
+    columns = np.concatenate([rng.permutation(4096)[:n] for n in lengths])
+    weights = rng.integers(-(large - 1), large, len(rows))
+    block = rng.integers(-(1 << 22), 1 << 22, (4096, 5)).astype("<i4")
+    cell = blocks._cell([7, 0, 0], rows, columns, weights)
+    held = [np.frombuffer(cell[c][0].as_py(), t) for c, t in (("rows", "<i4"), ("shapes", "<i4"), ("columns", "<u2"), ("weights", "<i4"))]
+    sums = np.zeros((20, 5), np.int64)
+    blocks.add_product(sums, *held, block)
+    want = np.zeros((20, 5), np.int64)
+    np.add.at(want, rows, block[columns] * weights[:, None])
+    assert (sums == want).all()
+    for x in (sums, block, np.array([-(1 << 63), (1 << 63) - 1, 0, -1])):
+        assert (blocks.loosened(blocks.squeezed(x), x.dtype.str).reshape(x.shape) == x).all()
