@@ -774,7 +774,8 @@ def _labelled_tokens(spark, sf):
     targets = scored.select(
         "ticker", "id", F.col("tb_label_summary_token").alias("label"), *SCORE_TARGETS
     )
-    return _doc_tokens(spark, sf).join(targets, ["ticker", "id"])
+    # Read for the words of the articles and for their scores: made once.
+    return _doc_tokens(spark, sf).join(stage(targets, "targets")[0], ["ticker", "id"])
 
 
 SCORE_TARGETS = [
