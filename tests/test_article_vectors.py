@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from newsvane.operators import article_blocks, vector_blocks, vectors
+from newsvane.operators import article_blocks, models, vector_blocks, vectors
 
 SCHEMA = "ticker string, id bigint, tokens array<string>"
 
@@ -55,3 +55,14 @@ def test_large_vectors_and_no_articles(rows, articles, monkeypatch):
     huge = rows([("w1", [9e12, 0.0])], "term string, vector array<double>")
     with pytest.raises(ArithmeticError):
         vectors.document_vectors(df, ["ticker", "id"], "tokens", huge, 2)
+
+
+def test_features_of_the_classifier_without_a_broadcast(rows, articles, monkeypatch):
+    """Labels and vectors of articles are the same when the word vectors are beyond a broadcast."""
+    data, df = articles
+    df = df.where("id <> 5").withColumn("label", vectors.F.col("id") % 3)
+    words = rows([(f"w{i}", [0.5 * i, -1.0]) for i in range(60)], "term string, vector array<double>")
+    whole = sorted(map(tuple, models.article_features(df, ["ticker", "id"], "tokens", words, 2, "label").collect()))
+    monkeypatch.setattr(vectors, "BROADCAST_LIMIT_BYTES", 0)
+    cut = sorted(map(tuple, models.article_features(df, ["ticker", "id"], "tokens", words, 2, "label").collect()))
+    assert cut == whole and len(cut) == len([d for d in data if d[1] != 5])
