@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from newsvane.operators import article_blocks, models, vector_blocks, vectors
+from newsvane.operators import article_blocks, embeddings, models, vector_blocks, vectors
 
 SCHEMA = "ticker string, id bigint, tokens array<string>"
 
@@ -66,3 +66,20 @@ def test_features_of_the_classifier_without_a_broadcast(rows, articles, monkeypa
     monkeypatch.setattr(vectors, "BROADCAST_LIMIT_BYTES", 0)
     cut = sorted(map(tuple, models.article_features(df, ["ticker", "id"], "tokens", words, 2, "label").collect()))
     assert cut == whole and len(cut) == len([d for d in data if d[1] != 5])
+
+
+def test_neighbours_of_vectors_made_without_a_broadcast(rows, monkeypatch):
+    rng = np.random.default_rng(5)
+    lists = [[f"w{int(x)}" for x in rng.zipf(1.4, 30) if x < 30] for _ in range(50)]
+    df = rows([(t,) for t in lists], "tokens array<string>").repartition(2)
+    near = [tuple(r) for r in vectors.nearest_terms(embeddings.fit(df, "tokens", 4, rounds=2), "w1", 5).collect()]
+    sent = []
+
+    def watched(frame, broadcast=embeddings.F.broadcast):
+        sent.append(set(frame.columns))
+        return broadcast(frame)
+
+    monkeypatch.setattr(embeddings.F, "broadcast", watched)
+    monkeypatch.setattr(embeddings, "BROADCAST_LIMIT_BYTES", 0)
+    again = [tuple(r) for r in vectors.nearest_terms(embeddings.fit(df, "tokens", 4, rounds=2), "w1", 5).collect()]
+    assert again == near and len(near) == 5 and not any(columns & {"x", "term", "ns"} for columns in sent)
